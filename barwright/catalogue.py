@@ -388,7 +388,8 @@ def return_1d(spark, path):
 
 
 def updown_label(spark, path):
-    return momentum.direction_label(_daily(spark, path)).select(*KEYS, "label")
+    out = momentum.direction_label(_daily(spark, path))
+    return out.select(*KEYS, F.col("label").cast("double").alias("label"))
 
 
 # Streaming

@@ -194,7 +194,7 @@ ORACLE: dict[str, str] = {
     "return_1d": f"""{DAILY}, p AS (SELECT *, lag(close) OVER ({SERIES}) AS prev FROM bars)
       SELECT symbol, datetime, round((close - prev) / nullif(prev, 0) * 100, 6) AS return_1d FROM p""",
     "updown_label": f"""{DAILY}, p AS (SELECT *, lead(close) OVER ({SERIES}) AS nxt FROM bars)
-      SELECT symbol, datetime, CASE WHEN nxt IS NULL THEN NULL WHEN nxt > close THEN 1 ELSE 0 END::BIGINT AS label FROM p""",
+      SELECT symbol, datetime, CASE WHEN nxt IS NULL THEN NULL WHEN nxt > close THEN 1 ELSE 0 END::DOUBLE AS label FROM p""",
     "stream_bars": f"""{BARS} SELECT * FROM bars
       WHERE datetime + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""",
 }

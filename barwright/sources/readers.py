@@ -45,8 +45,8 @@ def flat_lower(df: DataFrame) -> DataFrame:
 
 def stream_ticks(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
     """The events files as a tick stream."""
-    path = f"{sf_dir}/events.parquet"
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    reader = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return event_ticks(reader.parquet(path))
+    # A glob, because a stream takes a plain path only when it is a folder.
+    return event_ticks(reader.parquet(f"{sf_dir}/events.parque[t]"))

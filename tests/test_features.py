@@ -1,0 +1,110 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from barwright.operators.clean import silver
+from barwright.operators.features import complete_cases, features, gold, with_pending
+from barwright.operators.momentum import direction_label, moving_average, percent_return, relative_strength
+from barwright.schemas import GOLD
+from conftest import column, same_rows, series
+
+
+def walk(n, start=100.0):
+    return [start + (7 * i * i) % 23 + i / 4 for i in range(n)]
+
+
+@pytest.mark.parametrize("n, rows", [(1, 0), (7, 0), (8, 1), (30, 23)])
+def test_row_counts(make_bars, n, rows):
+    out = gold(silver(make_bars(series(walk(n)))))
+    assert out.count() == rows
+    assert out.columns == GOLD.fieldNames()
+
+
+def test_pending_row_is_kept_apart(make_bars):
+    bars = silver(make_bars(series(walk(10))))
+    pending = with_pending(features(bars))
+    assert pending.count() == 4 and complete_cases(pending).count() == 3
+    assert pending.filter("target_price is null").count() == 1
+
+
+def test_lags_count_rows_not_hours(make_bars):
+    bars = silver(make_bars(series([1, 2, 3, 4], hours=[0, 1, 5, 6])))
+    assert column(features(bars), "lag_1") == [None, 1, 2, 3]
+    assert column(features(bars), "target_price") == [2, 3, 4, None]
+
+
+def test_null_close_is_skipped_by_lags(make_bars):
+    assert column(features(silver(make_bars(series([1, None, 3])))), "lag_1") == [None, 1]
+
+
+def test_zero_denominators_give_null(make_bars):
+    out = features(silver(make_bars(series([0, 5, 6], [2, 3, 6]))))
+    assert column(out, "return_1h") == [None, None, 0.2]
+    assert column(out, "volume_change") == [None, 0.5, 1.0]
+
+
+def test_nan_is_dropped(make_bars):
+    closes = walk(40)
+    closes[10] = math.nan
+    out = gold(silver(make_bars(series(closes))))
+    # The NaN itself, its neighbour before (target) and the 23 rows whose frames hold it.
+    assert out.count() == 40 - 7 - 25
+    assert out.filter(F.isnan("sma_24") | F.isnan("target_price")).isEmpty()
+
+
+def test_constant_and_rising_prices(make_bars):
+    flat = make_bars(series([5] * 20))
+    out = features(silver(flat))
+    assert set(column(out, "return_1h")[1:]) == {0.0}
+    assert set(column(out, "rolling_std_12")[1:]) == {0.0}
+    assert column(relative_strength(flat), "rsi_14") == [None] * 14 + [50.0] * 6
+    rising = make_bars(series(list(range(1, 21))))
+    assert column(relative_strength(rising), "rsi_14") == [None] * 14 + [100.0] * 6
+
+
+@pytest.mark.parametrize("rows", [3, 24, 512])
+def test_daily_indicators(make_bars, rows):
+    closes = walk(20)
+    daily = make_bars(series(closes, hours=[24 * i for i in range(20)]))
+    ma = column(moving_average(daily, rows=rows), "ma_7")
+    assert ma[9] == pytest.approx(sum(closes[3:10]) / 7)
+    assert column(percent_return(daily, rows=rows), "return_1d")[4] == pytest.approx(
+        (closes[4] - closes[3]) / closes[3] * 100
+    )
+    labels = column(direction_label(daily, rows=rows), "label")
+    assert labels == [int(b > a) for a, b in zip(closes, closes[1:])] + [None]
+    rsi = column(relative_strength(daily, rows=rows), "rsi_14")
+    moves = [b - a for a, b in zip(closes, closes[1:])]
+    up = sum(m for m in moves[:14] if m > 0)
+    down = -sum(m for m in moves[:14] if m < 0)
+    assert rsi[13] is None and rsi[14] == pytest.approx(100 - 100 / (1 + up / down))
+
+
+def plain_features(bars):
+    """The same columns from ordinary unchunked windows."""
+    w = Window.partitionBy("symbol").orderBy("datetime")
+    change = (F.col("close") - F.col("lag_1")) / F.nullif(F.col("lag_1"), F.lit(0))
+    volume_before = F.lag("volume").over(w)
+    out = bars.withColumns(
+        {
+            **{f"lag_{k}": F.lag("close", k).over(w) for k in (1, 3, 6)},
+            **{f"sma_{n}": F.avg("close").over(w.rowsBetween(1 - n, 0)) for n in (6, 12, 24)},
+            "rolling_std_12": F.stddev("close").over(w.rowsBetween(-11, 0)),
+            "target_price": F.lead("close").over(w),
+            "volume_change": F.round((F.col("volume") - volume_before) / volume_before, 6),
+            "price_range": F.round(F.col("high") - F.col("low"), 6),
+        }
+    )
+    return out.withColumn("return_1h", F.round(change, 6)).select(*GOLD.fieldNames())
+
+
+@pytest.mark.parametrize("rows", [1, 5, 24, 50])
+def test_chunks_equal_one_window(make_bars, rows):
+    """Dense and sparse series, with gaps longer than several chunks, bit for bit."""
+    dense = series(walk(150), [i % 4 for i in range(150)], "dense")
+    gaps = series(walk(60), [i % 3 for i in range(60)], "gaps", [i * (1 + 90 * (i > 20)) for i in range(60)])
+    single = series([3.0], [0], "single", [77])
+    bars = silver(make_bars(dense + gaps + single))
+    assert same_rows(features(bars, rows=rows), plain_features(bars))
