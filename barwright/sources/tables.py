@@ -43,12 +43,22 @@ def _dated(df: DataFrame, schema: StructType) -> DataFrame:
     return conform(df, schema).withColumn("date", F.to_date("datetime"))
 
 
-
 def _by_date(df: DataFrame) -> DataFrame:
     """Rows of a date in neighbouring tasks: few files per date, and a hot date still spans tasks."""
     return df.repartitionByRange("date", "symbol", "datetime").sortWithinPartitions("date", "symbol", "datetime")
 
 
+def _overwrite_dates(df: DataFrame, table: str) -> None:
+    """Replace the partitions that ``df`` has rows for (insertInto heeds the setting, not a write option)."""
+    conf, setting = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    previous = conf.get(setting)
+    conf.set(setting, "dynamic")
+    try:
+        df.write.mode("overwrite").insertInto(table)
+    finally:
+        conf.set(setting, previous)
+
+
 def _touched_dates(frames: list[DataFrame]) -> tuple:
     """First and last date among the frames' instants: one row."""
     bounds = [f.select(F.min("datetime").alias("lo"), F.max("datetime").alias("hi")) for f in frames]
@@ -96,12 +106,12 @@ def replace_rows(
         kept = touched.join(scope.select("symbol", "start"), "symbol", "left").filter(~past).drop("start")
     if version:
         merged = latest_wins(kept.unionByName(incoming).drop("date"), version)
-        merged = merged.withColumn("date", F.to_date("datetime")).select(*incoming.columns)
+        merged = merged.withColumn("date", F.to_date("datetime"))
     else:
         merged = kept.join(incoming.select(*keys), keys, "left_anti").unionByName(incoming)
-    staged = stage(merged, "merged")
+    staged = stage(merged.select(*incoming.columns), "merged")
     emptied = touched.select("date").distinct().join(staged.select("date").distinct(), "date", "left_anti")
     gone = [row["date"] for row in emptied.collect()]  # whole dates, normally none
-    _by_date(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    _overwrite_dates(_by_date(staged), table)
     for day in gone:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (date = DATE '{day}')")

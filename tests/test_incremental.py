@@ -1,0 +1,113 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from barwright.operators import marks
+from barwright.operators.clean import silver
+from barwright.operators.features import complete_cases, features, with_pending
+from barwright.operators.incremental import (
+    changed_rows, gold_from, gold_marks, gold_touched_by, merge_rows, refilled_rows, silver_from,
+)
+from barwright.schemas import KEYS
+from conftest import at, column, same_rows, series
+
+
+def panel(seed=1, n=90):
+    rng = random.Random(seed)
+    rows = []
+    for symbol in ("a", "b", "c"):
+        hours = sorted(rng.sample(range(200), n))
+        closes = [round(rng.uniform(1, 99), 2) for _ in hours]
+        volumes = [rng.choice([0, 0, 3, 8]) for _ in hours]
+        rows += series(closes, volumes, symbol, hours)
+    return rows
+
+
+def before_and_after(bars, hour):
+    cut = F.lit(at(hour).isoformat()).cast("timestamp")
+    return bars.filter(F.col("datetime") < cut), bars.filter(F.col("datetime") >= cut)
+
+
+@pytest.mark.parametrize("hour", [1, 40, 120, 199, 250])
+def test_increment_equals_recompute(make_bars, hour):
+    bars = make_bars(panel(hour))
+    old_bars, new_bars = before_and_after(bars, hour)
+    old = silver(old_bars, rows=16).cache()
+    both = old.unionByName(silver_from(new_bars, marks.latest_row(old), rows=16)).cache()
+    full = silver(bars, rows=16)
+    assert same_rows(both, full)
+
+    stored = with_pending(features(old, rows=16)).cache()
+    fresh = gold_from(both, gold_marks(stored), rows=16)
+    assert same_rows(merge_rows(stored, fresh), with_pending(features(full, rows=16)))
+
+
+def test_increment_reads_only_the_look_back(make_bars):
+    bars = silver(make_bars(series(list(range(1, 101)))))
+    stored = with_pending(features(before_and_after(bars, 90)[0]))
+    fresh = gold_from(bars, gold_marks(stored))
+    assert fresh.count() == 11  # ten new rows and the one that was pending
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
+def test_carry_row_feeds_the_fill_and_is_not_emitted(make_bars):
+    old = silver(make_bars(series([1, 1], [4, 9])))
+    new = make_bars(series([1, 1, 1], [0, 0, 2], hours=[2, 3, 4]))
+    out = silver_from(new, marks.latest_row(old))
+    assert column(out, "volume") == [9, 9, 2]
+
+
+def test_carry_union_is_by_name(make_bars):
+    old = silver(make_bars(series([1, 1], [4, 9])))
+    new = make_bars(series([2], [0], hours=[2]))
+    out = marks.with_carry(old, new.select(*reversed(new.columns)))
+    assert column(out, "volume") == [9, 0] and column(out, "price_change") == [0.0, None]
+
+
+def test_changed_price_reaches_one_back_and_23_ahead(make_bars):
+    rows = series([float(i % 7 + i) for i in range(1, 81)])
+    old = silver(make_bars(rows))
+    rows[40] = {**rows[40], "close": 500.0, "open": rows[40]["close"]}
+    new = silver(make_bars(rows))
+    changes = changed_rows(old, new)
+    assert changes.count() == 1
+    fresh = gold_touched_by(new, changes, rows=30)
+    hours = [(d - at(0)).total_seconds() / 3600 for d in column(fresh, "datetime")]
+    assert hours == list(range(39, 64))
+    stored = with_pending(features(old))
+    assert same_rows(merge_rows(stored, fresh), with_pending(features(new)))
+
+
+@pytest.mark.parametrize("rows", [1, 3, 512])
+def test_changed_volume_reaches_to_the_next_known_volume(make_bars, rows):
+    volumes = [4, 5, 0, 0, 6, 0, 7]
+    bars = make_bars(series([1] * 7, [4, 0, 0, 0, 6, 0, 7]))  # hour 1 revised from 5 to 0
+    changes = make_bars(series([1], hours=[1])).select(*KEYS)
+    reached = refilled_rows(bars, changes, rows=rows)
+    assert [(d - at(0)).seconds // 3600 for d in column(reached, "datetime")] == [1, 2, 3]
+    old, new = silver(make_bars(series([1] * 7, volumes))), silver(bars)
+    assert same_rows(changed_rows(old, new), reached)
+
+
+def test_added_bar_is_a_change(make_bars):
+    rows = series([float(i % 5 + i) for i in range(1, 61)])
+    old, new = silver(make_bars(rows[:30] + rows[31:])), silver(make_bars(rows))
+    fresh = gold_touched_by(new, changed_rows(old, new), rows=16)
+    assert same_rows(merge_rows(with_pending(features(old)), fresh), with_pending(features(new)))
+
+
+def test_marks_and_ranges(make_bars):
+    bars = make_bars(series([1, 2, 3, 4], symbol="a") + series([5, 6], symbol="b", hours=[0, 9]))
+    mark = marks.high_water_mark(bars)
+    assert [r.max_dt for r in mark.orderBy("symbol").collect()] == [at(3), at(9)]
+    later = bars.unionByName(make_bars(series([7], symbol="new", hours=[1])))
+    assert column(marks.from_mark(later, mark, inclusive=True), "close") == [4, 6, 7]
+    assert column(marks.from_mark(later, mark, inclusive=False), "close") == [7]
+    assert column(marks.overlap_range(later, mark), "close") == [2, 3, 4, 6, 7]
+    assert column(marks.backfill_range(bars, at(720 * 24 + 2)), "close") == [3, 4, 6]
+    assert column(marks.recent(bars, at(51)), "close") == [4, 6]
+    assert column(marks.latest_row(bars), "close") == [4, 6]
+    assert [r.close for r in marks.newest(bars, 2).collect()] == [6, 4]
+    assert complete_cases(features(silver(bars))).isEmpty()

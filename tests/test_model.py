@@ -1,0 +1,137 @@
+import math
+import random
+
+import pytest
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import functions as F
+
+from barwright.operators.clean import silver
+from barwright.operators.features import complete_cases, features, with_pending
+from barwright.operators.split import time_split, train_test
+from barwright.plans import metrics, model
+from conftest import at, column, series
+
+
+@pytest.fixture(scope="module")
+def pending(spark, make_bars):
+    rng = random.Random(11)
+    rows = []
+    for symbol, level in (("a", 100.0), ("b", 50.0)):
+        closes = []
+        for _ in range(150):
+            level += rng.gauss(0, 1)
+            closes.append(level)
+        rows += series(closes, [rng.choice([0, 2, 5, 9]) for _ in closes], symbol)
+    return with_pending(features(silver(make_bars(rows)))).cache()
+
+
+@pytest.fixture(scope="module")
+def parts(pending):
+    train, test = train_test(complete_cases(pending))
+    return train.cache(), test.cache()
+
+
+@pytest.fixture(scope="module")
+def grid(parts):
+    return model.fit_grid(*parts)
+
+
+@pytest.mark.parametrize("n, first", [(10, 8), (11, 8), (5, 4), (1, 0), (0, 0)])
+@pytest.mark.parametrize("rows", [3, 512])
+def test_split_sizes(make_bars, n, first, rows):
+    bars = make_bars(series(list(range(n)))) if n else make_bars(series([1])).limit(0)
+    flags = column(time_split(bars, rows=rows), "is_train")
+    assert flags == [True] * first + [False] * (n - first)
+
+
+def test_split_is_per_symbol(make_bars):
+    bars = make_bars(series([1] * 10, symbol="a") + series([1] * 5, symbol="b", hours=[i * 99 for i in range(5)]))
+    assert column(time_split(bars, rows=4), "is_train") == [True] * 8 + [False] * 2 + [True] * 4 + [False]
+
+
+def test_metrics_equal_the_evaluator(parts):
+    _, test = parts
+    got = metrics.evaluate(test, "target_price", "sma_6").first()
+    for name in metrics.METRICS:
+        wanted = RegressionEvaluator(
+            labelCol="target_price", predictionCol="sma_6", metricName=name
+        ).evaluate(test)
+        assert got[name] == pytest.approx(wanted, rel=1e-9)
+
+
+def test_scaler_equals_sample_statistics(parts):
+    train, _ = parts
+    scaler = model.fit_scaler(train)
+    stats = {r.feature: r for r in model.scaler_stats(train).collect()}
+    for i, name in enumerate(model.FEATURES):
+        assert stats[name]["mean"] == pytest.approx(scaler.mean[i])
+        assert stats[name]["std"] == pytest.approx(scaler.std[i])
+
+
+def test_grid_scores_every_pair_once(grid):
+    rows = grid.runs.orderBy("run_order").collect()
+    assert [(r.reg, r.enet) for r in rows] == [(a, b) for a in model.REG for b in model.ELASTIC_NET]
+    assert all(math.isfinite(r.rmse) and r.rmse == pytest.approx(math.sqrt(r.mse)) for r in rows)
+
+
+def test_grid_equals_separate_pipelines(parts, grid):
+    train, test = parts
+    row = grid.runs.filter("reg = 0.1 and enet = 0.5").first()
+    pipeline = Pipeline(
+        stages=[
+            VectorAssembler(inputCols=model.FEATURES, outputCol="features"),
+            StandardScaler(inputCol="features", outputCol="scaled_features", withMean=True, withStd=True),
+            LinearRegression(
+                featuresCol="scaled_features", labelCol="target_price", regParam=0.1, elasticNetParam=0.5
+            ),
+        ]
+    )
+    predictions = pipeline.fit(train).transform(test)
+    for name in metrics.METRICS:
+        wanted = RegressionEvaluator(
+            labelCol="target_price", predictionCol="prediction", metricName=name
+        ).evaluate(predictions)
+        assert row[name] == pytest.approx(wanted, rel=1e-6)
+
+
+def test_ridge_shrinks(grid):
+    def size(i):
+        return grid.models[i].stages[-1].coefficients.norm(2)
+
+    assert size(0) >= size(3) >= size(6)
+
+
+def test_refit_gives_the_same_model(parts, grid):
+    again = model.fit_grid(*parts, reg=[0.01], elastic_net=[0.0])
+    assert again.models[0].stages[-1].coefficients.toArray() == pytest.approx(
+        grid.models[0].stages[-1].coefficients.toArray()
+    )
+
+
+def test_earliest_of_equal_runs_is_best(spark):
+    runs = spark.createDataFrame(
+        [(0, 0.5, 2.0), (2, 0.7, 1.0), (1, 0.6, 1.0)], "run_order int, reg double, rmse double"
+    )
+    assert metrics.best_run(runs).first().reg == 0.6
+
+
+def test_best_model_has_the_lowest_error(grid):
+    best = min(grid.runs.collect(), key=lambda r: (r.rmse, r.run_order))
+    assert grid.best() is grid.models[best.run_order]
+
+
+def test_next_step_starts_from_the_pending_row(pending, grid):
+    rows = model.next_step(grid.best(), pending).orderBy("symbol").collect()
+    assert [(r.symbol, r.datetime) for r in rows] == [("a", at(149)), ("b", at(149))]
+    assert all(math.isfinite(r.prediction) for r in rows)
+
+
+def test_one_bar_has_no_training_row_but_its_latest_row_is_found(make_bars):
+    from barwright.operators.marks import latest_row
+
+    one = features(silver(make_bars(series([5]))))
+    assert complete_cases(one).isEmpty()
+    assert latest_row(one).count() == 1 and one.filter(F.col("rolling_std_12").isNotNull()).isEmpty()
