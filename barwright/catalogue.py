@@ -15,7 +15,7 @@ from barwright.functions.expr import calendar_columns, price_columns
 from barwright.operators import features as ft
 from barwright.operators import incremental, marks, momentum, row_index, split
 from barwright.operators.bars import resample
-from barwright.operators.chunks import over_series
+from barwright.operators.chunks import DAY, HOUR, cut_size, over_series
 from barwright.operators.clean import latest_wins, repair_volume, silver, valid_bars
 from barwright.plans import metrics, model, serving
 from barwright.schemas import KEYS
@@ -44,32 +44,45 @@ def _bars(spark: SparkSession, path: str) -> DataFrame:
     return stage(_hourly(spark, path), "bars")
 
 
-def _daily(spark: SparkSession, path: str) -> DataFrame:
-    return stage(resample(_ticks(spark, path), "1 day"), "daily")
+def _daily(spark: SparkSession, path: str) -> tuple[DataFrame, int | None]:
+    bars = stage(resample(_ticks(spark, path), "1 day"), "daily")
+    return bars, cut_size(bars, DAY)
 
 
-def _silver(spark: SparkSession, path: str) -> DataFrame:
-    return stage(silver(_bars(spark, path)), "silver")
+def _settled(df: DataFrame, rows: int | None, label: str) -> DataFrame:
+    """Stage a layer that chunked windows read several times; whole-series windows read it once."""
+    return df if rows is None else stage(df, label)
 
 
-def _gold(spark: SparkSession, path: str) -> DataFrame:
-    return ft.gold(_silver(spark, path))
+def _silver(spark: SparkSession, path: str) -> tuple[DataFrame, int | None]:
+    bars = _bars(spark, path)
+    rows = cut_size(bars)
+    return _settled(silver(bars, rows=rows), rows, "silver"), rows
+
+
+def _gold(spark: SparkSession, path: str) -> tuple[DataFrame, int | None]:
+    bars, rows = _silver(spark, path)
+    return ft.gold(bars, rows=rows), rows
+
+
+def _windowed(bars: DataFrame, columns, payload, before=0, after=0, step=HOUR) -> DataFrame:
+    return over_series(bars, columns, payload, before, after, step=step, rows=cut_size(bars, step))
 
 
 def _rounded(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in ROUNDED if c in df.columns})
 
 
-def _cut() -> Column:
+def _mark() -> Column:
     return marks.instant(CUT)
 
 
 def _loaded(bars: DataFrame) -> DataFrame:
-    return bars.filter(F.col("datetime") < _cut())
+    return bars.filter(F.col("datetime") < _mark())
 
 
 def _newer(bars: DataFrame) -> DataFrame:
-    return bars.filter(F.col("datetime") >= _cut())
+    return bars.filter(F.col("datetime") >= _mark())
 
 
 def _as_of(bars: DataFrame) -> Column:
@@ -82,6 +95,10 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast(casts.get(t, t)).alias(c) for c, t in df.dtypes])
 
 
+def _next_close(bars: DataFrame) -> DataFrame:
+    return serving.next_close(bars, rows=cut_size(bars))
+
+
 # Bars, ranges and marks
 
 
@@ -140,7 +157,8 @@ def clean_bars(spark, path):
 
 
 def volume_ffill(spark, path):
-    return repair_volume(valid_bars(_bars(spark, path))).select(*KEYS, "volume")
+    bars = _bars(spark, path)
+    return repair_volume(valid_bars(bars), rows=cut_size(bars)).select(*KEYS, "volume")
 
 
 def silver_features(spark, path):
@@ -154,7 +172,7 @@ def calendar_parts(spark, path):
 
 def carry_union(spark, path):
     bars = _bars(spark, path)
-    done = silver(_loaded(bars))
+    done = silver(_loaded(bars), rows=cut_size(bars))
     return marks.with_carry(done, _newer(bars)).select(*KEYS, "volume")
 
 
@@ -162,38 +180,39 @@ def carry_union(spark, path):
 
 
 def lags(spark, path):
-    out = over_series(_bars(spark, path), lambda w: [ft.lag_columns(w)], ["close"], before=6)
+    out = _windowed(_bars(spark, path), lambda w: [ft.lag_columns(w)], ["close"], before=6)
     return out.select(*KEYS, "lag_1", "lag_3", "lag_6")
 
 
 def returns(spark, path):
-    out = over_series(
+    out = _windowed(
         _bars(spark, path), lambda w: [ft.lag_columns(w), ft.return_column()], ["close"], before=6
     )
     return out.select(*KEYS, "return_1h")
 
 
 def volume_change(spark, path):
-    out = over_series(_silver(spark, path), lambda w: [ft.volume_change_column(w)], ["volume"], before=1)
+    bars, rows = _silver(spark, path)
+    out = over_series(bars, lambda w: [ft.volume_change_column(w)], ["volume"], before=1, rows=rows)
     return out.select(*KEYS, "volume_change")
 
 
 def target_price(spark, path):
-    return serving.next_close(_bars(spark, path)).select(*KEYS, "target_price")
+    return _next_close(_bars(spark, path)).select(*KEYS, "target_price")
 
 
 def rolling_means(spark, path):
-    out = over_series(_bars(spark, path), lambda w: [ft.mean_columns(w)], ["close"], before=23)
+    out = _windowed(_bars(spark, path), lambda w: [ft.mean_columns(w)], ["close"], before=23)
     return _rounded(out.select(*KEYS, "sma_6", "sma_12", "sma_24"))
 
 
 def rolling_std(spark, path):
-    out = over_series(_bars(spark, path), lambda w: [ft.deviation_column(w)], ["close"], before=11)
+    out = _windowed(_bars(spark, path), lambda w: [ft.deviation_column(w)], ["close"], before=11)
     return _rounded(out.select(*KEYS, "rolling_std_12"))
 
 
 def gold_mini(spark, path):
-    out = over_series(
+    out = _windowed(
         _bars(spark, path),
         lambda w: [{**ft.lag_columns(w), **ft.mean_columns(w), **ft.target_column(w)}, ft.return_column()],
         ["close"],
@@ -204,26 +223,34 @@ def gold_mini(spark, path):
 
 
 def gold_features(spark, path):
-    return _rounded(_gold(spark, path))
+    return _rounded(_gold(spark, path)[0])
+
+
+def gold_chunked(spark, path):
+    """The same features from two-day chunks, most of whose frames cross a border."""
+    return _rounded(ft.gold(stage(silver(_bars(spark, path), rows=48), "silver"), rows=48))
 
 
 def gold_incremental(spark, path):
     """Load up to CUT, then add the rest as an increment of silver and of gold."""
     bars = _bars(spark, path)
-    old = stage(silver(_loaded(bars)), "silver-old")
-    new = incremental.silver_from(_newer(bars), marks.latest_row(old))
+    rows = cut_size(bars)
+    old = stage(silver(_loaded(bars), rows=rows), "silver-old")
+    new = incremental.silver_from(_newer(bars), marks.latest_row(old), rows=rows)
     both = stage(old.unionByName(new), "silver")
-    stored = stage(ft.with_pending(ft.features(old)), "gold-old")
-    fresh = incremental.gold_from(both, incremental.gold_marks(stored))
-    return _rounded(ft.complete_cases(incremental.merge_rows(stored, stage(fresh, "gold-new"))))
+    stored = stage(ft.with_pending(ft.features(old, rows=rows)), "gold-old")
+    fresh = incremental.gold_from(both, incremental.gold_marks(stored), rows=rows)
+    final = stored.filter(F.col("target_price").isNotNull())  # the increment brings the pending rows anew
+    return _rounded(ft.complete_cases(final.unionByName(fresh)))
 
 
 def gold_revision(spark, path):
     """Load everything, then revise some bars and recompute only what they can reach."""
     bars = _bars(spark, path)
-    old = stage(silver(bars), "silver-old")
-    stored = ft.with_pending(ft.features(old))
-    revised = (F.col("datetime") >= _cut()) & (F.col("datetime") < _cut() + F.lit(REVISED))
+    rows = cut_size(bars)
+    old = stage(silver(bars, rows=rows), "silver-old")
+    stored = ft.with_pending(ft.features(old, rows=rows))
+    revised = (F.col("datetime") >= _mark()) & (F.col("datetime") < _mark() + F.lit(REVISED))
     new_bars = bars.withColumns(
         {
             "close": F.when(revised, F.col("close") + 1).otherwise(F.col("close")),
@@ -231,11 +258,11 @@ def gold_revision(spark, path):
         }
     )
     changes = bars.filter(revised).select(*KEYS)
-    reached = stage(incremental.refilled_rows(new_bars, changes), "reached")
+    reached = stage(incremental.refilled_rows(new_bars, changes, rows=rows), "reached")
     symbols = reached.select("symbol").distinct()
-    redone = silver(new_bars.join(symbols, "symbol", "left_semi")).join(reached, KEYS, "left_semi")
-    new = stage(incremental.merge_rows(old, stage(redone, "silver-redone")), "silver-new")
-    fresh = stage(incremental.gold_touched_by(new, reached), "gold-redone")
+    redone = silver(new_bars.join(symbols, "symbol", "left_semi"), rows=rows).join(reached, KEYS, "left_semi")
+    new = stage(old.join(reached, KEYS, "left_anti").unionByName(redone), "silver-new")
+    fresh = stage(incremental.gold_touched_by(new, reached, rows=rows), "gold-redone")
     return _rounded(ft.complete_cases(incremental.merge_rows(stored, fresh)))
 
 
@@ -279,60 +306,65 @@ def ffill_chunked(spark, path):
 
 
 def _training_gold(spark, path):
-    return stage(_gold(spark, path), "gold")
+    gold, rows = _gold(spark, path)
+    return _settled(gold, rows, "gold"), rows
 
 
 def _train_test(spark, path):
-    train, test = split.train_test(_training_gold(spark, path))
-    return stage(train, "train"), stage(test, "test")
+    gold, rows = _training_gold(spark, path)
+    return split.train_test(gold, rows=rows)
 
 
 def time_split(spark, path):
-    return split.time_split(_training_gold(spark, path)).select(*KEYS, "is_train")
+    gold, rows = _training_gold(spark, path)
+    return split.time_split(gold, rows=rows).select(*KEYS, "is_train")
 
 
 def scaler_stats(spark, path):
-    train, _ = split.train_test(_training_gold(spark, path))
+    train, _ = _train_test(spark, path)
     return model.scaler_stats(train).withColumns({c: F.round(c, 6) for c in ("mean", "std")})
 
 
 def scaled_features(spark, path):
-    gold = _training_gold(spark, path)
-    train, _ = split.train_test(gold)
+    gold, rows = _gold(spark, path)
+    gold = stage(gold, "gold")
+    train, _ = split.train_test(gold, rows=rows)
     out = model.scaled(gold, model.fit_scaler(train))
     return out.select(*KEYS, *[F.round(f"z_{c}", 6).alias(f"z_{c}") for c in model.FEATURES])
 
 
 def eval_metrics(spark, path):
     """Errors of the persistence forecast (next close = close) on the test rows."""
-    _, test = split.train_test(_training_gold(spark, path))
+    _, test = _train_test(spark, path)
     out = metrics.evaluate(test, "target_price", "close")
     return out.select(*[F.round(m, 6).alias(m) for m in metrics.METRICS])
 
 
 def best_run(spark, path):
     """The best of five simple forecasts on the test rows."""
-    _, test = split.train_test(_training_gold(spark, path))
+    _, test = _train_test(spark, path)
     runs = [{"predictor": c, "column": c} for c in ("close", "lag_1", "sma_6", "sma_12", "sma_24")]
     best = metrics.best_run(metrics.evaluate_runs(test, "target_price", runs, "column"))
     return best.select("run_order", "predictor", F.round("rmse", 6).alias("rmse"))
 
 
 def model_grid(spark, path):
-    return model.fit_grid(*_train_test(spark, path)).runs
+    gold, rows = _gold(spark, path)
+    return model.fit_grid(*split.train_test(stage(gold, "gold"), rows=rows)).runs
 
 
 def next_step(spark, path):
-    gold = stage(ft.with_pending(ft.features(_silver(spark, path))), "gold")
-    train, test = split.train_test(ft.complete_cases(gold))
-    return model.next_step(model.fit_grid(stage(train, "train"), stage(test, "test")).best(), gold)
+    bars, rows = _silver(spark, path)
+    gold = stage(ft.with_pending(ft.features(bars, rows=rows)), "gold")
+    train, test = split.train_test(ft.complete_cases(gold), rows=rows)
+    return model.next_step(model.fit_grid(train, test).best(), gold)
 
 
 # Serving
 
 
 def serving_shift(spark, path):
-    return serving.serving_shift(serving.next_close(_bars(spark, path)))
+    return serving.serving_shift(_next_close(_bars(spark, path)))
 
 
 def recent_10(spark, path):
@@ -349,18 +381,18 @@ def recent_48h(spark, path):
 
 
 def prediction_error(spark, path):
-    served = serving.serving_shift(serving.next_close(_bars(spark, path)))
+    served = serving.serving_shift(_next_close(_bars(spark, path)))
     return serving.prediction_error(served).select(*KEYS, "error")
 
 
 def actual_vs_predicted(spark, path):
     bars = _bars(spark, path)
     persistence = bars.select(*KEYS, F.col("close").alias("prediction"))
-    return serving.actual_vs_predicted(persistence, serving.next_close(bars))
+    return serving.actual_vs_predicted(persistence, _next_close(bars))
 
 
 def updown_counts(spark, path):
-    out = over_series(_bars(spark, path), lambda w: [ft.mean_columns(w)], ["close"], before=23)
+    out = _windowed(_bars(spark, path), lambda w: [ft.mean_columns(w)], ["close"], before=23)
     return serving.updown_counts(out.select(*KEYS, "close", F.col("sma_6").alias("prediction")))
 
 
@@ -368,27 +400,32 @@ def updown_counts(spark, path):
 
 
 def rsi_14(spark, path):
-    out = momentum.relative_strength(_daily(spark, path))
+    bars, rows = _daily(spark, path)
+    out = momentum.relative_strength(bars, rows=rows)
     return out.select(*KEYS, F.round("rsi_14", 6).alias("rsi_14"))
 
 
 def rsi_14_hourly(spark, path):
-    out = momentum.relative_strength(_bars(spark, path), step=timedelta(hours=1))
+    bars = _bars(spark, path)
+    out = momentum.relative_strength(bars, step=HOUR, rows=cut_size(bars))
     return out.select(*KEYS, F.round("rsi_14", 6).alias("rsi_14"))
 
 
 def ma_7(spark, path):
-    out = momentum.moving_average(_daily(spark, path))
+    bars, rows = _daily(spark, path)
+    out = momentum.moving_average(bars, rows=rows)
     return out.select(*KEYS, F.round("ma_7", 6).alias("ma_7"))
 
 
 def return_1d(spark, path):
-    out = momentum.percent_return(_daily(spark, path))
+    bars, rows = _daily(spark, path)
+    out = momentum.percent_return(bars, rows=rows)
     return out.select(*KEYS, F.round("return_1d", 6).alias("return_1d"))
 
 
 def updown_label(spark, path):
-    out = momentum.direction_label(_daily(spark, path))
+    bars, rows = _daily(spark, path)
+    out = momentum.direction_label(bars, rows=rows)
     return out.select(*KEYS, F.col("label").cast("double").alias("label"))
 
 
@@ -407,8 +444,8 @@ _ALL = [
     ohlcv_bars, daily_bars, backfill_range, backfill_range_10d, overlap_range, high_water_mark,
     increment_inclusive, increment_exclusive, latest_row, dedup_bars, clean_bars, volume_ffill,
     silver_features, calendar_parts, carry_union, lags, returns, volume_change, target_price,
-    rolling_means, rolling_std, gold_mini, gold_features, gold_incremental, gold_revision,
-    global_row_index, rolling_chunked, ffill_chunked, time_split, scaler_stats, scaled_features,
+    rolling_means, rolling_std, gold_mini, gold_features, gold_chunked, gold_incremental,
+    gold_revision, global_row_index, rolling_chunked, ffill_chunked, time_split, scaler_stats, scaled_features,
     eval_metrics, best_run, model_grid, next_step, serving_shift, recent_10, recent_5_local, recent_48h,
     prediction_error, actual_vs_predicted, updown_counts, rsi_14, rsi_14_hourly, ma_7, return_1d,
     updown_label, stream_bars,

@@ -6,6 +6,8 @@ Two cuts are offered.
   of a symbol. The piece size is bounded by the calendar, whatever the skew between symbols.
 * By row index (see ``row_index``): for raw rows, where any instant may hold any number of rows.
 
+A frame that spans no more steps than one piece may hold needs no cut at all (``cut_size``).
+
 Each piece receives copies of the rows just outside it (its halo), is evaluated by an ordinary window
 partitioned by (keys, piece), and the copies are dropped again. A bounded frame then sees exactly the
 rows it would see in one unpartitioned window, in the same order, so results agree bit for bit.
@@ -23,25 +25,49 @@ from pyspark.sql.window import Window, WindowSpec
 
 HOUR = timedelta(hours=1)
 DAY = timedelta(days=1)
-ROWS_PER_CHUNK = 512
+ROWS_PER_CHUNK = 32_768
 
 CHUNK = "_chunk"
 HALO = "_halo"
 
 
-def time_chunk(at: str, step: timedelta, rows: int) -> Column:
-    """Number of the time span of ``rows`` steps that holds the instant ``at``."""
+def time_chunk(at: str, step: timedelta, rows: int | None) -> Column | None:
+    """Number of the time span of ``rows`` steps that holds the instant ``at``; None for no cut."""
+    if rows is None:
+        return None
     span = int(step / timedelta(microseconds=1)) * rows
     return F.floor(F.unix_micros(F.col(at)) / F.lit(span)).cast("long")
 
 
+def cut_size(
+    bars: DataFrame,
+    step: timedelta = HOUR,
+    rows: int = ROWS_PER_CHUNK,
+    at: str = "datetime",
+    resolution: timedelta = timedelta(0),
+) -> int | None:
+    """``rows``, or None if the bars span so few steps that every symbol fits one chunk.
+
+    None means one plain window per key: each group is bounded by the measured span, since bars are
+    unique per (symbol, step), and windows in a row share a single shuffle. Looks at one row. ``at`` may
+    be a coarser column, such as a partition date, of the given ``resolution``.
+    """
+    first, last = (F.unix_micros(f(at).cast("timestamp")) for f in (F.min, F.max))
+    ends = bars.agg(first.alias("lo"), last.alias("hi")).first()
+    micro = timedelta(microseconds=1)
+    if ends["lo"] is None or (ends["hi"] - ends["lo"] + resolution // micro) // (step // micro) < rows:
+        return None
+    return rows
+
+
 def _neighbour_rows(
     df: DataFrame, keys: Sequence[str], order: str, payload: Sequence[str], count: int, before: bool
 ) -> DataFrame:
     """For each chunk, the ``count`` nearest rows of the same key outside it, on one side.
 
-    Works on chunk edges only: at most ``count`` rows per chunk reach the shuffle (group limit), and
-    sparse chunks are completed from further away, so gaps of any length are exact.
+    Works on chunk edges only: at most ``count`` rows per chunk reach the shuffle (group limit). An edge
+    row goes to the neighbour of every chunk whose border is less than ``count`` edge rows away: one
+    chunk as a rule, several when chunks are sparse, so gaps of any length are exact.
     """
     sort = F.col(order).desc() if before else F.col(order).asc()
     edge = (
@@ -49,17 +75,13 @@ def _neighbour_rows(
         .withColumn("_rank", F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(sort)))
         .filter(F.col("_rank") <= count)
     )
-    frame = (-(count - 1), 0) if before else (0, count - 1)
-    nearest = Window.partitionBy(*keys).orderBy(order).rowsBetween(*frame)
-    along = Window.partitionBy(*keys).orderBy(CHUNK)
-    receiver = F.lead(CHUNK).over(along) if before else F.lag(CHUNK).over(along)
+    along = Window.partitionBy(*keys).orderBy(order)
+    beyond = F.lead(CHUNK).over(along) if before else F.lag(CHUNK).over(along)
+    reach = (0, count - 1) if before else (1 - count, 0)
     return (
-        edge.withColumn("_rows", F.collect_list(F.struct(order, *payload)).over(nearest))
-        .filter(F.col("_rank") == 1)
-        .withColumn("_receiver", receiver)
-        .filter(F.col("_receiver").isNotNull())
-        .select(*keys, F.col("_receiver").alias(CHUNK), F.explode("_rows").alias("_row"))
-        .select(*keys, CHUNK, "_row.*", F.lit(True).alias(HALO))
+        edge.withColumn("_beyond", F.when(F.col("_rank") == 1, beyond))  # null but at a border
+        .withColumn("_receivers", F.collect_list("_beyond").over(along.rowsBetween(*reach)))
+        .select(*keys, F.explode("_receivers").alias(CHUNK), order, *payload, F.lit(True).alias(HALO))
     )
 
 
@@ -89,13 +111,16 @@ def over_series(
     keys: Sequence[str] = ("symbol",),
     order: str = "datetime",
     step: timedelta = HOUR,
-    rows: int = ROWS_PER_CHUNK,
+    rows: int | None = ROWS_PER_CHUNK,
 ) -> DataFrame:
-    """Add windowed columns per key, evaluated chunk by chunk.
+    """Add windowed columns per key, evaluated chunk by chunk (whole series if ``rows`` is None).
 
     ``columns`` gets the chunk's window and returns one dict per dependency level. Frames may reach
     ``before`` rows back and ``after`` rows ahead and read only ``payload`` columns.
     """
+    if rows is None:
+        whole = Window.partitionBy(*keys).orderBy(order)
+        return reduce(lambda d, level: d.withColumns(level), columns(whole), df)
     haloed = with_halo(df.withColumn(CHUNK, time_chunk(order, step, rows)), keys, order, payload, before, after)
     window = Window.partitionBy(*keys, CHUNK).orderBy(order)
     added = reduce(lambda d, level: d.withColumns(level), columns(window), haloed)
@@ -106,7 +131,7 @@ def fill_forward(
     df: DataFrame,
     value: Column,
     name: str,
-    chunk: Column,
+    chunk: Column | None,
     keys: Sequence[str] = (),
     order: str = "datetime",
     default: Column | None = None,
@@ -115,8 +140,12 @@ def fill_forward(
 
     First the last known value of each chunk (a small table, one row per chunk), carried along that
     table; then the fill inside each chunk, falling back on the carry. The join and the window share
-    one shuffle on (keys, chunk).
+    one shuffle on (keys, chunk). Without ``chunk`` the key's series is filled as a whole.
     """
+    if chunk is None:
+        series = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        known = F.last(value, ignorenulls=True).over(series)
+        return df.withColumn(name, known if default is None else F.coalesce(known, default))
     marked = df.withColumns({CHUNK: chunk, "_value": value})
     per_chunk = marked.groupBy(*keys, CHUNK).agg(
         F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col(order))).alias("_last")

@@ -34,7 +34,7 @@ def valid_bars(bars: DataFrame) -> DataFrame:
     return bars.select(*BARS.fieldNames()).filter(F.col("close").isNotNull())
 
 
-def repair_volume(bars: DataFrame, step: timedelta = HOUR, rows: int = ROWS_PER_CHUNK) -> DataFrame:
+def repair_volume(bars: DataFrame, step: timedelta = HOUR, rows: int | None = ROWS_PER_CHUNK) -> DataFrame:
     """Volume 0 or null becomes the symbol's last known volume, or 1 where there is none yet."""
     filled = fill_forward(
         bars,
@@ -52,6 +52,6 @@ def derive(bars: DataFrame) -> DataFrame:
     return bars.withColumns({**price_columns(), **calendar_columns()})
 
 
-def silver(bars: DataFrame, step: timedelta = HOUR, rows: int = ROWS_PER_CHUNK) -> DataFrame:
+def silver(bars: DataFrame, step: timedelta = HOUR, rows: int | None = ROWS_PER_CHUNK) -> DataFrame:
     """Clean, repaired bars with derived columns. Input keys must be unique (``latest_wins``)."""
     return derive(repair_volume(valid_bars(bars), step, rows))

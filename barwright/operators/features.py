@@ -59,7 +59,7 @@ def _levels(w: WindowSpec) -> Sequence[dict[str, Column]]:
 
 
 def features(
-    silver: DataFrame, step: timedelta = HOUR, rows: int = ROWS_PER_CHUNK, keep: Sequence[str] = ()
+    silver: DataFrame, step: timedelta = HOUR, rows: int | None = ROWS_PER_CHUNK, keep: Sequence[str] = ()
 ) -> DataFrame:
     """All gold columns for every silver row, nulls included, and the ``keep`` columns of the input.
 
@@ -86,5 +86,5 @@ def complete_cases(gold: DataFrame) -> DataFrame:
     return gold.dropna()
 
 
-def gold(silver: DataFrame, step: timedelta = HOUR, rows: int = ROWS_PER_CHUNK) -> DataFrame:
+def gold(silver: DataFrame, step: timedelta = HOUR, rows: int | None = ROWS_PER_CHUNK) -> DataFrame:
     return complete_cases(features(silver, step, rows))

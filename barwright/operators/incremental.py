@@ -15,7 +15,7 @@ from barwright.operators.features import LOOK_AHEAD, LOOK_BACK, features, with_p
 from barwright.schemas import BARS, KEYS
 
 
-def silver_from(bars: DataFrame, before: DataFrame, step: timedelta = HOUR, rows: int = ROWS_PER_CHUNK) -> DataFrame:
+def silver_from(bars: DataFrame, before: DataFrame, step: timedelta = HOUR, rows: int | None = ROWS_PER_CHUNK) -> DataFrame:
     """Silver for ``bars``, given the newest earlier silver row of each symbol (``before``).
 
     The earlier row feeds the volume fill and is not emitted again.
@@ -38,7 +38,7 @@ def gold_from(
     rows_back: int = 0,
     inclusive: bool = False,
     step: timedelta = HOUR,
-    rows: int = ROWS_PER_CHUNK,
+    rows: int | None = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Gold rows past each symbol's mark and the ``rows_back`` rows ahead of them, pending ones included.
 
@@ -72,7 +72,7 @@ def changed_rows(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def gold_touched_by(
-    silver: DataFrame, changes: DataFrame, step: timedelta = HOUR, rows: int = ROWS_PER_CHUNK
+    silver: DataFrame, changes: DataFrame, step: timedelta = HOUR, rows: int | None = ROWS_PER_CHUNK
 ) -> DataFrame:
     """Recomputed gold rows, pending ones included, that the changed silver rows can reach.
 
@@ -97,7 +97,7 @@ def gold_touched_by(
 
 
 def refilled_rows(
-    bars: DataFrame, changes: DataFrame, step: timedelta = HOUR, rows: int = ROWS_PER_CHUNK
+    bars: DataFrame, changes: DataFrame, step: timedelta = HOUR, rows: int | None = ROWS_PER_CHUNK
 ) -> DataFrame:
     """Changed bars plus the zero-volume bars after them, whose filled volume may follow the change.
 

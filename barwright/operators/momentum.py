@@ -12,7 +12,7 @@ from barwright.operators.chunks import DAY, ROWS_PER_CHUNK, over_series
 
 
 def relative_strength(
-    bars: DataFrame, periods: int = 14, step: timedelta = DAY, rows: int = ROWS_PER_CHUNK
+    bars: DataFrame, periods: int = 14, step: timedelta = DAY, rows: int | None = ROWS_PER_CHUNK
 ) -> DataFrame:
     """``rsi_<periods>``: 100 - 100 / (1 + mean gain / mean loss) over the last ``periods`` changes.
 
@@ -42,7 +42,7 @@ def relative_strength(
 
 
 def moving_average(
-    bars: DataFrame, periods: int = 7, step: timedelta = DAY, rows: int = ROWS_PER_CHUNK
+    bars: DataFrame, periods: int = 7, step: timedelta = DAY, rows: int | None = ROWS_PER_CHUNK
 ) -> DataFrame:
     """``ma_<periods>``: mean close over the last ``periods`` bars, fewer at the start."""
     mean = f"ma_{periods}"
@@ -56,7 +56,7 @@ def moving_average(
     )
 
 
-def percent_return(bars: DataFrame, step: timedelta = DAY, rows: int = ROWS_PER_CHUNK) -> DataFrame:
+def percent_return(bars: DataFrame, step: timedelta = DAY, rows: int | None = ROWS_PER_CHUNK) -> DataFrame:
     """``return_1d``: percentage change of close against the bar before."""
     return over_series(
         bars,
@@ -68,7 +68,7 @@ def percent_return(bars: DataFrame, step: timedelta = DAY, rows: int = ROWS_PER_
     )
 
 
-def direction_label(bars: DataFrame, step: timedelta = DAY, rows: int = ROWS_PER_CHUNK) -> DataFrame:
+def direction_label(bars: DataFrame, step: timedelta = DAY, rows: int | None = ROWS_PER_CHUNK) -> DataFrame:
     """``label``: 1 if the next close is higher, else 0; null on the last bar."""
 
     def levels(w):

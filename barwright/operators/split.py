@@ -45,9 +45,16 @@ def cut_instants(
 
 
 def time_split(
-    df: DataFrame, ratio: float = TRAIN_RATIO, step: timedelta = HOUR, rows: int = ROWS_PER_CHUNK
+    df: DataFrame, ratio: float = TRAIN_RATIO, step: timedelta = HOUR, rows: int | None = ROWS_PER_CHUNK
 ) -> DataFrame:
-    """Add ``is_train``: true for the first int(n * ratio) rows of each symbol."""
+    """Add ``is_train``: true for the first int(n * ratio) rows of each symbol.
+
+    A whole series is numbered in one window; a long one is compared with its cut instant.
+    """
+    if rows is None:
+        series = Window.partitionBy("symbol")
+        first = F.floor(F.count(F.lit(1)).over(series) * F.lit(ratio))
+        return df.withColumn("is_train", F.row_number().over(series.orderBy("datetime")) <= first)
     cuts = cut_instants(df, ratio, step, rows)
     return (
         df.join(cuts, "symbol", "left")
@@ -57,7 +64,7 @@ def time_split(
 
 
 def train_test(
-    df: DataFrame, ratio: float = TRAIN_RATIO, step: timedelta = HOUR, rows: int = ROWS_PER_CHUNK
+    df: DataFrame, ratio: float = TRAIN_RATIO, step: timedelta = HOUR, rows: int | None = ROWS_PER_CHUNK
 ) -> tuple[DataFrame, DataFrame]:
     marked = time_split(df, ratio, step, rows)
     return (

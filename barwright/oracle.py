@@ -157,6 +157,7 @@ ORACLE: dict[str, str] = {
         FROM bars WINDOW w AS ({SERIES}))
       SELECT symbol, datetime, lag_1, round((close - lag_1) / nullif(lag_1, 0), 6) AS return_1h, sma_6, target_price FROM p""",
     "gold_features": f"{GOLD} {_SHOWN}",
+    "gold_chunked": f"{GOLD} {_SHOWN}",
     "gold_incremental": f"{GOLD} {_SHOWN}",
     "gold_revision": f"{REVISED} {_SHOWN}",
     "global_row_index": "SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS rn FROM events",

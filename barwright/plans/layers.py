@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from barwright import schemas
 from barwright.operators.bars import resample
+from barwright.operators.chunks import DAY, cut_size
 from barwright.operators.clean import silver
 from barwright.operators.features import complete_cases, features, with_pending
 from barwright.operators.incremental import gold_from, silver_from
@@ -50,6 +51,11 @@ def _starts(marks: DataFrame) -> DataFrame:
     return marks.select("symbol", (F.col("max_dt") - F.lit(OVERLAP)).alias("start"))
 
 
+def _cut(stored: DataFrame) -> int | None:
+    """Chunk size for a stored layer, from its partition dates alone."""
+    return cut_size(stored, at="date", resolution=DAY)
+
+
 def _fetch(ticks: DataFrame, stored: DataFrame | None, as_of: datetime, interval: str) -> DataFrame:
     """The bars a run has to load: 720 days for new symbols, else from the mark less the overlap."""
     oldest = instant(as_of) - F.lit(BACKFILL)
@@ -85,31 +91,32 @@ def run_silver(spark: SparkSession, layers: Layers) -> None:
     bronze = tables.load(spark, layers.name("bronze"))
     stored = tables.load_or_none(spark, layers.name("silver"))
     if stored is None:
-        tables.replace_rows(silver(bronze), layers.name("silver"), schemas.SILVER, fmt=layers.fmt)
+        tables.replace_rows(silver(bronze, rows=_cut(bronze)), layers.name("silver"), schemas.SILVER, fmt=layers.fmt)
         return
     marks = stage(high_water_mark(stored), "marks")
     starts = _starts(marks)
     before = stored.join(starts, "symbol").filter(F.col("datetime") < F.col("start")).drop("start", "date")
-    fresh = silver_from(overlap_range(bronze, marks), latest_row(before))
+    fresh = silver_from(overlap_range(bronze, marks), latest_row(before), rows=_cut(bronze))
     tables.replace_rows(fresh, layers.name("silver"), schemas.SILVER, scope=starts, fmt=layers.fmt)
 
 
 def run_gold(spark: SparkSession, layers: Layers) -> None:
     """Pending rows are stored too: forecasts start from them, training leaves them out."""
-    bars = tables.load(spark, layers.name("silver")).drop("date")
+    bars = tables.load(spark, layers.name("silver"))
+    rows = _cut(bars)
     stored = tables.load_or_none(spark, layers.name("gold"))
     if stored is None:
-        tables.replace_rows(with_pending(features(bars)), layers.name("gold"), schemas.GOLD, fmt=layers.fmt)
+        tables.replace_rows(with_pending(features(bars, rows=rows)), layers.name("gold"), schemas.GOLD, fmt=layers.fmt)
         return
     starts = stage(_starts(high_water_mark(stored)), "starts")
-    fresh = gold_from(bars, starts.withColumnRenamed("start", "max_dt"), rows_back=1, inclusive=True)
+    fresh = gold_from(bars, starts.withColumnRenamed("start", "max_dt"), rows_back=1, inclusive=True, rows=rows)
     tables.replace_rows(fresh, layers.name("gold"), schemas.GOLD, scope=starts, fmt=layers.fmt)
 
 
 def run_training(spark: SparkSession, layers: Layers, run_id: str, model_path: str | None = None) -> PipelineModel:
     """Fit the grid, record every run, store the forecast of each symbol's next bar."""
-    gold = tables.load(spark, layers.name("gold")).drop("date")
-    train, test = train_test(complete_cases(gold))
+    gold = tables.load(spark, layers.name("gold"))
+    train, test = train_test(complete_cases(gold.drop("date")), rows=_cut(gold))
     grid = fit_grid(stage(train, "train"), stage(test, "test"))
     recorded = stage(grid.runs.withColumn("run_id", F.lit(run_id)), "runs")
     tables.append(recorded, layers.name("model_runs"), schemas.MODEL_RUNS, layers.fmt)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
@@ -25,6 +26,8 @@ LABEL = "target_price"
 REG = [0.01, 0.1, 1.0]
 ELASTIC_NET = [0.0, 0.5, 1.0]
 
+PARALLEL_FITS = 4
+
 
 def assembler(columns: Sequence[str] = FEATURES) -> VectorAssembler:
     return VectorAssembler(inputCols=list(columns), outputCol="features")
@@ -75,26 +78,27 @@ def fit_grid(
     """Fit every (reg, elastic net) pair on ``train`` and score all of them on ``test`` in one pass.
 
     The scaler sees the same rows at every grid point, so it is fitted once; the scaled training rows
-    are kept for the fits (each is one distributed pass) and released afterwards.
+    are kept for the fits (each is one distributed pass, some run side by side) and released afterwards.
     """
     pack = assembler(columns)
     scaler = fit_scaler(train, columns)
     vectors = scaler.transform(pack.transform(train.select(*columns, LABEL))).select("scaled_features", LABEL)
     vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    models, runs = [], []
-    scores = scaler.transform(pack.transform(test.select(*columns, LABEL))).select("scaled_features", LABEL)
+    pairs = [(r, e) for r in reg for e in elastic_net]
+    line = LinearRegression(featuresCol="scaled_features", labelCol=LABEL)
+    settings = [{line.regParam: r, line.elasticNetParam: e} for r, e in pairs]
     try:
-        for r in reg:
-            for e in elastic_net:
-                fitted = LinearRegression(
-                    featuresCol="scaled_features", labelCol=LABEL, regParam=r, elasticNetParam=e
-                ).fit(vectors)
-                models.append(PipelineModel([pack, scaler, fitted]))
-                name = f"p{len(runs)}"
-                scores = fitted.copy().setPredictionCol(name).transform(scores)
-                runs.append({"reg": r, "enet": e, "column": name})
+        with ThreadPool(PARALLEL_FITS) as pool:
+            fits = line.fitMultiple(vectors, settings)
+            fitted = dict(pool.imap_unordered(lambda _: next(fits), pairs))
     finally:
         vectors.unpersist()
+    scores = scaler.transform(pack.transform(test.select(*columns, LABEL))).select("scaled_features", LABEL)
+    runs = []
+    for i, (r, e) in enumerate(pairs):
+        scores = fitted[i].copy().setPredictionCol(f"p{i}").transform(scores)
+        runs.append({"reg": r, "enet": e, "column": f"p{i}"})
+    models = [PipelineModel([pack, scaler, fitted[i]]) for i in range(len(pairs))]
     return Grid(models, evaluate_runs(scores, LABEL, runs, "column"))
 
 

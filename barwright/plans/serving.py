@@ -15,7 +15,7 @@ from barwright.operators.marks import newest
 LOCAL_ZONE = "Asia/Kolkata"
 
 
-def next_close(bars: DataFrame, step: timedelta = HOUR, rows: int = ROWS_PER_CHUNK) -> DataFrame:
+def next_close(bars: DataFrame, step: timedelta = HOUR, rows: int | None = ROWS_PER_CHUNK) -> DataFrame:
     """Bars with ``target_price``, the close one row ahead; null on the last bar."""
     return over_series(bars, lambda w: [target_column(w)], ["close"], after=1, step=step, rows=rows)
 

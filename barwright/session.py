@@ -20,7 +20,6 @@ def local_session(cpus: int = 8, app: str = "barwright", memory: str = "12g") ->
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="barwright-ckpt-"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="barwright-wh-"))
         .getOrCreate()
     )

@@ -15,8 +15,8 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="barwright-"))
-    return spark.conf.get("spark.checkpoint.dir")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="barwright-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
