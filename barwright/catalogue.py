@@ -165,6 +165,10 @@ def silver_features(spark, path):
     return valid_bars(_hourly(spark, path)).withColumns(price_columns()).select(*KEYS, *PRICES)
 
 
+def silver_layer(spark, path):
+    return _silver(spark, path)[0]
+
+
 def calendar_parts(spark, path):
     parts = calendar_columns()
     return valid_bars(_hourly(spark, path)).withColumns(parts).select(*KEYS, *parts)
@@ -360,6 +364,16 @@ def next_step(spark, path):
     return model.next_step(model.fit_grid(train, test).best(), gold)
 
 
+def forecast_vs_actual(spark, path):
+    """The best fitted model's forecasts of the test rows beside what came true."""
+    gold, rows = _gold(spark, path)
+    gold = stage(gold, "gold")
+    train, test = split.train_test(gold, rows=rows)
+    forecasts = model.predict(model.fit_grid(train, test).best(), test)
+    both = serving.actual_vs_predicted(forecasts, gold)
+    return both.withColumn("error", F.abs(F.col("actual") - F.col("predicted")))
+
+
 # Serving
 
 
@@ -380,6 +394,24 @@ def recent_48h(spark, path):
     return marks.recent(bars, _as_of(bars)).select(*KEYS, "close").orderBy("datetime", "symbol")
 
 
+def _served(spark, path):
+    """The serving table of the gold layer."""
+    return stage(serving.serving_shift(_gold(spark, path)[0]), "serving")
+
+
+def dashboard_48h(spark, path):
+    served = _served(spark, path)
+    return serving.dashboard(served, _as_of(served))
+
+
+def dashboard_recent_10(spark, path):
+    return marks.newest(serving.serving_shift(_gold(spark, path)[0]), 10)
+
+
+def dashboard_recent_5_local(spark, path):
+    return serving.recent_local(serving.serving_shift(_gold(spark, path)[0]))
+
+
 def prediction_error(spark, path):
     served = serving.serving_shift(_next_close(_bars(spark, path)))
     return serving.prediction_error(served).select(*KEYS, "error")
@@ -443,11 +475,11 @@ def stream_bars(spark, path):
 _ALL = [
     ohlcv_bars, daily_bars, backfill_range, backfill_range_10d, overlap_range, high_water_mark,
     increment_inclusive, increment_exclusive, latest_row, dedup_bars, clean_bars, volume_ffill,
-    silver_features, calendar_parts, carry_union, lags, returns, volume_change, target_price,
+    silver_features, silver_layer, calendar_parts, carry_union, lags, returns, volume_change, target_price,
     rolling_means, rolling_std, gold_mini, gold_features, gold_chunked, gold_incremental,
     gold_revision, global_row_index, rolling_chunked, ffill_chunked, time_split, scaler_stats, scaled_features,
-    eval_metrics, best_run, model_grid, next_step, serving_shift, recent_10, recent_5_local, recent_48h,
-    prediction_error, actual_vs_predicted, updown_counts, rsi_14, rsi_14_hourly, ma_7, return_1d,
+    eval_metrics, best_run, model_grid, next_step, forecast_vs_actual, serving_shift, recent_10, recent_5_local, recent_48h,
+    dashboard_48h, dashboard_recent_10, dashboard_recent_5_local, prediction_error, actual_vs_predicted, updown_counts, rsi_14, rsi_14_hourly, ma_7, return_1d,
     updown_label, stream_bars,
 ]
 

@@ -16,7 +16,7 @@ def bar_aggregates(volume_floor: float = TRADE_FLOOR) -> list[Column]:
     All buffers are fixed width: the ticks of a hot symbol or hour are combined by hash on the map side
     and only one row per (symbol, interval) and task is shuffled.
     """
-    at = order_key("ts", "tick_id")
+    at = F.when(F.col("price").isNotNull(), order_key("ts", "tick_id"))  # a tick without price is no trade
     return [
         F.min_by("price", at).alias("open"),
         F.max("price").alias("high"),

@@ -71,3 +71,16 @@ def train_test(
         marked.filter("is_train").drop("is_train"),
         marked.filter(~F.col("is_train")).drop("is_train"),
     )
+
+
+def train_validation_test(
+    df: DataFrame,
+    validation: float,
+    ratio: float = TRAIN_RATIO,
+    step: timedelta = HOUR,
+    rows: int | None = ROWS_PER_CHUNK,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """As ``train_test``, with the last ``validation`` share of the training rows set apart."""
+    head, test = train_test(df, ratio, step, rows)
+    train, held_out = train_test(head, 1 - validation, step, rows)
+    return train, held_out, test

@@ -61,6 +61,8 @@ def _with_gold(head: str) -> str:
 
 
 GOLD = _with_gold(SILVER)
+SERVED = f"""{GOLD}, served AS (
+        SELECT symbol, datetime, close AS actual_close, target_price AS predicted_close FROM gold)"""
 SPLIT = f"{GOLD}, parts AS ({_SPLIT})"
 REVISED = _with_gold(f"""WITH raw AS ({_bars()}),
       bars AS (
@@ -134,6 +136,7 @@ ORACLE: dict[str, str] = {
     "clean_bars": f"{BARS} SELECT * FROM bars WHERE close IS NOT NULL",
     "volume_ffill": f"{SILVER} SELECT symbol, datetime, volume FROM silver",
     "silver_features": f"{BARS} SELECT symbol, datetime, {_PRICES} FROM bars WHERE close IS NOT NULL",
+    "silver_layer": f"{SILVER} SELECT *, {_PRICES}, {_CALENDAR} FROM silver",
     "calendar_parts": f"{BARS} SELECT symbol, datetime, {_CALENDAR} FROM bars WHERE close IS NOT NULL",
     "carry_union": f"""{SILVER}
       SELECT symbol, max(datetime) AS datetime, arg_max(volume, datetime) AS volume FROM silver
@@ -181,6 +184,11 @@ ORACLE: dict[str, str] = {
     "recent_5_local": f"""{BARS}, top AS (SELECT * FROM bars ORDER BY datetime DESC, symbol LIMIT 5)
       SELECT symbol, datetime + INTERVAL 330 MINUTE AS datetime_local, close FROM top""",
     "recent_48h": _since("48 HOUR"),
+    "dashboard_48h": f"""{SERVED} SELECT *, abs(actual_close - predicted_close) AS error FROM served
+      WHERE datetime >= (SELECT max(datetime) FROM served) - INTERVAL 48 HOUR""",
+    "dashboard_recent_10": f"{SERVED} SELECT * FROM served ORDER BY datetime DESC, symbol LIMIT 10",
+    "dashboard_recent_5_local": f"""{SERVED}, top AS (SELECT * FROM served ORDER BY datetime DESC, symbol LIMIT 5)
+      SELECT symbol, datetime + INTERVAL 330 MINUTE AS datetime_local, actual_close, predicted_close FROM top""",
     "prediction_error": f"""{BARS}, p AS (SELECT symbol, datetime, abs(close - lead(close) OVER ({SERIES})) AS error FROM bars)
       SELECT * FROM p WHERE error IS NOT NULL""",
     "actual_vs_predicted": f"""{BARS}, n AS (SELECT symbol, datetime, lead(close) OVER ({SERIES}) AS actual FROM bars)

@@ -6,7 +6,7 @@ run may be repeated, and any sequence of runs leaves the tables a full recompute
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.ml import PipelineModel
@@ -28,7 +28,7 @@ from barwright.operators.marks import (
     latest_row,
     overlap_range,
 )
-from barwright.operators.split import train_test
+from barwright.operators.split import train_test, train_validation_test
 from barwright.plans.model import fit_grid, next_step
 from barwright.plans.serving import serving_shift
 from barwright.sources import tables
@@ -113,17 +113,32 @@ def run_gold(spark: SparkSession, layers: Layers) -> None:
     tables.replace_rows(fresh, layers.name("gold"), schemas.GOLD, scope=starts, fmt=layers.fmt)
 
 
-def run_training(spark: SparkSession, layers: Layers, run_id: str, model_path: str | None = None) -> PipelineModel:
-    """Fit the grid, record every run, store the forecast of each symbol's next bar."""
+def run_training(
+    spark: SparkSession,
+    layers: Layers,
+    run_id: str,
+    model_path: str | None = None,
+    validation: float | None = None,
+) -> PipelineModel:
+    """Fit the grid, record every run, store the forecast of each symbol's next bar.
+
+    The best run is the one with the lowest error on the test rows, or, given a ``validation`` share, on
+    that last part of the training rows.
+    """
     gold = tables.load(spark, layers.name("gold"))
-    train, test = train_test(complete_cases(gold.drop("date")), rows=_cut(gold))
-    grid = fit_grid(stage(train, "train"), stage(test, "test"))
+    rows = _cut(gold)
+    usable = complete_cases(gold.drop("date"))
+    if validation:
+        train, scored, _ = train_validation_test(usable, validation, rows=rows)
+    else:
+        train, scored = train_test(usable, rows=rows)
+    grid = fit_grid(stage(train, "train"), stage(scored, "scored"))
     recorded = stage(grid.runs.withColumn("run_id", F.lit(run_id)), "runs")
     tables.append(recorded, layers.name("model_runs"), schemas.MODEL_RUNS, layers.fmt)
-    model = grid.best()
+    model = replace(grid, runs=recorded).best()
     if model_path:
         model.write().overwrite().save(model_path)
-    forecast = next_step(model, gold).withColumn("run_id", F.lit(run_id))
+    forecast = next_step(model, gold.drop("date")).withColumn("run_id", F.lit(run_id))
     tables.replace_rows(
         forecast, layers.name("predictions"), schemas.PREDICTIONS,
         keys=[*schemas.KEYS, "run_id"], fmt=layers.fmt,

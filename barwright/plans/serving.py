@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from barwright.functions.expr import to_local
 from barwright.operators.chunks import HOUR, ROWS_PER_CHUNK, over_series
 from barwright.operators.features import target_column
-from barwright.operators.marks import newest
+from barwright.operators.marks import RECENT, newest, recent
 
 LOCAL_ZONE = "Asia/Kolkata"
 
@@ -38,6 +38,11 @@ def prediction_error(served: DataFrame) -> DataFrame:
     return served.dropna().withColumn("error", F.abs(F.col("actual_close") - F.col("predicted_close")))
 
 
+def dashboard(served: DataFrame, as_of: datetime | Column, span: timedelta = RECENT) -> DataFrame:
+    """The recent rows of a serving table with their errors, in time order (a bounded result)."""
+    return prediction_error(recent(served, as_of, span)).orderBy("datetime", "symbol")
+
+
 def actual_vs_predicted(predictions: DataFrame, realised: DataFrame) -> DataFrame:
     """Each prediction beside the close that came true, matched on the bar it was made from.
 
