@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,16 +13,19 @@ from barwright.operators.chunks import HOUR, ROWS_PER_CHUNK, fill_forward, over_
 from barwright.operators.clean import derive, repair_volume, valid_bars
 from barwright.operators.features import LOOK_AHEAD, LOOK_BACK, features, with_pending
 from barwright.schemas import BARS, KEYS
+from barwright.sources.staging import stage
 
 
-def silver_from(bars: DataFrame, before: DataFrame, step: timedelta = HOUR, rows: int | None = ROWS_PER_CHUNK) -> DataFrame:
+def silver_from(
+    bars: DataFrame, before: DataFrame, step: timedelta = HOUR, rows: int | None = ROWS_PER_CHUNK
+) -> DataFrame:
     """Silver for ``bars``, given the newest earlier silver row of each symbol (``before``).
 
-    The earlier row feeds the volume fill and is not emitted again.
+    The earlier row feeds the volume fill (only its volume is read) and is not emitted again.
     """
     fresh = valid_bars(bars).withColumn("_carried", F.lit(False))
-    carried = before.select(*BARS.fieldNames()).withColumn("_carried", F.lit(True))
-    repaired = repair_volume(carried.unionByName(fresh), step, rows)
+    carried = before.select(*KEYS, "volume").withColumn("_carried", F.lit(True))
+    repaired = repair_volume(fresh.unionByName(carried, allowMissingColumns=True), step, rows)
     return derive(repaired.filter(~F.col("_carried")).drop("_carried"))
 
 
@@ -32,6 +35,59 @@ def gold_marks(gold: DataFrame) -> DataFrame:
     return done.groupBy("symbol").agg(F.max("datetime").alias("max_dt"))
 
 
+def split_at(df: DataFrame, marks: DataFrame, inclusive: bool) -> DataFrame:
+    """Add ``_past``: at or past (``inclusive``) or strictly past the symbol's mark; true without a mark."""
+    at, mark = F.col("datetime"), F.col("max_dt")
+    is_past = mark.isNull() | (at >= mark if inclusive else at > mark)
+    return df.join(marks, "symbol", "left").withColumn("_past", is_past).drop("max_dt")
+
+
+def last_rows(df: DataFrame, count: int) -> DataFrame:
+    """Each symbol's ``count`` newest rows, numbered backwards in ``_back``.
+
+    A group limit: each task forwards at most ``count`` rows of a symbol.
+    """
+    newest_first = Window.partitionBy("symbol").orderBy(F.col("datetime").desc())
+    return df.withColumn("_back", F.row_number().over(newest_first)).filter(F.col("_back") <= count)
+
+
+def last_rows_before(
+    history: DataFrame, marks: DataFrame, count: int, horizon: datetime, inclusive: bool
+) -> DataFrame:
+    """Each symbol's last ``count`` rows ahead of its mark, reading little of a long, dated history.
+
+    Rows from ``horizon`` on are tried first (the filter prunes partitions). Only symbols that have
+    fewer than ``count`` rows there are looked up in the whole history, so the result is exact.
+    """
+
+    def ahead(part: DataFrame, of: DataFrame) -> DataFrame:
+        known = part.join(of.select("symbol"), "symbol", "left_semi")
+        return last_rows(split_at(known, of, inclusive).filter(~F.col("_past")).drop("_past"), count)
+
+    since = F.lit(horizon)
+    recent = history.filter((F.col("date") >= F.to_date(since)) & (F.col("datetime") >= since))
+    near = stage(ahead(recent, marks), "near")
+    enough = near.groupBy("symbol").count().filter(F.col("count") >= count)
+    short = stage(marks.join(enough, "symbol", "left_anti"), "short")
+    if short.isEmpty():
+        return near
+    return near.join(short, "symbol", "left_anti").unionByName(ahead(history, short))
+
+
+def gold_with_context(
+    past: DataFrame,
+    context: DataFrame,
+    rows_back: int = 0,
+    step: timedelta = HOUR,
+    rows: int | None = ROWS_PER_CHUNK,
+) -> DataFrame:
+    """Gold for the ``past`` rows and the last ``rows_back`` rows of their ``context`` (``last_rows``)."""
+    fresh = past.withColumn("_emit", F.lit(True))
+    earlier = context.withColumn("_emit", F.col("_back") <= rows_back).drop("_back")
+    computed = features(fresh.unionByName(earlier), step, rows, keep=["_emit"])
+    return with_pending(computed.filter("_emit")).drop("_emit")
+
+
 def gold_from(
     silver: DataFrame,
     marks: DataFrame,
@@ -43,23 +99,12 @@ def gold_from(
     """Gold rows past each symbol's mark and the ``rows_back`` rows ahead of them, pending ones included.
 
     Reads the silver rows past the mark and the 23 + ``rows_back`` before them, so lags and frames see
-    the same rows as in a full recompute. The look-back is a group limit: each task forwards only that
-    many rows of a symbol. A symbol without a mark is computed whole.
+    the same rows as in a full recompute. A symbol without a mark is computed whole.
     """
-    at, mark = F.col("datetime"), F.col("max_dt")
-    is_past = mark.isNull() | (at >= mark if inclusive else at > mark)
-    marked = silver.join(marks, "symbol", "left").withColumn("_past", is_past)
-    newest_first = Window.partitionBy("symbol").orderBy(at.desc())
-    past = marked.filter("_past").withColumn("_emit", F.lit(True))
-    context = (
-        marked.filter(~F.col("_past"))
-        .withColumn("_back", F.row_number().over(newest_first))
-        .filter(F.col("_back") <= LOOK_BACK + rows_back)
-        .withColumn("_emit", F.col("_back") <= rows_back)
-        .drop("_back")
-    )
-    computed = features(past.unionByName(context), step, rows, keep=["_emit"])
-    return with_pending(computed.filter("_emit")).drop("_emit")
+    marked = split_at(silver, marks, inclusive)
+    past = marked.filter("_past").drop("_past")
+    context = last_rows(marked.filter(~F.col("_past")).drop("_past"), LOOK_BACK + rows_back)
+    return gold_with_context(past, context, rows_back, step, rows)
 
 
 def changed_rows(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -1,13 +1,14 @@
 """The batch jobs: ticks -> bronze -> silver -> gold -> model -> serving tables.
 
-Each run reads from its target's high-water mark less an overlap and replaces what it recomputes, so a
-run may be repeated, and any sequence of runs leaves the tables a full recompute would.
+Bronze reads ticks from each symbol's high-water mark less an overlap. Silver and gold replace their rows
+from the first bar that bronze has changed since their last run. A run may be repeated, and any sequence
+of runs leaves the tables a full recompute would.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -17,15 +18,14 @@ from barwright import schemas
 from barwright.operators.bars import resample
 from barwright.operators.chunks import DAY, cut_size
 from barwright.operators.clean import silver
-from barwright.operators.features import complete_cases, features, with_pending
-from barwright.operators.incremental import gold_from, silver_from
+from barwright.operators.features import LOOK_BACK, complete_cases, features, with_pending
+from barwright.operators.incremental import gold_with_context, last_rows_before, silver_from
 from barwright.operators.marks import (
     BACKFILL,
     OVERLAP,
     backfill_range,
     high_water_mark,
     instant,
-    latest_row,
     overlap_range,
 )
 from barwright.operators.split import train_test, train_validation_test
@@ -34,6 +34,8 @@ from barwright.plans.serving import serving_shift
 from barwright.sources import tables
 from barwright.sources.staging import stage
 
+NEAR = timedelta(days=7)  # history tried first when a run looks back
+
 
 @dataclass(frozen=True)
 class Layers:
@@ -46,11 +48,6 @@ class Layers:
         return f"{self.database}.{table}"
 
 
-def _starts(marks: DataFrame) -> DataFrame:
-    """(symbol, start): where a run begins to replace stored rows."""
-    return marks.select("symbol", (F.col("max_dt") - F.lit(OVERLAP)).alias("start"))
-
-
 def _cut(stored: DataFrame) -> int | None:
     """Chunk size for a stored layer, from its partition dates alone."""
     return cut_size(stored, at="date", resolution=DAY)
@@ -75,7 +72,7 @@ def _fetch(ticks: DataFrame, stored: DataFrame | None, as_of: datetime, interval
 
 
 def store_bars(bars: DataFrame, layers: Layers, seq: int) -> None:
-    """Upsert bars into bronze; of equal keys the highest ``seq`` stays."""
+    """Upsert bars into bronze; of equal keys the highest ``seq`` stays. It must grow from run to run."""
     numbered = bars.withColumn("ingest_seq", F.lit(seq).cast("long"))
     tables.replace_rows(numbered, layers.name("bronze"), schemas.BRONZE, version="ingest_seq", fmt=layers.fmt)
 
@@ -87,30 +84,80 @@ def run_bronze(ticks: DataFrame, layers: Layers, as_of: datetime, seq: int, inte
     store_bars(_fetch(ticks, stored, as_of, interval), layers, seq)
 
 
+@dataclass(frozen=True)
+class Changes:
+    """What a layer has not seen yet: (symbol, start) per changed symbol, the earliest start, the last seq."""
+
+    starts: DataFrame
+    earliest: datetime | None
+    seq: int | None
+
+    def marks(self) -> DataFrame:
+        return self.starts.withColumnRenamed("start", "max_dt")
+
+    def part(self, stored: DataFrame) -> DataFrame:
+        """The stored rows from the starts on; older partitions are not read."""
+        dated = stored.filter(F.col("date") >= F.to_date(F.lit(self.earliest)))
+        return dated.join(self.starts, "symbol").filter(F.col("datetime") >= F.col("start")).drop("start")
+
+
+def _changes(spark: SparkSession, layers: Layers, layer: str) -> Changes:
+    """Bronze rows ingested after the layer's last run. The filter skips files by their statistics."""
+    bronze = tables.load(spark, layers.name("bronze"))
+    progress = tables.load_or_none(spark, layers.name("progress"))
+    if progress is not None:
+        seen = progress.filter(F.col("layer") == layer).agg(F.max("ingest_seq")).first()[0]
+        if seen is not None:
+            bronze = bronze.filter(F.col("ingest_seq") > seen)
+    per_symbol = bronze.groupBy("symbol").agg(F.min("datetime").alias("start"), F.max("ingest_seq").alias("seq"))
+    staged = stage(per_symbol, "changes")
+    row = staged.agg(F.min("start").alias("earliest"), F.max("seq").alias("seq")).first()
+    return Changes(staged.drop("seq"), row["earliest"], row["seq"])
+
+
+def _record(spark: SparkSession, layers: Layers, layer: str, changes: Changes) -> None:
+    done = spark.createDataFrame([(layer, changes.seq)], schemas.PROGRESS)
+    tables.append(done, layers.name("progress"), schemas.PROGRESS, layers.fmt)
+
+
 def run_silver(spark: SparkSession, layers: Layers) -> None:
+    """Recompute silver from each changed symbol's first changed bar on."""
+    changes = _changes(spark, layers, "silver")
+    if changes.seq is None:
+        return
     bronze = tables.load(spark, layers.name("bronze"))
     stored = tables.load_or_none(spark, layers.name("silver"))
+    rows = _cut(bronze)
     if stored is None:
-        tables.replace_rows(silver(bronze, rows=_cut(bronze)), layers.name("silver"), schemas.SILVER, fmt=layers.fmt)
-        return
-    marks = stage(high_water_mark(stored), "marks")
-    starts = _starts(marks)
-    before = stored.join(starts, "symbol").filter(F.col("datetime") < F.col("start")).drop("start", "date")
-    fresh = silver_from(overlap_range(bronze, marks), latest_row(before), rows=_cut(bronze))
-    tables.replace_rows(fresh, layers.name("silver"), schemas.SILVER, scope=starts, fmt=layers.fmt)
+        fresh, scope = silver(bronze, rows=rows), None
+    else:
+        horizon = changes.earliest - NEAR
+        carry = stored.select("symbol", "datetime", "volume", "date")
+        before = last_rows_before(carry, changes.marks(), 1, horizon, inclusive=True)
+        fresh, scope = silver_from(changes.part(bronze), before, rows=rows), changes.starts
+    tables.replace_rows(fresh, layers.name("silver"), schemas.SILVER, scope=scope, fmt=layers.fmt)
+    _record(spark, layers, "silver", changes)
 
 
 def run_gold(spark: SparkSession, layers: Layers) -> None:
-    """Pending rows are stored too: forecasts start from them, training leaves them out."""
+    """Recompute gold from the row before each changed symbol's first changed bar on.
+
+    Pending rows are stored too: forecasts start from them, training leaves them out.
+    """
+    changes = _changes(spark, layers, "gold")
+    if changes.seq is None:
+        return
     bars = tables.load(spark, layers.name("silver"))
-    rows = _cut(bars)
     stored = tables.load_or_none(spark, layers.name("gold"))
+    rows = _cut(bars)
     if stored is None:
-        tables.replace_rows(with_pending(features(bars, rows=rows)), layers.name("gold"), schemas.GOLD, fmt=layers.fmt)
-        return
-    starts = stage(_starts(high_water_mark(stored)), "starts")
-    fresh = gold_from(bars, starts.withColumnRenamed("start", "max_dt"), rows_back=1, inclusive=True, rows=rows)
-    tables.replace_rows(fresh, layers.name("gold"), schemas.GOLD, scope=starts, fmt=layers.fmt)
+        fresh, scope = with_pending(features(bars, rows=rows)), None
+    else:
+        horizon = changes.earliest - NEAR
+        context = last_rows_before(bars, changes.marks(), LOOK_BACK + 1, horizon, inclusive=True)
+        fresh, scope = gold_with_context(changes.part(bars), context, rows_back=1, rows=rows), changes.starts
+    tables.replace_rows(fresh, layers.name("gold"), schemas.GOLD, scope=scope, fmt=layers.fmt)
+    _record(spark, layers, "gold", changes)
 
 
 def run_training(

@@ -49,6 +49,9 @@ GOLD = T.StructType(
 PREDICTIONS = T.StructType(
     _KEY_FIELDS + [T.StructField("run_id", T.StringType(), False)] + _doubles("close", "prediction")
 )
+PROGRESS = T.StructType(
+    [T.StructField("layer", T.StringType(), False), T.StructField("ingest_seq", T.LongType(), False)]
+)
 MODEL_RUNS = T.StructType(
     [
         T.StructField("run_id", T.StringType(), False),

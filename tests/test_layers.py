@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from barwright.operators.bars import resample
 from barwright.operators.clean import silver
 from barwright.operators.features import features, with_pending
-from barwright.plans.layers import Layers, run_layers, run_training
+from barwright.plans.layers import Layers, run_gold, run_layers, run_silver, run_training, store_bars
 from barwright.schemas import BARS, BRONZE, GOLD, SILVER, TICKS
 from barwright.sources import tables
-from conftest import at, same_rows
+from conftest import at, same_rows, series
 
 
 def make_ticks(spark, hours=60, seed=5, symbols=("a", "b")):
@@ -59,13 +59,41 @@ def test_new_symbol_is_loaded_from_its_beginning(spark):
     check_layers(spark, layers, both)
 
 
+def test_sparse_and_late_bars(spark, make_bars):
+    """Look-back beyond the near history, a late bar, a bar that loses its close, an idle symbol."""
+    layers = Layers("sparse")
+    tables.create_schema(spark, layers.database)
+    rows = [
+        *series([float(i % 9 + i) for i in range(1, 41)], [i % 3 for i in range(40)], "rare", [50 * i for i in range(40)]),
+        *series([float(i % 7 + i) for i in range(1, 41)], [i % 2 for i in range(40)], "idle"),
+    ]
+    late = [r for r in rows if r["hour"] in (10, 1000)]
+    batches = [
+        [r for r in rows[:30] + rows[40:] if r not in late],
+        rows[30:40],
+        late,
+        [{"symbol": "rare", "hour": 1950, "close": None}, {"symbol": "rare", "hour": 500, "close": 3.5, "volume": 0}],
+    ]
+    current = {}
+    for seq, batch in enumerate(batches):
+        store_bars(make_bars(batch), layers, seq)
+        run_silver(spark, layers)
+        run_gold(spark, layers)
+        current |= {(r["symbol"], r["hour"]): r for r in batch}
+        full = silver(make_bars(list(current.values())), rows=16)
+        assert same_rows(spark.table("sparse.silver").select(*SILVER.fieldNames()), full)
+        assert same_rows(
+            spark.table("sparse.gold").select(*GOLD.fieldNames()), with_pending(features(full, rows=16))
+        )
+
+
 def test_training_appends_runs_and_upserts_forecasts(spark, tmp_path):
     from pyspark.ml import PipelineModel
 
     layers = Layers("training")
     run_layers(make_ticks(spark, hours=90), layers, at(90), 0)
     model = run_training(spark, layers, "r1", str(tmp_path / "model"))
-    run_training(spark, layers, "r2")
+    run_training(spark, layers, "r2", validation=0.2)
     runs = spark.table(layers.name("model_runs"))
     assert runs.groupBy("run_id").count().collect()[0]["count"] == 9 and runs.count() == 18
     forecasts = spark.table(layers.name("predictions"))
