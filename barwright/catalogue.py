@@ -19,6 +19,7 @@ from barwright.operators.chunks import DAY, HOUR, cut_size, over_series
 from barwright.operators.clean import latest_wins, repair_volume, silver, valid_bars
 from barwright.plans import metrics, model, serving
 from barwright.schemas import KEYS
+from barwright.session import pin_utc
 from barwright.sources.readers import read_ticks, stream_ticks
 from barwright.sources.staging import shared_dir, stage
 from barwright.streaming import bars as streaming
@@ -32,7 +33,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _ticks(spark: SparkSession, path: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    pin_utc(spark)
     return read_ticks(spark, path)
 
 
@@ -465,7 +466,7 @@ def updown_label(spark, path):
 
 
 def stream_bars(spark, path):
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    pin_utc(spark)
     place = f"{shared_dir(spark)}/stream-{datetime.now():%Y%m%d%H%M%S%f}"
     bars = streaming.stream_bars(stream_ticks(spark, path))
     streaming.write_bars(bars, f"{place}/bars", f"{place}/checkpoint").awaitTermination()

@@ -7,6 +7,8 @@ of runs leaves the tables a full recompute would.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
 
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 
 from barwright import schemas
 from barwright.operators.bars import resample
-from barwright.operators.chunks import DAY, cut_size
+from barwright.operators.chunks import DAY, HOUR, cut_size
 from barwright.operators.clean import silver
 from barwright.operators.features import LOOK_BACK, complete_cases, features, with_pending
 from barwright.operators.incremental import gold_with_context, last_rows_before, silver_from
@@ -31,42 +33,63 @@ from barwright.operators.marks import (
 from barwright.operators.split import train_test, train_validation_test
 from barwright.plans.model import fit_grid, next_step
 from barwright.plans.serving import serving_shift
+from barwright.session import pin_utc
 from barwright.sources import tables
-from barwright.sources.staging import stage
+from barwright.sources.staging import scratch, stage
 
 NEAR = timedelta(days=7)  # history tried first when a run looks back
 
 
 @dataclass(frozen=True)
 class Layers:
-    """Table names of one database, and the storage format."""
+    """Table names of one database, the storage format and the length of a bar."""
 
     database: str
     fmt: str = "parquet"
+    step: timedelta = HOUR
 
     def name(self, table: str) -> str:
         return f"{self.database}.{table}"
 
+    @property
+    def interval(self) -> str:
+        return f"{self.step // timedelta(microseconds=1)} microseconds"
 
-def _cut(stored: DataFrame) -> int | None:
-    """Chunk size for a stored layer, from its partition dates alone."""
-    return cut_size(stored, at="date", resolution=DAY)
+    def cut(self, stored: DataFrame) -> int | None:
+        """Chunk size for a stored layer, from its partition dates alone."""
+        return cut_size(stored, self.step, at="date", resolution=DAY)
 
 
-def _fetch(ticks: DataFrame, stored: DataFrame | None, as_of: datetime, interval: str) -> DataFrame:
+@contextmanager
+def _job(spark: SparkSession) -> Iterator[None]:
+    """UTC throughout, and no intermediate files left behind."""
+    pin_utc(spark)
+    with scratch(spark):
+        yield
+
+
+def _bar_start(spark: SparkSession, at: datetime, layers: Layers) -> datetime:
+    return spark.range(1).select(F.window(instant(at), layers.interval)["start"].alias("start")).first()["start"]
+
+
+def _fetch(
+    ticks: DataFrame, stored: DataFrame | None, layers: Layers, as_of: datetime, since: datetime | None
+) -> DataFrame:
     """The bars a run has to load: 720 days for new symbols, else from the mark less the overlap."""
     oldest = instant(as_of) - F.lit(BACKFILL)
     if stored is None:
-        return backfill_range(resample(ticks.filter(F.col("ts") >= oldest), interval), as_of)
+        return backfill_range(resample(ticks.filter(F.col("ts") >= oldest), layers.interval), as_of)
     marks = stage(high_water_mark(stored), "marks")
-    low = marks.agg(F.min("max_dt").alias("low")).first()["low"]
-    bound = F.lit(low) - F.lit(OVERLAP)
+    low = marks.agg((F.min("max_dt") - F.lit(OVERLAP)).alias("low")).first()["low"]
+    if since is not None:
+        low = max(low, _bar_start(ticks.sparkSession, since, layers))
+    bound = F.lit(low)
     fresh = ticks.filter(F.col("ts") >= bound)  # a literal: reaches the scan
-    bars = overlap_range(resample(fresh, interval), marks)
+    bars = overlap_range(resample(fresh, layers.interval), marks)
     unseen = stage(fresh.select("symbol").distinct().join(marks, "symbol", "left_anti"), "unseen")
     if not unseen.isEmpty():
         history = ticks.filter(F.col("ts") >= oldest).join(unseen, "symbol", "left_semi")
-        first_load = backfill_range(resample(history, interval), as_of)
+        first_load = backfill_range(resample(history, layers.interval), as_of)
         bars = bars.join(unseen, "symbol", "left_anti").unionByName(first_load)
     return bars
 
@@ -77,11 +100,19 @@ def store_bars(bars: DataFrame, layers: Layers, seq: int) -> None:
     tables.replace_rows(numbered, layers.name("bronze"), schemas.BRONZE, version="ingest_seq", fmt=layers.fmt)
 
 
-def run_bronze(ticks: DataFrame, layers: Layers, as_of: datetime, seq: int, interval: str = "1 hour") -> None:
+def run_bronze(
+    ticks: DataFrame, layers: Layers, as_of: datetime, seq: int, since: datetime | None = None
+) -> None:
+    """Load the bars that are new or may have changed.
+
+    Each symbol is read from its own mark, so one that has been idle for long widens the scan for all.
+    A caller who knows that no tick older than ``since`` has arrived after the last run bounds it.
+    """
     spark = ticks.sparkSession
-    tables.create_schema(spark, layers.database)
-    stored = tables.load_or_none(spark, layers.name("bronze"))
-    store_bars(_fetch(ticks, stored, as_of, interval), layers, seq)
+    with _job(spark):
+        tables.create_schema(spark, layers.database)
+        stored = tables.load_or_none(spark, layers.name("bronze"))
+        store_bars(_fetch(ticks, stored, layers, as_of, since), layers, seq)
 
 
 @dataclass(frozen=True)
@@ -92,6 +123,10 @@ class Changes:
     earliest: datetime | None
     seq: int | None
 
+    @property
+    def horizon(self) -> datetime:
+        return self.earliest - NEAR
+
     def marks(self) -> DataFrame:
         return self.starts.withColumnRenamed("start", "max_dt")
 
@@ -122,21 +157,22 @@ def _record(spark: SparkSession, layers: Layers, layer: str, changes: Changes) -
 
 def run_silver(spark: SparkSession, layers: Layers) -> None:
     """Recompute silver from each changed symbol's first changed bar on."""
-    changes = _changes(spark, layers, "silver")
-    if changes.seq is None:
-        return
-    bronze = tables.load(spark, layers.name("bronze"))
-    stored = tables.load_or_none(spark, layers.name("silver"))
-    rows = _cut(bronze)
-    if stored is None:
-        fresh, scope = silver(bronze, rows=rows), None
-    else:
-        horizon = changes.earliest - NEAR
-        carry = stored.select("symbol", "datetime", "volume", "date")
-        before = last_rows_before(carry, changes.marks(), 1, horizon, inclusive=True)
-        fresh, scope = silver_from(changes.part(bronze), before, rows=rows), changes.starts
-    tables.replace_rows(fresh, layers.name("silver"), schemas.SILVER, scope=scope, fmt=layers.fmt)
-    _record(spark, layers, "silver", changes)
+    with _job(spark):
+        changes = _changes(spark, layers, "silver")
+        if changes.seq is None:
+            return
+        bronze = tables.load(spark, layers.name("bronze"))
+        stored = tables.load_or_none(spark, layers.name("silver"))
+        rows = layers.cut(bronze)
+        if stored is None:
+            fresh, scope = silver(bronze, layers.step, rows), None
+        else:
+            carry = stored.select("symbol", "datetime", "volume", "date")
+            before = last_rows_before(carry, changes.marks(), 1, changes.horizon, inclusive=True)
+            fresh = silver_from(changes.part(bronze), before, layers.step, rows)
+            scope = changes.starts
+        tables.replace_rows(fresh, layers.name("silver"), schemas.SILVER, scope=scope, fmt=layers.fmt)
+        _record(spark, layers, "silver", changes)
 
 
 def run_gold(spark: SparkSession, layers: Layers) -> None:
@@ -144,20 +180,21 @@ def run_gold(spark: SparkSession, layers: Layers) -> None:
 
     Pending rows are stored too: forecasts start from them, training leaves them out.
     """
-    changes = _changes(spark, layers, "gold")
-    if changes.seq is None:
-        return
-    bars = tables.load(spark, layers.name("silver"))
-    stored = tables.load_or_none(spark, layers.name("gold"))
-    rows = _cut(bars)
-    if stored is None:
-        fresh, scope = with_pending(features(bars, rows=rows)), None
-    else:
-        horizon = changes.earliest - NEAR
-        context = last_rows_before(bars, changes.marks(), LOOK_BACK + 1, horizon, inclusive=True)
-        fresh, scope = gold_with_context(changes.part(bars), context, rows_back=1, rows=rows), changes.starts
-    tables.replace_rows(fresh, layers.name("gold"), schemas.GOLD, scope=scope, fmt=layers.fmt)
-    _record(spark, layers, "gold", changes)
+    with _job(spark):
+        changes = _changes(spark, layers, "gold")
+        if changes.seq is None:
+            return
+        bars = tables.load(spark, layers.name("silver"))
+        stored = tables.load_or_none(spark, layers.name("gold"))
+        rows = layers.cut(bars)
+        if stored is None:
+            fresh, scope = with_pending(features(bars, layers.step, rows)), None
+        else:
+            context = last_rows_before(bars, changes.marks(), LOOK_BACK + 1, changes.horizon, inclusive=True)
+            fresh = gold_with_context(changes.part(bars), context, 1, layers.step, rows)
+            scope = changes.starts
+        tables.replace_rows(fresh, layers.name("gold"), schemas.GOLD, scope=scope, fmt=layers.fmt)
+        _record(spark, layers, "gold", changes)
 
 
 def run_training(
@@ -172,36 +209,43 @@ def run_training(
     The best run is the one with the lowest error on the test rows, or, given a ``validation`` share, on
     that last part of the training rows.
     """
-    gold = tables.load(spark, layers.name("gold"))
-    rows = _cut(gold)
-    usable = complete_cases(gold.drop("date"))
-    if validation:
-        train, scored, _ = train_validation_test(usable, validation, rows=rows)
-    else:
-        train, scored = train_test(usable, rows=rows)
-    grid = fit_grid(stage(train, "train"), stage(scored, "scored"))
-    recorded = stage(grid.runs.withColumn("run_id", F.lit(run_id)), "runs")
-    tables.append(recorded, layers.name("model_runs"), schemas.MODEL_RUNS, layers.fmt)
-    model = replace(grid, runs=recorded).best()
-    if model_path:
-        model.write().overwrite().save(model_path)
-    forecast = next_step(model, gold.drop("date")).withColumn("run_id", F.lit(run_id))
-    tables.replace_rows(
-        forecast, layers.name("predictions"), schemas.PREDICTIONS,
-        keys=[*schemas.KEYS, "run_id"], fmt=layers.fmt,
-    )
-    return model
+    with _job(spark):
+        gold = tables.load(spark, layers.name("gold"))
+        rows = layers.cut(gold)
+        usable = complete_cases(gold.drop("date"))
+        if validation:
+            train, scored, _ = train_validation_test(usable, validation, step=layers.step, rows=rows)
+        else:
+            train, scored = train_test(usable, step=layers.step, rows=rows)
+        grid = fit_grid(stage(train, "train"), stage(scored, "scored"))
+        recorded = stage(grid.runs.withColumn("run_id", F.lit(run_id)), "runs")
+        tables.append(recorded, layers.name("model_runs"), schemas.MODEL_RUNS, layers.fmt)
+        model = replace(grid, runs=recorded).best()
+        if model_path:
+            model.write().overwrite().save(model_path)
+        forecast = next_step(model, gold.drop("date")).withColumn("run_id", F.lit(run_id))
+        tables.replace_rows(
+            forecast,
+            layers.name("predictions"),
+            schemas.PREDICTIONS,
+            keys=[*schemas.KEYS, "run_id"],
+            fmt=layers.fmt,
+        )
+        return model
 
 
 def run_serving(spark: SparkSession, layers: Layers) -> None:
+    """Replace the serving table with a snapshot of gold."""
     gold = tables.load(spark, layers.name("gold"))
     tables.snapshot(serving_shift(gold), layers.name("serving"), layers.fmt)
 
 
-def run_layers(ticks: DataFrame, layers: Layers, as_of: datetime, seq: int) -> None:
+def run_layers(
+    ticks: DataFrame, layers: Layers, as_of: datetime, seq: int, since: datetime | None = None
+) -> None:
     """One scheduled run of the data layers."""
     spark = ticks.sparkSession
-    run_bronze(ticks, layers, as_of, seq)
+    run_bronze(ticks, layers, as_of, seq, since)
     run_silver(spark, layers)
     run_gold(spark, layers)
     run_serving(spark, layers)

@@ -7,6 +7,11 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+def pin_utc(spark: SparkSession) -> None:
+    """Calendar parts, partition dates and day bars are in UTC, whatever the cluster's zone."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def local_session(cpus: int = 8, app: str = "barwright", memory: str = "12g") -> SparkSession:
     """A single-machine session. On a cluster, pass the cluster's own session instead."""
     spark = (

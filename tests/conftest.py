@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
@@ -66,5 +67,5 @@ def column(df, name):
 def same_rows(a, b):
     """Equal as bags of rows, columns matched by name."""
     assert sorted(a.columns) == sorted(b.columns)
-    b = b.select(*a.columns)
-    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    signed = a.withColumn("_n", F.lit(1)).unionByName(b.withColumn("_n", F.lit(-1)))
+    return signed.groupBy(*a.columns).agg(F.sum("_n").alias("_n")).filter("_n <> 0").isEmpty()
