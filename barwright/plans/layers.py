@@ -218,7 +218,8 @@ def run_training(
         else:
             train, scored = train_test(usable, step=layers.step, rows=rows)
         grid = fit_grid(stage(train, "train"), stage(scored, "scored"))
-        recorded = stage(grid.runs.withColumn("run_id", F.lit(run_id)), "runs")
+        labelled = grid.runs.withColumns({"run_id": F.lit(run_id), "run_by": F.current_user()})
+        recorded = stage(labelled, "runs")
         tables.append(recorded, layers.name("model_runs"), schemas.MODEL_RUNS, layers.fmt)
         model = replace(grid, runs=recorded).best()
         if model_path:
@@ -235,9 +236,24 @@ def run_training(
 
 
 def run_serving(spark: SparkSession, layers: Layers) -> None:
-    """Replace the serving table with a snapshot of gold."""
-    gold = tables.load(spark, layers.name("gold"))
-    tables.snapshot(serving_shift(gold), layers.name("serving"), layers.fmt)
+    """Bring the serving table up to gold, from the row before each symbol's first changed bar on."""
+    with _job(spark):
+        changes = _changes(spark, layers, "serving")
+        if changes.seq is None:
+            return
+        gold = tables.load(spark, layers.name("gold")).select("symbol", "datetime", "close", "target_price", "date")
+        if not spark.catalog.tableExists(layers.name("serving")):
+            rows, scope = gold, None
+        else:
+            before = last_rows_before(gold, changes.marks(), 1, changes.horizon, inclusive=True).drop("_back")
+            rows = changes.part(gold).unionByName(before)
+            earlier = before.select("symbol", F.col("datetime").alias("_before"))
+            scope = changes.starts.join(earlier, "symbol", "left").select(
+                "symbol", F.coalesce("_before", "start").alias("start")
+            )
+        fresh = serving_shift(rows)
+        tables.replace_rows(fresh, layers.name("serving"), schemas.SERVING, scope=scope, fmt=layers.fmt)
+        _record(spark, layers, "serving", changes)
 
 
 def run_layers(

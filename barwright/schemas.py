@@ -46,6 +46,7 @@ GOLD = T.StructType(
         "sma_6", "sma_12", "sma_24", "rolling_std_12", "target_price",
     )
 )
+SERVING = T.StructType(_KEY_FIELDS + _doubles("actual_close", "predicted_close"))
 PREDICTIONS = T.StructType(
     _KEY_FIELDS + [T.StructField("run_id", T.StringType(), False)] + _doubles("close", "prediction")
 )
@@ -57,6 +58,7 @@ MODEL_RUNS = T.StructType(
         T.StructField("run_id", T.StringType(), False),
         T.StructField("run_order", T.IntegerType(), False),
         *_doubles("reg", "enet", "rmse", "mse", "mae", "r2"),
+        T.StructField("run_by", T.StringType()),
     ]
 )
 

@@ -12,6 +12,7 @@ from barwright.operators.bars import TRADE_FLOOR, bar_aggregates
 from barwright.plans.layers import Layers, run_gold, run_silver, store_bars
 from barwright.schemas import BARS
 from barwright.sources import tables
+from barwright.sources.staging import scratch, stage
 
 LATENESS = timedelta(hours=2)
 
@@ -54,11 +55,13 @@ def write_layers(bars: DataFrame, layers: Layers, checkpoint: str) -> StreamingQ
     """
 
     def increment(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         spark = batch.sparkSession
-        tables.create_schema(spark, layers.database)
-        store_bars(batch, layers, batch_id)
+        with scratch(spark):
+            finished = stage(batch, "batch")  # the stateful plan runs once
+            if finished.isEmpty():
+                return
+            tables.create_schema(spark, layers.database)
+            store_bars(finished, layers, batch_id)
         run_silver(spark, layers)
         run_gold(spark, layers)
 

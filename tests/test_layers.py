@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from barwright.operators.bars import resample
 from barwright.operators.clean import silver
 from barwright.operators.features import features, with_pending
-from barwright.plans.layers import Layers, run_gold, run_layers, run_silver, run_training, store_bars
+from barwright.plans.layers import (
+    Layers, run_gold, run_layers, run_serving, run_silver, run_training, store_bars,
+)
+from barwright.plans.serving import serving_shift
 from barwright.schemas import BARS, BRONZE, GOLD, SILVER, TICKS
 from barwright.sources import tables
 from barwright.sources.staging import shared_dir
@@ -36,7 +39,9 @@ def check_layers(spark, layers, ticks):
     assert same_rows(stored["bronze"].select(*BARS.fieldNames()), bars)
     full = silver(bars)
     assert same_rows(stored["silver"].select(*SILVER.fieldNames()), full)
-    assert same_rows(stored["gold"].select(*GOLD.fieldNames()), with_pending(features(full)))
+    gold = with_pending(features(full))
+    assert same_rows(stored["gold"].select(*GOLD.fieldNames()), gold)
+    assert same_rows(spark.table(layers.name("serving")).drop("date"), serving_shift(gold))
 
 
 def test_runs_equal_a_recompute(spark):
@@ -106,12 +111,13 @@ def test_sparse_and_late_bars(spark, make_bars):
         store_bars(make_bars(batch), layers, seq)
         run_silver(spark, layers)
         run_gold(spark, layers)
+        run_serving(spark, layers)
         current |= {(r["symbol"], r["hour"]): r for r in batch}
         full = silver(make_bars(list(current.values())), rows=16)
         assert same_rows(spark.table("sparse.silver").select(*SILVER.fieldNames()), full)
-        assert same_rows(
-            spark.table("sparse.gold").select(*GOLD.fieldNames()), with_pending(features(full, rows=16))
-        )
+        gold = with_pending(features(full, rows=16))
+        assert same_rows(spark.table("sparse.gold").select(*GOLD.fieldNames()), gold)
+        assert same_rows(spark.table("sparse.serving").drop("date"), serving_shift(gold))
 
 
 def test_training_appends_runs_and_upserts_forecasts(spark, tmp_path):
