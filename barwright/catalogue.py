@@ -86,6 +86,10 @@ def _newer(bars: DataFrame) -> DataFrame:
     return bars.filter(F.col("datetime") >= _mark())
 
 
+def _marks(bars: DataFrame) -> DataFrame:
+    return stage(marks.high_water_mark(_loaded(bars)), "marks")
+
+
 def _as_of(bars: DataFrame) -> Column:
     return F.lit(bars.agg(F.max("datetime")).first()[0])
 
@@ -123,7 +127,7 @@ def backfill_range_10d(spark, path):
 
 def overlap_range(spark, path):
     bars = _bars(spark, path)
-    return marks.overlap_range(bars, marks.high_water_mark(_loaded(bars))).select(*KEYS, "close")
+    return marks.overlap_range(bars, _marks(bars)).select(*KEYS, "close")
 
 
 def high_water_mark(spark, path):
@@ -132,12 +136,12 @@ def high_water_mark(spark, path):
 
 def increment_inclusive(spark, path):
     bars = _bars(spark, path)
-    return marks.from_mark(bars, marks.high_water_mark(_loaded(bars)), True).select(*KEYS, "close")
+    return marks.from_mark(bars, _marks(bars), True).select(*KEYS, "close")
 
 
 def increment_exclusive(spark, path):
     bars = _bars(spark, path)
-    return marks.from_mark(bars, marks.high_water_mark(_loaded(bars)), False).select(*KEYS, "close")
+    return marks.from_mark(bars, _marks(bars), False).select(*KEYS, "close")
 
 
 def latest_row(spark, path):
@@ -244,7 +248,8 @@ def gold_incremental(spark, path):
     new = incremental.silver_from(_newer(bars), marks.latest_row(old), rows=rows)
     both = stage(old.unionByName(new), "silver")
     stored = stage(ft.with_pending(ft.features(old, rows=rows)), "gold-old")
-    fresh = incremental.gold_from(both, incremental.gold_marks(stored), rows=rows)
+    done = stage(incremental.gold_marks(stored), "marks")
+    fresh = incremental.gold_from(both, done, rows=rows)
     final = stored.filter(F.col("target_price").isNotNull())  # the increment brings the pending rows anew
     return _rounded(ft.complete_cases(final.unionByName(fresh)))
 
@@ -262,7 +267,7 @@ def gold_revision(spark, path):
             "volume": F.when(revised, F.lit(0)).otherwise(F.col("volume")),
         }
     )
-    changes = bars.filter(revised).select(*KEYS)
+    changes = stage(bars.filter(revised).select(*KEYS), "changes")
     reached = stage(incremental.refilled_rows(new_bars, changes, rows=rows), "reached")
     symbols = reached.select("symbol").distinct()
     redone = silver(new_bars.join(symbols, "symbol", "left_semi"), rows=rows).join(reached, KEYS, "left_semi")

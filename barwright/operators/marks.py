@@ -28,7 +28,7 @@ def from_mark(
     """Rows at or past (``inclusive``) or strictly past their symbol's mark, less ``overlap``.
 
     A symbol without a mark has not been loaded yet and keeps all its rows. The join carries no hint:
-    Spark broadcasts the marks only while they are small.
+    Spark broadcasts the marks only while they are small. Stage them first, so that it knows.
     """
     bound = F.col("max_dt") - F.lit(overlap) if overlap else F.col("max_dt")
     past = F.col("datetime") >= bound if inclusive else F.col("datetime") > bound

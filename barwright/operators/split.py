@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from barwright.operators.chunks import CHUNK, HOUR, ROWS_PER_CHUNK, time_chunk
+from barwright.sources.staging import stage
 
 TRAIN_RATIO = 0.8
 
@@ -18,7 +19,8 @@ def cut_instants(
 ) -> DataFrame:
     """(symbol, cut): the instant of each symbol's row number int(n * ratio), counting from 1.
 
-    Rows are counted per time chunk; only the one chunk per symbol that holds the cut is sorted.
+    Rows are counted per time chunk; only the one chunk per symbol that holds the cut is sorted. The
+    table of these chunks is staged, so that the join sees its size.
     """
     chunked = df.select("symbol", "datetime").withColumn(CHUNK, time_chunk("datetime", step, rows))
     series = Window.partitionBy("symbol")
@@ -37,7 +39,7 @@ def cut_instants(
     )
     place = F.row_number().over(Window.partitionBy("symbol", CHUNK).orderBy("datetime"))
     return (
-        chunked.join(located, ["symbol", CHUNK])
+        chunked.join(stage(located, "cut-chunks"), ["symbol", CHUNK])
         .withColumn("_place", place)
         .filter(F.col("_place") == F.col("_nth"))
         .select("symbol", F.col("datetime").alias("cut"))
@@ -55,7 +57,7 @@ def time_split(
         series = Window.partitionBy("symbol")
         first = F.floor(F.count(F.lit(1)).over(series) * F.lit(ratio))
         return df.withColumn("is_train", F.row_number().over(series.orderBy("datetime")) <= first)
-    cuts = cut_instants(df, ratio, step, rows)
+    cuts = stage(cut_instants(df, ratio, step, rows), "cuts")
     return (
         df.join(cuts, "symbol", "left")
         .withColumn("is_train", F.coalesce(F.col("datetime") <= F.col("cut"), F.lit(False)))

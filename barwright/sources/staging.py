@@ -29,7 +29,9 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     Unlike a cached frame it survives lost executors, and unlike an RDD checkpoint the reader still
-    prunes columns and pushes filters.
+    prunes columns and pushes filters. Spark also knows the size of what was written before it plans
+    the next query: a small side of a join is broadcast at once, if it is below the session's threshold,
+    instead of after the large side has been shuffled.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
