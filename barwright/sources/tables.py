@@ -59,14 +59,15 @@ def _overwrite_dates(df: DataFrame, table: str) -> None:
         conf.set(setting, previous)
 
 
-def _touched_dates(frames: list[DataFrame]) -> tuple:
-    """First and last date among the frames' instants: one row."""
-    bounds = [f.select(F.min("datetime").alias("lo"), F.max("datetime").alias("hi")) for f in frames]
-    both = bounds[0]
-    for other in bounds[1:]:
-        both = both.unionByName(other)
-    row = both.select(F.to_date(F.min("lo")).alias("lo"), F.to_date(F.max("hi")).alias("hi")).first()
-    return row["lo"], row["hi"]
+def _dates(df: DataFrame) -> list:
+    """The distinct dates of a frame; there are as many as days, whatever the number of rows."""
+    return [row["date"] for row in df.select("date").distinct().collect()]
+
+
+def _differing(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The rows that one frame has more often than the other."""
+    signed = a.withColumn("_n", F.lit(1)).unionByName(b.withColumn("_n", F.lit(-1)))
+    return signed.groupBy(*a.columns).agg(F.sum("_n").alias("_n")).filter(F.col("_n") != 0)
 
 
 def replace_rows(
@@ -82,36 +83,38 @@ def replace_rows(
 
     ``scope`` (symbol, start) widens that: every stored row of the symbol at or past ``start`` goes too.
     With ``version``, stored and fresh rows compete and the highest version of a key stays, so a late
-    arrival of older data does not win.
+    arrival of older data does not win. Only dates on which something differs are rewritten.
     """
     spark = fresh.sparkSession
     incoming = stage(_dated(fresh, schema), "incoming")
     if not spark.catalog.tableExists(table):
         _by_date(incoming).write.format(fmt).partitionBy("date").saveAsTable(table)
         return
-    if incoming.isEmpty() and scope is None:
-        return
-    changed = [incoming]
-    if scope is not None:
-        changed.append(scope.select(F.col("start").alias("datetime")))
-    first, last = _touched_dates(changed)
     stored = spark.read.table(table).select(*incoming.columns)
     if scope is None:
-        dates = incoming.select("date").distinct()
-        touched = stored.filter(F.col("date").between(first, last)).join(dates, "date", "left_semi")
-        kept = touched
+        dates = _dates(incoming)
     else:
-        touched = stored.filter(F.col("date") >= first)
-        past = F.col("start").isNotNull() & (F.col("datetime") >= F.col("start"))
-        kept = touched.join(scope.select("symbol", "start"), "symbol", "left").filter(~past).drop("start")
+        scope = stage(scope.select("symbol", "start"), "scope")
+        first = scope.agg(F.to_date(F.min("start"))).first()[0]
+        since = stored.filter(F.col("date") >= F.lit(first)).join(scope, "symbol")
+        replaced = since.filter(F.col("datetime") >= F.col("start")).select(*incoming.columns)
+        dates = _dates(_differing(replaced, incoming))
+    if not dates:
+        return
+    touched = stored.filter(F.col("date").isin(dates))  # literals: other partitions are not read
+    arriving = incoming.filter(F.col("date").isin(dates))
+    kept = touched
+    if scope is not None:
+        within = F.col("start").isNotNull() & (F.col("datetime") >= F.col("start"))
+        kept = touched.join(scope, "symbol", "left").filter(~within).select(*incoming.columns)
     if version:
-        merged = latest_wins(kept.unionByName(incoming).drop("date"), version)
+        merged = latest_wins(kept.unionByName(arriving).drop("date"), version)
         merged = merged.withColumn("date", F.to_date("datetime"))
     else:
-        merged = kept.join(incoming.select(*keys), keys, "left_anti").unionByName(incoming)
+        merged = kept.join(arriving.select(*keys), keys, "left_anti").unionByName(arriving)
     staged = stage(merged.select(*incoming.columns), "merged")
-    emptied = touched.select("date").distinct().join(staged.select("date").distinct(), "date", "left_anti")
-    gone = [row["date"] for row in emptied.collect()]  # whole dates, normally none
+    filled = set(_dates(staged))
     _overwrite_dates(_by_date(staged), table)
-    for day in gone:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (date = DATE '{day}')")
+    for day in dates:
+        if day not in filled:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (date = DATE '{day}')")

@@ -167,6 +167,24 @@ def test_replace_scope_removes_rows_and_emptied_dates(spark):
     assert closes(spark, "writers.s") == {("a", at(0)): 1.0, ("a", at(30)): 5.0}
 
 
+def test_only_differing_dates_are_rewritten(spark):
+    tables.create_schema(spark, "writers")
+    rows = [("a", h, float(h)) for h in range(0, 96, 6)]
+    tables.replace_rows(frame(spark, rows), "writers.d", BARS)
+
+    def files():
+        return {f.rsplit("/", 2)[-2]: f for f in spark.table("writers.d").inputFiles()}
+
+    before = files()
+    scope = spark.createDataFrame([("a", at(0))], "symbol string, start timestamp")
+    tables.replace_rows(frame(spark, rows), "writers.d", BARS, scope=scope)
+    assert files() == before
+    changed = [(s, h, -1.0 if h == 30 else c) for s, h, c in rows]
+    tables.replace_rows(frame(spark, changed), "writers.d", BARS, scope=scope)
+    after = files()
+    assert {d for d in before if before[d] != after[d]} == {"date=2024-01-02"}
+
+
 def test_older_version_does_not_win(spark):
     tables.create_schema(spark, "writers")
     schema = BRONZE
