@@ -482,11 +482,11 @@ _ALL = [
     ohlcv_bars, daily_bars, backfill_range, backfill_range_10d, overlap_range, high_water_mark,
     increment_inclusive, increment_exclusive, latest_row, dedup_bars, clean_bars, volume_ffill,
     silver_features, silver_layer, calendar_parts, carry_union, lags, returns, volume_change, target_price,
-    rolling_means, rolling_std, gold_mini, gold_features, gold_chunked, gold_incremental,
-    gold_revision, global_row_index, rolling_chunked, ffill_chunked, time_split, scaler_stats, scaled_features,
-    eval_metrics, best_run, model_grid, next_step, forecast_vs_actual, serving_shift, recent_10, recent_5_local, recent_48h,
-    dashboard_48h, dashboard_recent_10, dashboard_recent_5_local, prediction_error, actual_vs_predicted, updown_counts, rsi_14, rsi_14_hourly, ma_7, return_1d,
-    updown_label, stream_bars,
+    rolling_means, rolling_std, gold_mini, gold_features, gold_chunked, gold_incremental, gold_revision,
+    global_row_index, rolling_chunked, ffill_chunked, time_split, scaler_stats, scaled_features, eval_metrics,
+    best_run, model_grid, next_step, forecast_vs_actual, serving_shift, recent_10, recent_5_local, recent_48h,
+    dashboard_48h, dashboard_recent_10, dashboard_recent_5_local, prediction_error, actual_vs_predicted,
+    updown_counts, rsi_14, rsi_14_hourly, ma_7, return_1d, updown_label, stream_bars,
 ]
 
 

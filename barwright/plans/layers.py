@@ -81,6 +81,8 @@ def _fetch(
         return backfill_range(resample(ticks.filter(F.col("ts") >= oldest), layers.interval), as_of)
     marks = stage(high_water_mark(stored), "marks")
     low = marks.agg((F.min("max_dt") - F.lit(OVERLAP)).alias("low")).first()["low"]
+    if low is None:  # a table without rows
+        return _fetch(ticks, None, layers, as_of, since)
     if since is not None:
         low = max(low, _bar_start(ticks.sparkSession, since, layers))
     bound = F.lit(low)
@@ -94,14 +96,25 @@ def _fetch(
     return bars
 
 
-def store_bars(bars: DataFrame, layers: Layers, seq: int) -> None:
-    """Upsert bars into bronze; of equal keys the highest ``seq`` stays. It must grow from run to run."""
+def _next_seq(spark: SparkSession, layers: Layers) -> int:
+    stored = tables.load_or_none(spark, layers.name("bronze"))
+    last = stored.agg(F.max("ingest_seq")).first()[0] if stored is not None else None
+    return 0 if last is None else last + 1
+
+
+def store_bars(bars: DataFrame, layers: Layers, seq: int | None = None) -> None:
+    """Upsert bars into bronze; of equal keys the highest ``seq`` stays.
+
+    It must grow from run to run, and by default is one more than the highest one stored.
+    """
+    if seq is None:
+        seq = _next_seq(bars.sparkSession, layers)
     numbered = bars.withColumn("ingest_seq", F.lit(seq).cast("long"))
     tables.replace_rows(numbered, layers.name("bronze"), schemas.BRONZE, version="ingest_seq", fmt=layers.fmt)
 
 
 def run_bronze(
-    ticks: DataFrame, layers: Layers, as_of: datetime, seq: int, since: datetime | None = None
+    ticks: DataFrame, layers: Layers, as_of: datetime, seq: int | None = None, since: datetime | None = None
 ) -> None:
     """Load the bars that are new or may have changed.
 
@@ -257,7 +270,7 @@ def run_serving(spark: SparkSession, layers: Layers) -> None:
 
 
 def run_layers(
-    ticks: DataFrame, layers: Layers, as_of: datetime, seq: int, since: datetime | None = None
+    ticks: DataFrame, layers: Layers, as_of: datetime, seq: int | None = None, since: datetime | None = None
 ) -> None:
     """One scheduled run of the data layers."""
     spark = ticks.sparkSession

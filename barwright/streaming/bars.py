@@ -61,7 +61,7 @@ def write_layers(bars: DataFrame, layers: Layers, checkpoint: str) -> StreamingQ
             if finished.isEmpty():
                 return
             tables.create_schema(spark, layers.database)
-            store_bars(finished, layers, batch_id)
+            store_bars(finished, layers)
         run_silver(spark, layers)
         run_gold(spark, layers)
 

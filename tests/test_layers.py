@@ -53,7 +53,7 @@ def test_runs_equal_a_recompute(spark):
         run_layers(seen, layers, at(hour), seq)
         check_layers(spark, layers, seen)
     before = [spark.table(layers.name(n)).collect() for n in ("silver", "gold", "serving")]
-    run_layers(ticks, layers, at(60), 99)
+    run_layers(ticks, layers, at(60))
     after = [spark.table(layers.name(n)).collect() for n in ("silver", "gold", "serving")]
     assert [sorted(map(str, b)) for b in before] == [sorted(map(str, a)) for a in after]
 
@@ -83,6 +83,15 @@ def test_minute_bars(spark):
     assert same_rows(spark.table("minutes.gold").select(*GOLD.fieldNames()), gold)
 
 
+def test_first_run_without_ticks(spark):
+    layers = Layers("late_start")
+    ticks = make_ticks(spark, hours=20)
+    run_layers(ticks.limit(0), layers, at(0))
+    run_layers(known(ticks, at(12)), layers, at(12))
+    run_layers(ticks, layers, at(20))
+    check_layers(spark, layers, ticks)
+
+
 def test_new_symbol_is_loaded_from_its_beginning(spark):
     layers = Layers("newcomer")
     run_layers(known(make_ticks(spark, symbols=("a",)), at(40)), layers, at(40), 0)

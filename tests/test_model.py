@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from barwright.operators.clean import silver
 from barwright.operators.features import complete_cases, features, with_pending
-from barwright.operators.split import time_split, train_test
+from barwright.operators.split import time_split, train_test, train_validation_test
 from barwright.plans import metrics, model
 from conftest import at, column, series
 
@@ -135,3 +135,47 @@ def test_one_bar_has_no_training_row_but_its_latest_row_is_found(make_bars):
     one = features(silver(make_bars(series([5]))))
     assert complete_cases(one).isEmpty()
     assert latest_row(one).count() == 1 and one.filter(F.col("rolling_std_12").isNotNull()).isEmpty()
+
+
+def test_forecast_is_the_scaled_features_times_the_coefficients(pending, grid):
+    best = grid.best()
+    _, scaler, line = best.stages
+    forecasts = {r.symbol: r.prediction for r in model.next_step(best, pending).collect()}
+    for row in pending.filter("target_price is null").collect():
+        z = [(row[c] - m) / s for c, m, s in zip(model.FEATURES, scaler.mean, scaler.std)]
+        by_hand = sum(a * b for a, b in zip(z, line.coefficients)) + line.intercept
+        assert forecasts[row.symbol] == pytest.approx(by_hand)
+
+
+def test_ridge_solves_its_normal_equations(parts):
+    """With almost no penalty the fit is ordinary least squares, here by numpy."""
+    import numpy as np
+
+    train, _ = parts
+    grid = model.fit_grid(*parts, reg=[0.0], elastic_net=[0.0], columns=["close", "volume", "return_1h"])
+    data = train.select("close", "volume", "return_1h", "target_price").toPandas().to_numpy(dtype=float)
+    x = (data[:, :3] - data[:, :3].mean(0)) / data[:, :3].std(0, ddof=1)
+    wanted, *_ = np.linalg.lstsq(np.column_stack([x, np.ones(len(x))]), data[:, 3], rcond=None)
+    line = grid.models[0].stages[-1]
+    assert line.coefficients.toArray() == pytest.approx(wanted[:3], rel=1e-6)
+    assert line.intercept == pytest.approx(wanted[3], rel=1e-6)
+
+
+@pytest.mark.parametrize("rows", [7, None])
+def test_validation_part_lies_between(make_bars, rows):
+    parts = train_validation_test(make_bars(series(list(range(50)))), 0.25, rows=rows)
+    assert [p.count() for p in parts] == [30, 10, 10]
+    edges = [p.agg(F.min("datetime"), F.max("datetime")).first() for p in parts]
+    assert edges[0][1] < edges[1][0] and edges[1][1] < edges[2][0]
+
+
+def test_forecasts_meet_the_next_close(spark):
+    import __spark_entry__ as entry_module
+    from conftest import SF
+
+    gold = {(r.symbol, r.datetime): r for r in entry_module.queries()["gold_features"](spark, SF).collect()}
+    rows = entry_module.queries()["forecast_vs_actual"](spark, SF).collect()
+    assert rows
+    for r in rows:
+        assert r.actual == gold[r.symbol, r.datetime].target_price
+        assert r.error == pytest.approx(abs(r.actual - r.predicted))
