@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barwright.llm import langid, mixture, urlfilter, warc
+from barwright.llm import langid, mixture, substrings, urlfilter, warc
 from barwright.llm.ship import ship
 from barwright.sources.staging import shared_dir, stage
 
@@ -139,3 +139,25 @@ FROM r
 """
 
 ORACLE: dict[str, str] = {"op1_warc": _OP1, "op3_mixture": _OP3, "op7_url_filter": _OP7}
+
+
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removal_digest(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op9_substrings"] = op9_substrings
+
+#: With windows of 50 words as lists; too slow beyond small tables only for want of a rolling hash.
+ORACLE["op9_substrings"] = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+p AS (SELECT doc_id, unnest(range(1, greatest(len(words) - 48, 1))) AS pos, words FROM w WHERE len(words) >= 50),
+k AS (SELECT doc_id, pos, md5(array_to_string(words[pos:pos + 49], ' ')) AS h FROM p),
+f AS (SELECT h, min(doc_id) AS first FROM k GROUP BY h),
+r AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS i FROM k JOIN f USING (h) WHERE doc_id > first),
+g AS (SELECT doc_id, count(*) AS n_removed, list(i) AS gone FROM r GROUP BY doc_id),
+e AS (SELECT doc_id, i, words[i] AS word FROM w, LATERAL (SELECT unnest(range(1, len(words) + 1)) AS i)),
+j AS (SELECT e.doc_id, string_agg(word, ' ' ORDER BY e.i) AS kept FROM e LEFT JOIN r ON e.doc_id = r.doc_id AND e.i = r.i
+  WHERE r.i IS NULL GROUP BY e.doc_id)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN g USING (doc_id) LEFT JOIN j USING (doc_id)
+"""
