@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barwright.llm import langid, mixture, substrings, urlfilter, warc
+from barwright.llm import langid, mixture, neardup, substrings, urlfilter, warc
 from barwright.llm.ship import ship
 from barwright.sources.staging import shared_dir, stage
 
@@ -161,3 +161,10 @@ j AS (SELECT e.doc_id, string_agg(word, ' ' ORDER BY e.i) AS kept FROM e LEFT JO
 SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM w LEFT JOIN g USING (doc_id) LEFT JOIN j USING (doc_id)
 """
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), percent=75)
+
+
+QUERIES["op5_near_duplicates"] = op5_near_duplicates
