@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barwright.llm import langid, mixture, neardup, substrings, urlfilter, warc
+from barwright.llm import decontam, langid, mixture, neardup, substrings, urlfilter, warc
 from barwright.llm.ship import ship
 from barwright.sources.staging import shared_dir, stage
 
@@ -168,3 +168,29 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_near_duplicates"] = op5_near_duplicates
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("tag")
+
+
+QUERIES["op6_decontamination"] = op6_decontamination
+
+ORACLE["op6_decontamination"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+bi AS (SELECT item_id, w, least(len(w), 13) AS n FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS g
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS p FROM bi)),
+dn AS (SELECT doc_id, w, n FROM d, (SELECT DISTINCT n FROM bi) WHERE len(w) >= n),
+dw AS (SELECT doc_id, p, n, array_to_string(w[p:p + n - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS p FROM dn)),
+h AS (SELECT doc_id, p, n, item_id FROM dw JOIN bw USING (n, g)),
+c AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS i FROM (SELECT DISTINCT doc_id, p, n FROM h)) GROUP BY doc_id),
+s AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN s USING (doc_id)
+"""
