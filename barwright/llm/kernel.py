@@ -110,11 +110,22 @@ def split(texts: pa.Array, separators: np.ndarray = SPACE, fold: bool = False) -
     closes[tails] = inside[tails]
     starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
     first = np.searchsorted(starts, bounds)
-    hashes = mix(range_hash(data.astype(np.uint64) + np.uint64(1), starts, ends, _BYTE_BASE))
-    return Words(data, starts, ends, first, hashes)
+    return Words(data, starts, ends, first, word_hashes(data, starts, ends))
 
 
-def slices(table: pa.RecordBatch, column: str, most_bytes: int = 8 << 20):
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, step: int = 1 << 18) -> np.ndarray:
+    """The hash of each word; ``step`` bytes at a time, as the sums take many times the room of the text."""
+    out, at = np.empty(len(starts), np.uint64), 0
+    while at < len(starts):
+        low = starts[at]
+        stop = max(at + 1, int(np.searchsorted(ends, low + step, "right")))
+        own = data[low : ends[stop - 1]].astype(np.uint64) + np.uint64(1)
+        out[at:stop] = range_hash(own, starts[at:stop] - low, ends[at:stop] - low, _BYTE_BASE)
+        at = stop
+    return mix(out)
+
+
+def slices(table: pa.RecordBatch, column: str | int, most_bytes: int = 4 << 20):
     """Parts of a batch whose texts hold about ``most_bytes``; one longer text is a part of its own."""
     lengths = pc.fill_null(pc.binary_length(table.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     total = np.cumsum(lengths)
