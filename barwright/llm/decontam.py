@@ -95,6 +95,16 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> tu
     return printed.select("doc_id", "tag", "n_words"), hits, own.select("length", "gram", "item_id").distinct()
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated."""
+    judged = contamination(docs, benchmark, window, share).filter("contaminated")
+    gone = stage(judged.select(F.col("doc_id").alias("id"), "tag").distinct(), "contaminated")
+    if gone.limit(SENT_ROWS + 1).count() <= SENT_ROWS:
+        gone = F.broadcast(gone)
+    named = docs.withColumn("_tag", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    return named.join(gone, named["doc_id"].eqNullSafe(gone["id"]) & (named["_tag"] == gone["tag"]), "left_anti").select(docs.columns)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
     """doc_id, tag, n_words, n_hit, n_items, items_sha256, contaminated of every row.
 

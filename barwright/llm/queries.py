@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barwright.llm import decontam, langid, mixture, neardup, substrings, urlfilter, warc
+from barwright.llm import boosting, decontam, langid, mixture, neardup, substrings, topk, toxicity, urlfilter, warc
 from barwright.llm.ship import ship
 from barwright.sources.staging import shared_dir, stage
 
@@ -194,3 +194,43 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN s USING (doc_id)
 """
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = langid.held_out(F.col("doc_id"), 3, 1)
+    known = labels.filter(~out).select("doc_id", "toxic")
+    model = toxicity.train(docs.select("doc_id", "text").join(known, "doc_id"))
+    scored = toxicity.with_scores(docs, model, ["doc_id"])
+    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+QUERIES["op2_toxicity"] = op2_toxicity
+
+
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024.0)
+
+
+QUERIES["op4_top_k"] = op4_top_k
+
+ORACLE["op4_top_k"] = """
+WITH v AS (SELECT vec_id, [floor(1024 * x::DOUBLE)::BIGINT for x in embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum([q.e[i] * c.e[i] for i in range(1, len(q.e) + 1)])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = langid.held_out(F.col("doc_id"), 4, 2)
+    known = labels.filter(~out).select("doc_id", "quality")
+    model = boosting.train(docs.select("doc_id", "text").join(known, "doc_id"))
+    scored = boosting.with_scores(docs, model)
+    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+QUERIES["op8_quality"] = op8_quality
