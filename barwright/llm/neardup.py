@@ -100,8 +100,8 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             nodes, signs = set_digests(hashes, first), signatures(hashes, first)
             sign = [s.tobytes() if node else None for s, node in zip(signs, nodes, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [part.column("ord"), pa.array(np.diff(first), pa.int64()), pa.array(nodes, pa.binary()), pa.array(sign, pa.binary())],
-                ["ord", "n_shingles", "node", "sign"],
+                [part.column("ord"), part.column("tag"), pa.array(np.diff(first), pa.int64()), pa.array(nodes, pa.binary()), pa.array(sign, pa.binary())],
+                ["ord", "tag", "n_shingles", "node", "sign"],
             )
 
 
@@ -246,31 +246,56 @@ def confirmed_links(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, perc
     wanted = wanted.select(
         "root", "node", F.col("head").alias("ord"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
     )
-    wanted = stage(wanted, "wanted")
-    if wanted.limit(SENT_ROWS + 1).count() <= SENT_ROWS:
-        wanted = F.broadcast(wanted)
-    texts = docs.join(wanted, "ord").select("root", "low", "high", "node", "text")
+    texts = docs.join(_sent(stage(wanted, "wanted")), "ord").select("root", "low", "high", "node", "text")
     dealt = texts.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high")
     return dealt.mapInArrow(lambda it: _confirm(it, percent), "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, region: int = REGION) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row."""
-    named = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"), F.col("text").cast("string").alias("text"))
-    described = stage(named.mapInArrow(_describe, "ord long, n_shingles long, node binary, sign binary"), "described")
+def _named(docs: DataFrame) -> DataFrame:
+    """``docs`` with ord (doc_id, the largest number for null) and tag (which text, if an id has several)."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.withColumns({"ord": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), "tag": F.xxhash64(text)})
+
+
+def _judged(docs: DataFrame, percent: int, region: int) -> DataFrame:
+    """ord, tag, n_shingles, lowest (ord of the first document of the component) for every row."""
+    named = _named(docs).select("ord", "tag", F.col("text").cast("string").alias("text"))
+    described = stage(named.mapInArrow(_describe, "ord long, tag long, n_shingles long, node binary, sign binary"), "described")
     nodes = described.filter("node is not null").groupBy("node")
     nodes = stage(nodes.agg(F.min("ord").alias("head"), F.first("n_shingles").alias("n_shingles"), F.first("sign").alias("sign")), "nodes")
     placed = regions(nodes, region).join(nodes.select("node", "sign"), "node").select("tree", "prefix", "node", "sign")
     dealt = placed.repartition("tree", "prefix").sortWithinPartitions("tree", "prefix")
     clusters = components(stage(dealt.mapInArrow(_region_links, "a binary, b binary"), "forest"))
-    links = stage(confirmed_links(named, nodes, clusters, percent), "confirmed")
+    links = stage(confirmed_links(named.select("ord", "text"), nodes, clusters, percent), "confirmed")
     roots = components(links)
     heads = nodes.select("node", "head").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = heads.groupBy("root").agg(F.min("head").alias("lowest"))
     heads = heads.join(lowest, "root").select("node", "lowest")
-    found = described.select("ord", "n_shingles", "node").join(heads, "node", "left")
-    found = found.withColumn("lowest", F.coalesce("lowest", "ord"))
+    found = described.select("ord", "tag", "n_shingles", "node").join(heads, "node", "left")
+    return found.select("ord", "tag", "n_shingles", F.coalesce("lowest", "ord").alias("lowest"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 75, region: int = REGION) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row."""
+    found = _judged(docs, percent, region)
     public = lambda c: F.when(F.col(c) < LAST, F.col(c))
     return found.select(
         public("ord").alias("doc_id"), "n_shingles", public("lowest").alias("component_id"), (F.col("ord") == F.col("lowest")).alias("kept")
     )
+
+
+def keep_one(docs: DataFrame, percent: int = 75, region: int = REGION) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: the smallest doc_id of each component stays, repeated rows once."""
+    found = stage(_judged(docs, percent, region).select("ord", "tag", "lowest"), "judged")
+    gone = found.filter("ord > lowest").select("ord", "tag").distinct()
+    left = _named(docs).join(_sent(gone), ["ord", "tag"], "left_anti")
+    repeated = found.filter("ord = lowest").groupBy("ord", "tag").count().filter("count > 1").select("ord", "tag")
+    if not repeated.isEmpty():
+        once = left.join(_sent(repeated), ["ord", "tag"], "left_semi").dropDuplicates(["ord", "tag"])
+        left = left.join(_sent(repeated), ["ord", "tag"], "left_anti").unionByName(once)
+    return left.select(docs.columns)
+
+
+def _sent(small: DataFrame) -> DataFrame:
+    """Broadcast if counted to be small; else the join shuffles."""
+    return F.broadcast(small) if small.limit(SENT_ROWS + 1).count() <= SENT_ROWS else small
