@@ -5,7 +5,7 @@ left are hashed into ``BUCKETS`` counters per language. The table of log-probabi
 buckets) goes to every task; a batch of texts is scored as a sparse product: the rows of its n-grams are
 gathered and summed per text.
 
-Training counts n-grams over a bounded sample of labelled rows (``train_rows``, the smallest hashes of
+Training counts n-grams over a bounded sample of labelled rows (about ``train_rows``, by hash of
 doc_id); every text is scored whole. A null text, or one without a letter, is ``und`` with score 0. Rows
 whose language is null teach nothing; without any labelled row all is ``und``. Repeated rows count
 repeatedly. Ties go to the language that sorts first.
@@ -61,6 +61,15 @@ def gram_buckets(text: str) -> np.ndarray:
     return (grams >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
 
 
+def bounded_sample(rows: DataFrame, about: int) -> DataFrame:
+    """The rows whose hash of doc_id falls into a share that holds about so many; all, if there are no more.
+    Nothing is sorted or moved for it."""
+    n = rows.count()
+    if n <= about:
+        return rows
+    return rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int((1 << 30) * about / n)))
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per task: documents and n-gram counts of each language."""
     counts: dict[str, np.ndarray] = {}
@@ -75,12 +84,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS, smoothing: float = 0.5) -> Model:
-    """Fit on rows (doc_id, text, lang) with a language. What reaches the driver is one count per
-    language and bucket."""
+    """Fit on about ``train_rows`` rows (doc_id, text, lang) with a language. What reaches the driver is one
+    count per language and bucket."""
     known = labelled.filter("lang is not null").select("doc_id", "lang", "text")
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "lang").limit(train_rows) if train_rows else known
+    sample = bounded_sample(known, train_rows)
     counts = (
-        sample.select("lang", "text").repartition(8).mapInArrow(_count, "lang string, bucket long, n long")
+        sample.select("lang", "text").mapInArrow(_count, "lang string, bucket long, n long")
         .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     )
     languages = tuple(sorted(counts["lang"].unique()))
