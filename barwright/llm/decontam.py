@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barwright.llm.carry import packed, unpacked
 from barwright.sources.staging import stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -101,8 +102,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     gone = stage(judged.select(F.col("doc_id").alias("id"), "tag").distinct(), "contaminated")
     if gone.limit(SENT_ROWS + 1).count() <= SENT_ROWS:
         gone = F.broadcast(gone)
-    named = docs.withColumn("_tag", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    return named.join(gone, named["doc_id"].eqNullSafe(gone["id"]) & (named["_tag"] == gone["tag"]), "left_anti").select(docs.columns)
+    rows = packed(docs).withColumn("own", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    return unpacked(rows.join(gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("own") == F.col("tag")), "left_anti"), docs)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:

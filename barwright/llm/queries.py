@@ -201,7 +201,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = langid.held_out(F.col("doc_id"), 3, 1)
     known = labels.filter(~out).select("doc_id", "toxic")
     model = toxicity.train(docs.select("doc_id", "text").join(known, "doc_id"))
-    scored = toxicity.with_scores(docs, model, ["doc_id"])
+    scored = toxicity.with_scores(docs, model)
     return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 

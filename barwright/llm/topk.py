@@ -34,6 +34,8 @@ QUERY_BLOCK = 4096
 PIECE = 2048
 #: Node radii shrink by this factor per level, and nodes of so few points are not divided.
 SHRINK, LEAF = 1.3, 16
+#: Centres that give a first bound.
+SEEDS = 128
 LARGEST = (1 << 63) - 1
 
 
@@ -87,24 +89,32 @@ def cover_tree(points: np.ndarray) -> CoverTree:
 
 @dataclass
 class Best:
-    """The k best of each query so far: score descending, id ascending."""
+    """The k best of each query so far: score descending, id ascending; the first ``filled`` places count."""
 
     k: int
-    scores: np.ndarray  # queries x k, -inf where there is none yet
+    scores: np.ndarray
     ids: np.ndarray
+    filled: np.ndarray
+    least: np.ndarray  # what the k-th score is known to reach, whether or not its candidates have been offered
 
     @classmethod
     def empty(cls, queries: int, k: int) -> Best:
-        return cls(k, np.full((queries, k), -np.inf), np.full((queries, k), LARGEST))
+        return cls(k, np.zeros((queries, k), np.int64), np.zeros((queries, k), np.int64), np.zeros(queries, np.int64), np.full(queries, -np.inf))
 
     def worst(self, queries: np.ndarray) -> float:
-        return self.scores[queries, -1].min()
+        return float(self.least[queries].min())
 
     def offer(self, query: int, scores: np.ndarray, ids: np.ndarray) -> None:
-        fits = scores >= self.scores[query, -1]
-        scores, ids = np.append(self.scores[query], scores[fits]), np.append(self.ids[query], ids[fits])
-        top = np.lexsort((ids, -scores))[: self.k]
-        self.scores[query], self.ids[query] = scores[top], ids[top]
+        n = self.filled[query]
+        if n == self.k:
+            fits = scores >= self.scores[query, -1]
+            scores, ids = scores[fits], ids[fits]
+        scores, ids = np.append(self.scores[query, :n], scores), np.append(self.ids[query, :n], ids)
+        top = np.lexsort((ids, ~scores))[: self.k]  # ~ turns the order round and has no overflow
+        self.filled[query] = n = len(top)
+        self.scores[query, :n], self.ids[query, :n] = scores[top], ids[top]
+        if n == self.k:
+            self.least[query] = max(self.least[query], self.scores[query, -1])
 
 
 def search(queries: CoverTree, query_ids: np.ndarray, candidates: CoverTree, ids: np.ndarray, best: Best) -> None:
@@ -118,49 +128,55 @@ def search(queries: CoverTree, query_ids: np.ndarray, candidates: CoverTree, ids
     children = np.array(candidates.child)
 
     def kept(q: int, nodes: np.ndarray) -> np.ndarray:
+        """The nodes that may hold one of the k best of a query under q, the most promising first."""
         center, reach = queries.points[queries.center[q]], queries.radius[q]
         members = queries.order[queries.start[q] : queries.stop[q]]
         most = centers[nodes] @ center + np.sqrt(center @ center) * radius[nodes] + reach * (norms[nodes] + radius[nodes])
-        return nodes[most * (1 + 1e-9) + 1e-3 + 1e-9 * np.abs(most) >= best.worst(members)]
+        order = np.argsort(-most)
+        most = most[order]
+        return nodes[order][most + 1e-3 + 1e-9 * np.abs(most) >= best.worst(members)]
 
     def opened(nodes: np.ndarray) -> np.ndarray:
         return np.concatenate([np.arange(a, b) for a, b in children[nodes]]) if len(nodes) else nodes
 
+    # the k-th best among some centres is a first bound
+    some = np.unique(candidates.center[:SEEDS])
+    if len(some) > best.k:
+        products = multiply(queries.points, candidates.points[some]).astype(np.float64)
+        products[ids[some][None, :] == query_ids[:, None]] = -np.inf
+        np.maximum(best.least, np.sort(products, axis=1)[:, -best.k], out=best.least)
+
     todo: list[tuple[int, np.ndarray]] = [(0, np.zeros(1, np.int64))]
     while todo:
         q, nodes = todo.pop()
         nodes = kept(q, nodes)
-        inner = children[nodes, 1] > 0
-        wide = inner & (radius[nodes] >= queries.radius[q])
-        while wide.any():  # the wider side is opened first
-            nodes = kept(q, np.concatenate([nodes[~wide], opened(nodes[wide])]))
-            inner = children[nodes, 1] > 0
-            wide = inner & (radius[nodes] >= queries.radius[q])
-        if not len(nodes):
-            continue
         if queries.child[q][1]:
-            todo += [(c, nodes) for c in range(*queries.child[q])]
+            wide = (children[nodes, 1] > 0) & (radius[nodes] >= queries.radius[q])  # the wider side is opened first
+            while wide.any():
+                nodes = kept(q, np.concatenate([nodes[~wide], opened(nodes[wide])]))
+                wide = (children[nodes, 1] > 0) & (radius[nodes] >= queries.radius[q])
+            todo += [(c, nodes) for c in range(*queries.child[q])] if len(nodes) else []
             continue
-        while inner.any():
-            nodes = kept(q, np.concatenate([nodes[~inner], opened(nodes[inner])]))
-            inner = children[nodes, 1] > 0
         members = queries.order[queries.start[q] : queries.stop[q]]
-        at = np.concatenate([candidates.order[a:b] for a, b in zip(starts[nodes], stops[nodes], strict=True)]) if len(nodes) else np.empty(0, np.int64)
-        if not len(at):
-            continue
-        scores = multiply(queries.points[members], candidates.points[at])
-        for row, member in enumerate(members):
-            other = ids[at] != query_ids[member]
-            best.offer(member, scores[row][other], ids[at][other])
+        while len(nodes):
+            head, nodes = np.split(nodes, [max(8, len(nodes) // 4)])
+            inner = children[head, 1] > 0
+            if not inner.all():
+                at = np.concatenate([candidates.order[a:b] for a, b in zip(starts[head[~inner]], stops[head[~inner]], strict=True)])
+                scores = multiply(queries.points[members], candidates.points[at])
+                for row, member in enumerate(members):
+                    other = ids[at] != query_ids[member]
+                    best.offer(member, scores[row][other], ids[at][other])
+            nodes = kept(q, np.concatenate([nodes, opened(head[inner])]))
 
 
 def multiply(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Products of integer vectors: exact in doubles while they stay below 2^53, else in whole numbers."""
+    """Products of integer vectors: in doubles while those are exact, else in whole numbers cut off to longs."""
     most = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * max(1, a.shape[1])
     if most < 2.0**53:
-        return a @ b.T
-    whole = np.array([[int(x) for x in row] for row in a], object).reshape(a.shape) @ np.array([[int(x) for x in row] for row in b], object).reshape(b.shape).T
-    return np.vectorize(lambda x: float(min(max(x, -LARGEST - 1), LARGEST)), otypes=[float])(whole)
+        return (a @ b.T).astype(np.int64)
+    whole = [np.array([[int(x) for x in row] for row in m], object).reshape(m.shape) for m in (a, b)]
+    return np.vectorize(lambda x: min(max(x, -LARGEST - 1), LARGEST), otypes=[np.int64])(whole[0] @ whole[1].T)
 
 
 def _matrix(batch: pa.RecordBatch, scale: float) -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -201,10 +217,9 @@ def _candidates_of(block: list, scale: float, k: int, spark):
                     for at in range(0, len(ids), PIECE):
                         search(tree, query_ids, cover_tree(vectors[at : at + PIECE]), ids[at : at + PIECE], best)
         for n, (query_ids, tree, best) in queries.items():
-            row, place = np.nonzero(np.isfinite(best.scores))
-            number = np.char.add(f"{n}:", row.astype(str))
-            score = np.array([min(max(int(s), -LARGEST - 1), LARGEST) for s in best.scores[row, place]], np.int64)
-            yield pa.RecordBatch.from_pydict({"query": pa.array(number, pa.string()), "query_id": query_ids[row], "vec_id": best.ids[row, place], "score": score})
+            row, place = np.nonzero(np.arange(k) < best.filled[:, None])
+            number = pa.array([f"{n}:{r}" for r in row], pa.string())
+            yield pa.RecordBatch.from_pydict({"query": number, "query_id": query_ids[row], "vec_id": best.ids[row, place], "score": best.scores[row, place]})
 
     return run
 

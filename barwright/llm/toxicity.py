@@ -33,8 +33,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barwright.llm import kernel, neardup
+from barwright.llm.carry import packed, unpacked
 from barwright.llm.langid import bounded_sample
 from barwright.sources.staging import stage
 
@@ -356,23 +358,27 @@ def score_texts(texts: pa.Array, model: Model) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(model.coefficients[0] + x @ model.coefficients[1:], -30, 30)))
 
 
-def with_scores(docs: DataFrame, model: Model, names: list[str]) -> DataFrame:
-    """The columns ``names`` of ``docs`` and the toxicity ``score`` of its ``text``, which is read whole."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most MOST_TERMS terms
-    read = names if "text" in names else [*names, "text"]
-    text = read.index("text")
+def _scored(rows: DataFrame, model: Model) -> DataFrame:
+    """The columns of ``rows`` but ``text``, which is read whole, and its ``score``."""
+    sent = rows.sparkSession.sparkContext.broadcast(model)  # at most MOST_TERMS terms
+    names = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in kernel.slices(batch, text):
-                score = pa.array(score_texts(part.column(text), sent.value), pa.float64())
-                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(names))), score], [*names, "score"])
+            for part in kernel.slices(batch, "text"):
+                score = pa.array(score_texts(part.column("text"), sent.value), pa.float64())
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), score], [*names, "score"])
+
+    kept = [f for f in rows.schema if f.name != "text"]
+    return rows.mapInArrow(run, T.StructType([*kept, T.StructField("score", T.DoubleType())]))
+
 
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    schema = ", ".join([*(f"`{n}` {kinds[n]}" for n in names), "score double"])
-    return docs.select([F.col(f"`{n}`") for n in read]).mapInArrow(run, schema)
+def with_scores(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, score of every row."""
+    return _scored(docs.select("doc_id", "text"), model)
 
 
 def drop_toxic(docs: DataFrame, model: Model, limit: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` that score below ``limit``."""
-    return with_scores(docs, model, docs.columns).filter(F.col("score") < limit).select(docs.columns)
+    """The rows of ``docs`` that score below ``limit``, with all their columns."""
+    scored = _scored(packed(docs).select("row", "text"), model)
+    return unpacked(scored.filter(F.col("score") < limit), docs)
