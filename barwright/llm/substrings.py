@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barwright.llm import kernel
+from barwright.llm.carry import packed, unpacked
 from barwright.sources.staging import stage
 
 WINDOW = 50
@@ -39,7 +40,7 @@ GRAM = 8
 MOST_CELLS = 1 << 28
 SLICE = 1 << 20
 #: Up to so many rows of ids and spans are sent to the tasks that read the texts; more are joined by shuffle.
-SENT_ROWS = 500_000
+SENT_ROWS = 200_000
 LAST = (1 << 63) - 1
 
 
@@ -157,15 +158,19 @@ def _candidates(docs: DataFrame, window: int, bits: int, repeated: np.ndarray) -
                     continue
                 at = starts[keep]
                 doc = _doc_of(words, at)
-                first, _ = words.grams(window, 0)
-                second, where = words.grams(window, 1)
-                rows = np.searchsorted(where, at)
+                first, where = words.grams(window, 0)
+                first, second = first[np.searchsorted(where, at)], words.grams(window, 1)[0][np.searchsorted(where, at)]
+                # a word said over and over gives one window many times in a row: one row with their number
+                fresh = np.ones(len(at), bool)
+                fresh[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1]) | (doc[1:] != doc[:-1]) | (np.diff(at) != 1)
+                run = np.diff(np.append(np.flatnonzero(fresh), len(at)))
+                at, doc, first, second = at[fresh], doc[fresh], first[fresh], second[fresh]
                 place = (part.column("tag").to_numpy()[doc] << 32) | (at - words.first[doc])
                 yield pa.RecordBatch.from_pydict(
-                    {"h1": first[rows].view(np.int64), "h2": second[rows].view(np.int64), "ord": part.column("ord").to_numpy()[doc], "place": place}
+                    {"h1": first.view(np.int64), "h2": second.view(np.int64), "ord": part.column("ord").to_numpy()[doc], "place": place, "run": run}
                 )
 
-    return docs.select("text", "ord", "tag").mapInArrow(emit, "h1 long, h2 long, ord long, place long")
+    return docs.select("text", "ord", "tag").mapInArrow(emit, "h1 long, h2 long, ord long, place long, run long")
 
 
 def _spans(removed: DataFrame, window: int) -> DataFrame:
@@ -174,19 +179,21 @@ def _spans(removed: DataFrame, window: int) -> DataFrame:
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans = []
-            for at in batch.column(2):
-                starts = np.sort(np.asarray(at.values))
-                fresh = np.flatnonzero(np.diff(starts, prepend=-window - 1) > window)
-                last = np.append(fresh[1:] - 1, len(starts) - 1)
-                spans.append(np.stack([starts[fresh], starts[last] + window], axis=1).ravel().tolist())
+            for packed in batch.column(2):
+                packed = np.sort(np.asarray(packed.values))
+                starts, stops = packed >> 31, (packed >> 31) + (packed & 0x7FFFFFFF) + window - 1
+                fresh = np.flatnonzero(starts > np.append(-1, np.maximum.accumulate(stops)[:-1]))
+                spans.append(np.stack([starts[fresh], np.maximum.reduceat(stops, fresh)], axis=1).ravel().tolist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, pa.list_(pa.int64()))], ["ord", "tag", "spans"])
 
-    rows = removed.select("ord", F.shiftright("place", 32).alias("tag"), F.col("place").bitwiseAND(0xFFFFFFFF).alias("at"))
+    at = F.shiftleft(F.col("place").bitwiseAND(0xFFFFFFFF), 31).bitwiseOR(F.col("run"))
+    rows = removed.select("ord", F.shiftright("place", 32).alias("tag"), at.alias("at"))
     return rows.groupBy("ord", "tag").agg(F.collect_list("at").alias("at")).mapInArrow(merge, "ord long, tag long, spans array<bigint>")
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, most_cells: int = MOST_CELLS) -> DataFrame:
-    """The rows of ``docs`` with ``copied`` (another document with this text comes first) and ``spans``."""
+    """The rows of ``docs`` (doc_id, text and columns named unlike ours) with ``copied``, whether another
+    document with this text comes first, and ``spans``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     named = docs.withColumns(
         {"ord": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), "tag": F.xxhash64(text).bitwiseAND(0x7FFFFFFF)}
@@ -200,7 +207,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, most_cells: int = MOST_CELLS)
     bits, repeated = sketch(originals, window, most_cells)
     found = stage(_candidates(originals, window, bits, repeated), "windows")
     firsts = found.groupBy("h1", "h2").agg(F.min("ord").alias("first"), F.max("ord").alias("last")).filter("last > first")
-    removed = found.join(firsts.select("h1", "h2", "first"), ["h1", "h2"]).filter("ord > first")
+    firsts = stage(firsts.select("h1", "h2", "first"), "firsts")  # written, so that the join below deals both sides and can split them
+    removed = found.join(firsts, ["h1", "h2"]).filter("ord > first")
     spans = stage(_spans(removed, window), "spans")
     return named.join(_sent(spans), ["ord", "tag"], "left")
 
@@ -254,6 +262,6 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, most_cells: int = MOST_CE
             out.append(kept.decode() if removed else text)
         return pd.Series(out, dtype=object)
 
-    found = repeats(docs, window, most_cells)
+    found = repeats(packed(docs), window, most_cells)
     kept = F.when(F.col("copied") | F.col("spans").isNotNull(), cut("text", "copied", "spans")).otherwise(F.col("text"))
-    return found.withColumn("text", kept).select(docs.columns)
+    return unpacked(found, docs, text=kept)
