@@ -33,20 +33,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barwright.llm import kernel
+from barwright.llm.carry import packed, unpacked
 from barwright.llm.components import components
 from barwright.sources.staging import stage
 
 SHINGLE = 5
 TREES, DEPTH = 16, 8
 FIRST_DEPTH = 2
-REGION = 4096
+REGION = 1024
 #: 73 of 128 equal values: 4.7 standard deviations below a similarity of 0.75.
 LEAST_EQUAL = 73
 BLOCK = 1024
 BLOCK_SHINGLES = 1_000_000
 LAST = (1 << 63) - 1
 #: Up to so many rows of ids are sent to the tasks that read the texts; more are joined by shuffle.
-SENT_ROWS = 1_000_000
+SENT_ROWS = 200_000
 
 _FACTORS = kernel.mix(np.arange(1, TREES * DEPTH + 1, dtype=np.uint64), 5) | np.uint64(1)
 
@@ -259,7 +260,7 @@ def _named(docs: DataFrame) -> DataFrame:
 
 def _judged(docs: DataFrame, percent: int, region: int) -> DataFrame:
     """ord, tag, n_shingles, lowest (ord of the first document of the component) for every row."""
-    named = _named(docs).select("ord", "tag", F.col("text").cast("string").alias("text"))
+    named = _named(docs.select("doc_id", "text")).select("ord", "tag", F.col("text").cast("string").alias("text"))
     described = stage(named.mapInArrow(_describe, "ord long, tag long, n_shingles long, node binary, sign binary"), "described")
     nodes = described.filter("node is not null").groupBy("node")
     nodes = stage(nodes.agg(F.min("ord").alias("head"), F.first("n_shingles").alias("n_shingles"), F.first("sign").alias("sign")), "nodes")
@@ -288,12 +289,12 @@ def keep_one(docs: DataFrame, percent: int = 75, region: int = REGION) -> DataFr
     """The rows of ``docs`` without near-duplicates: the smallest doc_id of each component stays, repeated rows once."""
     found = stage(_judged(docs, percent, region).select("ord", "tag", "lowest"), "judged")
     gone = found.filter("ord > lowest").select("ord", "tag").distinct()
-    left = _named(docs).join(_sent(gone), ["ord", "tag"], "left_anti")
+    left = _named(packed(docs)).join(_sent(gone), ["ord", "tag"], "left_anti")
     repeated = found.filter("ord = lowest").groupBy("ord", "tag").count().filter("count > 1").select("ord", "tag")
     if not repeated.isEmpty():
         once = left.join(_sent(repeated), ["ord", "tag"], "left_semi").dropDuplicates(["ord", "tag"])
         left = left.join(_sent(repeated), ["ord", "tag"], "left_anti").unionByName(once)
-    return left.select(docs.columns)
+    return unpacked(left, docs)
 
 
 def _sent(small: DataFrame) -> DataFrame:
