@@ -200,8 +200,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, most_cells: int = MOST_CELLS)
     )
     ids = named.select("ord", "tag", F.md5(text.cast("binary")).alias("digest"))
     firsts = ids.groupBy("digest").agg(F.min("ord").alias("first"), F.max("ord").alias("last"))
-    firsts = firsts.filter("last > first").select("digest", "first")
-    copies = stage(ids.join(firsts, "digest").filter("ord > first").select("ord", "tag").distinct().withColumn("copied", F.lit(True)), "copies")
+    firsts = stage(firsts.filter("last > first").select("digest", "first"), "copied")
+    copies = stage(ids.join(_sent(firsts), "digest").filter("ord > first").select("ord", "tag").distinct().withColumn("copied", F.lit(True)), "copies")
     named = named.join(_sent(copies), ["ord", "tag"], "left").withColumn("copied", F.coalesce("copied", F.lit(False)))
     originals = named.filter("not copied and text is not null").select("text", "ord", "tag")
     bits, repeated = sketch(originals, window, most_cells)
