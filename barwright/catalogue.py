@@ -5,6 +5,7 @@ Layers that a query reads more than once are staged, as the batch jobs store the
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
@@ -18,9 +19,10 @@ from barwright.operators.bars import resample
 from barwright.operators.chunks import DAY, HOUR, cut_size, over_series
 from barwright.operators.clean import latest_wins, repair_volume, silver, valid_bars
 from barwright.plans import metrics, model, serving
+from barwright.plans.layers import Layers, run_bronze, run_gold, run_layers, run_serving, run_silver
 from barwright.schemas import KEYS
 from barwright.session import pin_utc
-from barwright.sources.readers import read_ticks, stream_ticks
+from barwright.sources.readers import read_ticks, stream_ticks, with_size
 from barwright.sources.staging import shared_dir, stage
 from barwright.streaming import bars as streaming
 
@@ -32,9 +34,14 @@ ROUNDED = ["sma_6", "sma_12", "sma_24", "rolling_std_12"]
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _traded() -> Column:
+    """The given events have no sizes; those below a price of 40 stand for quotes without a trade."""
+    return F.col("price") >= 40
+
+
 def _ticks(spark: SparkSession, path: str) -> DataFrame:
     pin_utc(spark)
-    return read_ticks(spark, path)
+    return with_size(read_ticks(spark, path), _traded())
 
 
 def _hourly(spark: SparkSession, path: str) -> DataFrame:
@@ -50,6 +57,11 @@ def _daily(spark: SparkSession, path: str) -> tuple[DataFrame, int | None]:
     return bars, cut_size(bars, DAY)
 
 
+def _two_days(bars: DataFrame) -> int:
+    """Chunks of 48 hours whatever the span, so that most frames cross a border."""
+    return 48
+
+
 def _settled(df: DataFrame, rows: int | None, label: str) -> DataFrame:
     """Stage a layer that chunked windows read several times; whole-series windows read it once."""
     return df if rows is None else stage(df, label)
@@ -91,7 +103,7 @@ def _marks(bars: DataFrame) -> DataFrame:
 
 
 def _as_of(bars: DataFrame) -> Column:
-    return F.lit(bars.agg(F.max("datetime")).first()[0])
+    return marks.from_micros(bars.agg(F.unix_micros(F.max("datetime"))).first()[0])
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -161,9 +173,17 @@ def clean_bars(spark, path):
     return valid_bars(_hourly(spark, path))
 
 
-def volume_ffill(spark, path):
+def _volume_ffill(spark, path, size):
     bars = _bars(spark, path)
-    return repair_volume(valid_bars(bars), rows=cut_size(bars)).select(*KEYS, "volume")
+    return repair_volume(valid_bars(bars), rows=size(bars)).select(*KEYS, "volume")
+
+
+def volume_ffill(spark, path):
+    return _volume_ffill(spark, path, cut_size)
+
+
+def volume_ffill_chunked(spark, path):
+    return _volume_ffill(spark, path, _two_days)
 
 
 def silver_features(spark, path):
@@ -240,10 +260,10 @@ def gold_chunked(spark, path):
     return _rounded(ft.gold(stage(silver(_bars(spark, path), rows=48), "silver"), rows=48))
 
 
-def gold_incremental(spark, path):
+def _gold_incremental(spark, path, size):
     """Load up to CUT, then add the rest as an increment of silver and of gold."""
     bars = _bars(spark, path)
-    rows = cut_size(bars)
+    rows = size(bars)
     old = stage(silver(_loaded(bars), rows=rows), "silver-old")
     new = incremental.silver_from(_newer(bars), marks.latest_row(old), rows=rows)
     both = stage(old.unionByName(new), "silver")
@@ -254,10 +274,40 @@ def gold_incremental(spark, path):
     return _rounded(ft.complete_cases(final.unionByName(fresh)))
 
 
-def gold_revision(spark, path):
+def gold_incremental(spark, path):
+    return _gold_incremental(spark, path, cut_size)
+
+
+def gold_incremental_chunked(spark, path):
+    return _gold_incremental(spark, path, _two_days)
+
+
+def layers_incremental(spark, path):
+    """The batch jobs themselves: three loads into the tables of a database of their own, the layers lagging in between."""
+    ticks = _ticks(spark, path)
+    layers = Layers(f"layers_{uuid.uuid4().hex}")
+    upto = lambda at: ticks.filter(F.col("ts") < marks.instant(at))
+    try:
+        run_layers(upto(CUT), layers, CUT)
+        later = CUT + timedelta(days=3, minutes=20)
+        run_bronze(upto(later), layers, later)
+        run_gold(spark, layers)  # ahead of silver: waits for it
+        run_silver(spark, layers)
+        end = CUT + timedelta(days=400)
+        run_bronze(ticks, layers, end, since=later - timedelta(hours=2))
+        run_gold(spark, layers)
+        run_serving(spark, layers)
+        run_silver(spark, layers)
+        run_gold(spark, layers)
+        return _rounded(ft.complete_cases(stage(spark.read.table(layers.name("gold")).drop("date"), "gold")))
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {layers.database} CASCADE")
+
+
+def _gold_revision(spark, path, size):
     """Load everything, then revise some bars and recompute only what they can reach."""
     bars = _bars(spark, path)
-    rows = cut_size(bars)
+    rows = size(bars)
     old = stage(silver(bars, rows=rows), "silver-old")
     stored = ft.with_pending(ft.features(old, rows=rows))
     revised = (F.col("datetime") >= _mark()) & (F.col("datetime") < _mark() + F.lit(REVISED))
@@ -276,6 +326,14 @@ def gold_revision(spark, path):
     return _rounded(ft.complete_cases(incremental.merge_rows(stored, fresh)))
 
 
+def gold_revision(spark, path):
+    return _gold_revision(spark, path, cut_size)
+
+
+def gold_revision_chunked(spark, path):
+    return _gold_revision(spark, path, _two_days)
+
+
 # Long series without a key
 
 
@@ -330,6 +388,25 @@ def time_split(spark, path):
     return split.time_split(gold, rows=rows).select(*KEYS, "is_train")
 
 
+def time_split_chunked(spark, path):
+    gold = stage(_gold(spark, path)[0], "gold")
+    return split.time_split(gold, rows=_two_days(gold)).select(*KEYS, "is_train")
+
+
+def _line_sums(spark, path, columns):
+    """A line without penalty, fitted by the library's trainer: (term, value) rounded to 4 places."""
+    train, _ = _train_test(spark, path)
+    return model.plain_line(stage(train, "train"), columns).select("term", F.round("value", 4).alias("value"))
+
+
+def line_fit(spark, path):
+    return _line_sums(spark, path, ["close"])
+
+
+def line_fit_2(spark, path):
+    return _line_sums(spark, path, ["close", "hour"])
+
+
 def scaler_stats(spark, path):
     train, _ = _train_test(spark, path)
     return model.scaler_stats(train).withColumns({c: F.round(c, 6) for c in ("mean", "std")})
@@ -387,6 +464,11 @@ def serving_shift(spark, path):
     return serving.serving_shift(_next_close(_bars(spark, path)))
 
 
+def serving_shift_chunked(spark, path):
+    bars = _bars(spark, path)
+    return serving.serving_shift(serving.next_close(bars, rows=_two_days(bars)))
+
+
 def recent_10(spark, path):
     return marks.newest(_hourly(spark, path).select(*KEYS, "close"), 10)
 
@@ -443,12 +525,20 @@ def rsi_14(spark, path):
     return out.select(*KEYS, F.round("rsi_14", 6).alias("rsi_14"))
 
 
-def rsi_14_hourly(spark, path):
+def _rsi_hourly(spark, path, size):
     bars = _bars(spark, path)
-    out = momentum.relative_strength(bars, step=HOUR, rows=cut_size(bars))
+    out = momentum.relative_strength(bars, step=HOUR, rows=size(bars))
     return out.select(*KEYS, F.round("rsi_14", 6).alias("rsi_14"))
 
 
+def rsi_14_hourly(spark, path):
+    return _rsi_hourly(spark, path, cut_size)
+
+
+def rsi_14_hourly_chunked(spark, path):
+    return _rsi_hourly(spark, path, _two_days)
+
+
 def ma_7(spark, path):
     bars, rows = _daily(spark, path)
     out = momentum.moving_average(bars, rows=rows)
@@ -473,7 +563,7 @@ def updown_label(spark, path):
 def stream_bars(spark, path):
     pin_utc(spark)
     place = f"{shared_dir(spark)}/stream-{datetime.now():%Y%m%d%H%M%S%f}"
-    bars = streaming.stream_bars(stream_ticks(spark, path))
+    bars = streaming.stream_bars(with_size(stream_ticks(spark, path), _traded()))
     streaming.write_bars(bars, f"{place}/bars", f"{place}/checkpoint").awaitTermination()
     return streaming.written_bars(spark, f"{place}/bars")
 
@@ -482,6 +572,8 @@ _ALL = [
     ohlcv_bars, daily_bars, backfill_range, backfill_range_10d, overlap_range, high_water_mark,
     increment_inclusive, increment_exclusive, latest_row, dedup_bars, clean_bars, volume_ffill,
     silver_features, silver_layer, calendar_parts, carry_union, lags, returns, volume_change, target_price,
+    volume_ffill_chunked, time_split_chunked, serving_shift_chunked, rsi_14_hourly_chunked, gold_incremental_chunked,
+    gold_revision_chunked, layers_incremental, line_fit, line_fit_2,
     rolling_means, rolling_std, gold_mini, gold_features, gold_chunked, gold_incremental, gold_revision,
     global_row_index, rolling_chunked, ffill_chunked, time_split, scaler_stats, scaled_features, eval_metrics,
     best_run, model_grid, next_step, forecast_vs_actual, serving_shift, recent_10, recent_5_local, recent_48h,

@@ -7,29 +7,29 @@ from pyspark.sql import functions as F
 
 from barwright.functions.expr import order_key
 
-TRADE_FLOOR = 40.0
 
-
-def bar_aggregates(volume_floor: float = TRADE_FLOOR) -> list[Column]:
-    """First, highest, lowest and last price, and the count of ticks at or above ``volume_floor``.
+def bar_aggregates(ticks: DataFrame) -> list[Column]:
+    """First, highest, lowest and last price, and the summed size of ticks; without a ``size`` each counts 1.
 
     All buffers are fixed width: the ticks of a hot symbol or hour are combined by hash on the map side
     and only one row per (symbol, interval) and task is shuffled.
     """
-    at = F.when(F.col("price").isNotNull(), order_key("ts", "tick_id"))  # a tick without price is no trade
+    traded = F.col("price").isNotNull()  # a tick without price is no trade
+    at = F.when(traded, order_key("ts", "tick_id"))
+    size = F.col("size").cast("long") if "size" in ticks.columns else F.lit(1).cast("long")
     return [
         F.min_by("price", at).alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
         F.max_by("price", at).alias("close"),
-        F.count_if(F.col("price") >= volume_floor).alias("volume"),
+        F.coalesce(F.sum(F.when(traded, size)), F.lit(0).cast("long")).alias("volume"),
     ]
 
 
-def resample(ticks: DataFrame, interval: str = "1 hour", volume_floor: float = TRADE_FLOOR) -> DataFrame:
+def resample(ticks: DataFrame, interval: str = "1 hour") -> DataFrame:
     """Bars keyed by (symbol, datetime = start of the interval, UTC); intervals without ticks have no bar."""
     return (
         ticks.groupBy("symbol", F.window("ts", interval)["start"].alias("datetime"))
-        .agg(*bar_aggregates(volume_floor))
+        .agg(*bar_aggregates(ticks))
         .select("symbol", "datetime", "open", "high", "low", "close", "volume")
     )

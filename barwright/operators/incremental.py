@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from barwright.functions.expr import known_volume
-from barwright.operators.chunks import HOUR, ROWS_PER_CHUNK, fill_forward, over_series, time_chunk
+from barwright.operators.chunks import CHUNK, HOUR, ROWS_PER_CHUNK, fill_forward, over_series, time_chunk
 from barwright.operators.clean import derive, repair_volume, valid_bars
 from barwright.operators.features import LOOK_AHEAD, LOOK_BACK, features, with_pending
+from barwright.operators.marks import instant
 from barwright.schemas import BARS, KEYS
 from barwright.sources.staging import stage
 
@@ -52,7 +53,7 @@ def last_rows(df: DataFrame, count: int) -> DataFrame:
 
 
 def last_rows_before(
-    history: DataFrame, marks: DataFrame, count: int, horizon: datetime, inclusive: bool
+    history: DataFrame, marks: DataFrame, count: int, horizon: datetime | Column, inclusive: bool
 ) -> DataFrame:
     """Each symbol's last ``count`` rows ahead of its mark, reading little of a long, dated history.
 
@@ -64,7 +65,7 @@ def last_rows_before(
         known = part.join(of.select("symbol"), "symbol", "left_semi")
         return last_rows(split_at(known, of, inclusive).filter(~F.col("_past")).drop("_past"), count)
 
-    since = F.lit(horizon)
+    since = instant(horizon)
     recent = history.filter((F.col("date") >= F.to_date(since)) & (F.col("datetime") >= since))
     near = stage(ahead(recent, marks), "near")
     enough = near.groupBy("symbol").count().filter(F.col("count") >= count)
@@ -116,18 +117,42 @@ def changed_rows(old: DataFrame, new: DataFrame) -> DataFrame:
     return joined.filter(~F.col("_new").eqNullSafe(F.col("_old"))).select(*KEYS)
 
 
+def rows_near(
+    series: DataFrame, changes: DataFrame, back: int, ahead: int, step: timedelta = HOUR, span: int = 512
+) -> DataFrame:
+    """The rows of ``series`` in time chunks of ``span`` steps that hold a change, and in those with any of the
+    ``back`` rows before or the ``ahead`` rows after such a chunk.
+
+    Found from the chunks' row counts, one row per chunk, so gaps of any length are exact; the rest of a long
+    series is not sorted or shuffled. Of two stretches that stay apart, no row of one is closer to a change
+    of the other than it was.
+    """
+    chunk = time_chunk("datetime", step, span)
+    chunked = series.join(changes.select("symbol").distinct(), "symbol", "left_semi").withColumn(CHUNK, chunk)
+    touched = changes.select("symbol", chunk.alias(CHUNK)).distinct().withColumn("_touched", F.lit(True))
+    along = Window.partitionBy("symbol").orderBy(CHUNK)
+    before, after = along.rowsBetween(Window.unboundedPreceding, -1), along.rowsBetween(1, Window.unboundedFollowing)
+    ends = F.sum("_size").over(along.rowsBetween(Window.unboundedPreceding, 0))
+    placed = chunked.groupBy("symbol", CHUNK).agg(F.count(F.lit(1)).alias("_size")).join(touched, ["symbol", CHUNK], "left")
+    placed = placed.withColumn("_end", ends).withColumn("_start", F.col("_end") - F.col("_size"))
+    past = F.last(F.when(F.col("_touched"), F.col("_end")), ignorenulls=True).over(before)
+    coming = F.first(F.when(F.col("_touched"), F.col("_start")), ignorenulls=True).over(after)
+    placed = placed.withColumns({"_past": past, "_coming": coming})
+    near = F.expr(f"_touched OR coalesce(_past + {ahead} > _start, false) OR coalesce(_coming - {back} < _end, false)")
+    needed = stage(placed.filter(near).select("symbol", CHUNK), "near-chunks")
+    return chunked.join(needed, ["symbol", CHUNK], "left_semi").drop(CHUNK)
+
+
 def gold_touched_by(
     silver: DataFrame, changes: DataFrame, step: timedelta = HOUR, rows: int | None = ROWS_PER_CHUNK
 ) -> DataFrame:
     """Recomputed gold rows, pending ones included, that the changed silver rows can reach.
 
-    A change at T reaches one row back (its target) and 23 ahead. Only symbols with a change are read.
+    A change at T reaches one row back (its target) and 23 ahead, and these read 23 rows back and one ahead. Only
+    the stretches of a series around its changes are windowed.
     """
-    affected_symbols = changes.select("symbol").distinct()
-    flagged = (
-        silver.join(affected_symbols, "symbol", "left_semi")
-        .join(changes.select(*KEYS, F.lit(True).alias("_changed")), KEYS, "left")
-    )
+    around = rows_near(silver, changes, LOOK_AHEAD + LOOK_BACK, LOOK_BACK + LOOK_AHEAD, step)
+    flagged = around.join(changes.select(*KEYS, F.lit(True).alias("_changed")), KEYS, "left")
     reach = over_series(
         flagged.select(*KEYS, "_changed"),
         lambda w: [{"_hit": F.max("_changed").over(w.rowsBetween(-LOOK_BACK, LOOK_AHEAD))}],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +14,19 @@ RECENT = timedelta(hours=48)
 
 def instant(value: datetime | Column) -> Column:
     """A timestamp column from a column or a UTC datetime."""
-    return value if isinstance(value, Column) else F.lit(value.isoformat()).cast("timestamp")
+    return value if isinstance(value, Column) else from_micros(micros(value))
+
+
+def micros(value: datetime) -> int:
+    """Microseconds since 1970 of an instant; one without a zone is in UTC."""
+    aware = value if value.tzinfo else value.replace(tzinfo=timezone.utc)
+    return (aware - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)
+
+
+def from_micros(value: int | None) -> Column:
+    """The instant as a literal. Numbers, not datetimes, cross to the driver and back: those would go
+    through the driver's zone, in which an hour may occur twice."""
+    return F.timestamp_micros(F.lit(value).cast("long"))
 
 
 def high_water_mark(df: DataFrame) -> DataFrame:

@@ -14,6 +14,8 @@ from barwright.sources.staging import stage
 
 MAX_CHUNK_ROWS = 1_000_000
 MIN_CHUNK_ROWS = 1_000
+#: Rows to a partition of the range shuffle, where the session's number of partitions would give more.
+PARTITION_ROWS = 4_000_000
 _POSITION = "_position"
 
 
@@ -26,7 +28,7 @@ def row_index(df: DataFrame, order: Sequence[str], name: str = "rn", partitions:
     and the number of rows in the partitions before is added. That table has one row per partition.
     """
     spark = df.sparkSession
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.count() // PARTITION_ROWS)
     ordered = df.repartitionByRange(count, *order).sortWithinPartitions(*order)
     placed = stage(ordered.withColumn(_POSITION, F.monotonically_increasing_id()), "row-index")
     placed = placed.withColumn("_part", F.shiftright(_POSITION, 33))

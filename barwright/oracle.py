@@ -204,6 +204,20 @@ ORACLE: dict[str, str] = {
       SELECT symbol, datetime, round((close - prev) / nullif(prev, 0) * 100, 6) AS return_1d FROM p""",
     "updown_label": f"""{DAILY}, p AS (SELECT *, lead(close) OVER ({SERIES}) AS nxt FROM bars)
       SELECT symbol, datetime, CASE WHEN nxt IS NULL THEN NULL WHEN nxt > close THEN 1 ELSE 0 END::DOUBLE AS label FROM p""",
+    "line_fit": f"""{SPLIT}, t AS (SELECT target_price AS y, close AS x FROM parts WHERE is_train)
+      SELECT 'intercept' AS term, round(regr_intercept(y, x), 4) AS value FROM t UNION ALL
+      SELECT 'close', round(regr_slope(y, x), 4) FROM t""",
+    "line_fit_2": f"""{SPLIT}, t AS (SELECT target_price AS y, close AS a, "hour"::DOUBLE AS b FROM parts WHERE is_train),
+      m AS (SELECT var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS yb,
+              avg(a) AS a0, avg(b) AS b0, avg(y) AS y0 FROM t),
+      s AS (SELECT *, (ay * bb - yb * ab) / (aa * bb - ab * ab) AS sa, (yb * aa - ay * ab) / (aa * bb - ab * ab) AS sb FROM m)
+      SELECT 'intercept' AS term, round(y0 - sa * a0 - sb * b0, 4) AS value FROM s UNION ALL
+      SELECT 'close', round(sa, 4) FROM s UNION ALL SELECT 'hour', round(sb, 4) FROM s""",
     "stream_bars": f"""{BARS} SELECT * FROM bars
       WHERE datetime + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""",
 }
+
+# The same results from chunked windows, from jobs that run one after the other, and from the tables of the layers.
+for _name in ("volume_ffill", "time_split", "serving_shift", "rsi_14_hourly", "gold_incremental", "gold_revision"):
+    ORACLE[f"{_name}_chunked"] = ORACLE[_name]
+ORACLE["layers_incremental"] = ORACLE["gold_features"]

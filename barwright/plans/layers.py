@@ -1,8 +1,12 @@
 """The batch jobs: ticks -> bronze -> silver -> gold -> model -> serving tables.
 
-Bronze reads ticks from each symbol's high-water mark less an overlap. Silver and gold replace their rows
-from the first bar that bronze has changed since their last run. A run may be repeated, and any sequence
-of runs leaves the tables a full recompute would.
+Bronze reads ticks from each symbol's high-water mark less an overlap; the marks are a table of their own. The
+later layers replace their rows from the first bar that bronze has changed since their last run, as far as
+the layer before them has got: gold that runs ahead of silver waits for it. A run may be repeated, and once
+every layer has run after the last load, in whatever order and however often before, the tables are
+what a full recompute would leave.
+
+Instants reach the driver as microseconds, so its time zone does not matter.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barwright import schemas
@@ -26,6 +30,7 @@ from barwright.operators.marks import (
     BACKFILL,
     OVERLAP,
     backfill_range,
+    from_micros,
     high_water_mark,
     instant,
     overlap_range,
@@ -38,6 +43,7 @@ from barwright.sources import tables
 from barwright.sources.staging import scratch, stage
 
 NEAR = timedelta(days=7)  # history tried first when a run looks back
+UPSTREAM = {"silver": "bronze", "gold": "silver", "serving": "gold"}
 
 
 @dataclass(frozen=True)
@@ -68,103 +74,152 @@ def _job(spark: SparkSession) -> Iterator[None]:
         yield
 
 
-def _bar_start(spark: SparkSession, at: datetime, layers: Layers) -> datetime:
-    return spark.range(1).select(F.window(instant(at), layers.interval)["start"].alias("start")).first()["start"]
+def _bar_start(spark: SparkSession, at: Column, layers: Layers) -> int:
+    return spark.range(1).select(F.unix_micros(F.window(at, layers.interval)["start"]).alias("start")).first()["start"]
+
+
+def _marks(spark: SparkSession, layers: Layers) -> DataFrame | None:
+    """(symbol, max_dt) of what bronze holds; of a bronze table older than its marks, from that table."""
+    marks = tables.load_or_none(spark, layers.name("marks"))
+    if marks is None and spark.catalog.tableExists(layers.name("bronze")):
+        marks = high_water_mark(tables.load(spark, layers.name("bronze")))
+    return marks
+
+
+def _last_load(spark: SparkSession, layers: Layers) -> Column | None:
+    """The earliest instant whose ticks the last run may have missed: its ``as_of`` less the overlap."""
+    loads = tables.load_or_none(spark, layers.name("loads"))
+    last = loads.agg(F.unix_micros(F.max("as_of"))).first()[0] if loads is not None else None
+    return None if last is None else from_micros(last) - F.lit(OVERLAP)
 
 
 def _fetch(
-    ticks: DataFrame, stored: DataFrame | None, layers: Layers, as_of: datetime, since: datetime | None
+    ticks: DataFrame, layers: Layers, as_of: datetime, since: datetime | None, symbols: DataFrame | None
 ) -> DataFrame:
     """The bars a run has to load: 720 days for new symbols, else from the mark less the overlap."""
+    spark = ticks.sparkSession
     oldest = instant(as_of) - F.lit(BACKFILL)
-    if stored is None:
-        return backfill_range(resample(ticks.filter(F.col("ts") >= oldest), layers.interval), as_of)
-    marks = stage(high_water_mark(stored), "marks")
-    low = marks.agg((F.min("max_dt") - F.lit(OVERLAP)).alias("low")).first()["low"]
-    if low is None:  # a table without rows
-        return _fetch(ticks, None, layers, as_of, since)
-    if since is not None:
-        low = max(low, _bar_start(ticks.sparkSession, since, layers))
-    bound = F.lit(low)
-    fresh = ticks.filter(F.col("ts") >= bound)  # a literal: reaches the scan
+    history = ticks.filter(F.col("ts") >= oldest)
+    stored = _marks(spark, layers)
+    marks = None if stored is None else stage(stored, "marks")
+    low = marks.agg(F.unix_micros(F.min("max_dt") - F.lit(OVERLAP)).alias("low")).first()["low"] if marks is not None else None
+    if low is None:  # no table yet, or one without rows
+        return backfill_range(resample(history, layers.interval), as_of)
+    known_until = _last_load(spark, layers) if since is None else instant(since)
+    if known_until is not None:
+        low = max(low, _bar_start(spark, known_until, layers))
+    fresh = ticks.filter(F.col("ts") >= from_micros(low))  # a literal: reaches the scan
     bars = overlap_range(resample(fresh, layers.interval), marks)
-    unseen = stage(fresh.select("symbol").distinct().join(marks, "symbol", "left_anti"), "unseen")
+    present = history if symbols is None else symbols  # else one narrow column of the range
+    unseen = stage(present.select("symbol").distinct().join(marks, "symbol", "left_anti"), "unseen")
     if not unseen.isEmpty():
-        history = ticks.filter(F.col("ts") >= oldest).join(unseen, "symbol", "left_semi")
-        first_load = backfill_range(resample(history, layers.interval), as_of)
+        whole = history.join(unseen, "symbol", "left_semi")
+        first_load = backfill_range(resample(whole, layers.interval), as_of)
         bars = bars.join(unseen, "symbol", "left_anti").unionByName(first_load)
     return bars
 
 
+def _last_seq(spark: SparkSession, layers: Layers, layer: str) -> int | None:
+    progress = tables.load_or_none(spark, layers.name("progress"))
+    if progress is None:
+        return None
+    return progress.filter(F.col("layer") == layer).agg(F.max("ingest_seq")).first()[0]
+
+
 def _next_seq(spark: SparkSession, layers: Layers) -> int:
-    stored = tables.load_or_none(spark, layers.name("bronze"))
-    last = stored.agg(F.max("ingest_seq")).first()[0] if stored is not None else None
+    last = _last_seq(spark, layers, "bronze")
+    if last is None:  # nothing recorded: a bronze table from before the records, or none
+        stored = tables.load_or_none(spark, layers.name("bronze"))
+        last = stored.agg(F.max("ingest_seq")).first()[0] if stored is not None else None
     return 0 if last is None else last + 1
 
 
 def store_bars(bars: DataFrame, layers: Layers, seq: int | None = None) -> None:
     """Upsert bars into bronze; of equal keys the highest ``seq`` stays.
 
-    It must grow from run to run, and by default is one more than the highest one stored.
+    It must grow from run to run, and by default is one more than the highest one used. It is recorded before the
+    rows are written: a run that fails between the two leaves a number unused, never one used twice.
     """
+    spark = bars.sparkSession
     if seq is None:
-        seq = _next_seq(bars.sparkSession, layers)
-    numbered = bars.withColumn("ingest_seq", F.lit(seq).cast("long"))
-    tables.replace_rows(numbered, layers.name("bronze"), schemas.BRONZE, version="ingest_seq", fmt=layers.fmt)
+        seq = _next_seq(spark, layers)
+    with scratch(spark):
+        numbered = stage(bars.withColumn("ingest_seq", F.lit(seq).cast("long")), "bars")
+        _record(spark, layers, "bronze", seq)
+        tables.replace_rows(numbered, layers.name("bronze"), schemas.BRONZE, version="ingest_seq", fmt=layers.fmt)
+        marks = high_water_mark(numbered)
+        stored = _marks(spark, layers)
+        if stored is not None:
+            marks = marks.unionByName(stored.select("symbol", "max_dt"))
+        newest = stage(marks.groupBy("symbol").agg(F.max("max_dt").alias("max_dt")), "marks")
+        tables.snapshot(newest, layers.name("marks"), layers.fmt, "symbol")
 
 
 def run_bronze(
-    ticks: DataFrame, layers: Layers, as_of: datetime, seq: int | None = None, since: datetime | None = None
+    ticks: DataFrame,
+    layers: Layers,
+    as_of: datetime,
+    seq: int | None = None,
+    since: datetime | None = None,
+    symbols: DataFrame | None = None,
 ) -> None:
     """Load the bars that are new or may have changed.
 
-    Each symbol is read from its own mark, so one that has been idle for long widens the scan for all.
-    A caller who knows that no tick older than ``since`` has arrived after the last run bounds it.
+    Every symbol is read from its own mark less the overlap, but ticks older than ``since`` are taken to be
+    loaded already: by default those older than the last run's ``as_of`` less the overlap. Pass an earlier
+    instant to pick up ticks that came later than that. A symbol that is not loaded yet is read over
+    its 720 days whatever the age of its ticks; without ``symbols``, the symbols to load, they are found by reading
+    the symbol column of that range.
     """
     spark = ticks.sparkSession
     with _job(spark):
         tables.create_schema(spark, layers.database)
-        stored = tables.load_or_none(spark, layers.name("bronze"))
-        store_bars(_fetch(ticks, stored, layers, as_of, since), layers, seq)
+        store_bars(_fetch(ticks, layers, as_of, since, symbols), layers, seq)
+        done = spark.range(1).select(instant(as_of).alias("as_of"))
+        tables.append(done, layers.name("loads"), schemas.LOADS, layers.fmt)
 
 
 @dataclass(frozen=True)
 class Changes:
-    """What a layer has not seen yet: (symbol, start) per changed symbol, the earliest start, the last seq."""
+    """What a layer has not seen yet: (symbol, start) per changed symbol, the earliest start in microseconds, and
+    how far the layer will have got."""
 
     starts: DataFrame
-    earliest: datetime | None
-    seq: int | None
+    earliest: int
+    seq: int
 
     @property
-    def horizon(self) -> datetime:
-        return self.earliest - NEAR
+    def horizon(self) -> Column:
+        return from_micros(self.earliest - NEAR // timedelta(microseconds=1))
 
     def marks(self) -> DataFrame:
         return self.starts.withColumnRenamed("start", "max_dt")
 
     def part(self, stored: DataFrame) -> DataFrame:
         """The stored rows from the starts on; older partitions are not read."""
-        dated = stored.filter(F.col("date") >= F.to_date(F.lit(self.earliest)))
+        dated = stored.filter(F.col("date") >= F.to_date(from_micros(self.earliest)))
         return dated.join(self.starts, "symbol").filter(F.col("datetime") >= F.col("start")).drop("start")
 
 
-def _changes(spark: SparkSession, layers: Layers, layer: str) -> Changes:
-    """Bronze rows ingested after the layer's last run. The filter skips files by their statistics."""
-    bronze = tables.load(spark, layers.name("bronze"))
-    progress = tables.load_or_none(spark, layers.name("progress"))
-    if progress is not None:
-        seen = progress.filter(F.col("layer") == layer).agg(F.max("ingest_seq")).first()[0]
-        if seen is not None:
-            bronze = bronze.filter(F.col("ingest_seq") > seen)
-    per_symbol = bronze.groupBy("symbol").agg(F.min("datetime").alias("start"), F.max("ingest_seq").alias("seq"))
-    staged = stage(per_symbol, "changes")
-    row = staged.agg(F.min("start").alias("earliest"), F.max("seq").alias("seq")).first()
-    return Changes(staged.drop("seq"), row["earliest"], row["seq"])
-
-
-def _record(spark: SparkSession, layers: Layers, layer: str, changes: Changes) -> None:
-    done = spark.createDataFrame([(layer, changes.seq)], schemas.PROGRESS)
+def _changes(spark: SparkSession, layers: Layers, layer: str) -> Changes | None:
+    """Bronze rows that the layer before this one has processed and this one has not; None if there are none.
+
+    The filter skips files by their statistics. A row that a later load has replaced meanwhile comes with that
+    load, once the layer before has processed it.
+    """
+    reached, seen = _last_seq(spark, layers, UPSTREAM[layer]), _last_seq(spark, layers, layer)
+    if reached is None or (seen is not None and seen >= reached):
+        return None
+    bronze = tables.load(spark, layers.name("bronze")).filter(F.col("ingest_seq") <= reached)
+    if seen is not None:
+        bronze = bronze.filter(F.col("ingest_seq") > seen)
+    starts = stage(bronze.groupBy("symbol").agg(F.min("datetime").alias("start")), "changes")
+    earliest = starts.agg(F.unix_micros(F.min("start"))).first()[0]
+    return None if earliest is None else Changes(starts, earliest, reached)
+
+
+def _record(spark: SparkSession, layers: Layers, layer: str, seq: int) -> None:
+    done = spark.createDataFrame([(layer, seq)], schemas.PROGRESS)
     tables.append(done, layers.name("progress"), schemas.PROGRESS, layers.fmt)
 
 
@@ -172,7 +227,7 @@ def run_silver(spark: SparkSession, layers: Layers) -> None:
     """Recompute silver from each changed symbol's first changed bar on."""
     with _job(spark):
         changes = _changes(spark, layers, "silver")
-        if changes.seq is None:
+        if changes is None:
             return
         bronze = tables.load(spark, layers.name("bronze"))
         stored = tables.load_or_none(spark, layers.name("silver"))
@@ -185,7 +240,7 @@ def run_silver(spark: SparkSession, layers: Layers) -> None:
             fresh = silver_from(changes.part(bronze), before, layers.step, rows)
             scope = changes.starts
         tables.replace_rows(fresh, layers.name("silver"), schemas.SILVER, scope=scope, fmt=layers.fmt)
-        _record(spark, layers, "silver", changes)
+        _record(spark, layers, "silver", changes.seq)
 
 
 def run_gold(spark: SparkSession, layers: Layers) -> None:
@@ -195,7 +250,7 @@ def run_gold(spark: SparkSession, layers: Layers) -> None:
     """
     with _job(spark):
         changes = _changes(spark, layers, "gold")
-        if changes.seq is None:
+        if changes is None:
             return
         bars = tables.load(spark, layers.name("silver"))
         stored = tables.load_or_none(spark, layers.name("gold"))
@@ -207,7 +262,7 @@ def run_gold(spark: SparkSession, layers: Layers) -> None:
             fresh = gold_with_context(changes.part(bars), context, 1, layers.step, rows)
             scope = changes.starts
         tables.replace_rows(fresh, layers.name("gold"), schemas.GOLD, scope=scope, fmt=layers.fmt)
-        _record(spark, layers, "gold", changes)
+        _record(spark, layers, "gold", changes.seq)
 
 
 def run_training(
@@ -217,7 +272,8 @@ def run_training(
     model_path: str | None = None,
     validation: float | None = None,
 ) -> PipelineModel:
-    """Fit the grid, record every run, store the forecast of each symbol's next bar.
+    """Fit the grid, record every run, store the forecast of each symbol's next bar. Repeating a ``run_id``
+    replaces its rows.
 
     The best run is the one with the lowest error on the test rows, or, given a ``validation`` share, on
     that last part of the training rows.
@@ -233,7 +289,7 @@ def run_training(
         grid = fit_grid(stage(train, "train"), stage(scored, "scored"))
         labelled = grid.runs.withColumns({"run_id": F.lit(run_id), "run_by": F.current_user()})
         recorded = stage(labelled, "runs")
-        tables.append(recorded, layers.name("model_runs"), schemas.MODEL_RUNS, layers.fmt)
+        tables.replace_groups(recorded, layers.name("model_runs"), schemas.MODEL_RUNS, ["run_id"], layers.fmt)
         model = replace(grid, runs=recorded).best()
         if model_path:
             model.write().overwrite().save(model_path)
@@ -252,7 +308,7 @@ def run_serving(spark: SparkSession, layers: Layers) -> None:
     """Bring the serving table up to gold, from the row before each symbol's first changed bar on."""
     with _job(spark):
         changes = _changes(spark, layers, "serving")
-        if changes.seq is None:
+        if changes is None:
             return
         gold = tables.load(spark, layers.name("gold")).select("symbol", "datetime", "close", "target_price", "date")
         if not spark.catalog.tableExists(layers.name("serving")):
@@ -266,15 +322,20 @@ def run_serving(spark: SparkSession, layers: Layers) -> None:
             )
         fresh = serving_shift(rows)
         tables.replace_rows(fresh, layers.name("serving"), schemas.SERVING, scope=scope, fmt=layers.fmt)
-        _record(spark, layers, "serving", changes)
+        _record(spark, layers, "serving", changes.seq)
 
 
 def run_layers(
-    ticks: DataFrame, layers: Layers, as_of: datetime, seq: int | None = None, since: datetime | None = None
+    ticks: DataFrame,
+    layers: Layers,
+    as_of: datetime,
+    seq: int | None = None,
+    since: datetime | None = None,
+    symbols: DataFrame | None = None,
 ) -> None:
     """One scheduled run of the data layers."""
     spark = ticks.sparkSession
-    run_bronze(ticks, layers, as_of, seq, since)
+    run_bronze(ticks, layers, as_of, seq, since, symbols)
     run_silver(spark, layers)
     run_gold(spark, layers)
     run_serving(spark, layers)

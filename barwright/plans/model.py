@@ -102,6 +102,14 @@ def fit_grid(
     return Grid(models, evaluate_runs(scores, LABEL, runs, "column"))
 
 
+def plain_line(train: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(term, value): intercept and slopes of the least-squares line from ``columns`` to the label."""
+    line = LinearRegression(featuresCol="features", labelCol=LABEL, regParam=0.0)
+    fitted = line.fit(assembler(columns).transform(train.select(*columns, LABEL)))
+    terms = [("intercept", float(fitted.intercept)), *zip(columns, map(float, fitted.coefficients), strict=True)]
+    return train.sparkSession.createDataFrame(terms, "term string, value double")
+
+
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """(symbol, datetime, close, prediction) for each row: the forecast of the next close."""
     return model.transform(rows).select("symbol", "datetime", "close", "prediction")

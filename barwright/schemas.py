@@ -50,6 +50,8 @@ SERVING = T.StructType(_KEY_FIELDS + _doubles("actual_close", "predicted_close")
 PREDICTIONS = T.StructType(
     _KEY_FIELDS + [T.StructField("run_id", T.StringType(), False)] + _doubles("close", "prediction")
 )
+MARKS = T.StructType([T.StructField("symbol", T.StringType(), False), T.StructField("max_dt", T.TimestampType(), False)])
+LOADS = T.StructType([T.StructField("as_of", T.TimestampType(), False)])
 PROGRESS = T.StructType(
     [T.StructField("layer", T.StringType(), False), T.StructField("ingest_seq", T.LongType(), False)]
 )
@@ -64,17 +66,13 @@ MODEL_RUNS = T.StructType(
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Project to a schema: order and cast its columns, null-fill absent nullable ones.
+    """Order and cast the schema's columns, null-fill absent nullable ones; others follow as they are.
 
-    A missing key column is an error; columns the schema does not name are dropped.
+    A missing key column is an error. No column is dropped: a table takes new ones on (``replace_rows``).
     """
     have = set(df.columns)
     missing = [f.name for f in schema.fields if f.name not in have and not f.nullable]
     if missing:
         raise ValueError(f"required columns are missing: {missing}")
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    named = [(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return df.select(*named, *[F.col(f"`{c}`") for c in df.columns if c not in schema.fieldNames()])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -19,6 +19,11 @@ def event_ticks(events: DataFrame) -> DataFrame:
     )
 
 
+def with_size(ticks: DataFrame, traded: Column) -> DataFrame:
+    """Ticks with the size 1 where ``traded`` holds, else 0."""
+    return ticks.withColumn("size", F.when(traded, 1).otherwise(0))
+
+
 def read_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_ticks(spark.read.parquet(f"{sf_dir}/events.parquet"))
 

@@ -35,12 +35,50 @@ def snapshot(df: DataFrame, table: str, fmt: str = "parquet", order: str = "date
     df.sortWithinPartitions(order).write.format(fmt).mode("overwrite").saveAsTable(table)
 
 
+def _same_columns(df: DataFrame, schema: StructType) -> DataFrame:
+    """``df`` in the schema's form; columns that it does not name are an error."""
+    unknown = [c for c in df.columns if c not in schema.fieldNames()]
+    if unknown:
+        raise ValueError(f"unknown columns: {unknown}")
+    return conform(df, schema)
+
+
 def append(df: DataFrame, table: str, schema: StructType, fmt: str = "parquet") -> None:
-    conform(df, schema).write.format(fmt).mode("append").saveAsTable(table)
+    _same_columns(df, schema).write.format(fmt).mode("append").saveAsTable(table)
+
+
+def replace_groups(df: DataFrame, table: str, schema: StructType, keys: list[str], fmt: str = "parquet") -> None:
+    """Append rows in place of the stored ones that share their ``keys``; for small tables, which are rewritten."""
+    spark = df.sparkSession
+    fresh = stage(_same_columns(df, schema), "fresh")
+    if not spark.catalog.tableExists(table):
+        fresh.write.format(fmt).saveAsTable(table)
+        return
+    stored = spark.read.table(table)
+    if stored.join(fresh.select(*keys), keys, "left_semi").isEmpty():
+        fresh.write.format(fmt).mode("append").saveAsTable(table)
+        return
+    kept = stored.join(fresh.select(*keys).distinct(), keys, "left_anti").select(*fresh.columns)
+    stage(kept.unionByName(fresh), "groups").write.format(fmt).mode("overwrite").saveAsTable(table)
 
 
 def _dated(df: DataFrame, schema: StructType) -> DataFrame:
-    return conform(df, schema).withColumn("date", F.to_date("datetime"))
+    dated = conform(df.drop("date"), schema)
+    return dated.withColumn("date", F.to_date("datetime"))
+
+
+def _evolve(incoming: DataFrame, table: str) -> DataFrame:
+    """Add the columns that the table lacks to it, and those that ``incoming`` lacks to that, as nulls."""
+    spark = incoming.sparkSession
+    new = [f for f in incoming.schema if f.name not in spark.read.table(table).columns]
+    if new:
+        added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
+        spark.catalog.refreshTable(table)
+    stored = spark.read.table(table).schema
+    return incoming.select(
+        *[F.col(f"`{f.name}`") if f.name in incoming.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in stored]
+    )
 
 
 def _by_date(df: DataFrame) -> DataFrame:
@@ -83,14 +121,16 @@ def replace_rows(
 
     ``scope`` (symbol, start) widens that: every stored row of the symbol at or past ``start`` goes too.
     With ``version``, stored and fresh rows compete and the highest version of a key stays, so a late
-    arrival of older data does not win. Only dates on which something differs are rewritten.
+    arrival of older data does not win. Only dates on which something differs are rewritten. Columns that
+    the table does not have yet are added to it.
     """
     spark = fresh.sparkSession
     incoming = stage(_dated(fresh, schema), "incoming")
     if not spark.catalog.tableExists(table):
         _by_date(incoming).write.format(fmt).partitionBy("date").saveAsTable(table)
         return
-    stored = spark.read.table(table).select(*incoming.columns)
+    incoming = _evolve(incoming, table)
+    stored = spark.read.table(table)
     if scope is None:
         dates = _dates(incoming)
     else:

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from barwright.operators.bars import TRADE_FLOOR, bar_aggregates
-from barwright.plans.layers import Layers, run_gold, run_silver, store_bars
+from barwright.operators.bars import bar_aggregates
+from barwright.plans.layers import Layers, run_gold, run_serving, run_silver, store_bars
 from barwright.schemas import BARS
 from barwright.sources import tables
 from barwright.sources.staging import scratch, stage
@@ -17,17 +17,12 @@ from barwright.sources.staging import scratch, stage
 LATENESS = timedelta(hours=2)
 
 
-def stream_bars(
-    ticks: DataFrame,
-    interval: str = "1 hour",
-    lateness: timedelta = LATENESS,
-    volume_floor: float = TRADE_FLOOR,
-) -> DataFrame:
+def stream_bars(ticks: DataFrame, interval: str = "1 hour", lateness: timedelta = LATENESS) -> DataFrame:
     """Bars of a tick stream; a bar is final once the watermark, ``lateness`` behind, has passed its end."""
     return (
         ticks.withWatermark("ts", f"{int(lateness.total_seconds())} seconds")
         .groupBy("symbol", F.window("ts", interval))
-        .agg(*bar_aggregates(volume_floor))
+        .agg(*bar_aggregates(ticks))
         .select("symbol", F.col("window.start").alias("datetime"), "open", "high", "low", "close", "volume")
     )
 
@@ -49,7 +44,7 @@ def written_bars(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_layers(bars: DataFrame, layers: Layers, checkpoint: str) -> StreamingQuery:
-    """Run the bronze, silver and gold increments on every micro-batch of finished bars.
+    """Run the bronze, silver, gold and serving increments on every micro-batch of finished bars.
 
     A batch that is replayed after a failure replaces its own rows.
     """
@@ -64,6 +59,7 @@ def write_layers(bars: DataFrame, layers: Layers, checkpoint: str) -> StreamingQ
             store_bars(finished, layers)
         run_silver(spark, layers)
         run_gold(spark, layers)
+        run_serving(spark, layers)
 
     return (
         bars.writeStream.foreachBatch(increment)

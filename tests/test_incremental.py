@@ -111,3 +111,25 @@ def test_marks_and_ranges(make_bars):
     assert column(marks.latest_row(bars), "close") == [4, 6]
     assert [r.close for r in marks.newest(bars, 2).collect()] == [6, 4]
     assert complete_cases(features(silver(bars))).isEmpty()
+
+
+def test_rows_near_changes_are_enough_and_few(spark, make_bars):
+    """Gold of a revision from the stretches around it equals gold of the whole series, with gaps of any length."""
+    import random
+
+    from barwright.operators.incremental import gold_touched_by, rows_near
+    from barwright.operators.features import features, with_pending
+
+    rng = random.Random(3)
+    hours = sorted(rng.sample(range(20_000), 1500)) + list(range(30_000, 30_400))
+    bars = make_bars(series([float(rng.randint(1, 99)) for _ in hours], [rng.randint(1, 9) for _ in hours], "a", hours))
+    full = silver(bars)
+    picked = [hours[i] for i in (0, 40, 700, 701, 1499, 1500, 1899)]
+    changes = make_bars([{"symbol": "a", "hour": h, "close": 1.0} for h in picked]).select("symbol", "datetime")
+    near = rows_near(full, changes, 24, 24, span=16)
+    assert near.count() < 600
+    touched = gold_touched_by(full, changes)
+    whole = with_pending(features(full))
+    reach = {hours[j] for i, h in enumerate(hours) if h in picked for j in range(max(0, i - 1), min(len(hours), i + 24))}
+    wanted = whole.filter(F.expr("(unix_micros(datetime) - unix_micros(timestamp'2024-01-01 00:00:00')) div 3600000000").isin(sorted(reach)))
+    assert same_rows(touched, wanted)

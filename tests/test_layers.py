@@ -1,5 +1,5 @@
 import random
-from datetime import timedelta
+from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -9,11 +9,12 @@ from barwright.operators.bars import resample
 from barwright.operators.clean import silver
 from barwright.operators.features import features, with_pending
 from barwright.plans.layers import (
-    Layers, run_gold, run_layers, run_serving, run_silver, run_training, store_bars,
+    Layers, run_bronze, run_gold, run_layers, run_serving, run_silver, run_training, store_bars,
 )
 from barwright.plans.serving import serving_shift
 from barwright.schemas import BARS, BRONZE, GOLD, SILVER, TICKS
 from barwright.sources import tables
+from barwright.sources.readers import with_size
 from barwright.sources.staging import shared_dir
 from conftest import at, same_rows, series
 
@@ -26,7 +27,7 @@ def make_ticks(spark, hours=60, seed=5, symbols=("a", "b")):
             if rng.random() < 0.7:
                 when = at(i / 4) + timedelta(seconds=rng.randrange(900))
                 rows.append((symbol, when, len(rows), round(rng.uniform(20, 60), 2)))
-    return spark.createDataFrame(rows, TICKS)
+    return with_size(spark.createDataFrame(rows, TICKS), F.col("price") >= 40)
 
 
 def known(ticks, as_of):
@@ -208,3 +209,106 @@ def test_missing_table_is_told_from_failure(spark):
     assert tables.load_or_none(spark, "writers.none") is None
     with pytest.raises(Exception):
         tables.load(spark, "writers.none")
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_any_order_of_runs_ends_like_a_recompute(spark, seed):
+    """Layers that run ahead of the one before them wait for it; nothing is lost."""
+    rng = random.Random(seed)
+    layers = Layers(f"orders_{seed}")
+    ticks = make_ticks(spark, hours=50, seed=seed).cache()
+    steps = [run_silver, run_gold, run_serving]
+    for hour in (20.3, 33.1, 50):
+        run_bronze(known(ticks, at(hour)), layers, at(hour))
+        for step in rng.choices(steps, k=3):
+            step(spark, layers)
+    for step in steps:
+        step(spark, layers)
+    check_layers(spark, layers, ticks)
+
+
+def test_gold_ahead_of_silver_loses_nothing(spark):
+    layers = Layers("ahead")
+    ticks = make_ticks(spark, hours=45, symbols=("a",)).cache()
+    run_bronze(known(ticks, at(30)), layers, at(30))
+    run_silver(spark, layers)
+    run_gold(spark, layers)
+    run_bronze(ticks, layers, at(45))
+    run_gold(spark, layers)
+    run_serving(spark, layers)
+    run_silver(spark, layers)
+    run_gold(spark, layers)
+    run_serving(spark, layers)
+    check_layers(spark, layers, ticks)
+
+
+def test_new_symbol_with_only_old_ticks(spark):
+    layers = Layers("old_ticks")
+    old = known(make_ticks(spark, hours=20, symbols=("b",)), at(20))
+    new = make_ticks(spark, hours=60, symbols=("a",))
+    run_layers(known(new, at(40)), layers, at(40))
+    run_layers(new.unionByName(old), layers, at(60), symbols=spark.createDataFrame([("a",)], "symbol string"))
+    check_layers(spark, layers, new)
+    run_layers(new.unionByName(old), layers, at(60))
+    check_layers(spark, layers, new.unionByName(old))
+
+
+def test_bronze_runs_read_marks_not_bars(spark, monkeypatch):
+    """The second load takes its range from the marks and from the last load; bronze is read only to be merged."""
+    layers = Layers("marked")
+    ticks = make_ticks(spark, hours=60).cache()
+    run_bronze(known(ticks, at(40.5)), layers, at(40.5))
+    read = []
+    load = tables.load_or_none
+    monkeypatch.setattr(tables, "load_or_none", lambda s, name: read.append(name) or load(s, name))
+    monkeypatch.setattr(tables, "load", lambda s, name: pytest.fail(f"{name} is read whole"))
+    late = known(ticks, at(37))  # older than the last load less the overlap: not read again
+    run_bronze(ticks.join(late, ["symbol", "tick_id"], "left_anti"), layers, at(60))
+    monkeypatch.undo()
+    assert "marked.bronze" not in read
+    assert same_rows(spark.table("marked.bronze").select(*BARS.fieldNames()), resample(ticks))
+    marks = {r["symbol"]: r["max_dt"] for r in spark.table("marked.marks").collect()}
+    assert marks == {r["symbol"]: r["datetime"] for r in resample(ticks).groupBy("symbol").agg(F.max("datetime").alias("datetime")).collect()}
+
+
+def test_repeated_training_replaces_its_rows(spark):
+    layers = Layers("again")
+    run_layers(make_ticks(spark, hours=90), layers, at(90))
+    for run_id in ("r1", "r2", "r1"):
+        run_training(spark, layers, run_id)
+    runs = spark.table(layers.name("model_runs"))
+    assert {r["run_id"]: r["count"] for r in runs.groupBy("run_id").count().collect()} == {"r1": 9, "r2": 9}
+    assert spark.table(layers.name("predictions")).count() == 4
+
+
+def test_new_columns_are_stored(spark):
+    tables.create_schema(spark, "writers")
+    tables.replace_rows(frame(spark, [("a", 0, 1.0), ("a", 30, 2.0)]), "writers.e", BARS)
+    wide = frame(spark, [("a", 30, 5.0), ("a", 60, 6.0)]).withColumn("venue", F.lit("x"))
+    tables.replace_rows(wide, "writers.e", BARS)
+    tables.replace_rows(frame(spark, [("a", 61, 7.0)]), "writers.e", BARS)
+    stored = {(r["datetime"], r["close"], r["venue"]) for r in spark.table("writers.e").collect()}
+    assert stored == {(at(0), 1.0, None), (at(30), 5.0, "x"), (at(60), 6.0, "x"), (at(61), 7.0, None)}
+
+
+def test_instants_do_not_pass_through_the_drivers_zone(spark, monkeypatch):
+    """In the hour that a zone repeats, a datetime on the driver could mean either of two instants."""
+    import time
+
+    from barwright.catalogue import _as_of
+    from barwright.operators.marks import from_micros, instant, micros, recent
+
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        bars = spark.sql(
+            "SELECT 'a' AS symbol, timestamp_seconds(1730613600 - 3600 * id) AS datetime, 1.0 AS close FROM range(60)"
+        )  # the newest at 2024-11-03 06:00 UTC
+        newest = bars.select(F.unix_micros(_as_of(bars))).first()[0]
+        assert newest == 1730613600 * 10**6
+        assert recent(bars, _as_of(bars)).count() == 49
+        when = datetime(2024, 11, 3, 6)
+        assert spark.range(1).select(F.unix_micros(instant(when)), F.unix_micros(from_micros(micros(when)))).first()[:] == (newest, newest)
+    finally:
+        monkeypatch.undo()
+        time.tzset()

@@ -5,11 +5,10 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_module
+from barwright.catalogue import QUERIES
+from barwright.oracle import ORACLE
 from conftest import SF
 
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def sql():
@@ -31,6 +30,11 @@ def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
 
 
+def test_registered():
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLE) <= set(entry_module.oracle_sql())
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
+
+
 def test_only_fitted_models_lack_sql():
     assert set(QUERIES) - set(ORACLE) == {"model_grid", "next_step", "forecast_vs_actual"}
     assert set(ORACLE) <= set(QUERIES)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from barwright.operators.bars import resample
 from barwright.schemas import BARS, TICKS
 from barwright.sources import tables
-from barwright.sources.readers import flat_lower, read_bars, read_ticks
+from barwright.sources.readers import flat_lower, read_bars, read_ticks, with_size
 from conftest import SF, at, column, same_rows, series
 
 
@@ -37,12 +37,20 @@ def test_bars_take_first_and_last_tick_with_ties_by_id(spark):
         ("a", at(0.1), 7, 50.0), ("a", at(0.1), 3, 41.0), ("a", at(0.2), -1, 39.0),
         ("a", at(0.9), 8, 45.0), ("a", at(0.9), 9, 44.0), ("a", at(0.95), 10, None), ("a", at(1.0), 11, 1.0),
     ]
-    out = resample(spark.createDataFrame(rows, TICKS).repartition(4))
+    ticks = spark.createDataFrame(rows, TICKS).repartition(4)
+    out = resample(with_size(ticks, F.col("price") >= 40))
     first = out.orderBy("datetime").first()
     assert (first.open, first.high, first.low, first.close, first.volume) == (41.0, 50.0, 39.0, 44.0, 4)
     assert column(out, "volume") == [4, 0]
 
 
+def test_volume_is_the_sum_of_sizes_at_any_price(spark):
+    rows = [("a", at(0.1), 1, 0.5), ("a", at(0.2), 2, 0.6), ("a", at(0.3), 3, None), ("b", at(0.1), 4, None)]
+    ticks = spark.createDataFrame(rows, TICKS)
+    assert column(resample(ticks), "volume") == [2, 0]
+    assert column(resample(ticks.withColumn("size", F.col("tick_id") * 10)), "volume") == [30, 0]
+
+
 def test_ids_of_any_sign_order_ties_only(spark):
     big = 2**62
     rows = [("a", at(0), big, 1.0), ("a", at(0), -big, 2.0), ("a", at(0.00001), -big, 3.0)]
@@ -69,8 +77,10 @@ def test_snapshot_replaces(spark, make_bars):
 def test_append_checks_the_schema(spark, make_bars):
     tables.create_schema(spark, "snaps")
     bars = make_bars(series([1])).withColumn("unknown", F.lit(1))
-    tables.append(bars, "snaps.a", BARS)
-    tables.append(bars.drop("volume"), "snaps.a", BARS)
+    with pytest.raises(ValueError):
+        tables.append(bars, "snaps.a", BARS)
+    tables.append(bars.drop("unknown"), "snaps.a", BARS)
+    tables.append(bars.drop("volume", "unknown"), "snaps.a", BARS)
     assert tables.load(spark, "snaps.a").columns == BARS.fieldNames()
     with pytest.raises(ValueError):
         tables.append(bars.drop("datetime"), "snaps.a", BARS)
