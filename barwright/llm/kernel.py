@@ -125,7 +125,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, step: in
     return mix(out)
 
 
-def slices(table: pa.RecordBatch, column: str | int, most_bytes: int = 4 << 20):
+def slices(table: pa.RecordBatch, column: str | int, most_bytes: int = 1 << 20):
     """Parts of a batch whose texts hold about ``most_bytes``; one longer text is a part of its own."""
     lengths = pc.fill_null(pc.binary_length(table.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     total = np.cumsum(lengths)
