@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 _open_scope: ContextVar[list[str] | None] = ContextVar("open_scope", default=None)
+_left: dict[str, list[str]] = {}  # staged outside a scope, by application; removed when the program ends
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,8 +39,11 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     scope = _open_scope.get()
-    if scope is not None:
-        scope.append(path)
+    if scope is None:
+        scope = _left.setdefault(spark.sparkContext.applicationId, [])
+        if len(_left) == 1 and not scope:
+            atexit.register(_remove_left)
+    scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -51,6 +57,18 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _open_scope.reset(token)
-        for path in paths:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _remove(spark, paths)
+
+
+def _remove(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _remove_left() -> None:
+    """What this application staged for frames that it handed out; nobody reads those after its end."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        with contextlib.suppress(Exception):  # the cluster may be gone already
+            _remove(spark, _left.get(spark.sparkContext.applicationId, []))

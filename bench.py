@@ -1,8 +1,10 @@
 """Times the headline queries and prints one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 3,
-after one warm-up; the median counts). The plain_* entries are the same results from unpartitioned
-windows, or from one evaluator pass per metric, for comparison; they are not part of the total.
+after one warm-up; the median counts). The plain_* entries are the same results from whole-series or unpartitioned
+windows, or from one evaluator pass per metric, for comparison; "layers" times the batch jobs: a first load, one more
+hour, and a load without news. Neither is part of the total. BENCH_TRIALS=1 adds single runs over the events
+repeated to 20 million rows at sf0.1.
 """
 
 from __future__ import annotations
@@ -11,7 +13,10 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
+import uuid
+from datetime import timedelta
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -23,6 +28,9 @@ from pyspark.sql.window import Window
 
 from barwright import catalogue
 from barwright.operators import features as ft
+from barwright.operators.clean import silver
+from barwright.operators.marks import instant
+from barwright.plans.layers import Layers, run_layers
 from barwright.session import local_session
 
 HEADLINE = [
@@ -38,12 +46,44 @@ def write_out(df: DataFrame) -> None:
 
 
 def plain_gold(spark, path):
-    """All features over one unpartitioned window, one symbol at a time being out of reach of it."""
-    bars, _ = catalogue._silver(spark, path)
-    w = Window.orderBy("datetime")
-    for level in ft._levels(w):
-        bars = bars.withColumns(level)
-    return bars.dropna()
+    """The same rows from whole-series windows by symbol, nothing staged or measured before."""
+    return ft.gold(silver(catalogue._hourly(spark, path), rows=None), rows=None)
+
+
+def increments(spark, path) -> dict[str, float]:
+    """Seconds of a first load of all layers, of one more hour, and of a load that finds nothing new."""
+    ticks = catalogue._ticks(spark, path).cache()
+    layers = Layers(f"bench_{uuid.uuid4().hex}")
+    end = ticks.agg(F.max("ts")).first()[0].replace(tzinfo=None)
+    out = {}
+    try:
+        for name, at in (("full_load", end - timedelta(hours=1)), ("last_hour", end), ("nothing_new", end)):
+            begun = time.perf_counter()
+            run_layers(ticks.filter(F.col("ts") <= instant(at)), layers, at)
+            out[name] = round(time.perf_counter() - begun, 3)
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {layers.database} CASCADE")
+        ticks.unpersist()
+    return out
+
+
+def trials(spark, path, copies: int = 200) -> dict[str, float]:
+    """Long series without a key, in chunks and in one partition: the events repeated with new ids and times."""
+    events = spark.read.parquet(f"{path}/events.parquet").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    n = events.count()
+    shifted = F.timestamp_micros(F.unix_micros("ts") + F.col("copy") * 30 * 86_400_000_000)
+    many = events.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).repartition(64)
+    many = many.select((F.col("event_id") + F.col("copy") * n).alias("event_id"), shifted.alias("ts"), "value")
+    folder = tempfile.mkdtemp(prefix="bench-")
+    many.write.parquet(f"{folder}/events.parquet")
+    out = {"rows": n * copies}
+    for name, query in (("rolling_chunked", catalogue.QUERIES["rolling_chunked"]), ("plain_rolling", plain_rolling),
+                        ("ffill_chunked", catalogue.QUERIES["ffill_chunked"]), ("plain_ffill", plain_ffill),
+                        ("ohlcv_bars", catalogue.QUERIES["ohlcv_bars"])):
+        begun = time.perf_counter()
+        write_out(query(spark, folder))
+        out[name] = round(time.perf_counter() - begun, 3)
+    return out
 
 
 def plain_rolling(spark, path):
@@ -106,6 +146,8 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "compared": compared,
+                "layers": increments(spark, path),
+                **({"trials": trials(spark, path)} if os.environ.get("BENCH_TRIALS") else {}),
                 "ticks": ticks,
                 "sf": path.rstrip("/").rsplit("sf", 1)[-1],
             }
