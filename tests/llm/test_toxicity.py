@@ -116,6 +116,7 @@ def test_held_out_accuracy(spark):
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     out = found.join(labels, "doc_id").selectExpr("avg(int(predicted = toxic)) AS right", "avg(if(toxic = 1, predicted, null)) AS caught", "avg(if(toxic = 0, predicted, null)) AS wronged").first()
     assert out["right"] > 0.97 and out["caught"] > 0.8 and out["wronged"] < 0.01
+    assert found.exceptAll(queries.op2_toxicity(spark, folder)).isEmpty()
 
 
 def test_copies_count_once(spark):
