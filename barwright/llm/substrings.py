@@ -5,7 +5,9 @@
 2. Prefilter. Every window has an anchor, the smallest hash of the ``GRAM``-word runs inside it: equal
    windows have equal anchors, and neighbouring windows mostly share theirs. Each task adds the anchors of its
    documents to a count-min sketch; the sketches are merged slice by slice. An anchor's estimate is never
-   below the number of documents that have it, so neither below that of any window it stands for.
+   below the number of documents that have it, so neither below that of any window it stands for. The sketch is
+   bounded; for more text than it can tell apart, anchors are counted exactly through a shuffle instead
+   (one row for each document and anchor, about one for 22 words), with the same outcome.
 3. Second pass. Only windows estimated to occur in two documents or more are grouped, exactly, by 128 bits
    of two independent hashes; the smallest doc_id of a window is aggregated before the shuffle and
    joined back, where Spark splits skewed keys. Nothing repeated is lost; a window estimated too high is a
@@ -36,8 +38,10 @@ from barwright.sources.staging import stage
 
 WINDOW = 50
 GRAM = 8
-#: A sketch has 16 counters per anchor expected, in two rows, and never more than this (a bit each where it is sent).
+#: A sketch has 8 to 16 counters per anchor expected, in two rows, and never more than this (a bit each where it is sent).
+#: With fewer than 4 per anchor it would flag too much.
 MOST_CELLS = 1 << 28
+BYTES_PER_ANCHOR = 130
 SLICE = 1 << 20
 #: Up to so many rows of ids and spans are sent to the tasks that read the texts; more are joined by shuffle.
 SENT_ROWS = 200_000
@@ -78,9 +82,12 @@ def _doc_of(words: kernel.Words, at: np.ndarray) -> np.ndarray:
     return np.searchsorted(words.first, at, "right") - 1
 
 
-def _sketch_bits(text_bytes: int, most_cells: int) -> int:
-    """Bits of a row for the anchors to expect in so much text: about one per 130 bytes."""
-    wanted = min(max(text_bytes // 130 * 16, 1 << 14), most_cells) // 2
+def _sketch_bits(text_bytes: int, most_cells: int) -> int | None:
+    """Bits of a row for the anchors to expect in so much text; None if they are too many for a sketch."""
+    anchors = text_bytes // BYTES_PER_ANCHOR
+    if 4 * anchors > most_cells:
+        return None
+    wanted = min(max(anchors * 16, 1 << 14), most_cells) // 2
     return max(13, wanted.bit_length() - 1)
 
 
@@ -92,21 +99,42 @@ def _unpack(raw: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(zlib.decompress(raw), np.uint32).astype(np.int64))
 
 
-def sketch(docs: DataFrame, window: int, most_cells: int) -> tuple[int, np.ndarray]:
-    """(bits per row, one bit per counter: two documents or more). The driver gets at most ``most_cells`` bits."""
-    text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = _sketch_bits(text_bytes, most_cells)
+def _anchors_of(words: kernel.Words, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(document, anchor), each pair once."""
+    starts, anchors = windows(words, window)
+    both = np.stack([_doc_of(words, starts).astype(np.uint64), anchors], axis=1)
+    changes = np.ones(len(both), bool)
+    changes[1:] = (both[1:] != both[:-1]).any(axis=1)  # most neighbours share their anchor
+    both = np.unique(both[changes], axis=0)
+    return both[:, 0].astype(np.int64), both[:, 1]
+
+
+def with_repeated_anchors(docs: DataFrame, window: int) -> DataFrame:
+    """The rows of ``docs`` (text, ord, tag) that have anchors which another document has too, with those anchors."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in kernel.slices(batch, "text"):
+                doc, anchors = _anchors_of(kernel.split(part.column("text")), window)
+                yield pa.RecordBatch.from_pydict(
+                    {"anchor": anchors.view(np.int64), "ord": part.column("ord").to_numpy()[doc], "tag": part.column("tag").to_numpy()[doc]}
+                )
+
+    rows = stage(docs.select("text", "ord", "tag").mapInArrow(emit, "anchor long, ord long, tag long"), "anchors")
+    ends = rows.groupBy("anchor").agg(F.min("ord").alias("first"), F.max("ord").alias("last"))
+    repeated = stage(ends.filter("last > first").select("anchor"), "repeated")
+    own = rows.join(repeated, "anchor").groupBy("ord", "tag").agg(F.collect_set("anchor").alias("repeated"))
+    return docs.join(_sent(stage(own, "own-anchors")), ["ord", "tag"])
+
+
+def sketch(docs: DataFrame, window: int, bits: int) -> np.ndarray:
+    """One bit per counter of two rows with 2^bits each: two documents or more. They are what the driver gets."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, twice = np.empty(0, np.int64), np.empty(0, np.int64)
         for batch in batches:
             for part in kernel.slices(batch, "text"):
-                words = kernel.split(part.column("text"))
-                starts, anchors = windows(words, window)
-                both = np.stack([_doc_of(words, starts).astype(np.uint64), anchors], axis=1)
-                changes = np.ones(len(both), bool)
-                changes[1:] = (both[1:] != both[:-1]).any(axis=1)  # most neighbours share their anchor
-                anchors = np.unique(both[changes], axis=0)[:, 1]
+                _, anchors = _anchors_of(kernel.split(part.column("text")), window)
                 found, n = np.unique(np.concatenate(cells(anchors, bits)), return_counts=True)
                 twice = np.union1d(twice, np.concatenate([np.intersect1d(once, found, assume_unique=True), found[n > 1]]))
                 once = np.union1d(once, found)
@@ -134,26 +162,35 @@ def sketch(docs: DataFrame, window: int, most_cells: int) -> tuple[int, np.ndarr
     whole = np.zeros(max(SLICE, 2 << bits) // 8, np.uint8)
     for s, raw in merged.toLocalIterator():
         whole[s * SLICE // 8 : (s + 1) * SLICE // 8] = np.frombuffer(raw, np.uint8)
-    return bits, whole
+    return whole
 
 
-def _candidates(docs: DataFrame, window: int, bits: int, repeated: np.ndarray) -> DataFrame:
-    """h1, h2, ord, place for each window whose anchor is estimated to be in two documents or more."""
-    sent = docs.sparkSession.sparkContext.broadcast(repeated)
+def _candidates(docs: DataFrame, window: int, bits: int | None = None, flags: np.ndarray | None = None) -> DataFrame:
+    """h1, h2, ord, place, run for each run of windows whose anchor is estimated to be in two documents or more;
+    by the sketch, or by the column ``repeated`` where there is none."""
+    sent = None if flags is None else docs.sparkSession.sparkContext.broadcast(flags)
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = sent.value
+    def flagged(at: np.ndarray) -> np.ndarray:
+        return (sent.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
 
-        def flagged(at: np.ndarray) -> np.ndarray:
-            return (flags[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
+    def kept(part: pa.RecordBatch, words: kernel.Words, starts: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+        if sent is not None:
+            one, two = cells(anchors, bits)
+            keep = flagged(one)
+            keep[keep] = flagged(two[keep])
+            return keep
+        keep, bounds = np.zeros(len(starts), bool), np.searchsorted(starts, words.first)
+        for i, own in enumerate(part.column("repeated")):
+            here = slice(bounds[i], bounds[i + 1])
+            keep[here] = np.isin(anchors[here].view(np.int64), np.asarray(own.values))
+        return keep
 
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in kernel.slices(batch, "text"):
                 words = kernel.split(part.column("text"))
                 starts, anchors = windows(words, window)
-                one, two = cells(anchors, bits)
-                keep = flagged(one)
-                keep[keep] = flagged(two[keep])
+                keep = kept(part, words, starts, anchors)
                 if not keep.any():
                     continue
                 at = starts[keep]
@@ -170,7 +207,7 @@ def _candidates(docs: DataFrame, window: int, bits: int, repeated: np.ndarray) -
                     {"h1": first.view(np.int64), "h2": second.view(np.int64), "ord": part.column("ord").to_numpy()[doc], "place": place, "run": run}
                 )
 
-    return docs.select("text", "ord", "tag").mapInArrow(emit, "h1 long, h2 long, ord long, place long, run long")
+    return docs.mapInArrow(emit, "h1 long, h2 long, ord long, place long, run long")
 
 
 def _spans(removed: DataFrame, window: int) -> DataFrame:
@@ -204,8 +241,12 @@ def repeats(docs: DataFrame, window: int = WINDOW, most_cells: int = MOST_CELLS)
     copies = stage(ids.join(_sent(firsts), "digest").filter("ord > first").select("ord", "tag").distinct().withColumn("copied", F.lit(True)), "copies")
     named = named.join(_sent(copies), ["ord", "tag"], "left").withColumn("copied", F.coalesce("copied", F.lit(False)))
     originals = named.filter("not copied and text is not null").select("text", "ord", "tag")
-    bits, repeated = sketch(originals, window, most_cells)
-    found = stage(_candidates(originals, window, bits, repeated), "windows")
+    bits = _sketch_bits(originals.agg(F.sum(F.octet_length("text"))).first()[0] or 0, most_cells)
+    if bits is None:
+        found = _candidates(with_repeated_anchors(originals, window), window)
+    else:
+        found = _candidates(originals, window, bits, sketch(originals, window, bits))
+    found = stage(found, "windows")
     firsts = found.groupBy("h1", "h2").agg(F.min("ord").alias("first"), F.max("ord").alias("last")).filter("last > first")
     firsts = stage(firsts.select("h1", "h2", "first"), "firsts")  # written, so that the join below deals both sides and can split them
     removed = found.join(firsts, ["h1", "h2"]).filter("ord > first")
