@@ -166,7 +166,7 @@ def latest_row(spark, path):
 def dedup_bars(spark, path):
     bars = _bars(spark, path).withColumn("ingest_seq", F.lit(1))
     again = _newer(bars).withColumns({"ingest_seq": F.lit(2), "close": F.col("close") + 1})
-    return latest_wins(bars.unionByName(again)).select(*KEYS, "close")
+    return latest_wins(bars.unionByName(again), unique=True).select(*KEYS, "close")
 
 
 def clean_bars(spark, path):

@@ -14,14 +14,18 @@ from barwright.schemas import BARS, KEYS
 DEFAULT_VOLUME = 1
 
 
-def latest_wins(bars: DataFrame, version: str = "ingest_seq") -> DataFrame:
+def latest_wins(bars: DataFrame, version: str = "ingest_seq", unique: bool = False) -> DataFrame:
     """One row per (symbol, datetime): the one with the highest version.
 
     Rows that tie on the version are ordered by their values, so the survivor never depends on input
     order. It is an aggregate, not a window: copies of one key are combined before the shuffle, however
-    many there are.
+    many there are. Where the caller knows that no two rows of a key share a version (``unique``), each column
+    is taken by itself, which with fixed-width columns is a hash aggregate and needs no sort.
     """
     rest = [c for c in bars.columns if c not in (*KEYS, version)]
+    if unique:
+        latest = [F.max_by(c, version).alias(c) for c in rest]
+        return bars.groupBy(*KEYS).agg(F.max(version).alias(version), *latest).select(*bars.columns)
     return (
         bars.groupBy(*KEYS)
         .agg(F.max(F.struct(version, *rest)).alias("_row"))

@@ -121,7 +121,7 @@ def replace_rows(
 
     ``scope`` (symbol, start) widens that: every stored row of the symbol at or past ``start`` goes too.
     With ``version``, stored and fresh rows compete and the highest version of a key stays, so a late
-    arrival of older data does not win. Only dates on which something differs are rewritten. Columns that
+    arrival of older data does not win; fresh keys must be unique then. Only dates on which something differs are rewritten. Columns that
     the table does not have yet are added to it.
     """
     spark = fresh.sparkSession
@@ -148,8 +148,10 @@ def replace_rows(
         within = F.col("start").isNotNull() & (F.col("datetime") >= F.col("start"))
         kept = touched.join(scope, "symbol", "left").filter(~within).select(*incoming.columns)
     if version:
-        merged = latest_wins(kept.unionByName(arriving).drop("date"), version)
-        merged = merged.withColumn("date", F.to_date("datetime"))
+        # of equal versions the arriving row stays, so no two rows of a key tie
+        rank = F.shiftleft(F.col(version), 1)
+        both = kept.withColumn("_rank", rank).unionByName(arriving.withColumn("_rank", rank + 1)).drop("date")
+        merged = latest_wins(both, "_rank", unique=True).withColumn("date", F.to_date("datetime"))
     else:
         merged = kept.join(arriving.select(*keys), keys, "left_anti").unionByName(arriving)
     staged = stage(merged.select(*incoming.columns), "merged")

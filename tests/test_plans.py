@@ -88,3 +88,13 @@ def test_cut_only_where_a_series_can_be_long(make_bars):
 def test_staging_uses_the_shared_folder(spark, stored):
     folder = shared_dir(spark).removeprefix("file:")
     assert stored.inputFiles() and all(folder in f for f in stored.inputFiles())
+
+
+def test_unique_versions_need_no_sort(spark, make_bars):
+    from barwright.operators.clean import latest_wins
+
+    bars = make_bars(series([1.0, 2.0, 3.0]), versioned=True)
+    newer = bars.withColumns({"ingest_seq": F.col("ingest_seq") + 1, "close": F.lit(None).cast("double")})
+    out = latest_wins(bars.unionByName(newer), unique=True)
+    assert plan(out).count("HashAggregate") == 2 and "Sort" not in plan(out)
+    assert [r["close"] for r in out.collect()] == [None] * 3
