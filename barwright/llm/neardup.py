@@ -8,9 +8,11 @@ values; tree t orders all nodes by its own DEPTH values.
    cut at the next value, and so on, so that depth follows density; what is still too large at full depth is
    dealt out with one member added to every part.
 2. Inside a region, a search from the member nearest to the region's consensus links members whose signatures
-   agree in ``LEAST_EQUAL`` places or more: a spanning forest, never all pairs. The components of these
-   links over all trees are clusters. A true link stays inside a cluster unless it misses all trees or its
-   signatures agree too rarely; either has odds of about one in a million at the threshold.
+   agree in ``LEAST_EQUAL`` places or more: a spanning forest, never all pairs. A cut parts members that are
+   linked, so the members of a cut region that are not in its largest component so far are then compared with the
+   whole region, in pairs of blocks. The components of the links over all trees are clusters. A true link stays
+   inside a cluster unless its ends share the first two values of no tree or its signatures agree too rarely;
+   either has odds of about one in a million at the threshold, whatever the density.
 3. Links are confirmed on the full sets: every cluster gets the texts of its nodes once and finds the
    components of the exact graph (by intersections over an inverted index of shared shingles, each member
    against those not yet reached). A cluster beyond ``BLOCK`` nodes or ``BLOCK_SHINGLES`` is cut into blocks
@@ -161,9 +163,15 @@ def _region_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def regions(nodes: DataFrame, region: int = REGION) -> DataFrame:
     """(tree, prefix, node) of all regions with two members or more, none much larger than ``region``."""
+    return _cut(nodes, region)[0]
+
+
+def _cut(nodes: DataFrame, region: int) -> tuple[DataFrame, DataFrame]:
+    """``regions``, and (tree, prefix, node) of the regions of FIRST_DEPTH that were cut to get them."""
     trees = nodes.select("node", "sign", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     rows = trees.select("node", "tree", F.expr(f"substring(sign, tree * {DEPTH * 4} + 1, {DEPTH * 4})").alias("label"))
     settled: DataFrame | None = None
+    whole: DataFrame | None = None
     for depth in range(FIRST_DEPTH, DEPTH + 1):
         rows = rows.withColumn("prefix", F.substring("label", 1, 4 * depth))
         counts = rows.groupBy("tree", "prefix").agg(F.count("*").alias("n"), F.min("node").alias("hub")).filter("n > 1")
@@ -171,8 +179,9 @@ def regions(nodes: DataFrame, region: int = REGION) -> DataFrame:
         dense = members.filter(F.col("n") > region)
         fit = members.filter(F.col("n") <= region).select("tree", "prefix", "node")
         settled = fit if settled is None else settled.unionByName(fit)
+        whole = dense.select("tree", "prefix", "node") if whole is None else whole
         if dense.isEmpty():
-            return settled
+            return settled, whole
         rows = dense.select("node", "tree", "label")
     # equal in every value of the tree: dealt out, the hub being in every part
     parts = F.ceil(F.col("n") / region).cast("long")
@@ -180,7 +189,28 @@ def regions(nodes: DataFrame, region: int = REGION) -> DataFrame:
     hubs = dense.select("tree", "prefix", "hub", parts.alias("parts")).distinct()
     hubs = hubs.select("tree", "prefix", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("hub").alias("node"))
     named = F.concat(F.col("prefix"), F.col("part").cast("string").cast("binary"))
-    return settled.unionByName(dealt.unionByName(hubs).select("tree", named.alias("prefix"), "node"))
+    return settled.unionByName(dealt.unionByName(hubs).select("tree", named.alias("prefix"), "node")), whole
+
+
+def pairs_of_blocks(whole: DataFrame, clusters: DataFrame, region: int = REGION) -> DataFrame:
+    """(tree, prefix, node): parts of about ``region`` members of the regions ``whole`` in which every two members meet
+    that are not both of the region's largest cluster."""
+    rows = whole.join(clusters, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = rows.groupBy("tree", "prefix", "root").count().groupBy("tree", "prefix")
+    sizes = sizes.agg(F.max(F.struct("count", "root")).alias("most"), F.sum("count").alias("n"))
+    half = max(1, region // 2)
+    sizes = sizes.select(
+        "tree", "prefix", F.col("most.root").alias("main"),
+        F.ceil((F.col("n") - F.col("most.count")) / half).cast("long").alias("rest_blocks"),
+        F.ceil(F.col("most.count") / half).cast("long").alias("main_blocks"),
+    ).filter("rest_blocks > 0")
+    rows = rows.join(stage(sizes, "cut-regions"), ["tree", "prefix"])
+    rest = "pmod(xxhash64(node), rest_blocks)"
+    rows = rows.withColumn("block", F.expr(f"CASE WHEN root = main THEN rest_blocks + pmod(xxhash64(node), main_blocks) ELSE {rest} END"))
+    others = "CASE WHEN root = main THEN sequence(0L, rest_blocks - 1) ELSE array_except(sequence(0L, rest_blocks + main_blocks - 1), array(block)) END"
+    rows = rows.withColumn("other", F.explode(F.expr(others)))
+    named = F.concat_ws("-", F.least("block", "other"), F.greatest("block", "other")).cast("binary")
+    return rows.select("tree", F.concat("prefix", named).alias("prefix"), "node")
 
 
 def exact_components(hashes: np.ndarray, first: np.ndarray, percent: int) -> np.ndarray:
@@ -258,15 +288,24 @@ def _named(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"ord": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), "tag": F.xxhash64(text)})
 
 
+def _links(parts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links (a, b) inside parts (tree, prefix, node) of the nodes."""
+    placed = parts.join(nodes.select("node", "sign"), "node").select("tree", "prefix", "node", "sign")
+    dealt = placed.repartition("tree", "prefix").sortWithinPartitions("tree", "prefix")
+    return stage(dealt.mapInArrow(_region_links, "a binary, b binary"), "forest")
+
+
 def _judged(docs: DataFrame, percent: int, region: int) -> DataFrame:
     """ord, tag, n_shingles, lowest (ord of the first document of the component) for every row."""
     named = _named(docs.select("doc_id", "text")).select("ord", "tag", F.col("text").cast("string").alias("text"))
     described = stage(named.mapInArrow(_describe, "ord long, tag long, n_shingles long, node binary, sign binary"), "described")
     nodes = described.filter("node is not null").groupBy("node")
     nodes = stage(nodes.agg(F.min("ord").alias("head"), F.first("n_shingles").alias("n_shingles"), F.first("sign").alias("sign")), "nodes")
-    placed = regions(nodes, region).join(nodes.select("node", "sign"), "node").select("tree", "prefix", "node", "sign")
-    dealt = placed.repartition("tree", "prefix").sortWithinPartitions("tree", "prefix")
-    clusters = components(stage(dealt.mapInArrow(_region_links, "a binary, b binary"), "forest"))
+    parts, whole = _cut(nodes, region)
+    clusters = components(_links(parts, nodes))
+    if not whole.isEmpty():
+        links = _links(pairs_of_blocks(whole, clusters, region), nodes)
+        clusters = components(clusters.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
     links = stage(confirmed_links(named.select("ord", "text"), nodes, clusters, percent), "confirmed")
     roots = components(links)
     heads = nodes.select("node", "head").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

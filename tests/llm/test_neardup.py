@@ -78,6 +78,14 @@ def test_large_regions_and_clusters_are_split_without_losing_links(make_docs, mo
     same(neardup.near_duplicates(make_docs(rows), region=6).collect(), brute(rows))
 
 
+@pytest.mark.parametrize("region, members", [(3, 80), (24, 80)])
+def test_members_of_a_dense_group_stay_linked_though_its_regions_are_cut(make_docs, region, members):
+    """Each is one text and some words of its own, at 0.76 to it and 0.61 to others: cut at depth 4 or 8, many are left alone."""
+    base = " ".join(f"b{i}" for i in range(150))
+    rows = [(0, base)] + [(n, base + "".join(f" own{n}x{i}" for i in range(46))) for n in range(1, members)]
+    same(neardup.near_duplicates(make_docs(rows), region=region).collect(), brute(rows))
+
+
 def test_regions_deeper_than_the_labels_are_dealt_out_with_a_hub(spark):
     sign = bytes(range(256)) * 2
     nodes = spark.createDataFrame([(bytes([i] * 16), sign) for i in range(25)], "node binary, sign binary")
