@@ -267,7 +267,8 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
 
 
 def confirmed_links(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between nodes, confirmed on full sets, that span every component of the exact graph."""
+    """Links (a, b) between nodes, confirmed on full sets, that span every component of the exact graph. ``docs`` has one
+    row per ord and tag."""
     sized = clusters.join(nodes.select("node", "head", "n_shingles"), "node")
     blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("long")
     wanted = sized.join(sized.groupBy("root").agg(blocks.alias("blocks")), "root")
@@ -275,9 +276,9 @@ def confirmed_links(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, perc
     others = F.expr("CASE WHEN blocks = 1 THEN array(0L) ELSE array_except(sequence(0L, blocks - 1), array(block)) END")
     wanted = wanted.withColumn("other", F.explode(others))
     wanted = wanted.select(
-        "root", "node", F.col("head").alias("ord"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+        "root", "node", F.col("head.ord").alias("ord"), F.col("head.tag").alias("tag"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
     )
-    texts = docs.join(_sent(stage(wanted, "wanted")), "ord").select("root", "low", "high", "node", "text")
+    texts = docs.join(_sent(stage(wanted, "wanted")), ["ord", "tag"]).select("root", "low", "high", "node", "text")
     dealt = texts.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high")
     return dealt.mapInArrow(lambda it: _confirm(it, percent), "a binary, b binary")
 
@@ -300,16 +301,17 @@ def _judged(docs: DataFrame, percent: int, region: int) -> DataFrame:
     named = _named(docs.select("doc_id", "text")).select("ord", "tag", F.col("text").cast("string").alias("text"))
     described = stage(named.mapInArrow(_describe, "ord long, tag long, n_shingles long, node binary, sign binary"), "described")
     nodes = described.filter("node is not null").groupBy("node")
-    nodes = stage(nodes.agg(F.min("ord").alias("head"), F.first("n_shingles").alias("n_shingles"), F.first("sign").alias("sign")), "nodes")
+    nodes = stage(nodes.agg(F.min(F.struct("ord", "tag")).alias("head"), F.first("n_shingles").alias("n_shingles"), F.first("sign").alias("sign")), "nodes")
     parts, whole = _cut(nodes, region)
     clusters = components(_links(parts, nodes))
     if not whole.isEmpty():
         links = _links(pairs_of_blocks(whole, clusters, region), nodes)
         clusters = components(clusters.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
-    links = stage(confirmed_links(named.select("ord", "text"), nodes, clusters, percent), "confirmed")
+    repeated = stage(described.filter("node is not null").groupBy("ord", "tag").count().filter("count > 1").select("ord", "tag"), "repeated")
+    links = stage(confirmed_links(_once(named, repeated), nodes, clusters, percent), "confirmed")
     roots = components(links)
     heads = nodes.select("node", "head").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    lowest = heads.groupBy("root").agg(F.min("head").alias("lowest"))
+    lowest = heads.groupBy("root").agg(F.min("head.ord").alias("lowest"))
     heads = heads.join(lowest, "root").select("node", "lowest")
     found = described.select("ord", "tag", "n_shingles", "node").join(heads, "node", "left")
     return found.select("ord", "tag", "n_shingles", F.coalesce("lowest", "ord").alias("lowest"))
@@ -330,10 +332,15 @@ def keep_one(docs: DataFrame, percent: int = 75, region: int = REGION) -> DataFr
     gone = found.filter("ord > lowest").select("ord", "tag").distinct()
     left = _named(packed(docs)).join(_sent(gone), ["ord", "tag"], "left_anti")
     repeated = found.filter("ord = lowest").groupBy("ord", "tag").count().filter("count > 1").select("ord", "tag")
-    if not repeated.isEmpty():
-        once = left.join(_sent(repeated), ["ord", "tag"], "left_semi").dropDuplicates(["ord", "tag"])
-        left = left.join(_sent(repeated), ["ord", "tag"], "left_anti").unionByName(once)
-    return unpacked(left, docs)
+    return unpacked(_once(left, repeated), docs)
+
+
+def _once(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``rows`` with one row for each (ord, tag) in ``repeated``."""
+    if repeated.isEmpty():
+        return rows
+    once = rows.join(_sent(repeated), ["ord", "tag"], "left_semi").dropDuplicates(["ord", "tag"])
+    return rows.join(_sent(repeated), ["ord", "tag"], "left_anti").unionByName(once)
 
 
 def _sent(small: DataFrame) -> DataFrame:

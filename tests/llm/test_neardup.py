@@ -96,6 +96,22 @@ def test_regions_deeper_than_the_labels_are_dealt_out_with_a_hub(spark):
     assert set.union(*parts) == {bytes([i] * 16) for i in range(25)} and set.intersection(*parts) == {bytes(16)} and max(map(len, parts)) < 15
 
 
+def test_every_text_is_fetched_once_though_ids_are_null_or_repeated(make_docs, monkeypatch):
+    """24 groups of two under a null id and under one id, each row three times: 96 nodes, 96 texts."""
+    rows = [(i, f"{i} {n} starts " + " ".join(f"g{i}x{n}x{k}" for k in range(40)) + end) for i in (None, 7) for n in range(24) for end in ("", " more")]
+    docs, fetched = make_docs(rows * 3), []
+    dealt = type(docs).sortWithinPartitions
+
+    def counted(frame, *by):
+        if "low" in by:
+            fetched.append(frame.count())
+        return dealt(frame, *by)
+
+    monkeypatch.setattr(type(docs), "sortWithinPartitions", counted)
+    same(neardup.near_duplicates(docs).collect(), brute(rows * 3))
+    assert fetched == [96]
+
+
 def test_keep_one_of_each_group(make_docs):
     rows = [(1, "a b c d e f g", 7), (2, "a b c d e f g", 8), (2, "a b c d e f g", 9), (3, "q r s t u v", 1), (3, "q r s t u v", 1), (3, "other text of this id", 1), (4, None, 2), (5, "", 3)]
     kept = neardup.keep_one(make_docs(rows, ord=int))
