@@ -200,9 +200,8 @@ def usable(embeddings: DataFrame) -> DataFrame:
     return rows.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite)
 
 
-def _candidates_of(block: list, scale: float, k: int, spark):
-    """The search of one block of queries, for mapInArrow over candidates."""
-    sent = spark.sparkContext.broadcast(block)
+def _candidates_of(sent, scale: float, k: int):
+    """The search of one block of queries (a broadcast list), for mapInArrow over candidates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries = {}
@@ -229,12 +228,15 @@ def top_products(embeddings: DataFrame, is_query: Column, k: int = 10, scale: fl
     rows = usable(embeddings)
     queries = stage(rows.filter(is_query).distinct(), "queries")
     blocks = max(1, -(-queries.count() // query_block))
-    dealt = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
+    # with the vector, as one id may have many of them
+    dealt = queries.withColumn("block", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(blocks)))
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     parts = []
-    for number in range(blocks):  # one pass over the candidates per block, each of bounded size
+    for number in range(blocks):  # one pass over the candidates per block, each of bounded size and let go before the next
         block = [(r["vec_id"], list(r["embedding"])) for r in dealt.filter(F.col("block") == number).orderBy("vec_id", "embedding").collect()]
-        found = rows.mapInArrow(_candidates_of(block, scale, k, rows.sparkSession), "query string, query_id long, vec_id long, score long")
-        parts.append(found.withColumn("block", F.lit(number)))
-    best = Window.partitionBy("block", "query").orderBy(F.desc("score"), "vec_id")
-    ranked = reduce(DataFrame.unionByName, parts).withColumn("rank", F.row_number().over(best))
-    return ranked.filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        sent = rows.sparkSession.sparkContext.broadcast(block)
+        found = rows.mapInArrow(_candidates_of(sent, scale, k), "query string, query_id long, vec_id long, score long")
+        ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+        parts.append(stage(ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"), "products"))
+        sent.destroy()
+    return reduce(DataFrame.unionByName, parts)

@@ -81,3 +81,17 @@ def test_pairs_are_pruned(monkeypatch):
     queries = topk.cover_tree(points[:200])
     topk.search(queries, np.arange(200), topk.cover_tree(points), np.arange(2000), best)
     assert sum(done) < 0.3 * 200 * 2000
+
+
+def test_query_blocks_stay_small_though_one_id_has_most_vectors(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(0 if i < 120 else i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 4)))]
+    sizes, send = [], type(spark.sparkContext).broadcast
+
+    def counted(context, value):
+        sizes.append(len(value))
+        return send(context, value)
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", counted)
+    assert run(spark, rows, query_block=20) == brute(rows, 5, lambda i: i % 10 == 0)
+    assert sum(sizes) == 138 and max(sizes) < 60
