@@ -166,7 +166,7 @@ def sketch(docs: DataFrame, window: int, bits: int) -> np.ndarray:
 
 
 def _candidates(docs: DataFrame, window: int, bits: int | None = None, flags: np.ndarray | None = None) -> DataFrame:
-    """h1, h2, ord, place, run for each run of windows whose anchor is estimated to be in two documents or more;
+    """h1, h2, ord, tag, at, run for each run of windows whose anchor is estimated to be in two documents or more;
     by the sketch, or by the column ``repeated`` where there is none."""
     sent = None if flags is None else docs.sparkSession.sparkContext.broadcast(flags)
 
@@ -202,12 +202,12 @@ def _candidates(docs: DataFrame, window: int, bits: int | None = None, flags: np
                 fresh[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1]) | (doc[1:] != doc[:-1]) | (np.diff(at) != 1)
                 run = np.diff(np.append(np.flatnonzero(fresh), len(at)))
                 at, doc, first, second = at[fresh], doc[fresh], first[fresh], second[fresh]
-                place = (part.column("tag").to_numpy()[doc] << 32) | (at - words.first[doc])
+                ord, tag = (part.column(name).to_numpy()[doc] for name in ("ord", "tag"))
                 yield pa.RecordBatch.from_pydict(
-                    {"h1": first.view(np.int64), "h2": second.view(np.int64), "ord": part.column("ord").to_numpy()[doc], "place": place, "run": run}
+                    {"h1": first.view(np.int64), "h2": second.view(np.int64), "ord": ord, "tag": tag, "at": at - words.first[doc], "run": run}
                 )
 
-    return docs.mapInArrow(emit, "h1 long, h2 long, ord long, place long, run long")
+    return docs.mapInArrow(emit, "h1 long, h2 long, ord long, tag long, at long, run long")
 
 
 def _spans(removed: DataFrame, window: int) -> DataFrame:
@@ -223,8 +223,7 @@ def _spans(removed: DataFrame, window: int) -> DataFrame:
                 spans.append(np.stack([starts[fresh], np.maximum.reduceat(stops, fresh)], axis=1).ravel().tolist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, pa.list_(pa.int64()))], ["ord", "tag", "spans"])
 
-    at = F.shiftleft(F.col("place").bitwiseAND(0xFFFFFFFF), 31).bitwiseOR(F.col("run"))
-    rows = removed.select("ord", F.shiftright("place", 32).alias("tag"), at.alias("at"))
+    rows = removed.select("ord", "tag", F.shiftleft("at", 31).bitwiseOR(F.col("run")).alias("at"))
     return rows.groupBy("ord", "tag").agg(F.collect_list("at").alias("at")).mapInArrow(merge, "ord long, tag long, spans array<bigint>")
 
 
@@ -233,7 +232,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, most_cells: int = MOST_CELLS)
     document with this text comes first, and ``spans``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     named = docs.withColumns(
-        {"ord": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), "tag": F.xxhash64(text).bitwiseAND(0x7FFFFFFF)}
+        {"ord": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), "tag": F.xxhash64(text)}
     )
     ids = named.select("ord", "tag", F.md5(text.cast("binary")).alias("digest"))
     firsts = ids.groupBy("digest").agg(F.min("ord").alias("first"), F.max("ord").alias("last"))

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from barwright.llm import kernel, substrings
 
@@ -84,3 +85,13 @@ def test_the_sketch_never_underestimates(make_docs):
     alone = np.array([a for a, d in docs.items() if len(d) == 1], np.uint64)
     one, two = (((flags[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool) for at in substrings.cells(alone, bits))
     assert (one & two).mean() < 0.1
+
+
+def test_texts_under_null_ids_stay_apart_though_their_hashes_share_31_bits(spark, make_docs):
+    passage, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "po")
+    named = [spark.range(150_000).select(F.concat(F.lit(f"{c}"), "id", F.lit(f" {rest}")).alias(c)) for c, rest in (("a", passage), ("b", other))]
+    low = lambda c: F.xxhash64(c).bitwiseAND(0x7FFFFFFF)
+    row = named[0].join(named[1], low("a") == low("b")).first()
+    found = substrings.removal_digest(make_docs([(1, passage), (None, row["a"]), (None, row["b"])])).collect()
+    assert sorted(r["n_removed"] for r in found) == [0, 0, 60]
+    assert sorted(substrings.cut_repeats(make_docs([(1, passage), (None, row["a"]), (None, row["b"])])).toPandas()["text"]) == sorted([passage, row["a"].split()[0], row["b"]])
