@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barwright.llm import boosting, decontam, langid, mixture, neardup, substrings, topk, toxicity, urlfilter, warc
+from barwright.llm import boosting, decontam, langid, middle, mixture, neardup, substrings, topk, toxicity, urlfilter, warc
 from barwright.llm.ship import ship
 from barwright.sources.staging import shared_dir, stage
 
@@ -234,3 +234,28 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op8_quality"] = op8_quality
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = middle.restore(middle.fill_in_middle(table(spark, sf_dir, "documents")))
+    digests = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+QUERIES["op13_fill_in_middle"] = op13_fill_in_middle
+
+ORACLE["op13_fill_in_middle"] = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
+  sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS k FROM documents),
+h AS (SELECT *, len(w) AS n, ('0x' || substr(k, 1, 8))::BIGINT % (len(w) + 1) AS a, ('0x' || substr(k, 9, 8))::BIGINT % (len(w) + 1) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR ('0x' || substr(k, 17, 8))::BIGINT % 100 >= 90
+    THEN 'plain' WHEN ('0x' || substr(k, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM t),
+p AS (SELECT *, coalesce(array_to_string(w[1:least(a, b)], ''), '') AS pre, coalesce(array_to_string(w[least(a, b) + 1:greatest(a, b)], ''), '') AS mid,
+  coalesce(array_to_string(w[greatest(a, b) + 1:], ''), '') AS suf FROM h)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid
+    ELSE '<P>' || pre || '<S>' || suf || '<M>' || mid END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
