@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barwright.llm import boosting, decontam, langid, middle, mixture, neardup, substrings, topk, toxicity, urlfilter, warc
+from barwright.llm import boosting, decontam, langid, middle, mixture, neardup, sharding, substrings, topk, toxicity, urlfilter, warc
 from barwright.llm.ship import ship
 from barwright.sources.staging import shared_dir, stage
 
@@ -259,3 +259,42 @@ SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre)
   sha256(text) AS restored_sha256
 FROM p
 """
+
+
+def op12_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.hilbert_shards(table(spark, sf_dir, "documents"), shards=40, law="rows")
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+QUERIES["op12_shards"] = op12_shards
+
+#: One level of a Hilbert curve in three dimensions, by rotations and Gray codes instead of a table of states.
+_LEVEL = """,
+t{i} AS (SELECT * EXCLUDE (u, r), ((u >> r) | (u << (3 - r))) & 7 AS t FROM (SELECT *, (d + 1) % 3 AS r,
+  xor(e, ((a >> {i}) & 1) + 2 * ((b >> {i}) & 1) + 4 * ((c >> {i}) & 1)) AS u FROM {before})),
+w{i} AS (SELECT *, xor(xor(t, t >> 1), t >> 2) AS w FROM t{i}),
+l{i} AS (SELECT * EXCLUDE (t, w, h, e, d, enter), h * 8 + w AS h, (d + [0, 1, 1, 2, 2, 1, 1, 0][w + 1] + 1) % 3 AS d,
+  xor(e, ((enter << (d + 1) % 3) | (enter >> (3 - (d + 1) % 3))) & 7) AS e FROM (SELECT *, [0, 0, 0, 3, 3, 6, 6, 5][w + 1] AS enter FROM w{i}))"""
+
+ORACLE["op12_shards"] = (
+    r"""
+WITH k AS (SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1
+    THEN xor(3988292384, x >> 1) ELSE x >> 1 END, b)) AS crc),
+s AS (SELECT doc_id, lang, source, strlen(coalesce(text, ''))::BIGINT + 16 AS size, xor(4294967295,
+  list_reduce(regexp_extract_all(hex(coalesce(text, '')), '..'), lambda x, y: xor(x >> 8, crc[(xor(x, ('0x' || y)::BIGINT) & 255) + 1]),
+    4294967295::BIGINT)) AS text_crc32 FROM documents, k),
+la AS (SELECT lang, 256 * (sum(count(*)) OVER (ORDER BY lang NULLS LAST) - count(*)) // sum(count(*)) OVER () AS a FROM s GROUP BY lang),
+lb AS (SELECT source, 256 * (sum(count(*)) OVER (ORDER BY source NULLS LAST) - count(*)) // sum(count(*)) OVER () AS b FROM s GROUP BY source),
+q AS (SELECT doc_id, size, text_crc32, a::BIGINT AS a, b::BIGINT AS b,
+  least(255, 8 * (length(bin(size)) - 4) + ((size >> (length(bin(size)) - 4)::INT) & 7))::BIGINT AS c, 0::BIGINT AS h, 0::BIGINT AS e, 0::BIGINT AS d
+  FROM s JOIN la ON s.lang IS NOT DISTINCT FROM la.lang JOIN lb ON s.source IS NOT DISTINCT FROM lb.source)"""
+    + "".join(_LEVEL.format(i=i, before="q" if i == 7 else f"l{i + 1}") for i in range(7, -1, -1))
+    + r""",
+r AS (SELECT *, row_number() OVER (ORDER BY h, text_crc32, doc_id NULLS FIRST, size) - 1 AS n, count(*) OVER () AS total FROM l0)
+SELECT doc_id, size, text_crc32, 'rows' AS law, (40 * n // total)::INT AS shard,
+  (n - ((40 * n // total) * total + 39) // 40)::BIGINT AS slot, NULL::INT AS grown_shard
+FROM r
+"""
+)

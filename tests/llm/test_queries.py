@@ -23,11 +23,11 @@ def test_query_equals_its_sql(spark, duck, name):
     assert mine == sorted([value(x) for x in r] for r in expected.fetchall())
 
 
-@pytest.mark.parametrize("name", ["op3_mixture", "op6_decontamination", "op7_url_filter"])
+@pytest.mark.parametrize("name", ["op3_mixture", "op6_decontamination", "op7_url_filter", "op12_shards"])
 def test_native_queries_run_no_python(spark, name):
     plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == sorted([*range(1, 11), 13])
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == sorted([*range(1, 11), 12, 13])
