@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barwright.llm import boosting, decontam, langid, middle, mixture, neardup, sharding, substrings, topk, toxicity, urlfilter, warc
+from barwright.llm import boosting, decontam, langid, middle, mixture, neardup, ranking, sharding, substrings, topk, toxicity, urlfilter, warc
 from barwright.llm.ship import ship
 from barwright.sources.staging import shared_dir, stage
 
@@ -298,3 +298,25 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, (40 * n // total)::INT AS shard,
 FROM r
 """
 )
+
+
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+QUERIES["op11_ranked_search"] = op11_ranked_search
+
+ORACLE["op11_ranked_search"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+c AS (SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS words FROM d WHERE len(w) > 0),
+i AS (SELECT row_number() OVER () AS q, item_id, unnest(list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS t FROM benchmark),
+u AS (SELECT r, unnest(w) AS t FROM d),
+f AS (SELECT r, t, count(*) AS tf FROM u WHERE t IN (SELECT t FROM i) GROUP BY r, t),
+w AS (SELECT t, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight FROM f, c GROUP BY t),
+s AS (SELECT q, item_id, doc_id, r, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(w) * docs) // words))))::BIGINT AS score
+  FROM i JOIN w USING (t) JOIN f USING (t) JOIN d USING (r), c GROUP BY q, item_id, doc_id, r),
+k AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS FIRST)::INT AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 50
+"""
