@@ -19,10 +19,11 @@ from barwright.operators.bars import resample
 from barwright.operators.chunks import DAY, HOUR, cut_size, over_series
 from barwright.operators.clean import latest_wins, repair_volume, silver, valid_bars
 from barwright.plans import metrics, model, serving
+from barwright.plans.ingest import run_arrivals
 from barwright.plans.layers import Layers, run_bronze, run_gold, run_layers, run_serving, run_silver
-from barwright.schemas import KEYS
+from barwright.schemas import BARS, KEYS
 from barwright.session import pin_utc
-from barwright.sources.readers import read_ticks, stream_ticks, with_size
+from barwright.sources.readers import event_ticks, read_ticks, stream_ticks, with_size
 from barwright.sources.staging import shared_dir, stage
 from barwright.streaming import bars as streaming
 
@@ -304,6 +305,46 @@ def layers_incremental(spark, path):
         spark.sql(f"DROP DATABASE IF EXISTS {layers.database} CASCADE")
 
 
+def _arrivals(spark: SparkSession, path: str, pieces: int) -> list[DataFrame]:
+    """The events in pieces that do not follow their order, as files that arrive late would hold them."""
+    events = spark.read.parquet(f"{path}/events.parquet")
+    return [events.filter(F.pmod(F.xxhash64("event_id"), F.lit(pieces)) == i) for i in range(pieces)]
+
+
+def _stored_bars(spark: SparkSession, layers: Layers) -> DataFrame:
+    return stage(spark.read.table(layers.name("bronze")).select(*BARS.fieldNames()), "bars")
+
+
+def file_arrivals(spark, path):
+    """Three folders' worth of files arrive one after the other; each run opens new ones only."""
+    pin_utc(spark)
+    layers = Layers(f"arrivals_{uuid.uuid4().hex}")
+    place = f"{shared_dir(spark)}/{layers.database}"
+    read = lambda files: with_size(event_ticks(spark.read.parquet(*files)), _traded())
+    try:
+        for part in _arrivals(spark, path, 3):
+            part.write.mode("append").parquet(place)
+            run_arrivals(spark, place, layers, CUT, read)
+        return _stored_bars(spark, layers)
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {layers.database} CASCADE")
+
+
+def stream_late_bars(spark, path):
+    """A stream whose ticks come in no order, batch after batch, merged into the stored bars."""
+    pin_utc(spark)
+    layers = Layers(f"late_{uuid.uuid4().hex}")
+    place = f"{shared_dir(spark)}/{layers.database}"
+    for part in _arrivals(spark, path, 2):
+        part.coalesce(1).write.mode("append").parquet(f"{place}/in")
+    events = spark.readStream.schema(spark.read.parquet(f"{place}/in").schema).option("maxFilesPerTrigger", 1).parquet(f"{place}/in")
+    try:
+        streaming.write_ticks(with_size(event_ticks(events), _traded()), layers, f"{place}/checkpoint").awaitTermination()
+        return _stored_bars(spark, layers)
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {layers.database} CASCADE")
+
+
 def _gold_revision(spark, path, size):
     """Load everything, then revise some bars and recompute only what they can reach."""
     bars = _bars(spark, path)
@@ -579,6 +620,7 @@ _ALL = [
     best_run, model_grid, next_step, forecast_vs_actual, serving_shift, recent_10, recent_5_local, recent_48h,
     dashboard_48h, dashboard_recent_10, dashboard_recent_5_local, prediction_error, actual_vs_predicted,
     updown_counts, rsi_14, rsi_14_hourly, ma_7, return_1d, updown_label, stream_bars,
+    file_arrivals, stream_late_bars,
 ]
 
 

@@ -121,6 +121,8 @@ _SHOWN = """SELECT * REPLACE (round(sma_6, 6) AS sma_6, round(sma_12, 6) AS sma_
 
 ORACLE: dict[str, str] = {
     "ohlcv_bars": f"{BARS} SELECT * FROM bars",
+    "file_arrivals": f"{BARS} SELECT * FROM bars",
+    "stream_late_bars": f"{BARS} SELECT * FROM bars",
     "daily_bars": f"{DAILY} SELECT * FROM bars",
     "backfill_range": _since("720 DAY"),
     "backfill_range_10d": _since("10 DAY"),

@@ -1,10 +1,14 @@
 """The batch jobs: ticks -> bronze -> silver -> gold -> model -> serving tables.
 
-Bronze reads ticks from each symbol's high-water mark less an overlap; the marks are a table of their own. The
-later layers replace their rows from the first bar that bronze has changed since their last run, as far as
+Bronze reads ticks from each symbol's high-water mark less an overlap; the marks are a table of their own. (``ingest``
+reads new files instead, without an overlap.) Only bars whose values differ from the stored ones are loaded. A load
+reserves its number, writes its rows under it and publishes it; the later layers trust published numbers only, so it
+does not matter when they run or whether a load breaks off: its rows count with the next load that is published.
+
+The later layers replace their rows from the first bar that bronze has changed since their last run, as far as
 the layer before them has got: gold that runs ahead of silver waits for it. A run may be repeated, and once
 every layer has run after the last load, in whatever order and however often before, the tables are
-what a full recompute would leave.
+what a full recompute would leave. One load at a time; the other layers may run beside it.
 
 Instants reach the driver as microseconds, so its time zone does not matter.
 """
@@ -33,6 +37,7 @@ from barwright.operators.marks import (
     from_micros,
     high_water_mark,
     instant,
+    micros,
     overlap_range,
 )
 from barwright.operators.split import train_test, train_validation_test
@@ -44,6 +49,7 @@ from barwright.sources.staging import scratch, stage
 
 NEAR = timedelta(days=7)  # history tried first when a run looks back
 UPSTREAM = {"silver": "bronze", "gold": "silver", "serving": "gold"}
+RESERVED = "reserved"
 
 
 @dataclass(frozen=True)
@@ -67,30 +73,30 @@ class Layers:
 
 
 @contextmanager
-def _job(spark: SparkSession) -> Iterator[None]:
+def job(spark: SparkSession) -> Iterator[None]:
     """UTC throughout, and no intermediate files left behind."""
     pin_utc(spark)
     with scratch(spark):
         yield
 
 
-def _bar_start(spark: SparkSession, at: Column, layers: Layers) -> int:
-    return spark.range(1).select(F.unix_micros(F.window(at, layers.interval)["start"]).alias("start")).first()["start"]
+def _bar_start(at: int, layers: Layers) -> int:
+    """The start of the bar that an instant falls into, both in microseconds."""
+    return at - at % (layers.step // timedelta(microseconds=1))
 
 
 def _marks(spark: SparkSession, layers: Layers) -> DataFrame | None:
     """(symbol, max_dt) of what bronze holds; of a bronze table older than its marks, from that table."""
     marks = tables.load_or_none(spark, layers.name("marks"))
     if marks is None and spark.catalog.tableExists(layers.name("bronze")):
-        marks = high_water_mark(tables.load(spark, layers.name("bronze")))
+        marks = stage(high_water_mark(tables.load(spark, layers.name("bronze"))), "marks")
     return marks
 
 
-def _last_load(spark: SparkSession, layers: Layers) -> Column | None:
+def _last_load(spark: SparkSession, layers: Layers) -> int | None:
     """The earliest instant whose ticks the last run may have missed: its ``as_of`` less the overlap."""
     loads = tables.load_or_none(spark, layers.name("loads"))
-    last = loads.agg(F.unix_micros(F.max("as_of"))).first()[0] if loads is not None else None
-    return None if last is None else from_micros(last) - F.lit(OVERLAP)
+    return loads.agg(F.unix_micros(F.max("as_of") - F.lit(OVERLAP))).first()[0] if loads is not None else None
 
 
 def _fetch(
@@ -100,14 +106,13 @@ def _fetch(
     spark = ticks.sparkSession
     oldest = instant(as_of) - F.lit(BACKFILL)
     history = ticks.filter(F.col("ts") >= oldest)
-    stored = _marks(spark, layers)
-    marks = None if stored is None else stage(stored, "marks")
+    marks = _marks(spark, layers)
     low = marks.agg(F.unix_micros(F.min("max_dt") - F.lit(OVERLAP)).alias("low")).first()["low"] if marks is not None else None
     if low is None:  # no table yet, or one without rows
         return backfill_range(resample(history, layers.interval), as_of)
-    known_until = _last_load(spark, layers) if since is None else instant(since)
+    known_until = _last_load(spark, layers) if since is None else micros(since)
     if known_until is not None:
-        low = max(low, _bar_start(spark, known_until, layers))
+        low = max(low, _bar_start(known_until, layers))
     fresh = ticks.filter(F.col("ts") >= from_micros(low))  # a literal: reaches the scan
     bars = overlap_range(resample(fresh, layers.interval), marks)
     present = history if symbols is None else symbols  # else one narrow column of the range
@@ -119,40 +124,78 @@ def _fetch(
     return bars
 
 
-def _last_seq(spark: SparkSession, layers: Layers, layer: str) -> int | None:
+def _records(spark: SparkSession, layers: Layers) -> dict[str, int]:
+    """The highest load number that is reserved, published (bronze), or processed by each later layer."""
     progress = tables.load_or_none(spark, layers.name("progress"))
     if progress is None:
-        return None
-    return progress.filter(F.col("layer") == layer).agg(F.max("ingest_seq")).first()[0]
+        return {}
+    return {r["layer"]: r["seq"] for r in progress.groupBy("layer").agg(F.max("ingest_seq").alias("seq")).collect()}
+
+
+def _is_open(records: dict[str, int]) -> bool:
+    """A load has reserved a number and not published it: it runs, or it broke off."""
+    return records.get(RESERVED, -1) > records.get("bronze", -1)
+
+
+def _free_number(spark: SparkSession, layers: Layers, records: dict[str, int], wanted: int | None) -> int:
+    """``wanted`` if no later number is published, else one that no load has used."""
+    used = max(records.get("bronze", -1), records.get(RESERVED, -1))
+    if not records and spark.catalog.tableExists(layers.name("bronze")):  # a table from before the records
+        stored = tables.load(spark, layers.name("bronze")).agg(F.max("ingest_seq")).first()[0]
+        used = -1 if stored is None else stored
+    return wanted if wanted is not None and wanted > records.get("bronze", -1) and wanted >= used else used + 1
 
 
-def _next_seq(spark: SparkSession, layers: Layers) -> int:
-    last = _last_seq(spark, layers, "bronze")
-    if last is None:  # nothing recorded: a bronze table from before the records, or none
-        stored = tables.load_or_none(spark, layers.name("bronze"))
-        last = stored.agg(F.max("ingest_seq")).first()[0] if stored is not None else None
-    return 0 if last is None else last + 1
+def reserve(spark: SparkSession, layers: Layers, seq: int | None = None) -> int:
+    """A number for a load, known to be in use from now on."""
+    number = _free_number(spark, layers, _records(spark, layers), seq)
+    _record(spark, layers, RESERVED, number)
+    return number
 
 
-def store_bars(bars: DataFrame, layers: Layers, seq: int | None = None) -> None:
-    """Upsert bars into bronze; of equal keys the highest ``seq`` stays.
+def publish(spark: SparkSession, layers: Layers, seq: int) -> None:
+    """From now on the rows of the load, and of earlier ones that broke off, count for the later layers."""
+    _record(spark, layers, "bronze", seq)
 
-    It must grow from run to run, and by default is one more than the highest one used. It is recorded before the
-    rows are written: a run that fails between the two leaves a number unused, never one used twice.
+
+def write_bars(bars: DataFrame, layers: Layers, seq: int) -> None:
+    """Upsert bars into bronze under a reserved number, and bring the marks up."""
+    spark = bars.sparkSession
+    bronze = layers.name("bronze")
+    first = not spark.catalog.tableExists(bronze)
+    numbered = bars.withColumn("ingest_seq", F.lit(seq).cast("long"))
+    tables.replace_rows(numbered, bronze, schemas.BRONZE, version="ingest_seq", fmt=layers.fmt)
+    if first:
+        tables.snapshot(high_water_mark(tables.load(spark, bronze)), layers.name("marks"), layers.fmt, "symbol")
+        return
+    marks = high_water_mark(bars).unionByName(_marks(spark, layers).select("symbol", "max_dt"))
+    newest = stage(marks.groupBy("symbol").agg(F.max("max_dt").alias("max_dt")), "marks")
+    tables.snapshot(newest, layers.name("marks"), layers.fmt, "symbol")
+
+
+def store_bars(bars: DataFrame, layers: Layers, seq: int | None = None) -> bool:
+    """Upsert the bars that bronze does not hold yet with these values; whether there were any.
+
+    They get the number ``seq``, by default the next free one, also if a load of that number or a later one is
+    published already. Bars that are equal to the stored ones keep their number, so no later layer looks at them.
     """
     spark = bars.sparkSession
-    if seq is None:
-        seq = _next_seq(spark, layers)
     with scratch(spark):
-        numbered = stage(bars.withColumn("ingest_seq", F.lit(seq).cast("long")), "bars")
-        _record(spark, layers, "bronze", seq)
-        tables.replace_rows(numbered, layers.name("bronze"), schemas.BRONZE, version="ingest_seq", fmt=layers.fmt)
-        marks = high_water_mark(numbered)
-        stored = _marks(spark, layers)
-        if stored is not None:
-            marks = marks.unionByName(stored.select("symbol", "max_dt"))
-        newest = stage(marks.groupBy("symbol").agg(F.max("max_dt").alias("max_dt")), "marks")
-        tables.snapshot(newest, layers.name("marks"), layers.fmt, "symbol")
+        if not spark.catalog.tableExists(layers.name("bronze")):
+            number = reserve(spark, layers, seq)
+            write_bars(bars, layers, number)
+            publish(spark, layers, number)
+            return True
+        changed = stage(tables.unlike(stage(bars, "bars"), layers.name("bronze"), schemas.BRONZE, ["ingest_seq"]), "changed")
+        news = not changed.isEmpty()
+        records = _records(spark, layers)
+        if not news and not _is_open(records):
+            return False
+        number = reserve(spark, layers, seq)
+        if news:
+            write_bars(changed, layers, number)
+        publish(spark, layers, number)
+        return news
 
 
 def run_bronze(
@@ -172,7 +215,7 @@ def run_bronze(
     the symbol column of that range.
     """
     spark = ticks.sparkSession
-    with _job(spark):
+    with job(spark):
         tables.create_schema(spark, layers.database)
         store_bars(_fetch(ticks, layers, as_of, since, symbols), layers, seq)
         done = spark.range(1).select(instant(as_of).alias("as_of"))
@@ -207,7 +250,8 @@ def _changes(spark: SparkSession, layers: Layers, layer: str) -> Changes | None:
     The filter skips files by their statistics. A row that a later load has replaced meanwhile comes with that
     load, once the layer before has processed it.
     """
-    reached, seen = _last_seq(spark, layers, UPSTREAM[layer]), _last_seq(spark, layers, layer)
+    records = _records(spark, layers)
+    reached, seen = records.get(UPSTREAM[layer]), records.get(layer)
     if reached is None or (seen is not None and seen >= reached):
         return None
     bronze = tables.load(spark, layers.name("bronze")).filter(F.col("ingest_seq") <= reached)
@@ -215,7 +259,10 @@ def _changes(spark: SparkSession, layers: Layers, layer: str) -> Changes | None:
         bronze = bronze.filter(F.col("ingest_seq") > seen)
     starts = stage(bronze.groupBy("symbol").agg(F.min("datetime").alias("start")), "changes")
     earliest = starts.agg(F.unix_micros(F.min("start"))).first()[0]
-    return None if earliest is None else Changes(starts, earliest, reached)
+    if earliest is None:  # loads without changes
+        _record(spark, layers, layer, reached)
+        return None
+    return Changes(starts, earliest, reached)
 
 
 def _record(spark: SparkSession, layers: Layers, layer: str, seq: int) -> None:
@@ -225,7 +272,7 @@ def _record(spark: SparkSession, layers: Layers, layer: str, seq: int) -> None:
 
 def run_silver(spark: SparkSession, layers: Layers) -> None:
     """Recompute silver from each changed symbol's first changed bar on."""
-    with _job(spark):
+    with job(spark):
         changes = _changes(spark, layers, "silver")
         if changes is None:
             return
@@ -248,7 +295,7 @@ def run_gold(spark: SparkSession, layers: Layers) -> None:
 
     Pending rows are stored too: forecasts start from them, training leaves them out.
     """
-    with _job(spark):
+    with job(spark):
         changes = _changes(spark, layers, "gold")
         if changes is None:
             return
@@ -278,7 +325,7 @@ def run_training(
     The best run is the one with the lowest error on the test rows, or, given a ``validation`` share, on
     that last part of the training rows.
     """
-    with _job(spark):
+    with job(spark):
         gold = tables.load(spark, layers.name("gold"))
         rows = layers.cut(gold)
         usable = complete_cases(gold.drop("date"))
@@ -306,7 +353,7 @@ def run_training(
 
 def run_serving(spark: SparkSession, layers: Layers) -> None:
     """Bring the serving table up to gold, from the row before each symbol's first changed bar on."""
-    with _job(spark):
+    with job(spark):
         changes = _changes(spark, layers, "serving")
         if changes is None:
             return
@@ -336,6 +383,13 @@ def run_layers(
     """One scheduled run of the data layers."""
     spark = ticks.sparkSession
     run_bronze(ticks, layers, as_of, seq, since, symbols)
-    run_silver(spark, layers)
-    run_gold(spark, layers)
-    run_serving(spark, layers)
+    follow(spark, layers)
+
+
+def follow(spark: SparkSession, layers: Layers) -> None:
+    """Bring the layers after bronze up to what is published."""
+    records = _records(spark, layers)
+    if any(records.get(layer, -1) < records.get("bronze", -1) for layer in UPSTREAM):
+        run_silver(spark, layers)
+        run_gold(spark, layers)
+        run_serving(spark, layers)

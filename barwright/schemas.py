@@ -50,6 +50,25 @@ SERVING = T.StructType(_KEY_FIELDS + _doubles("actual_close", "predicted_close")
 PREDICTIONS = T.StructType(
     _KEY_FIELDS + [T.StructField("run_id", T.StringType(), False)] + _doubles("close", "prediction")
 )
+PARTIALS = T.StructType(
+    [
+        *BARS.fields,
+        T.StructField("first_ts", T.TimestampType()),
+        T.StructField("first_id", T.LongType()),
+        T.StructField("last_ts", T.TimestampType()),
+        T.StructField("last_id", T.LongType()),
+        T.StructField("ingest_seq", T.LongType(), False),
+        T.StructField("date", T.DateType()),
+    ]
+)
+TAKEN = T.StructType(
+    [
+        T.StructField("path", T.StringType(), False),
+        T.StructField("modified", T.TimestampType()),
+        T.StructField("size", T.LongType()),
+        T.StructField("ingest_seq", T.LongType(), False),
+    ]
+)
 MARKS = T.StructType([T.StructField("symbol", T.StringType(), False), T.StructField("max_dt", T.TimestampType(), False)])
 LOADS = T.StructType([T.StructField("as_of", T.TimestampType(), False)])
 PROGRESS = T.StructType(

@@ -1,4 +1,8 @@
-"""Bars and layers from a stream of ticks."""
+"""Bars and layers from a stream of ticks.
+
+``stream_bars`` keeps the open bars in the state of the stream and drops ticks that come later than its watermark.
+``write_ticks`` keeps no state: each micro-batch is merged into the stored partial bars, however late its ticks are.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barwright.operators.bars import bar_aggregates
-from barwright.plans.layers import Layers, run_gold, run_serving, run_silver, store_bars
+from barwright.plans.ingest import run_batch
+from barwright.plans.layers import Layers, follow, store_bars
 from barwright.schemas import BARS
 from barwright.sources import tables
 from barwright.sources.staging import scratch, stage
@@ -57,9 +62,7 @@ def write_layers(bars: DataFrame, layers: Layers, checkpoint: str) -> StreamingQ
                 return
             tables.create_schema(spark, layers.database)
             store_bars(finished, layers)
-        run_silver(spark, layers)
-        run_gold(spark, layers)
-        run_serving(spark, layers)
+        follow(spark, layers)
 
     return (
         bars.writeStream.foreachBatch(increment)
@@ -68,3 +71,21 @@ def write_layers(bars: DataFrame, layers: Layers, checkpoint: str) -> StreamingQ
         .trigger(availableNow=True)
         .start()
     )
+
+
+def write_ticks(ticks: DataFrame, layers: Layers, checkpoint: str, name: str = "ticks") -> StreamingQuery:
+    """Load every micro-batch of ticks and bring the layers up; of two streams into one database, ``name`` differs.
+
+    Bars are there from their first tick on and change with every later one. A batch that is replayed after a failure
+    counts once.
+    """
+
+    def increment(batch: DataFrame, batch_id: int) -> None:
+        run_batch(batch, layers, f"{name}/{batch_id}")
+
+    return (
+        ticks.writeStream.foreachBatch(increment)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

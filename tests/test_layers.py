@@ -291,6 +291,42 @@ def test_new_columns_are_stored(spark):
     assert stored == {(at(0), 1.0, None), (at(30), 5.0, "x"), (at(60), 6.0, "x"), (at(61), 7.0, None)}
 
 
+def test_columns_widen_and_old_rows_stay_readable(spark, monkeypatch):
+    """int -> bigint -> double in stored files; a narrower type that comes later is cast; a text is an error."""
+    tables.create_schema(spark, "writers")
+    rows = [(0, "int", 1), (30, "bigint", 2**40), (31, "int", 3), (60, "double", 0.5), (61, "bigint", 2**50)]
+    for hour, kind, value in rows:
+        one = frame(spark, [("a", hour, 1.0)]).withColumn("extra", F.lit(value).cast(kind))
+        tables.replace_rows(one, "writers.w", BARS)
+    stored = spark.table("writers.w").orderBy("datetime")
+    assert stored.schema["extra"].dataType.simpleString() == "double"
+    assert [r["extra"] for r in stored.collect()] == [1.0, 2.0**40, 3.0, 0.5, 2.0**50]
+    with pytest.raises(ValueError, match="cannot take"):
+        tables.replace_rows(frame(spark, [("a", 62, 1.0)]).withColumn("extra", F.lit("x")), "writers.w", BARS)
+    assert not spark.catalog.tableExists("writers.w__wide")
+
+
+def test_a_widening_that_breaks_off_loses_nothing(spark, monkeypatch):
+    tables.create_schema(spark, "writers")
+    tables.replace_rows(frame(spark, [("a", 0, 1.0)]).withColumn("n", F.lit(1)), "writers.x", BARS)
+    wide = frame(spark, [("a", 30, 2.0)]).withColumn("n", F.lit(2**40))
+    real = tables._finish_widening
+    calls = []
+
+    def broken(spark, table):
+        calls.append(table)
+        if len(calls) == 2:  # the old table is dropped, the copy not renamed
+            raise Broken
+        real(spark, table)
+
+    monkeypatch.setattr(tables, "_finish_widening", broken)
+    with pytest.raises(Broken):
+        tables.replace_rows(wide, "writers.x", BARS)
+    monkeypatch.undo()
+    tables.replace_rows(wide, "writers.x", BARS)
+    assert sorted(r["n"] for r in spark.table("writers.x").collect()) == [1, 2**40]
+
+
 def test_instants_do_not_pass_through_the_drivers_zone(spark, monkeypatch):
     """In the hour that a zone repeats, a datetime on the driver could mean either of two instants."""
     import time
@@ -312,3 +348,88 @@ def test_instants_do_not_pass_through_the_drivers_zone(spark, monkeypatch):
     finally:
         monkeypatch.undo()
         time.tzset()
+
+
+class Broken(Exception):
+    pass
+
+
+@pytest.mark.parametrize(
+    "step, before, breaks",
+    [("reserve", False, False), ("replace_rows", True, True), ("replace_rows", False, True), ("snapshot", True, False), ("publish", True, True)],
+)
+def test_later_layers_may_run_inside_a_load(spark, monkeypatch, step, before, breaks):
+    """All layers run before or after a step of a load, which then goes on or breaks off and is repeated."""
+    from barwright.plans import layers as plans
+
+    layers = Layers(f"inside_{step}_{before}_{breaks}".lower())
+    ticks = make_ticks(spark, hours=12, symbols=("a",)).cache()
+    run_layers(known(ticks, at(8.5)), layers, at(8.5))
+    owner = tables if hasattr(tables, step) and step in ("replace_rows", "snapshot") else plans
+    real = getattr(owner, step)
+
+    def interrupted(*args, **kwargs):
+        if not before:
+            real(*args, **kwargs)
+        monkeypatch.undo()
+        for run in (run_silver, run_gold, run_serving):
+            run(spark, layers)
+        if breaks:
+            raise Broken
+        return real(*args, **kwargs) if before else plans._records(spark, layers)["reserved"]
+
+    monkeypatch.setattr(owner, step, interrupted)
+    if breaks:
+        with pytest.raises(Broken):
+            run_bronze(ticks, layers, at(12))
+        run_silver(spark, layers)
+    run_layers(ticks, layers, at(12))
+    check_layers(spark, layers, ticks)
+
+
+def test_a_half_written_load_counts_with_the_next(spark, monkeypatch):
+    """Some dates of a load are written, then it breaks off; the next load finds nothing else that is new."""
+    layers = Layers("halfway")
+    ticks = make_ticks(spark, hours=60, symbols=("a",)).cache()
+    run_layers(known(ticks, at(20)), layers, at(20))
+    real = tables.replace_rows
+
+    def half(fresh, table, *args, **kwargs):
+        real(fresh.filter(F.to_date("datetime") > F.lit("2024-01-01").cast("date")), table, *args, **kwargs)
+        raise Broken
+
+    monkeypatch.setattr(tables, "replace_rows", half)
+    with pytest.raises(Broken):
+        run_bronze(ticks, layers, at(60))
+    monkeypatch.undo()
+    run_silver(spark, layers)
+    run_layers(ticks, layers, at(60))
+    check_layers(spark, layers, ticks)
+
+
+def test_a_load_without_news_writes_nothing(spark):
+    layers = Layers("no_news")
+    ticks = make_ticks(spark, hours=30).cache()
+    run_layers(ticks, layers, at(30))
+    names = ("bronze", "silver", "gold", "serving", "marks", "progress")
+    before = {n: sorted(spark.table(layers.name(n)).inputFiles()) for n in names}
+    run_layers(ticks, layers, at(30))
+    run_layers(ticks, layers, at(31), seq=0)
+    for n in names:
+        spark.catalog.refreshTable(layers.name(n))
+        assert sorted(spark.table(layers.name(n)).inputFiles()) == before[n]
+
+
+def test_equal_bars_keep_their_number(spark, make_bars):
+    layers = Layers("numbers")
+    tables.create_schema(spark, layers.database)
+    rows = series([float(i) for i in range(10)])
+    store_bars(make_bars(rows), layers)
+    rows[4]["close"] = 99.0
+    rows[7]["volume"] = None
+    assert store_bars(make_bars([*rows, {"hour": 10, "close": 1.0}]), layers)
+    assert not store_bars(make_bars(rows), layers, seq=0)
+    rows[2]["close"] = 5.5
+    assert store_bars(make_bars(rows), layers, seq=1)  # 1 is published: the next one is taken
+    numbers = [r["ingest_seq"] for r in spark.table("numbers.bronze").orderBy("datetime").collect()]
+    assert numbers == [0, 0, 2, 0, 1, 0, 0, 1, 0, 0, 1]
