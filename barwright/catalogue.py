@@ -324,7 +324,7 @@ def file_arrivals(spark, path):
     try:
         for part in _arrivals(spark, path, 3):
             part.write.mode("append").parquet(place)
-            run_arrivals(spark, place, layers, CUT, read)
+            run_arrivals(spark, place, layers, CUT, read, all_layers=False)
         return _stored_bars(spark, layers)
     finally:
         spark.sql(f"DROP DATABASE IF EXISTS {layers.database} CASCADE")
@@ -339,7 +339,7 @@ def stream_late_bars(spark, path):
         part.coalesce(1).write.mode("append").parquet(f"{place}/in")
     events = spark.readStream.schema(spark.read.parquet(f"{place}/in").schema).option("maxFilesPerTrigger", 1).parquet(f"{place}/in")
     try:
-        streaming.write_ticks(with_size(event_ticks(events), _traded()), layers, f"{place}/checkpoint").awaitTermination()
+        streaming.write_ticks(with_size(event_ticks(events), _traded()), layers, f"{place}/checkpoint", all_layers=False).awaitTermination()
         return _stored_bars(spark, layers)
     finally:
         spark.sql(f"DROP DATABASE IF EXISTS {layers.database} CASCADE")
@@ -434,6 +434,12 @@ def time_split_chunked(spark, path):
     return split.time_split(gold, rows=_two_days(gold)).select(*KEYS, "is_train")
 
 
+def time_split_common(spark, path):
+    """One cut for all symbols."""
+    gold = stage(_gold(spark, path)[0], "gold")
+    return split.common_split(gold, rows=_two_days(gold)).select(*KEYS, "is_train")
+
+
 def _line_sums(spark, path, columns):
     """A line without penalty, fitted by the library's trainer: (term, value) rounded to 4 places."""
     train, _ = _train_test(spark, path)
@@ -481,6 +487,22 @@ def model_grid(spark, path):
     return model.fit_grid(*split.train_test(stage(gold, "gold"), rows=rows)).runs
 
 
+def _rounded_runs(grid: model.Grid) -> DataFrame:
+    return grid.runs.select("run_order", "reg", "enet", *[F.round(m, 6).alias(m) for m in metrics.METRICS])
+
+
+def grid_one_feature(spark, path):
+    """All nine points with one feature, where the penalised line has a closed form."""
+    train, test = _train_test(spark, path)
+    return _rounded_runs(model.fit_grid(stage(train, "train"), test, columns=["close"]))
+
+
+def grid_ridge(spark, path):
+    """Ridge lines of two features."""
+    train, test = _train_test(spark, path)
+    return _rounded_runs(model.fit_grid(stage(train, "train"), test, elastic_net=[0.0], columns=["close", "hour"]))
+
+
 def next_step(spark, path):
     bars, rows = _silver(spark, path)
     gold = stage(ft.with_pending(ft.features(bars, rows=rows)), "gold")
@@ -620,7 +642,7 @@ _ALL = [
     best_run, model_grid, next_step, forecast_vs_actual, serving_shift, recent_10, recent_5_local, recent_48h,
     dashboard_48h, dashboard_recent_10, dashboard_recent_5_local, prediction_error, actual_vs_predicted,
     updown_counts, rsi_14, rsi_14_hourly, ma_7, return_1d, updown_label, stream_bars,
-    file_arrivals, stream_late_bars,
+    file_arrivals, stream_late_bars, time_split_common, grid_one_feature, grid_ridge,
 ]
 
 

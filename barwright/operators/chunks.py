@@ -60,28 +60,35 @@ def cut_size(
     return rows
 
 
-def _neighbour_rows(
-    df: DataFrame, keys: Sequence[str], order: str, payload: Sequence[str], count: int, before: bool
+def _halo_rows(
+    df: DataFrame, keys: Sequence[str], order: str, payload: Sequence[str], before: int, after: int
 ) -> DataFrame:
-    """For each chunk, the ``count`` nearest rows of the same key outside it, on one side.
+    """For each chunk, the ``before`` and ``after`` nearest rows of the same key outside it.
 
-    Works on chunk edges only: at most ``count`` rows per chunk reach the shuffle (group limit). An edge
-    row goes to the neighbour of every chunk whose border is less than ``count`` edge rows away: one
-    chunk as a rule, several when chunks are sparse, so gaps of any length are exact.
+    Works on chunk edges only, the last rows of chunks and the first ones (``_side`` 1 and -1) in one pass: at most
+    ``before`` + ``after`` rows per chunk reach the shuffle (group limit). An edge row goes to the neighbour of
+    every chunk whose border is less than that many edge rows away: one chunk as a rule, several when chunks
+    are sparse, so gaps of any length are exact.
     """
-    sort = F.col(order).desc() if before else F.col(order).asc()
+    side, most = F.col("_side"), max(before, after)
+    count = F.when(side == 1, before).otherwise(after)
+    sides = F.array(*[F.lit(s) for s, n in ((1, before), (-1, after)) if n])
+    last, first = F.when(side == 1, F.col(order)), F.when(side == -1, F.col(order))
+    inward = Window.partitionBy(*keys, CHUNK, "_side").orderBy(last.desc(), first.asc())
     edge = (
-        df.select(*keys, CHUNK, order, *payload)
-        .withColumn("_rank", F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(sort)))
+        df.select(*keys, CHUNK, order, *payload, F.explode(sides).alias("_side"))
+        .withColumn("_rank", F.row_number().over(inward))
+        .filter(F.col("_rank") <= most)
         .filter(F.col("_rank") <= count)
     )
-    along = Window.partitionBy(*keys).orderBy(order)
-    beyond = F.lead(CHUNK).over(along) if before else F.lag(CHUNK).over(along)
-    reach = (0, count - 1) if before else (1 - count, 0)
+    outward = Window.partitionBy(*keys, "_side").orderBy(last.asc(), first.desc())
+    border = F.when(F.col("_rank") == 1, F.struct("_place", F.lead(CHUNK).over(outward).alias("chunk")))
+    near = F.filter("_borders", lambda b: b["chunk"].isNotNull() & (b["_place"] - F.col("_place") < count))
     return (
-        edge.withColumn("_beyond", F.when(F.col("_rank") == 1, beyond))  # null but at a border
-        .withColumn("_receivers", F.collect_list("_beyond").over(along.rowsBetween(*reach)))
-        .select(*keys, F.explode("_receivers").alias(CHUNK), order, *payload, F.lit(True).alias(HALO))
+        edge.withColumn("_place", F.row_number().over(outward))
+        .withColumn("_border", border)
+        .withColumn("_borders", F.collect_list("_border").over(outward.rowsBetween(0, most - 1)))
+        .select(*keys, F.explode(near["chunk"]).alias(CHUNK), order, *payload, F.lit(True).alias(HALO))
     )
 
 
@@ -94,12 +101,10 @@ def with_halo(
     after: int = 0,
 ) -> DataFrame:
     """``df`` (which has a CHUNK column) plus each chunk's halo rows, told apart by HALO."""
-    parts = [df.withColumn(HALO, F.lit(False))]
-    if before:
-        parts.append(_neighbour_rows(df, keys, order, payload, before, True))
-    if after:
-        parts.append(_neighbour_rows(df, keys, order, payload, after, False))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    own = df.withColumn(HALO, F.lit(False))
+    if not (before or after):
+        return own
+    return own.unionByName(_halo_rows(df, keys, order, payload, before, after), allowMissingColumns=True)
 
 
 def over_series(

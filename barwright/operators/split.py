@@ -1,4 +1,4 @@
-"""Time-ordered train/test split per symbol."""
+"""Time-ordered train/test split, per symbol or at one instant for all symbols."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from barwright.operators.chunks import CHUNK, HOUR, ROWS_PER_CHUNK, time_chunk
+from barwright.operators.marks import from_micros
 from barwright.sources.staging import stage
 
 TRAIN_RATIO = 0.8
@@ -65,10 +66,46 @@ def time_split(
     )
 
 
+def common_cut(df: DataFrame, ratio: float = TRAIN_RATIO, step: timedelta = HOUR, rows: int = ROWS_PER_CHUNK) -> int | None:
+    """The first instant, in microseconds, whose rows are not all among the first int(n * ratio) of the table in the
+    order of time; None if all are.
+
+    Rows are counted per time chunk, then per instant inside the one chunk that holds the cut: at most ``rows`` instants.
+    """
+    chunk = time_chunk("datetime", step, rows)
+    over_all = Window.partitionBy(F.lit(0))
+    earlier = over_all.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = df.groupBy(chunk.alias(CHUNK)).agg(F.count(F.lit(1)).alias("_size"))  # one row per chunk
+    wanted = F.floor(F.sum("_size").over(over_all) * F.lit(ratio)).cast("long")
+    placed = sizes.withColumns({"_before": F.coalesce(F.sum("_size").over(earlier), F.lit(0)), "_wanted": wanted})
+    found = placed.filter((F.col("_before") <= F.col("_wanted")) & (F.col("_wanted") < F.col("_before") + F.col("_size"))).first()
+    if found is None:
+        return None
+    span = step // timedelta(microseconds=1) * rows
+    start = found[CHUNK] * span
+    at = F.unix_micros("datetime")
+    inside = df.filter((F.col("datetime") >= from_micros(start)) & (F.col("datetime") < from_micros(start + span)))
+    instants = inside.groupBy(at.alias("_at")).agg(F.count(F.lit(1)).alias("_size"))
+    so_far = F.sum("_size").over(over_all.orderBy("_at").rowsBetween(Window.unboundedPreceding, 0))
+    left = found["_wanted"] - found["_before"]
+    return instants.withColumn("_so_far", so_far).filter(F.col("_so_far") > left).agg(F.min("_at")).first()[0]
+
+
+def common_split(df: DataFrame, ratio: float = TRAIN_RATIO, step: timedelta = HOUR, rows: int = ROWS_PER_CHUNK) -> DataFrame:
+    """Add ``is_train`` by one cut for all symbols: no training row is as late as a test row."""
+    cut = common_cut(df, ratio, step, rows)
+    return df.withColumn("is_train", F.lit(True) if cut is None else F.col("datetime") < from_micros(cut))
+
+
 def train_test(
-    df: DataFrame, ratio: float = TRAIN_RATIO, step: timedelta = HOUR, rows: int | None = ROWS_PER_CHUNK
+    df: DataFrame,
+    ratio: float = TRAIN_RATIO,
+    step: timedelta = HOUR,
+    rows: int | None = ROWS_PER_CHUNK,
+    common: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    marked = time_split(df, ratio, step, rows)
+    """The rows before each symbol's cut and those after it; ``common``, one cut for all symbols."""
+    marked = common_split(df, ratio, step, rows or ROWS_PER_CHUNK) if common else time_split(df, ratio, step, rows)
     return (
         marked.filter("is_train").drop("is_train"),
         marked.filter(~F.col("is_train")).drop("is_train"),
@@ -81,8 +118,9 @@ def train_validation_test(
     ratio: float = TRAIN_RATIO,
     step: timedelta = HOUR,
     rows: int | None = ROWS_PER_CHUNK,
+    common: bool = False,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """As ``train_test``, with the last ``validation`` share of the training rows set apart."""
-    head, test = train_test(df, ratio, step, rows)
-    train, held_out = train_test(head, 1 - validation, step, rows)
+    head, test = train_test(df, ratio, step, rows, common)
+    train, held_out = train_test(head, 1 - validation, step, rows, common)
     return train, held_out, test

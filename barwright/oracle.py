@@ -173,6 +173,25 @@ ORACLE: dict[str, str] = {
     "ffill_chunked": """SELECT event_id, last_value(CASE WHEN value >= 40 THEN value END IGNORE NULLS)
       OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS filled FROM events""",
     "time_split": f"{SPLIT} SELECT symbol, datetime, is_train FROM parts",
+    "time_split_common": f"""{SPLIT}, n AS (SELECT datetime, sum(count(*)) OVER (ORDER BY datetime) AS so_far FROM parts GROUP BY datetime)
+      SELECT symbol, datetime, so_far <= floor((SELECT count(*) FROM parts) * 0.8) AS is_train FROM parts JOIN n USING (datetime)""",
+    "grid_one_feature": f"""{SPLIT}, t AS (SELECT target_price AS y, close AS x FROM parts WHERE is_train),
+      m AS (SELECT avg(x) AS x0, avg(y) AS y0, stddev_pop(x) AS xs, stddev_pop(y) AS ys, covar_pop(x, y) / stddev_pop(x) AS c FROM t),
+      g AS (SELECT (row_number() OVER (ORDER BY reg, enet) - 1)::INT AS run_order, * FROM (VALUES (0.01), (0.1), (1.0)) r(reg), (VALUES (0.0), (0.5), (1.0)) e(enet)),
+      l AS (SELECT run_order, reg::DOUBLE AS reg, enet::DOUBLE AS enet, x0, y0,
+        sign(c) * greatest(abs(c) - reg * enet, 0) / (1 + reg * (1 - enet) / ys) / xs AS w FROM g, m),
+      e AS (SELECT l.*, target_price AS y, target_price - (y0 + w * (close - x0)) AS d FROM parts, l WHERE NOT is_train)
+      SELECT run_order, reg, enet, round(sqrt(avg(d * d)), 6) AS rmse, round(avg(d * d), 6) AS mse, round(avg(abs(d)), 6) AS mae,
+        round(1 - sum(d * d) / (var_pop(y) * count(y)), 6) AS r2 FROM e GROUP BY run_order, reg, enet""",
+    "grid_ridge": f"""{SPLIT}, t AS (SELECT target_price AS y, close AS a, "hour"::DOUBLE AS b FROM parts WHERE is_train),
+      m AS (SELECT avg(a) AS a0, avg(b) AS b0, avg(y) AS y0, stddev_pop(a) AS sa, stddev_pop(b) AS sb, stddev_pop(y) AS sy, corr(a, b) AS r,
+        covar_pop(a, y) / stddev_pop(a) AS ca, covar_pop(b, y) / stddev_pop(b) AS cb FROM t),
+      l AS (SELECT run_order, reg::DOUBLE AS reg, *, (ca * (1 + reg / sy) - r * cb) / ((1 + reg / sy) * (1 + reg / sy) - r * r) / sa AS wa,
+        (cb * (1 + reg / sy) - r * ca) / ((1 + reg / sy) * (1 + reg / sy) - r * r) / sb AS wb
+        FROM (VALUES (0, 0.01::DOUBLE), (1, 0.1::DOUBLE), (2, 1.0::DOUBLE)) g(run_order, reg), m),
+      e AS (SELECT run_order, l.reg, target_price AS y, target_price - (y0 + wa * (close - a0) + wb * ("hour" - b0)) AS d FROM parts, l WHERE NOT is_train)
+      SELECT run_order, reg, 0.0::DOUBLE AS enet, round(sqrt(avg(d * d)), 6) AS rmse, round(avg(d * d), 6) AS mse, round(avg(abs(d)), 6) AS mae,
+        round(1 - sum(d * d) / (var_pop(y) * count(y)), 6) AS r2 FROM e GROUP BY run_order, reg""",
     "scaler_stats": _scaler_stats(),
     "scaled_features": _scaled(),
     "eval_metrics": f"""{SPLIT}, e AS (SELECT target_price AS y, target_price - close AS d FROM parts WHERE NOT is_train)

@@ -83,7 +83,13 @@ def load_ticks(ticks: DataFrame, taken: DataFrame, layers: Layers, oldest: datet
 
 
 def run_arrivals(
-    spark: SparkSession, folder: str, layers: Layers, as_of: datetime, read: Callable[[list[str]], DataFrame], pattern: str = "*.parquet"
+    spark: SparkSession,
+    folder: str,
+    layers: Layers,
+    as_of: datetime,
+    read: Callable[[list[str]], DataFrame],
+    pattern: str = "*.parquet",
+    all_layers: bool = True,
 ) -> int:
     """Load the files of a folder that no load has taken, and bring the later layers up; the number of new files.
 
@@ -95,11 +101,12 @@ def run_arrivals(
         paths = [re.sub(r"([\\{}\[\]*?])", r"\\\1", r["path"]) for r in new.select("path").collect()]  # a plan holds its paths anyway
         if paths:
             load_ticks(read(paths), new, layers, as_of - BACKFILL)
-        follow(spark, layers)
+        if all_layers:
+            follow(spark, layers)
     return len(paths)
 
 
-def run_batch(ticks: DataFrame, layers: Layers, name: str) -> bool:
+def run_batch(ticks: DataFrame, layers: Layers, name: str, all_layers: bool = True) -> bool:
     """Load a micro-batch of ticks under a name that tells it from all others, unless it is loaded already."""
     spark = ticks.sparkSession
     with job(spark):
@@ -108,5 +115,6 @@ def run_batch(ticks: DataFrame, layers: Layers, name: str) -> bool:
         new = not not_taken(taken, layers).isEmpty()
         if new:
             load_ticks(stage(ticks, "batch"), taken, layers)
-        follow(spark, layers)
+        if all_layers:
+            follow(spark, layers)
     return new

@@ -318,21 +318,23 @@ def run_training(
     run_id: str,
     model_path: str | None = None,
     validation: float | None = None,
+    common_cut: bool = False,
 ) -> PipelineModel:
     """Fit the grid, record every run, store the forecast of each symbol's next bar. Repeating a ``run_id``
     replaces its rows.
 
     The best run is the one with the lowest error on the test rows, or, given a ``validation`` share, on
-    that last part of the training rows.
+    that last part of the training rows. With ``common_cut`` training and test rows are parted at one instant for all
+    symbols instead of per symbol.
     """
     with job(spark):
         gold = tables.load(spark, layers.name("gold"))
         rows = layers.cut(gold)
         usable = complete_cases(gold.drop("date"))
         if validation:
-            train, scored, _ = train_validation_test(usable, validation, step=layers.step, rows=rows)
+            train, scored, _ = train_validation_test(usable, validation, step=layers.step, rows=rows, common=common_cut)
         else:
-            train, scored = train_test(usable, step=layers.step, rows=rows)
+            train, scored = train_test(usable, step=layers.step, rows=rows, common=common_cut)
         grid = fit_grid(stage(train, "train"), stage(scored, "scored"))
         labelled = grid.runs.withColumns({"run_id": F.lit(run_id), "run_by": F.current_user()})
         recorded = stage(labelled, "runs")

@@ -73,7 +73,7 @@ def write_layers(bars: DataFrame, layers: Layers, checkpoint: str) -> StreamingQ
     )
 
 
-def write_ticks(ticks: DataFrame, layers: Layers, checkpoint: str, name: str = "ticks") -> StreamingQuery:
+def write_ticks(ticks: DataFrame, layers: Layers, checkpoint: str, name: str = "ticks", all_layers: bool = True) -> StreamingQuery:
     """Load every micro-batch of ticks and bring the layers up; of two streams into one database, ``name`` differs.
 
     Bars are there from their first tick on and change with every later one. A batch that is replayed after a failure
@@ -81,7 +81,7 @@ def write_ticks(ticks: DataFrame, layers: Layers, checkpoint: str, name: str = "
     """
 
     def increment(batch: DataFrame, batch_id: int) -> None:
-        run_batch(batch, layers, f"{name}/{batch_id}")
+        run_batch(batch, layers, f"{name}/{batch_id}", all_layers)
 
     return (
         ticks.writeStream.foreachBatch(increment)

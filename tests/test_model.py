@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from barwright.operators.clean import silver
 from barwright.operators.features import complete_cases, features, with_pending
-from barwright.operators.split import time_split, train_test, train_validation_test
+from barwright.operators.split import common_split, time_split, train_test, train_validation_test
 from barwright.plans import metrics, model
 from conftest import at, column, series
 
@@ -47,6 +47,20 @@ def test_split_sizes(make_bars, n, first, rows):
     assert flags == [True] * first + [False] * (n - first)
 
 
+@pytest.mark.parametrize("ratio", [0.0, 0.3, 0.8, 1.0])
+@pytest.mark.parametrize("rows", [3, 512])
+def test_a_common_cut_parts_all_symbols_at_one_instant(make_bars, ratio, rows):
+    bars = make_bars(series([1] * 10, symbol="a") + series([1] * 7, symbol="b", hours=[i * 3 for i in range(7)]) + series([1], symbol="c", hours=[500]))
+    marked = [(r["datetime"], r["is_train"]) for r in common_split(bars, ratio, rows=rows).collect()]
+    train, test = [t for t, x in marked if x], [t for t, x in marked if not x]
+    allowed = int(len(marked) * ratio)
+    assert len(train) <= allowed
+    if train and test:
+        assert max(train) < min(test)
+    if test:  # one more instant would be too many
+        assert len(train) + test.count(min(test)) > allowed
+
+
 def test_split_is_per_symbol(make_bars):
     bars = make_bars(series([1] * 10, symbol="a") + series([1] * 5, symbol="b", hours=[i * 99 for i in range(5)]))
     assert column(time_split(bars, rows=4), "is_train") == [True] * 8 + [False] * 2 + [True] * 4 + [False]
@@ -97,6 +111,32 @@ def test_grid_equals_separate_pipelines(parts, grid):
         assert row[name] == pytest.approx(wanted, rel=1e-6)
 
 
+def test_every_fit_equals_one_on_all_rows(parts, grid):
+    """The fits see a few rows with the sums of all; coefficients and intercepts are those of the library (where it
+    searches instead of solving a system, both stop within its tolerance)."""
+    train, _ = parts
+    scaler = model.fit_scaler(train)
+    rows = scaler.transform(model.assembler().transform(train.select(*model.FEATURES, model.LABEL))).cache()
+    pairs = [(r, e) for r in model.REG for e in model.ELASTIC_NET]
+    for (reg, enet), fitted in zip(pairs, grid.models, strict=True):
+        wanted = LinearRegression(featuresCol="scaled_features", labelCol=model.LABEL, regParam=reg, elasticNetParam=enet).fit(rows)
+        line = fitted.stages[-1]
+        close = 1e-6 if enet == 0.0 else 1e-4
+        assert line.coefficients.toArray() == pytest.approx(wanted.coefficients.toArray(), rel=close, abs=close)
+        assert line.intercept == pytest.approx(wanted.intercept, rel=1e-9)
+
+
+def test_constant_columns_have_no_weight(parts):
+    train, test = parts
+    flat = train.withColumn("hour", F.lit(3)).withColumn("lag_1", F.lit(2.0))
+    for enet in (0.0, 1.0):
+        line = model.fit_grid(flat, test, [0.1], [enet]).models[0].stages[-1]
+        assert line.coefficients[model.FEATURES.index("hour")] == line.coefficients[model.FEATURES.index("lag_1")] == 0.0
+    same = train.withColumn("target_price", F.lit(7.0))
+    line = model.fit_grid(same, test, [0.1], [0.5]).models[0].stages[-1]
+    assert line.intercept == 7.0 and not line.coefficients.toArray().any()
+
+
 def test_ridge_shrinks(grid):
     def size(i):
         return grid.models[i].stages[-1].coefficients.norm(2)
