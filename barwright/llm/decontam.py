@@ -21,15 +21,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barwright.llm.carry import packed, unpacked
+from barwright.llm.carry import packed, sent, unpacked
 from barwright.sources.staging import stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
 GRAM = 6
-#: Up to so many documents with a fingerprint of the benchmark are sent to the tasks that extend them.
-SENT_ROWS = 200_000
 
 
 def words(text: Column) -> Column:
@@ -85,8 +83,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> tu
     printed = stage(printed.select("doc_id", "tag", F.size("words").cast("long").alias("n_words"), prints.alias("prints")), "prints")
     common = printed.select("doc_id", "tag", F.explode("prints").alias("print")).join(own.select("print").distinct(), "print")
     common = stage(common.groupBy("doc_id", "tag").agg(F.collect_set("print").alias("wanted")), "common")
-    if common.limit(SENT_ROWS + 1).count() <= SENT_ROWS:
-        common = F.broadcast(common)
+    common = sent(common, "wanted")
     same = [F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")), F.col("d.tag") == F.col("c.tag")]
     near = named.alias("d").join(common.alias("c"), same[0] & same[1]).select("d.doc_id", "d.tag", "d.text", "c.wanted")
     near = near.withColumn("words", words(F.col("text"))).drop("text")
@@ -100,8 +97,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     """The rows of ``docs`` that are not contaminated."""
     judged = contamination(docs, benchmark, window, share).filter("contaminated")
     gone = stage(judged.select(F.col("doc_id").alias("id"), "tag").distinct(), "contaminated")
-    if gone.limit(SENT_ROWS + 1).count() <= SENT_ROWS:
-        gone = F.broadcast(gone)
+    gone = sent(gone)
     rows = packed(docs).withColumn("own", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     return unpacked(rows.join(gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("own") == F.col("tag")), "left_anti"), docs)
 

@@ -2,11 +2,11 @@
 
 Characters that are no letters become one space, letters are lower-cased, and the 1- to 3-grams of what is
 left are hashed into ``BUCKETS`` counters per language. The table of log-probabilities (languages x
-buckets) goes to every task; a batch of texts is scored as a sparse product: the rows of its n-grams are
-gathered and summed per text.
+buckets) goes to every task; a batch of texts is scored as a sparse product: the n-grams of all its texts are found
+at once, and for each language their log-probabilities are gathered and summed per text.
 
 Training counts n-grams over a bounded sample of labelled rows (about ``train_rows``, by hash of
-doc_id); every text is scored whole. A null text, or one without a letter, is ``und`` with score 0. Rows
+doc_id and text); every text is scored whole. A null text, or one without a letter, is ``und`` with score 0. Rows
 whose language is null teach nothing; without any labelled row all is ``und``. Repeated rows count
 repeatedly. Ties go to the language that sorts first.
 """
@@ -43,41 +43,58 @@ class Model:
     log_prob: np.ndarray  # buckets x languages
 
 
-def gram_buckets(text: str) -> np.ndarray:
-    """Hashed 1- to 3-grams of a text, spaces around words included; empty if it has no letter."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+def gram_buckets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(first, buckets): the hashed 1- to 3-grams of text i, spaces around words included, are
+    buckets[first[i]:first[i + 1]]; none if it has no letter. Texts beyond ``STRIDE`` characters are cut there."""
+    pieces = [(i, t[at : at + STRIDE].lower()) for i, t in enumerate(texts) if t for at in range(0, len(t), STRIDE)]
+    if not pieces:
+        return np.zeros(len(texts) + 1, np.int64), np.empty(0, np.int64)
+    points = np.frombuffer("".join(f" {p} " for _, p in pieces).encode("utf-32-le", "replace"), np.uint32)
+    ends = np.cumsum([len(p) + 2 for _, p in pieces])
+    starts = ends - np.diff(ends, prepend=0)
     known = letter_table()[points]
-    if not known.any():
-        return np.empty(0, np.int64)
-    points = np.where(known, points, np.uint64(32))
     keep = known.copy()
     keep[1:] |= known[:-1]  # one space after each word
-    c = np.concatenate([np.array([32], np.uint64), points[keep], np.array([32], np.uint64)])
+    edge = np.zeros(len(points), bool)
+    edge[starts] = edge[ends - 1] = True
+    piece = np.repeat(np.arange(len(pieces)), np.diff(ends, prepend=0))
+    lettered = np.logical_or.reduceat(known, starts)
+    keep = (keep | edge) & lettered[piece]
+    c = np.where(known, points, 32)[keep].astype(np.uint64)
+    piece, edge = piece[keep], edge[keep]
     with np.errstate(over="ignore"):
         a = c * np.uint64(0x9E3779B97F4A7C15)
         two = a[:-1] * np.uint64(31) + c[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
         three = two[:-1] * np.uint64(31) + c[2:] * np.uint64(0x165667B19E3779F9)
-    grams = np.concatenate([kernel.mix(a[1:-1], 1), kernel.mix(two, 2), kernel.mix(three, 3)])
-    return (grams >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
+    inside = [~edge, piece[:-1] == piece[1:], piece[:-2] == piece[2:]]
+    owner = np.array([i for i, _ in pieces])[piece]
+    grams = [kernel.mix(x[k], salt) >> np.uint64(64 - BUCKETS.bit_length() + 1) for x, k, salt in zip((a, two, three), inside, (1, 2, 3), strict=True)]
+    text = np.concatenate([owner[: len(k)][k] for k in inside])
+    order = np.argsort(text, kind="stable")
+    return np.searchsorted(text[order], np.arange(len(texts) + 1)), np.concatenate(grams)[order].astype(np.int64)
 
 
 def bounded_sample(rows: DataFrame, about: int) -> DataFrame:
-    """The rows whose hash of doc_id falls into a share that holds about so many; all, if there are no more.
-    Nothing is sorted or moved for it."""
+    """The rows (doc_id, text, ...) whose hash of both falls into a share that holds about so many; all, if there are no
+    more. Nothing is sorted or moved for it."""
     n = rows.count()
     if n <= about:
         return rows
-    return rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int((1 << 30) * about / n)))
+    return rows.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < F.lit(int((1 << 30) * about / n)))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per task: documents and n-gram counts of each language."""
     counts: dict[str, np.ndarray] = {}
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            row = counts.setdefault(lang, np.zeros(BUCKETS + 1, np.int64))
-            row[:BUCKETS] += np.bincount(gram_buckets(text or ""), minlength=BUCKETS)
-            row[BUCKETS] += 1
+        for part in kernel.slices(batch, "text"):
+            langs = np.array(part.column("lang").to_pylist(), object)
+            first, buckets = gram_buckets(part.column("text").to_pylist())
+            for lang in set(langs):
+                own = np.repeat(langs == lang, np.diff(first))
+                row = counts.setdefault(lang, np.zeros(BUCKETS + 1, np.int64))
+                row[:BUCKETS] += np.bincount(buckets[own], minlength=BUCKETS)
+                row[BUCKETS] += np.count_nonzero(langs == lang)
     for lang, row in counts.items():
         at = np.flatnonzero(row)
         yield pa.RecordBatch.from_pydict({"lang": [lang] * len(at), "bucket": at, "n": row[at]})
@@ -105,25 +122,18 @@ def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS, smoothing: float =
 
 def score_texts(texts: list[str | None], model: Model) -> tuple[list[str], list[float]]:
     """Language and posterior of each text; per n-gram evidence is discounted as neighbours overlap."""
-    found, scores = [], []
-    for text in texts:
-        total, n = np.zeros(len(model.log_prior)), 0
-        for at in range(0, len(text or ""), STRIDE):
-            grams = gram_buckets(text[at : at + STRIDE])
-            n += len(grams)
-            if len(grams):
-                counts = np.bincount(grams, minlength=BUCKETS)
-                used = np.flatnonzero(counts)
-                total += counts[used].astype(np.float64) @ model.log_prob[used].astype(np.float64)
-        if not n or not model.languages:
-            found.append("und")
-            scores.append(0.0)
-            continue
-        joint = model.log_prior + total / 3.0
-        odds = np.exp(joint - joint.max())
-        best = int(np.argmax(odds))
-        found.append(model.languages[best])
-        scores.append(float(odds[best] / odds.sum()))
+    first, buckets = gram_buckets(texts)
+    some = np.flatnonzero(np.diff(first))
+    found, scores = ["und"] * len(texts), [0.0] * len(texts)
+    if not len(some) or not model.languages:
+        return found, scores
+    columns = [np.add.reduceat(column[buckets], first[some], dtype=np.float64) for column in np.ascontiguousarray(model.log_prob.T)]
+    joint = model.log_prior + np.stack(columns, axis=1) / 3.0
+    odds = np.exp(joint - joint.max(axis=1, keepdims=True))
+    best = np.argmax(odds, axis=1)
+    share = odds[np.arange(len(some)), best] / odds.sum(axis=1)
+    for i, b, s in zip(some, best, share, strict=True):
+        found[i], scores[i] = model.languages[b], float(s)
     return found, scores
 
 

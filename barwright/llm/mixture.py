@@ -4,7 +4,7 @@ Sizes are words. Target shares that exceed ``repeat`` times a source are cut the
 dealt again by weight. The mix is made of blocks of equal length: the highest quotients
 target / (2k - 1) give each source an integer number of blocks, and, by the same rule, each shard of the
 source its part of them. A shard is a seeded bucket of a source's documents with about ``shard_words``
-words, laid end to end in the order of doc_id and cut into blocks; a seeded systematic draw picks the blocks, and
+words or ``shard_rows`` documents at most (dealt by doc_id and text, so that null and repeated ids spread), laid end to end in the order of doc_id and cut into blocks; a seeded systematic draw picks the blocks, and
 the words that a document has in picked blocks are what the mix takes of it. Since the draw is
 arithmetic, no row per block or seat is made: the quotients are compared only for the seats that the
 smallest and largest possible divisor leave open, at most a few per source or shard.
@@ -69,7 +69,8 @@ def apportion(rows: DataFrame, seats: str, votes: str, most: str, group: list[st
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, repeat: float) -> DataFrame:
     """One row per source: its size and target. The window holds one row per source, summed before."""
-    sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn("key", _name())
+    sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count_if(F.col("size") > 0).alias("source_rows"))
+    sources = sources.withColumn("key", _name())
     everything = Window.partitionBy(F.lit(0))
     order = Window.partitionBy(F.lit(0)).orderBy(F.col("source").asc_nulls_last())
     weight = F.element_at(F.array(*map(F.lit, map(float, weights))), ((F.row_number().over(order) - 1) % len(weights) + 1).cast("int"))
@@ -82,7 +83,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, rep
     table = table.withColumn("level", (F.col("total") - F.col("full")) / rest)
     level = F.max(F.when(F.col("level") * F.col("weight") <= cap, F.col("level"))).over(everything)
     table = table.withColumn("target", F.least(cap, F.coalesce(level * F.col("weight"), cap)))
-    return table.select("source", "key", "source_size", "target")
+    return table.select("source", "key", "source_size", "source_rows", "target")
 
 
 def mix_sources(
@@ -93,6 +94,7 @@ def mix_sources(
     seed: int = 20,
     block_words: int = 1024,
     shard_words: int = 1 << 18,
+    shard_rows: int = 1 << 16,
 ) -> DataFrame:
     """doc_id, source, size, source_size, target, block_words, taken for every document.
 
@@ -100,14 +102,15 @@ def mix_sources(
     otherwise have fewer than 256 blocks.
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    sizes = stage(docs.select("doc_id", "source", size.alias("size")), "sizes")  # the texts are read once
+    digest = F.substring(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")), 1, 16)
+    sizes = stage(docs.select("doc_id", "source", size.alias("size"), digest.alias("digest")), "sizes")  # the texts are read once
     targets = source_targets(sizes, weights, share, repeat)
     everything = Window.partitionBy(F.lit(0))
     smallest = F.min(F.when(F.col("source_size") > 0, F.col("source_size"))).over(everything)
     targets = targets.withColumns(
         {
             "block": F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(F.coalesce(smallest, F.lit(1)) / 256))).cast("long"),
-            "shards": F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long"),
+            "shards": F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words), F.ceil(F.col("source_rows") / shard_rows)).cast("long"),
         }
     )
     targets = targets.withColumn("seats", F.round(F.sum("target").over(everything) / F.col("block")).cast("long"))
@@ -115,9 +118,10 @@ def mix_sources(
     plan = apportion(targets.withColumn("all", F.lit(0)), "seats", "target", "most", ["all"], ["key"])
     plan = stage(plan.select("key", "source_size", "target", "block", "shards", F.col("quota").alias("source_quota")), "plan")
 
-    placed = sizes.withColumn("key", _name()).join(F.broadcast(plan) if _few(plan) else plan, "key")
-    shard = F.pmod(_seeded(seed, F.col("doc_id").cast("string")), F.col("shards"))
-    placed = placed.withColumn("shard", shard)
+    everywhere = sizes.withColumn("key", _name()).join(F.broadcast(plan) if _few(plan) else plan, "key")
+    blank = everywhere.filter("size = 0").withColumn("taken", F.lit(0).cast("long"))  # has no place in a shard
+    shard = F.pmod(_seeded(seed, F.col("doc_id").cast("string"), F.col("digest")), F.col("shards"))
+    placed = everywhere.filter("size > 0").withColumn("shard", shard)
     shards = placed.groupBy("key", "shard", "block", "source_quota").agg(F.sum("size").alias("shard_size"))
     shards = shards.withColumn("blocks", F.ceil(F.col("shard_size") / F.col("block"))).withColumn("most", F.col("blocks") * repeat)
     quotas = apportion(shards, "source_quota", "shard_size", "most", ["key"], ["shard"])
@@ -134,11 +138,9 @@ def mix_sources(
         "(" + picked.format(b="{p} div block") + " * block + (" + picked.format(b="{p} div block + 1") + " - "
         + picked.format(b="{p} div block") + ") * ({p} % block))"
     )
-    taken = F.expr(f"size * rounds + {words.format(p='stop')} - {words.format(p='start')}")
-    return rows.select(
-        "doc_id", "source", "size", "source_size", "target", F.col("block").alias("block_words"),
-        F.when(F.col("size") > 0, taken).otherwise(0).cast("long").alias("taken"),
-    )
+    rows = rows.withColumn("taken", F.expr(f"size * rounds + {words.format(p='stop')} - {words.format(p='start')}").cast("long"))
+    columns = ["doc_id", "source", "size", "source_size", "target", F.col("block").alias("block_words"), "taken"]
+    return rows.select(*columns).unionByName(blank.select(*columns))
 
 
 def _few(plan: DataFrame, most: int = 100_000) -> bool:

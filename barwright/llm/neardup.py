@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barwright.llm import kernel
-from barwright.llm.carry import packed, unpacked
+from barwright.llm.carry import packed, sent, unpacked
 from barwright.llm.components import components
 from barwright.sources.staging import stage
 
@@ -48,8 +48,6 @@ LEAST_EQUAL = 73
 BLOCK = 1024
 BLOCK_SHINGLES = 1_000_000
 LAST = (1 << 63) - 1
-#: Up to so many rows of ids are sent to the tasks that read the texts; more are joined by shuffle.
-SENT_ROWS = 200_000
 
 _FACTORS = kernel.mix(np.arange(1, TREES * DEPTH + 1, dtype=np.uint64), 5) | np.uint64(1)
 
@@ -175,6 +173,7 @@ def _cut(nodes: DataFrame, region: int) -> tuple[DataFrame, DataFrame]:
     for depth in range(FIRST_DEPTH, DEPTH + 1):
         rows = rows.withColumn("prefix", F.substring("label", 1, 4 * depth))
         counts = rows.groupBy("tree", "prefix").agg(F.count("*").alias("n"), F.min("node").alias("hub")).filter("n > 1")
+        counts = stage(counts, "region-sizes")  # written, so that a hot region is split by the join
         members = stage(rows.join(counts, ["tree", "prefix"]), "regions")
         dense = members.filter(F.col("n") > region)
         fit = members.filter(F.col("n") <= region).select("tree", "prefix", "node")
@@ -269,16 +268,16 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
 def confirmed_links(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between nodes, confirmed on full sets, that span every component of the exact graph. ``docs`` has one
     row per ord and tag."""
-    sized = clusters.join(nodes.select("node", "head", "n_shingles"), "node")
+    sized = stage(clusters.join(nodes.select("node", "head", "n_shingles"), "node"), "sized")
     blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("long")
-    wanted = sized.join(sized.groupBy("root").agg(blocks.alias("blocks")), "root")
+    wanted = sized.join(stage(sized.groupBy("root").agg(blocks.alias("blocks")), "cluster-blocks"), "root")
     wanted = wanted.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     others = F.expr("CASE WHEN blocks = 1 THEN array(0L) ELSE array_except(sequence(0L, blocks - 1), array(block)) END")
     wanted = wanted.withColumn("other", F.explode(others))
     wanted = wanted.select(
         "root", "node", F.col("head.ord").alias("ord"), F.col("head.tag").alias("tag"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
     )
-    texts = docs.join(_sent(stage(wanted, "wanted")), ["ord", "tag"]).select("root", "low", "high", "node", "text")
+    texts = docs.join(sent(stage(wanted, "wanted")), ["ord", "tag"]).select("root", "low", "high", "node", "text")
     dealt = texts.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high")
     return dealt.mapInArrow(lambda it: _confirm(it, percent), "a binary, b binary")
 
@@ -310,8 +309,8 @@ def _judged(docs: DataFrame, percent: int, region: int) -> DataFrame:
     repeated = stage(described.filter("node is not null").groupBy("ord", "tag").count().filter("count > 1").select("ord", "tag"), "repeated")
     links = stage(confirmed_links(_once(named, repeated), nodes, clusters, percent), "confirmed")
     roots = components(links)
-    heads = nodes.select("node", "head").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    lowest = heads.groupBy("root").agg(F.min("head.ord").alias("lowest"))
+    heads = stage(nodes.select("node", "head").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "heads")
+    lowest = stage(heads.groupBy("root").agg(F.min("head.ord").alias("lowest")), "lowest")
     heads = heads.join(lowest, "root").select("node", "lowest")
     found = described.select("ord", "tag", "n_shingles", "node").join(heads, "node", "left")
     return found.select("ord", "tag", "n_shingles", F.coalesce("lowest", "ord").alias("lowest"))
@@ -330,7 +329,7 @@ def keep_one(docs: DataFrame, percent: int = 75, region: int = REGION) -> DataFr
     """The rows of ``docs`` without near-duplicates: the smallest doc_id of each component stays, repeated rows once."""
     found = stage(_judged(docs, percent, region).select("ord", "tag", "lowest"), "judged")
     gone = found.filter("ord > lowest").select("ord", "tag").distinct()
-    left = _named(packed(docs)).join(_sent(gone), ["ord", "tag"], "left_anti")
+    left = _named(packed(docs)).join(sent(gone), ["ord", "tag"], "left_anti")
     repeated = found.filter("ord = lowest").groupBy("ord", "tag").count().filter("count > 1").select("ord", "tag")
     return unpacked(_once(left, repeated), docs)
 
@@ -339,10 +338,5 @@ def _once(rows: DataFrame, repeated: DataFrame) -> DataFrame:
     """``rows`` with one row for each (ord, tag) in ``repeated``."""
     if repeated.isEmpty():
         return rows
-    once = rows.join(_sent(repeated), ["ord", "tag"], "left_semi").dropDuplicates(["ord", "tag"])
-    return rows.join(_sent(repeated), ["ord", "tag"], "left_anti").unionByName(once)
-
-
-def _sent(small: DataFrame) -> DataFrame:
-    """Broadcast if counted to be small; else the join shuffles."""
-    return F.broadcast(small) if small.limit(SENT_ROWS + 1).count() <= SENT_ROWS else small
+    once = rows.join(sent(repeated), ["ord", "tag"], "left_semi").dropDuplicates(["ord", "tag"])
+    return rows.join(sent(repeated), ["ord", "tag"], "left_anti").unionByName(once)

@@ -32,19 +32,20 @@ def op3_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: The url rules of op7: host rules, and patterns of advertising and spam pages.
-URL_RULES = (
-    urlfilter.host_rule("block", "net/"),
-    urlfilter.host_rule("allow", "example.net/en/"),
-    urlfilter.host_rule("block", "example.com/de/"),
-    urlfilter.host_rule("allow", "org/fr/"),
-    urlfilter.Rule("casino", "^casino^", "block"),
-    urlfilter.Rule("cheap-pills", "^cheap-pills^", "block"),
-    urlfilter.Rule("free-bets", "^free-bets^", "block"),
-    urlfilter.Rule("poker", "^poker^", "block"),
-    urlfilter.Rule("adult", "^xxx^", "block"),
-    urlfilter.Rule("affiliate", "^aff_id^", "block"),
-    urlfilter.Rule("feed", "^utm_source^feed^", "allow"),
-)
+URL_RULES = urlfilter.parse_rules("""
+host block net/
+host allow example.net/en/
+host block example.com/de/
+host allow org/fr/
+! pages that hold no text to learn from
+^casino^
+^cheap-pills^
+^free-bets^
+^poker^
+^xxx^
+^aff_id^
+@@^utm_source^feed^
+""")
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,22 +84,22 @@ FROM d JOIN f ON d.h = f.h
 _OP3 = r"""
 WITH s AS (
   SELECT doc_id, source, coalesce('s' || source, 'n') AS key,
-    coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
-a AS (SELECT source, key, sum(size)::BIGINT AS source_size FROM s GROUP BY ALL),
+    coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size, substr(md5(coalesce(text, '')), 1, 16) AS digest FROM documents),
+a AS (SELECT source, key, sum(size)::BIGINT AS source_size, count(*) FILTER (size > 0) AS source_rows FROM s GROUP BY ALL),
 w AS (SELECT *, [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight,
   2.0::DOUBLE * source_size AS cap, 1.5::DOUBLE * sum(source_size) OVER () AS total FROM a),
 v AS (SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY cap / weight, key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
   / sum(weight) OVER (ORDER BY cap / weight, key ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
-t AS (SELECT key, source_size, least(cap, coalesce(max(CASE WHEN level * weight <= cap THEN level END) OVER () * weight, cap)) AS target,
+t AS (SELECT key, source_size, source_rows, least(cap, coalesce(max(CASE WHEN level * weight <= cap THEN level END) OVER () * weight, cap)) AS target,
   greatest(1, least(1024, floor(coalesce(min(CASE WHEN source_size > 0 THEN source_size END) OVER (), 1) / 256)))::BIGINT AS block,
-  greatest(1, ceil(source_size / 262144.0))::BIGINT AS shards FROM v),
+  greatest(1, ceil(source_size / 262144.0), ceil(source_rows / 65536.0))::BIGINT AS shards FROM v),
 n AS (SELECT *, round(sum(target) OVER () / block)::BIGINT AS seats FROM t),
 q AS (SELECT key, k, row_number() OVER (ORDER BY target / (2 * k - 1) DESC, key, k) AS r, seats
   FROM n, LATERAL (SELECT unnest(range(1, 3 + 2 * (target / block)::BIGINT)) AS k) WHERE target > 0),
 b AS (SELECT n.*, least(coalesce(c, 0), 2 * ceil(source_size / block)) AS quota FROM n
   LEFT JOIN (SELECT key, count(*) AS c FROM q WHERE r <= seats GROUP BY key) x USING (key)),
 p AS (SELECT s.*, source_size, target, block, quota AS source_quota,
-  ('0x' || substr(md5('20' || coalesce('|' || doc_id::VARCHAR, '')), 1, 8))::BIGINT % shards AS shard FROM s JOIN b USING (key)),
+  ('0x' || substr(md5('20' || coalesce('|' || doc_id::VARCHAR, '') || '|' || digest), 1, 8))::BIGINT % shards AS shard FROM s JOIN b USING (key)),
 h AS (SELECT key, shard, block, source_quota, sum(size)::BIGINT AS shard_size, ceil(sum(size) / block)::BIGINT AS blocks
   FROM p GROUP BY key, shard, block, source_quota),
 hq AS (SELECT key, shard, row_number() OVER (PARTITION BY key ORDER BY shard_size / (2 * k - 1) DESC, shard, k) AS r, source_quota

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barwright.llm import kernel
-from barwright.llm.carry import packed, unpacked
+from barwright.llm.carry import packed, sent, unpacked
 from barwright.sources.staging import stage
 
 WINDOW = 50
@@ -43,8 +43,6 @@ GRAM = 8
 MOST_CELLS = 1 << 28
 BYTES_PER_ANCHOR = 130
 SLICE = 1 << 20
-#: Up to so many rows of ids and spans are sent to the tasks that read the texts; more are joined by shuffle.
-SENT_ROWS = 200_000
 LAST = (1 << 63) - 1
 
 
@@ -124,7 +122,7 @@ def with_repeated_anchors(docs: DataFrame, window: int) -> DataFrame:
     ends = rows.groupBy("anchor").agg(F.min("ord").alias("first"), F.max("ord").alias("last"))
     repeated = stage(ends.filter("last > first").select("anchor"), "repeated")
     own = rows.join(repeated, "anchor").groupBy("ord", "tag").agg(F.collect_set("anchor").alias("repeated"))
-    return docs.join(_sent(stage(own, "own-anchors")), ["ord", "tag"])
+    return docs.join(sent(stage(own, "own-anchors"), "repeated"), ["ord", "tag"])
 
 
 def sketch(docs: DataFrame, window: int, bits: int) -> np.ndarray:
@@ -168,13 +166,13 @@ def sketch(docs: DataFrame, window: int, bits: int) -> np.ndarray:
 def _candidates(docs: DataFrame, window: int, bits: int | None = None, flags: np.ndarray | None = None) -> DataFrame:
     """h1, h2, ord, tag, at, run for each run of windows whose anchor is estimated to be in two documents or more;
     by the sketch, or by the column ``repeated`` where there is none."""
-    sent = None if flags is None else docs.sparkSession.sparkContext.broadcast(flags)
+    shared = None if flags is None else docs.sparkSession.sparkContext.broadcast(flags)
 
     def flagged(at: np.ndarray) -> np.ndarray:
-        return (sent.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
+        return (shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
 
     def kept(part: pa.RecordBatch, words: kernel.Words, starts: np.ndarray, anchors: np.ndarray) -> np.ndarray:
-        if sent is not None:
+        if shared is not None:
             one, two = cells(anchors, bits)
             keep = flagged(one)
             keep[keep] = flagged(two[keep])
@@ -237,8 +235,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, most_cells: int = MOST_CELLS)
     ids = named.select("ord", "tag", F.md5(text.cast("binary")).alias("digest"))
     firsts = ids.groupBy("digest").agg(F.min("ord").alias("first"), F.max("ord").alias("last"))
     firsts = stage(firsts.filter("last > first").select("digest", "first"), "copied")
-    copies = stage(ids.join(_sent(firsts), "digest").filter("ord > first").select("ord", "tag").distinct().withColumn("copied", F.lit(True)), "copies")
-    named = named.join(_sent(copies), ["ord", "tag"], "left").withColumn("copied", F.coalesce("copied", F.lit(False)))
+    copies = stage(ids.join(sent(firsts), "digest").filter("ord > first").select("ord", "tag").distinct().withColumn("copied", F.lit(True)), "copies")
+    named = named.join(sent(copies), ["ord", "tag"], "left").withColumn("copied", F.coalesce("copied", F.lit(False)))
     originals = named.filter("not copied and text is not null").select("text", "ord", "tag")
     bits = _sketch_bits(originals.agg(F.sum(F.octet_length("text"))).first()[0] or 0, most_cells)
     if bits is None:
@@ -250,12 +248,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, most_cells: int = MOST_CELLS)
     firsts = stage(firsts.select("h1", "h2", "first"), "firsts")  # written, so that the join below deals both sides and can split them
     removed = found.join(firsts, ["h1", "h2"]).filter("ord > first")
     spans = stage(_spans(removed, window), "spans")
-    return named.join(_sent(spans), ["ord", "tag"], "left")
-
-
-def _sent(small: DataFrame) -> DataFrame:
-    """Broadcast if counted to be small; else the join shuffles."""
-    return F.broadcast(small) if small.limit(SENT_ROWS + 1).count() <= SENT_ROWS else small
+    return named.join(sent(spans, "spans"), ["ord", "tag"], "left")
 
 
 def _keep(text: str | None, copied: bool, spans: Sequence[int] | None, window: int) -> tuple[int, int, bytes]:

@@ -10,7 +10,9 @@ shuffled for the final choice is k rows per query and task, whatever the candida
 Vectors that are null or hold a null or a non-finite component take no part, and neither do rows without
 id. Only vectors of one length are compared; a vector of length 0 has product 0 with others of length
 0. Rows that share the query's id are the query itself; repeated query rows count once per different vector, and repeated
-candidates are candidates each. Ties go to the smaller id. Scores beyond a long are cut off at its ends. Empty
+candidates are candidates each. Ties go to the smaller id. Scores beyond a long are cut off at its ends; a scaled
+component beyond the largest double counts as that. Vectors with components beyond ``TREE_LARGEST``, whose distances
+would leave the doubles, are multiplied out without a tree. Empty
 tables and queries without candidates give no rows. Other columns are ignored.
 """
 
@@ -37,6 +39,7 @@ SHRINK, LEAF = 1.3, 16
 #: Centres that give a first bound.
 SEEDS = 128
 LARGEST = (1 << 63) - 1
+TREE_LARGEST = 1e140
 
 
 @dataclass
@@ -170,9 +173,22 @@ def search(queries: CoverTree, query_ids: np.ndarray, candidates: CoverTree, ids
             nodes = kept(q, np.concatenate([nodes, opened(head[inner])]))
 
 
+def _in_reach(points: np.ndarray) -> bool:
+    """Squares and products of the components can be summed in doubles."""
+    return bool(np.abs(points).max(initial=0) < TREE_LARGEST)
+
+
+def search_all(queries: np.ndarray, query_ids: np.ndarray, candidates: np.ndarray, ids: np.ndarray, best: Best) -> None:
+    """As ``search``, by all products."""
+    for row, scores in enumerate(multiply(queries, candidates)):
+        other = ids != query_ids[row]
+        best.offer(row, scores[other], ids[other])
+
+
 def multiply(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Products of integer vectors: in doubles while those are exact, else in whole numbers cut off to longs."""
-    most = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * max(1, a.shape[1])
+    with np.errstate(over="ignore"):
+        most = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * max(1, a.shape[1])
     if most < 2.0**53:
         return (a @ b.T).astype(np.int64)
     whole = [np.array([[int(x) for x in row] for row in m], object).reshape(m.shape) for m in (a, b)]
@@ -189,10 +205,15 @@ def _matrix(batch: pa.RecordBatch, scale: float) -> dict[int, tuple[np.ndarray,
     for n in np.unique(lengths):
         rows = np.flatnonzero(lengths == n)
         at = (ends[rows] - n)[:, None] + np.arange(n)
-        out[int(n)] = ids[rows], np.floor(scale * values[at]).reshape(len(rows), int(n))
+        out[int(n)] = ids[rows], _whole(values[at], scale).reshape(len(rows), int(n))
     return out
 
 
+def _whole(values: np.ndarray, scale: float) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.nan_to_num(np.floor(scale * values))
+
+
 def usable(embeddings: DataFrame) -> DataFrame:
     """vec_id, embedding (doubles) of the rows that take part."""
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
@@ -207,14 +228,18 @@ def _candidates_of(sent, scale: float, k: int):
         queries = {}
         for n in {len(v) for _, v in sent.value}:
             own = [(i, v) for i, v in sent.value if len(v) == n]
-            vectors = np.floor(scale * np.array([v for _, v in own], np.float64).reshape(len(own), n))
-            queries[n] = np.array([i for i, _ in own]), cover_tree(vectors), Best.empty(len(own), k)
+            vectors = _whole(np.array([v for _, v in own], np.float64), scale).reshape(len(own), n)
+            queries[n] = np.array([i for i, _ in own]), cover_tree(vectors) if _in_reach(vectors) else CoverTree(vectors, np.arange(len(own))), Best.empty(len(own), k)
         for batch in batches:
             for n, (ids, vectors) in _matrix(batch, scale).items():
                 if n in queries:
                     query_ids, tree, best = queries[n]
                     for at in range(0, len(ids), PIECE):
-                        search(tree, query_ids, cover_tree(vectors[at : at + PIECE]), ids[at : at + PIECE], best)
+                        piece = vectors[at : at + PIECE]
+                        if _in_reach(piece) and len(tree.center):
+                            search(tree, query_ids, cover_tree(piece), ids[at : at + PIECE], best)
+                        else:
+                            search_all(tree.points, query_ids, piece, ids[at : at + PIECE], best)
         for n, (query_ids, tree, best) in queries.items():
             row, place = np.nonzero(np.arange(k) < best.filled[:, None])
             number = pa.array([f"{n}:{r}" for r in row], pa.string())

@@ -13,11 +13,12 @@ through it together, one byte position at a time, and drop out as soon as no ter
 
 Weighing. A hit counts the toxic rate of the sample's documents with such hits, by term and number of edits; a
 misspelling never seen counts most of its term. The ``CONTEXT`` words on both sides tell quotation from
-abuse: quotation marks around the hit and verbs of saying before it lower its value, words that address somebody
-raise it; the words that decide this are fixed. How the strongest hit, the sum and the density of hits
-become a probability is fitted by logistic regression on the sample.
+abuse: whether quotation marks stand around the hit (an apostrophe inside a word is none), a verb of saying before
+it, and a word that addresses somebody near it. The strongest hit, the sum and the density of hits, and the
+sums of quoted, reported and addressed hits become a probability by logistic regression on the sample; its
+penalty draws the weights of the context towards ``PRIOR`` where the sample says little.
 
-Every text is scored whole, from its text alone. Null and empty texts have no hits and get the score of a text
+The lexicon holds every word and stem that passes; the bounded sample bounds it. Every text is scored whole, from its text alone. Null and empty texts have no hits and get the score of a text
 without hits. A null label teaches nothing; without labels of both kinds every score is the share of the labels
 there are (0 without any). Repeated rows are scored alike; ties between terms go to the one that sorts first.
 """
@@ -25,7 +26,8 @@ there are (0 without any). Repeated rows are scored alike; ties between terms go
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,7 +47,6 @@ TRAIN_ROWS = 16_000
 #: A term needs so many toxic documents, and a lower bound of the toxic rate (95 %) of at least this.
 LEAST_DOCS, LEAST_RATE = 5, 0.6
 SHORTEST, LONGEST = 3, 12
-MOST_TERMS = 400
 #: A misspelling counts this share of its term for every edit until the sample says otherwise, as if seen so often.
 EDIT_SHARE, EDIT_PRIOR = 0.75, 4
 CONTEXT = 8
@@ -53,7 +54,11 @@ CONTEXT = 8
 # Words that report speech, and words that address somebody.
 REPORTING = ("said", "says", "say", "called", "calls", "quote", "quoted", "quotes", "wrote", "writes", "word", "term", "according", "claimed", "told")
 ADDRESSING = ("you", "your", "yours", "youre", "u", "ur", "they", "he", "she", "dich", "du", "dein", "tu", "toi", "vous", "usted", "ustedes")
-QUOTES = '"“”„«»‹›‘’`'
+#: Weights that the fit starts from: strongest hit, sum, density; quoted, reported, addressed hits.
+PRIOR = (0.0, 0.0, 0.0, -1.0, -0.5, 0.25)
+#: Quotation marks become plain ones before words are cut.
+_QUOTES = (("[“”„«»‹›`]", '"'), ("[‘’]", "'"))
+_MARK = re.compile(r"\"|(?<![^\W_])'|'(?![^\W_])")  # an apostrophe with letters on both sides is part of a word
 
 
 @dataclass(frozen=True, order=True)
@@ -141,8 +146,11 @@ def build_automaton(terms: list[Term]) -> Automaton:
 
 
 def split_words(texts: pa.Array) -> kernel.Words:
-    """Lower-cased runs of letters, digits and other characters beyond ASCII."""
-    return kernel.split(pc.utf8_lower(texts.cast(pa.large_string())), kernel.SYMBOL)
+    """Lower-cased runs of letters, digits and other characters beyond ASCII; quotation marks are none of them."""
+    plain = texts.cast(pa.large_string())
+    for marks, mark in _QUOTES:
+        plain = pc.replace_substring_regex(plain, marks, mark)
+    return kernel.split(pc.utf8_lower(plain), kernel.SYMBOL)
 
 
 def find(words: kernel.Words, automaton: Automaton) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -164,35 +172,38 @@ def find(words: kernel.Words, automaton: Automaton) -> tuple[np.ndarray, np.ndar
     return at, term[at], best[at]
 
 
-def context_factor(words: kernel.Words, at: int, low: int, high: int) -> float:
-    """How a hit's neighbourhood changes it: below 1 where it is quoted, above 1 where somebody is addressed."""
+def context(words: kernel.Words, at: int, low: int, high: int) -> tuple[bool, bool, bool]:
+    """Whether the hit at word ``at`` of the document's words low:high is quoted, reported, addressed to somebody."""
     first, last = max(low, at - CONTEXT), min(high, at + CONTEXT + 1)
+    # a sign or more on both ends, so that marks at the edge are seen whole
     before = words.data[words.starts[first] : words.starts[at]].tobytes().decode("utf-8", "replace")
-    after = words.data[words.ends[at] : words.ends[last - 1]].tobytes().decode("utf-8", "replace")
-    opened = sum(before.count(q) for q in QUOTES)
-    near = {w.strip(".,;:!?()") for w in (before + " " + after).split()}
-    said = {w.strip(".,;:!?()") for w in before.split()} & set(REPORTING)
-    quoted = opened % 2 == 1 and any(q in after for q in QUOTES)
-    factor = 0.4 if quoted else 1.0
-    if said and quoted:
-        factor *= 0.6
-    return factor * (1.15 if near & set(ADDRESSING) and not quoted else 1.0)
+    after = words.data[words.ends[at] : words.ends[last - 1] + 1].tobytes().decode("utf-8", "replace")
+    if first == low:  # what stands before the first word
+        start = words.ends[low - 1] if low else 0
+        before = words.data[start : words.starts[low]].tobytes().decode("utf-8", "replace")[-1:] + before
+    quoted = len(_MARK.findall(before + "x")) % 2 == 1 and _MARK.search("x" + after) is not None
+    ahead = set(re.findall(r"\w+", before))
+    near = ahead | set(re.findall(r"\w+", after))
+    return quoted, bool(ahead & set(REPORTING)), bool(near & set(ADDRESSING))
 
 
 def features(texts: pa.Array, automaton: Automaton, weights: np.ndarray) -> np.ndarray:
-    """Per text: strongest hit, sum of hits (log), hits per 100 words (log). ``weights``: term x edits."""
+    """Per text: strongest hit, sum of hits (log), hits per 100 words (log), and the sums (log) of quoted, reported and
+    addressed hits. ``weights``: term x edits."""
     words = split_words(texts)
     at, term, edits = find(words, automaton)
-    out = np.zeros((len(texts), 3))
+    out = np.zeros((len(texts), len(PRIOR)))
     value = weights[term, edits]
     at, value = at[value > 0.02], value[value > 0.02]
     if len(at):
         doc = np.searchsorted(words.first, at, "right") - 1
-        value = value * [context_factor(words, int(i), int(words.first[d]), int(words.first[d + 1])) for i, d in zip(at, doc, strict=True)]
+        around = np.array([context(words, int(i), int(words.first[d]), int(words.first[d + 1])) for i, d in zip(at, doc, strict=True)])
         np.maximum.at(out[:, 0], doc, value)
         total = np.bincount(doc, value, len(texts))
         out[:, 1] = np.log1p(total)
         out[:, 2] = np.log1p(100 * total / np.maximum(1, np.diff(words.first)))
+        for k in range(3):
+            out[:, 3 + k] = np.log1p(np.bincount(doc, value * around[:, k], len(texts)))
     return out
 
 
@@ -221,7 +232,6 @@ def _beginnings(words: kernel.Words, toxic: np.ndarray) -> Iterator[dict]:
     for length in range(SHORTEST, LONGEST + 2):
         whole = length > LONGEST
         fits = ends - starts >= SHORTEST if whole else ends - starts >= length
-        fits &= ends - starts <= 64
         stop = ends[fits] if whole else starts[fits] + length
         first, of = starts[fits], doc[fits]
         if not whole:  # not inside a character
@@ -251,7 +261,7 @@ def learn_terms(sample: DataFrame) -> list[Term]:
     rate, n, z2 = F.col("bad") / F.col("n"), F.col("n"), 1.96**2  # lower end of the Wilson interval
     lower = (rate + z2 / (2 * n) - 1.96 * F.sqrt(rate * (1 - rate) / n + z2 / (4 * n * n))) / (1 + z2 / n)
     good = counts.filter(F.col("bad") >= LEAST_DOCS).withColumn("rate", lower).filter(F.col("rate") >= LEAST_RATE)
-    rows = good.orderBy(F.desc("bad"), "part", "whole").limit(50 * MOST_TERMS).collect()
+    rows = good.collect()  # parts of the bounded sample's words
     wholes = {r["part"]: r["bad"] for r in rows if r["whole"]}
     parts = {r["part"]: (r["bad"], r["rate"]) for r in rows if not r["whole"]}
     longer: dict[str, int] = {}  # the most documents of a longer beginning
@@ -270,7 +280,7 @@ def learn_terms(sample: DataFrame) -> list[Term]:
     for word, bad in wholes.items():  # words whose beginnings are too common, or that are too long
         if not any(word[:k] in covered for k in range(SHORTEST, len(word) + 1)):
             terms.append((bad, Term(word)))
-    return sorted(t for _, t in sorted(terms, key=lambda x: (-x[0], x[1]))[:MOST_TERMS])
+    return sorted(t for _, t in terms)
 
 
 def learn_weights(sample: DataFrame, automaton: Automaton) -> np.ndarray:
@@ -316,15 +326,16 @@ def one_of_copies(sample: DataFrame) -> DataFrame:
     return one.groupBy("b").agg(F.min(F.struct("text", "toxic")).alias("row")).select("row.*")
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:
-    """Newton's method on standard log loss; intercept first."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50, prior: Sequence[float] | None = None) -> np.ndarray:
+    """Newton's method on standard log loss; intercept first. The penalty draws the weights to ``prior`` (else to 0)."""
+    origin = np.concatenate([[0.0], np.zeros(x.shape[1]) if prior is None else prior])
     x = np.concatenate([np.ones((len(x), 1)), x], axis=1)
-    beta = np.zeros(x.shape[1])
+    beta = origin.copy()
     penalty = ridge * np.eye(x.shape[1])
     penalty[0, 0] = 1e-9
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        slope = x.T @ (p - y) / len(y) + penalty @ beta
+        slope = x.T @ (p - y) / len(y) + penalty @ (beta - origin)
         curve = (x * (p * (1 - p))[:, None]).T @ x / len(y) + penalty
         move = np.linalg.solve(curve, slope)
         beta -= np.clip(move, -4, 4)
@@ -344,16 +355,17 @@ def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
         for batch in batches:
             for _, part in _offsets(batch):
                 x = features(part.column("text"), automaton, weights)
-                yield pa.RecordBatch.from_arrays([part.column("toxic").cast(pa.int64()), *(pa.array(x[:, i]) for i in range(3))], ["y", "a", "b", "c"])
+                yield pa.RecordBatch.from_arrays([part.column("toxic").cast(pa.int64()), *(pa.array(c) for c in x.T)], ["y", *names])
 
-    table = sample.mapInArrow(describe, "y long, a double, b double, c double").toPandas()  # three numbers for each row of the sample
-    table = table.sort_values(["y", "a", "b", "c"])  # sums are taken in one order
+    names = [f"x{i}" for i in range(len(PRIOR))]
+    table = sample.mapInArrow(describe, "y long, " + ", ".join(f"{n} double" for n in names)).toPandas()  # a few numbers for each row of the sample
+    table = table.sort_values(["y", *names])  # sums are taken in one order
     y = table["y"].to_numpy(float)
     if not 0 < y.sum() < len(y):
         share = float(y.mean()) if len(y) else 0.0
         odds = math.log(share / (1 - share)) if 0 < share < 1 else (30.0 if share else -30.0)
-        return Model(automaton, weights, np.array([odds, 0.0, 0.0, 0.0]))
-    return Model(automaton, weights, fit_logistic(table[["a", "b", "c"]].to_numpy(), y))
+        return Model(automaton, weights, np.array([odds] + [0.0] * len(PRIOR)))
+    return Model(automaton, weights, fit_logistic(table[names].to_numpy(), y, prior=PRIOR))
 
 
 def score_texts(texts: pa.Array, model: Model) -> np.ndarray:
@@ -363,7 +375,7 @@ def score_texts(texts: pa.Array, model: Model) -> np.ndarray:
 
 def _scored(rows: DataFrame, model: Model) -> DataFrame:
     """The columns of ``rows`` but ``text``, which is read whole, and its ``score``."""
-    sent = rows.sparkSession.sparkContext.broadcast(model)  # at most MOST_TERMS terms
+    sent = rows.sparkSession.sparkContext.broadcast(model)  # the sample bounds its terms
     names = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,11 +1,11 @@
 """URL filter: pattern rules found by their rarest literal token.
 
 A rule's pattern is text in which ``*`` stands for any characters, ``^`` for a separator or an end of the
-url, and a leading ``||`` anchors at the start of a host label. Its literal tokens are runs of [a-z0-9%]
-that the pattern bounds on both sides, so that a url can only match if it has each of them as a whole
-token. The rule is filed under the one that occurs in the fewest urls; the tokens of a url fetch candidate
-rules by an equi-join, and only those run their regular expression. Rules without a literal token are
-candidates for every url. All of it is DataFrame code.
+url, a leading ``||`` anchors at the start of a host label, and ``|`` at either end anchors there. Its literal
+tokens are runs of [a-z0-9%] that the pattern bounds on both sides, so that a url can only match if it has
+each of them as a whole token. The rule is filed under the one that occurs in the fewest urls; the tokens of a
+url fetch candidate rules by an equi-join, and only those run their regular expression. Rules without a literal
+token are tried on every url in place. All of it is DataFrame code.
 
 Null or malformed urls (no ``://``) have an empty host and path and match only rules that match an empty
 text. Repeated pages give repeated rows. An empty table gives no rows; columns beside ``page_id`` and
@@ -21,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barwright.sources.staging import stage
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SEPARATOR = "[^a-z0-9%]"
 #: Up to so many rules are sent to every task; more are joined through a shuffle.
@@ -40,9 +42,38 @@ def host_rule(action: str, name: str) -> Rule:
     return Rule(name, f"||{name}", action, True)
 
 
+def parse_rules(text: str) -> list[Rule]:
+    """Rules from lines: a pattern blocks, ``@@`` before it allows, ``host block net/`` and ``host allow org/fr/`` are
+    host rules; ``!`` starts a comment. Two equal lines are one rule. Patterns have no options (``$`` is literal)."""
+    rules: dict[Rule, None] = {}
+    for line in map(str.strip, text.splitlines()):
+        if not line or line.startswith("!"):
+            continue
+        if m := re.fullmatch(r"host\s+(block|allow)\s+(\S+)", line):
+            rules[host_rule(m[1], m[2])] = None
+            continue
+        pattern = line.removeprefix("@@")
+        if not pattern.strip("*|^") or re.search(r"\s", pattern):
+            raise ValueError(f"no rule: {line!r}")
+        rules[Rule(pattern, pattern.lower(), "allow" if line.startswith("@@") else "block")] = None
+    return list(rules)
+
+
+def _body(rule: Rule) -> tuple[str, str, str]:
+    """(what stands before, the pattern without anchors, what stands behind), as regular expressions but the middle."""
+    body, head, tail = rule.pattern, "", ""
+    if body.startswith("||"):
+        body, head = body[2:], r"^(?:[^/?#]*\.)?"
+    elif body.startswith("|"):
+        body, head = body[1:], "^"
+    if body.endswith("|") and not rule.by_host:
+        body, tail = body[:-1], r"\z"
+    return head, body, tail
+
+
 def regex(rule: Rule) -> str:
     """The rule as a regular expression over host + path + rest, the host lower-cased."""
-    body, head = (rule.pattern[2:], r"^(?:[^/?#]*\.)?") if rule.pattern.startswith("||") else (rule.pattern, "")
+    head, body, tail = _body(rule)
     out = []
     for i, c in enumerate(body):
         if c == "*":
@@ -51,17 +82,16 @@ def regex(rule: Rule) -> str:
             out.append(rf"(?:^|{_SEPARATOR})" if not head and i == 0 else rf"(?:{_SEPARATOR}|\z)")
         else:
             out.append(re.escape(c))
-    return head + "".join(out)
+    return head + "".join(out) + tail
 
 
 def literal_tokens(rule: Rule) -> list[str]:
     """Tokens that every matching url has whole."""
-    anchored = rule.pattern.startswith("||")
-    body = rule.pattern[2:] if anchored else rule.pattern
+    head, body, tail = _body(rule)
     found = []
     for m in re.finditer(r"[a-z0-9%]+", body.lower()):
-        left = body[m.start() - 1] if m.start() else ("^" if anchored else "*")
-        right = body[m.end()] if m.end() < len(body) else "*"
+        left = body[m.start() - 1] if m.start() else ("^" if head else "*")
+        right = body[m.end()] if m.end() < len(body) else ("^" if tail else "*")
         if left != "*" and right != "*":
             found.append(m.group())
     return sorted(set(found))
@@ -80,15 +110,13 @@ def _parts(url: Column) -> dict[str, Column]:
 
 
 def _index(spark, urls: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """(token, rule columns): each rule under its rarest literal token, '' if it has none."""
+    """(token, rule columns): each rule that has a literal token under its rarest one."""
     small = F.broadcast if len(rules) <= BROADCAST_RULES else lambda df: df
     table = spark.createDataFrame(
         [(i, r.name, regex(r), r.action, r.by_host) for i, r in enumerate(rules)],
         "rule_no int, name string, regex string, action string, by_host boolean",
     )
-    literals = spark.createDataFrame(
-        [(i, t) for i, r in enumerate(rules) for t in literal_tokens(r) or [""]], "rule_no int, token string"
-    )
+    literals = spark.createDataFrame([(i, t) for i, r in enumerate(rules) for t in literal_tokens(r)], "rule_no int, token string")
     seen = urls.select(F.explode("tokens").alias("token")).join(small(literals.select("token").distinct()), "token")
     counts = seen.groupBy("token").agg(F.count("*").alias("n_urls"))
     rarest = (
@@ -97,7 +125,21 @@ def _index(spark, urls: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         .agg(F.min(F.struct(F.coalesce("n_urls", F.lit(0)).alias("n"), "token")).alias("best"))
         .select("rule_no", F.col("best.token").alias("token"))
     )
-    return small(rarest.join(table, "rule_no"))
+    return small(stage(rarest.join(table, "rule_no").drop("rule_no"), "url-rules"))
+
+
+def fetch_candidates(urls: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The rows of ``urls`` (target, folded) with each rule whose rarest token they have: name, regex, action, by_host."""
+    tokens = F.array_distinct(F.split("folded", f"{_SEPARATOR}+"))
+    urls = urls.withColumn("tokens", tokens)
+    index = _index(urls.sparkSession, urls, [r for r in rules if literal_tokens(r)])
+    return urls.select("target", "folded", F.explode("tokens").alias("token")).join(index, "token").drop("token")
+
+
+def _in_place(urls: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The rows of ``urls`` with each of a few rules."""
+    structs = [F.struct(F.lit(r.name).alias("name"), F.lit(regex(r)).alias("regex"), F.lit(r.action).alias("action"), F.lit(r.by_host).alias("by_host")) for r in rules]
+    return urls.select("target", "folded", F.explode(F.array(*structs)).alias("r")).select("target", "folded", "r.*")
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -109,12 +151,10 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     named = pages.select("page_id", F.col("url").cast("string").alias("url")).withColumns(_parts(F.col("url")))
     # each distinct target is judged once: a url that a third of the pages share is one row here
     urls = named.select("target").distinct()
-    urls = urls.withColumn("folded", _fold(F.col("target")))
-    tokens = F.array_union(F.split("folded", f"{_SEPARATOR}+"), F.array(F.lit("")))
-    urls = urls.withColumn("tokens", tokens)
-    candidates = urls.select("target", "folded", F.explode("tokens").alias("token")).join(
-        _index(pages.sparkSession, urls, rules), "token"
-    )
+    urls = stage(urls.withColumn("folded", _fold(F.col("target"))), "urls")
+    candidates = fetch_candidates(urls, rules)
+    if everywhere := [r for r in rules if not literal_tokens(r)]:
+        candidates = candidates.unionByName(_in_place(urls, everywhere))
     subject = F.when(F.col("by_host"), F.col("target")).otherwise(F.col("folded"))
     hits = candidates.filter(F.regexp_like(subject, F.col("regex")))
     generic = ~F.col("by_host")
@@ -123,6 +163,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         F.max(generic & (F.col("action") == "block")).alias("blocked"),
         F.max(generic & (F.col("action") == "allow")).alias("allowed"),
     )
+    verdicts = stage(verdicts, "url-verdicts")  # written, so that the join can split a url that many pages have
     by_pattern = F.when(
         F.coalesce(F.col("blocked"), F.lit(False)) & ~F.coalesce(F.col("allowed"), F.lit(False)), "block"
     ).otherwise("allow")

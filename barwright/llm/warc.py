@@ -31,6 +31,8 @@ import zstandard as zstd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barwright.sources.staging import stage
+
 # Fixed values of the formats.
 DICTIONARY_MAGIC = 0x184D2A5D  # the skippable frame that holds a dictionary
 FRAME_MAGIC = b"\x28\xb5\x2f\xfd"
@@ -50,9 +52,10 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def build_record(page_id: int | None, url: str | None, payload: bytes, payload_digest: str, refers_to: int | None, date: str) -> bytes:
-    """One record: a response with its payload, or a revisit with only the HTTP head."""
-    head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
+def build_record(page_id: int | None, url: str | None, payload: bytes, payload_digest: str, refers_to: int | None, date: str, size: int | None = None) -> bytes:
+    """One record: a response with its payload, or a revisit with only the HTTP head (and the payload's ``size``)."""
+    size = len(payload) if size is None else size
+    head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % size
     block = head if refers_to is not None else head + payload
     fields = [
         ("WARC-Type", "response" if refers_to is None else "revisit"),
@@ -173,12 +176,20 @@ def read_archive(data: bytes) -> Iterator[bytes]:
 
 
 def plan_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """page_id, url, html, payload_digest, refers_to: which records are responses and which revisit one."""
+    """page_id, url, payload (of revisits null), size, sha1 (hex), refers_to: which records are responses and which
+    revisit one.
+
+    Only payloads that occur twice are joined back, and their table is written first: it is broadcast if it is
+    small, else a payload that a third of the pages have is split.
+    """
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", payload.alias("payload")).withColumn("sha1", F.sha1("payload"))
-    firsts = rows.groupBy("sha1").agg(F.min("page_id").alias("first_id"))
-    seen = (F.octet_length("payload") >= least_bytes) & ~F.col("first_id").eqNullSafe(F.col("page_id"))
-    return rows.join(firsts, "sha1").select("page_id", "url", "payload", F.when(seen, F.col("first_id")).alias("refers_to"))
+    firsts = rows.groupBy("sha1").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).filter("n > 1")
+    firsts = stage(firsts.select("sha1", "first_id"), "first-payloads")
+    size = F.octet_length("payload").cast("long")
+    seen = F.col("first_id").isNotNull() & (size >= least_bytes) & ~F.col("first_id").eqNullSafe(F.col("page_id"))
+    planned = rows.join(firsts, "sha1", "left").select("page_id", "url", "payload", size.alias("size"), "sha1", F.when(seen, F.col("first_id")).alias("refers_to"))
+    return planned.withColumn("payload", F.when(F.col("refers_to").isNull(), F.col("payload")))
 
 
 def _write_partition(batches: Iterator[pa.RecordBatch], folder: str, date: str) -> Iterator[pa.RecordBatch]:
@@ -190,9 +201,9 @@ def _write_partition(batches: Iterator[pa.RecordBatch], folder: str, date: str)
 
     def records() -> Iterator[bytes]:
         for batch in batches:
-            for row in zip(*(batch.column(i) for i in range(4)), strict=True):
-                page_id, url, payload, refers_to = (x.as_py() for x in row)
-                yield build_record(page_id, url, payload, digest(payload), refers_to, date)
+            for row in zip(*(batch.column(i) for i in range(6)), strict=True):
+                page_id, url, payload, size, sha1, refers_to = (x.as_py() for x in row)
+                yield build_record(page_id, url, payload or b"", base64.b32encode(bytes.fromhex(sha1)).decode(), refers_to, date, size)
 
     todo, number = records(), 0
     while (head := next(todo, None)) is not None:
@@ -212,8 +223,9 @@ def _chain(head: bytes, rest: Iterator[bytes]) -> Iterator[bytes]:
 
 def write_archives(planned: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """Write planned records as archives in ``folder`` (any URI that pyarrow can write) when the result,
-    one row per archive, is computed."""
-    rows = planned.select("page_id", "url", "payload", "refers_to")
+    one row per archive, is computed. Of stores that only Hadoop knows (such as s3a) give the URI that pyarrow opens;
+    Spark reads any of them back."""
+    rows = planned.select("page_id", "url", "payload", "size", "sha1", "refers_to")
     dealt = rows.sortWithinPartitions("page_id", "url", "refers_to")
     return dealt.mapInArrow(lambda it: _write_partition(it, folder, date), "archive string, records long, bytes long")
 
