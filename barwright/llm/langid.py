@@ -70,6 +70,8 @@ def gram_buckets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     owner = np.array([i for i, _ in pieces])[piece]
     grams = [kernel.mix(x[k], salt) >> np.uint64(64 - BUCKETS.bit_length() + 1) for x, k, salt in zip((a, two, three), inside, (1, 2, 3), strict=True)]
     text = np.concatenate([owner[: len(k)][k] for k in inside])
+    if len(texts) < 1 << 16:
+        text = text.astype(np.uint16)  # sorted by digits
     order = np.argsort(text, kind="stable")
     return np.searchsorted(text[order], np.arange(len(texts) + 1)), np.concatenate(grams)[order].astype(np.int64)
 

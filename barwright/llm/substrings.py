@@ -5,9 +5,10 @@
 2. Prefilter. Every window has an anchor, the smallest hash of the ``GRAM``-word runs inside it: equal
    windows have equal anchors, and neighbouring windows mostly share theirs. Each task adds the anchors of its
    documents to a count-min sketch; the sketches are merged slice by slice. An anchor's estimate is never
-   below the number of documents that have it, so neither below that of any window it stands for. The sketch is
-   bounded; for more text than it can tell apart, anchors are counted exactly through a shuffle instead
-   (one row for each document and anchor, about one for 22 words), with the same outcome.
+   below the number of documents that have it, so neither below that of any window it stands for. The sketch grows
+   with the text, so that it always has 4 to 16 counters per anchor. Up to ``MOST_CELLS`` it is sent to the
+   tasks as bits; a larger one stays a table of its repeated counters, with which the anchors (one row for each
+   document and anchor, about one for 22 words) are semi-joined, row by row of the sketch.
 3. Second pass. Only windows estimated to occur in two documents or more are grouped, exactly, by 128 bits
    of two independent hashes; the smallest doc_id of a window is aggregated before the shuffle and
    joined back, where Spark splits skewed keys. Nothing repeated is lost; a window estimated too high is a
@@ -38,8 +39,8 @@ from barwright.sources.staging import stage
 
 WINDOW = 50
 GRAM = 8
-#: A sketch has 8 to 16 counters per anchor expected, in two rows, and never more than this (a bit each where it is sent).
-#: With fewer than 4 per anchor it would flag too much.
+#: A sketch has 8 to 16 counters per anchor expected, in two rows. It is sent to the tasks if 4 per anchor are no more
+#: than this (a bit each), then with no more than this.
 MOST_CELLS = 1 << 28
 BYTES_PER_ANCHOR = 130
 SLICE = 1 << 20
@@ -80,13 +81,13 @@ def _doc_of(words: kernel.Words, at: np.ndarray) -> np.ndarray:
     return np.searchsorted(words.first, at, "right") - 1
 
 
-def _sketch_bits(text_bytes: int, most_cells: int) -> int | None:
-    """Bits of a row for the anchors to expect in so much text; None if they are too many for a sketch."""
+def _sketch_bits(text_bytes: int, most_cells: int) -> tuple[int, bool]:
+    """Bits of a row for the anchors to expect in so much text, and whether the sketch is sent to the tasks."""
     anchors = text_bytes // BYTES_PER_ANCHOR
-    if 4 * anchors > most_cells:
-        return None
-    wanted = min(max(anchors * 16, 1 << 14), most_cells) // 2
-    return max(13, wanted.bit_length() - 1)
+    wanted, is_sent = max(anchors * 16, 1 << 14), 4 * anchors <= most_cells
+    if is_sent:
+        wanted = min(wanted, most_cells)
+    return max(13, (wanted // 2).bit_length() - 1), is_sent
 
 
 def _pack(at: np.ndarray) -> bytes:
@@ -107,65 +108,89 @@ def _anchors_of(words: kernel.Words, window: int) -> tuple[np.ndarray, np.ndarra
     return both[:, 0].astype(np.int64), both[:, 1]
 
 
-def with_repeated_anchors(docs: DataFrame, window: int) -> DataFrame:
-    """The rows of ``docs`` (text, ord, tag) that have anchors which another document has too, with those anchors."""
+def _count_cells(batches: Iterator[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
+    """The sketch of a task: for each slice of counters those that its anchors (each once a document) hit once, or more."""
+    once, twice = np.empty(0, np.int64), np.empty(0, np.int64)
+    for anchors in batches:
+        found, n = np.unique(np.concatenate(cells(anchors, bits)), return_counts=True)
+        twice = np.union1d(twice, np.concatenate([np.intersect1d(once, found, assume_unique=True), found[n > 1]]))
+        once = np.union1d(once, found)
+    once = np.setdiff1d(once, twice, assume_unique=True)
+    for s in np.unique(np.concatenate([once, twice]) // SLICE):
+        own = [x[np.searchsorted(x, s * SLICE) : np.searchsorted(x, (s + 1) * SLICE)] - s * SLICE for x in (once, twice)]
+        yield pa.RecordBatch.from_pydict({"slice": [s], "once": [_pack(own[0])], "twice": [_pack(own[1])]})
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in kernel.slices(batch, "text"):
-                doc, anchors = _anchors_of(kernel.split(part.column("text")), window)
-                yield pa.RecordBatch.from_pydict(
-                    {"anchor": anchors.view(np.int64), "ord": part.column("ord").to_numpy()[doc], "tag": part.column("tag").to_numpy()[doc]}
-                )
 
-    rows = stage(docs.select("text", "ord", "tag").mapInArrow(emit, "anchor long, ord long, tag long"), "anchors")
-    ends = rows.groupBy("anchor").agg(F.min("ord").alias("first"), F.max("ord").alias("last"))
-    repeated = stage(ends.filter("last > first").select("anchor"), "repeated")
-    own = rows.join(repeated, "anchor").groupBy("ord", "tag").agg(F.collect_set("anchor").alias("repeated"))
-    return docs.join(sent(stage(own, "own-anchors"), "repeated"), ["ord", "tag"])
+_PARTS = "slice long, once binary, twice binary"
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+    """(slice, counters up to 2) from sketches sorted by slice: one slice is held at a time."""
+    last, own = None, np.zeros(SLICE, np.uint8)
+    for batch in batches:
+        for s, once, twice in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            if s != last and last is not None:
+                yield last, own
+                own = np.zeros(SLICE, np.uint8)
+            last = s
+            for raw, n in ((once, 1), (twice, 2)):
+                at = _unpack(raw)
+                own[at] = np.minimum(own[at] + n, 2)
+    if last is not None:
+        yield last, own
 
 
 def sketch(docs: DataFrame, window: int, bits: int) -> np.ndarray:
     """One bit per counter of two rows with 2^bits each: two documents or more. They are what the driver gets."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, twice = np.empty(0, np.int64), np.empty(0, np.int64)
-        for batch in batches:
-            for part in kernel.slices(batch, "text"):
-                _, anchors = _anchors_of(kernel.split(part.column("text")), window)
-                found, n = np.unique(np.concatenate(cells(anchors, bits)), return_counts=True)
-                twice = np.union1d(twice, np.concatenate([np.intersect1d(once, found, assume_unique=True), found[n > 1]]))
-                once = np.union1d(once, found)
-        once = np.setdiff1d(once, twice, assume_unique=True)
-        if not len(once) and not len(twice):
-            return
-        for s in np.unique(np.concatenate([once, twice]) // SLICE):
-            own = [x[np.searchsorted(x, s * SLICE) : np.searchsorted(x, (s + 1) * SLICE)] - s * SLICE for x in (once, twice)]
-            yield pa.RecordBatch.from_pydict({"slice": [s], "once": [_pack(own[0])], "twice": [_pack(own[1])]})
+        parts = (part for batch in batches for part in kernel.slices(batch, "text"))
+        return _count_cells((_anchors_of(kernel.split(p.column("text")), window)[1] for p in parts), bits)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for s, once, twice in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                own = counts.setdefault(s, np.zeros(SLICE, np.uint8))
-                for raw, n in ((once, 1), (twice, 2)):
-                    at = _unpack(raw)
-                    own[at] = np.minimum(own[at] + n, 2)
-        for s, own in counts.items():
+        for s, own in _merged(batches):
             yield pa.RecordBatch.from_pydict({"slice": [s], "bits": [np.packbits(own > 1).tobytes()]})
 
-    parts = docs.select("text").mapInArrow(count, "slice long, once binary, twice binary")
+    parts = docs.select("text").mapInArrow(count, _PARTS)
     n_slices = max(1, (2 << bits) // SLICE)
-    merged = parts.repartition(min(n_slices, 64), "slice").mapInArrow(merge, "slice long, bits binary")
+    merged = parts.repartition(min(n_slices, 64), "slice").sortWithinPartitions("slice").mapInArrow(merge, "slice long, bits binary")
     whole = np.zeros(max(SLICE, 2 << bits) // 8, np.uint8)
     for s, raw in merged.toLocalIterator():
         whole[s * SLICE // 8 : (s + 1) * SLICE // 8] = np.frombuffer(raw, np.uint8)
     return whole
 
 
+def with_estimated_anchors(docs: DataFrame, window: int, bits: int) -> DataFrame:
+    """The rows of ``docs`` (text, ord, tag) that have anchors estimated to be in two documents or more, with those
+    anchors, by a sketch that stays in the shared folder."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in kernel.slices(batch, "text"):
+                doc, anchors = _anchors_of(kernel.split(part.column("text")), window)
+                one, two = cells(anchors, bits)
+                ord, tag = (part.column(name).to_numpy()[doc] for name in ("ord", "tag"))
+                yield pa.RecordBatch.from_pydict({"anchor": anchors.view(np.int64), "ord": ord, "tag": tag, "one": one, "two": two})
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _count_cells((b.column(0).to_numpy().view(np.uint64) for b in batches), bits)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s, own in _merged(batches):
+            yield pa.RecordBatch.from_pydict({"cell": np.flatnonzero(own > 1) + s * SLICE})
+
+    rows = stage(docs.select("text", "ord", "tag").mapInArrow(emit, "anchor long, ord long, tag long, one long, two long"), "anchors")
+    parts = rows.select("anchor").mapInArrow(count, _PARTS)
+    repeated = stage(parts.repartition("slice").sortWithinPartitions("slice").mapInArrow(merge, "cell long"), "repeated-cells")
+    for row in ("one", "two"):  # the first semi-join leaves little to the second
+        rows = rows.join(sent(repeated.withColumnRenamed("cell", row)), row, "left_semi")
+    own = rows.groupBy("ord", "tag").agg(F.collect_set("anchor").alias("repeated"))
+    return docs.join(sent(stage(own, "own-anchors"), "repeated"), ["ord", "tag"])
+
+
 def _candidates(docs: DataFrame, window: int, bits: int | None = None, flags: np.ndarray | None = None) -> DataFrame:
     """h1, h2, ord, tag, at, run for each run of windows whose anchor is estimated to be in two documents or more;
-    by the sketch, or by the column ``repeated`` where there is none."""
+    by the sketch, or by the column ``repeated`` where it was not sent."""
     shared = None if flags is None else docs.sparkSession.sparkContext.broadcast(flags)
 
     def flagged(at: np.ndarray) -> np.ndarray:
@@ -238,11 +263,11 @@ def repeats(docs: DataFrame, window: int = WINDOW, most_cells: int = MOST_CELLS)
     copies = stage(ids.join(sent(firsts), "digest").filter("ord > first").select("ord", "tag").distinct().withColumn("copied", F.lit(True)), "copies")
     named = named.join(sent(copies), ["ord", "tag"], "left").withColumn("copied", F.coalesce("copied", F.lit(False)))
     originals = named.filter("not copied and text is not null").select("text", "ord", "tag")
-    bits = _sketch_bits(originals.agg(F.sum(F.octet_length("text"))).first()[0] or 0, most_cells)
-    if bits is None:
-        found = _candidates(with_repeated_anchors(originals, window), window)
-    else:
+    bits, is_sent = _sketch_bits(originals.agg(F.sum(F.octet_length("text"))).first()[0] or 0, most_cells)
+    if is_sent:
         found = _candidates(originals, window, bits, sketch(originals, window, bits))
+    else:
+        found = _candidates(with_estimated_anchors(originals, window, bits), window)
     found = stage(found, "windows")
     firsts = found.groupBy("h1", "h2").agg(F.min("ord").alias("first"), F.max("ord").alias("last")).filter("last > first")
     firsts = stage(firsts.select("h1", "h2", "first"), "firsts")  # written, so that the join below deals both sides and can split them

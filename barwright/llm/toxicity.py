@@ -145,12 +145,16 @@ def build_automaton(terms: list[Term]) -> Automaton:
     return Automaton(tuple(terms), classes, np.array(table, np.int32), term, edits)
 
 
-def split_words(texts: pa.Array) -> kernel.Words:
-    """Lower-cased runs of letters, digits and other characters beyond ASCII; quotation marks are none of them."""
+def _plain(texts: pa.Array) -> pa.Array:
     plain = texts.cast(pa.large_string())
     for marks, mark in _QUOTES:
         plain = pc.replace_substring_regex(plain, marks, mark)
-    return kernel.split(pc.utf8_lower(plain), kernel.SYMBOL)
+    return pc.utf8_lower(plain)
+
+
+def split_words(texts: pa.Array) -> kernel.Words:
+    """Lower-cased runs of letters, digits and other characters beyond ASCII; quotation marks are none of them."""
+    return kernel.split(_plain(texts), kernel.SYMBOL)
 
 
 def find(words: kernel.Words, automaton: Automaton) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -172,15 +176,13 @@ def find(words: kernel.Words, automaton: Automaton) -> tuple[np.ndarray, np.ndar
     return at, term[at], best[at]
 
 
-def context(words: kernel.Words, at: int, low: int, high: int) -> tuple[bool, bool, bool]:
-    """Whether the hit at word ``at`` of the document's words low:high is quoted, reported, addressed to somebody."""
+def context(words: kernel.Words, at: int, low: int, high: int, begin: int, end: int) -> tuple[bool, bool, bool]:
+    """Whether the hit at word ``at`` of a document, words low:high and bytes begin:end, is quoted, reported, addressed
+    to somebody."""
     first, last = max(low, at - CONTEXT), min(high, at + CONTEXT + 1)
-    # a sign or more on both ends, so that marks at the edge are seen whole
-    before = words.data[words.starts[first] : words.starts[at]].tobytes().decode("utf-8", "replace")
-    after = words.data[words.ends[at] : words.ends[last - 1] + 1].tobytes().decode("utf-8", "replace")
-    if first == low:  # what stands before the first word
-        start = words.ends[low - 1] if low else 0
-        before = words.data[start : words.starts[low]].tobytes().decode("utf-8", "replace")[-1:] + before
+    # some signs on both ends, so that marks beside the first and the last word count
+    before = words.data[max(begin, words.starts[first] - 4) : words.starts[at]].tobytes().decode("utf-8", "ignore")
+    after = words.data[words.ends[at] : min(end, words.ends[last - 1] + 4)].tobytes().decode("utf-8", "ignore")
     quoted = len(_MARK.findall(before + "x")) % 2 == 1 and _MARK.search("x" + after) is not None
     ahead = set(re.findall(r"\w+", before))
     near = ahead | set(re.findall(r"\w+", after))
@@ -190,14 +192,15 @@ def context(words: kernel.Words, at: int, low: int, high: int) -> tuple[bool, bo
 def features(texts: pa.Array, automaton: Automaton, weights: np.ndarray) -> np.ndarray:
     """Per text: strongest hit, sum of hits (log), hits per 100 words (log), and the sums (log) of quoted, reported and
     addressed hits. ``weights``: term x edits."""
-    words = split_words(texts)
+    plain = _plain(texts)
+    words, bounds = kernel.split(plain, kernel.SYMBOL), kernel.buffers(plain)[1]
     at, term, edits = find(words, automaton)
     out = np.zeros((len(texts), len(PRIOR)))
     value = weights[term, edits]
     at, value = at[value > 0.02], value[value > 0.02]
     if len(at):
         doc = np.searchsorted(words.first, at, "right") - 1
-        around = np.array([context(words, int(i), int(words.first[d]), int(words.first[d + 1])) for i, d in zip(at, doc, strict=True)])
+        around = np.array([context(words, i, words.first[d], words.first[d + 1], bounds[d], bounds[d + 1]) for i, d in zip(at, doc, strict=True)])
         np.maximum.at(out[:, 0], doc, value)
         total = np.bincount(doc, value, len(texts))
         out[:, 1] = np.log1p(total)

@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import math
 import zlib
+from collections import Counter
 
+import numpy as np
 import pytest
 
-from barwright.llm import langid, queries
+from barwright.llm import kernel, langid, queries
 
 from .conftest import SF
 
@@ -58,3 +61,59 @@ def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
     out = found.join(docs, "doc_id").filter("held_out").selectExpr("avg(int(lang = lang_pred)) AS right", "count(*) AS n").first()
     assert out["n"] > 30 and out["right"] > 0.95
+
+
+def by_hand(text):
+    """The grams of one text, one after the other, as hashed positions."""
+    letters = "".join(ch if ch.isalpha() else "\0" for ch in (text or "").lower())
+    if not letters.strip("\0"):
+        return []
+    kept = [" "]
+    for i, ch in enumerate(letters):
+        if ch != "\0":
+            kept.append(ch)
+        elif i and letters[i - 1] != "\0":
+            kept.append(" ")
+    kept.append(" ")
+    mask = (1 << 64) - 1
+
+    def hashed(x, salt):
+        return int(kernel.mix(np.array([x & mask], np.uint64), salt)[0] >> np.uint64(64 - 15))
+
+    c = [ord(ch) for ch in kept]
+    a = [x * 0x9E3779B97F4A7C15 & mask for x in c]
+    two = [(a[i] * 31 + c[i + 1] * 0xC2B2AE3D27D4EB4F) & mask for i in range(len(c) - 1)]
+    three = [(two[i] * 31 + c[i + 2] * 0x165667B19E3779F9) & mask for i in range(len(c) - 2)]
+    return sorted([hashed(x, 1) for x in a[1:-1]] + [hashed(x, 2) for x in two] + [hashed(x, 3) for x in three])
+
+
+def test_a_batch_equals_single_texts_and_the_formula(labelled):
+    """Grams, counts and posteriors by plain loops."""
+    texts = [r["text"] for r in labelled.collect()] + ["Ünïcode ß ǅ x", "a", "a b  c--d!", None, "", "1 2", "日本 語", "x" * 300, "end.", ".start", "\ud83d"]
+    texts = [t if t is None else t.encode("utf-8", "replace").decode() for t in texts]
+    first, buckets = langid.gram_buckets(texts)
+    for i, t in enumerate(texts):
+        assert sorted(buckets[first[i] : first[i + 1]].tolist()) == by_hand(t)
+    model = langid.train(labelled)
+    rows = [(r["text"], r["lang"]) for r in labelled.collect() if r["lang"]]
+    counts, docs = {lang: Counter() for lang in model.languages}, Counter(lang for _, lang in rows)
+    for t, lang in rows:
+        counts[lang].update(by_hand(t))
+    found, scores = langid.score_texts(texts, model)
+    for t, lang, score in zip(texts, found, scores, strict=True):
+        grams = by_hand(t)
+        if not grams:
+            assert (lang, score) == ("und", 0.0)
+            continue
+        joint = []
+        for x in model.languages:
+            size = counts[x].total() + 0.5 * langid.BUCKETS
+            prior = math.log((docs[x] + 1) / (docs.total() + len(docs)))
+            joint.append(prior + sum(math.log((counts[x][g] + 0.5) / size) for g in grams) / 3)
+        odds = [math.exp(j - max(joint)) for j in joint]
+        assert lang == model.languages[joint.index(max(joint))] and score == pytest.approx(max(odds) / sum(odds), rel=1e-4)
+
+
+def test_null_and_repeated_ids_do_not_break_the_bound(spark, make_docs):
+    docs = make_docs([(None, f"text {i}") for i in range(3000)] + [(7, f"other {i}") for i in range(3000)])
+    assert 400 < langid.bounded_sample(docs, 600).count() < 800

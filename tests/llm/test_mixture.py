@@ -73,3 +73,17 @@ def test_nulls_repeated_rows_and_empty_table(make_docs):
     assert sum(r["taken"] for r in rows) == pytest.approx(9, abs=1) and max(r["taken"] for r in rows) <= 6
     assert mixture.mix_sources(docs.limit(0)).count() == 0
     assert mixture.mix_sources(docs.filter("doc_id = 1")).select(F.sum("taken")).first()[0] == 0
+
+
+def test_blank_texts_and_ids_without_meaning_spread(spark, make_docs, monkeypatch):
+    """Most texts are blank, or most ids null: no shard's window holds more than its words and rows allow."""
+    seen = []
+    real = mixture.apportion
+    monkeypatch.setattr(mixture, "apportion", lambda rows, *a: seen.append(rows) or real(rows, *a))
+    rows = [(i, " ", "s") for i in range(4000)] + [(None, f"w{i} x", "s") for i in range(2000)] + [(5, f"v{i}", "s") for i in range(2000)]
+    mixed = mixture.mix_sources(make_docs(rows, source=str), shard_rows=100).collect()
+    assert len(mixed) == 8000
+    assert sum(r["taken"] for r in mixed) == pytest.approx(1.5 * 6000, rel=0.1)  # the last blocks of such tiny shards are short
+    assert all(r["taken"] == 0 for r in mixed if r["size"] == 0) and all(r["taken"] <= 2 * r["size"] for r in mixed)
+    shards = seen[1].toPandas()  # one row per shard: of at most about 100 rows, 150 words
+    assert len(shards) >= 35 and shards["shard_size"].max() < 300

@@ -60,8 +60,8 @@ def test_cut_texts_carry_other_columns(make_docs):
 
 
 def test_more_text_than_a_sketch_can_hold():
-    assert substrings._sketch_bits(10**6, 1 << 28) < substrings._sketch_bits(10**9, 1 << 28) == 25
-    assert substrings._sketch_bits(8 * 10**9, 1 << 28) == 27 and substrings._sketch_bits(10**10, 1 << 28) is None
+    assert substrings._sketch_bits(10**6, 1 << 28)[0] < substrings._sketch_bits(10**9, 1 << 28)[0] == 25
+    assert substrings._sketch_bits(8 * 10**9, 1 << 28) == (27, True) and substrings._sketch_bits(10**10, 1 << 28) == (29, False)
 
 
 def test_the_sketch_never_underestimates(make_docs):
@@ -71,7 +71,7 @@ def test_the_sketch_never_underestimates(make_docs):
     random.seed(9)
     texts = [" ".join(f"w{random.randrange(50)}" for _ in range(200)) for _ in range(40)]
     texts += [t[40:] for t in texts[:20]]
-    bits = substrings._sketch_bits(sum(map(len, texts)), 1 << 28)
+    bits, _ = substrings._sketch_bits(sum(map(len, texts)), 1 << 28)
     flags = substrings.sketch(make_docs(list(enumerate(texts))).repartition(4).select("text"), 50, bits)
     words = kernel.split(pa.array(texts))
     starts, anchors = substrings.windows(words, 50)

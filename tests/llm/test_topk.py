@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -95,3 +97,19 @@ def test_query_blocks_stay_small_though_one_id_has_most_vectors(spark, monkeypat
     monkeypatch.setattr(type(spark.sparkContext), "broadcast", counted)
     assert run(spark, rows, query_block=20) == brute(rows, 5, lambda i: i % 10 == 0)
     assert sum(sizes) == 138 and max(sizes) < 60
+
+
+def test_components_of_any_size(spark):
+    """Distances of such vectors overflow; scores are those of whole numbers, cut off to longs."""
+    rng = np.random.default_rng(8)
+    rows = [(i, (rng.choice([-1, 1], 4) * 10.0 ** rng.uniform(0, top, 4)).tolist()) for i, top in enumerate([300, 160, 155, 120, 3, 0.5] * 40)]
+    rows += [(900, [1.7e308, -1.7e308, 1e308, 1.0]), (901, [1e160, 1e160, 1e160, 1e160]), (910, [0.0] * 4)]
+    limit = (1 << 63) - 1
+    largest = int(np.finfo(np.float64).max)
+    whole = {i: [max(-largest, min(largest, math.floor(x * 1024) if abs(x) < 1e304 else int(math.copysign(min(abs(x) * 1024, float(largest)), x)))) for x in v] for i, v in rows}
+    wanted = []
+    for q in whole:
+        if q % 10 == 0:
+            scores = [(max(-limit - 1, min(limit, sum(a * b for a, b in zip(whole[q], v)))), c) for c, v in whole.items() if c != q]
+            wanted += [(q, i + 1, c, s) for i, (s, c) in enumerate(sorted(scores, key=lambda x: (-x[0], x[1]))[:5])]
+    assert sorted(run(spark, rows)) == sorted(wanted)

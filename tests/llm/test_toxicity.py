@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import math
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -130,3 +132,79 @@ def test_logistic_fit_is_the_maximum():
     x = rng.normal(size=(4000, 2))
     y = (rng.random(4000) < 1 / (1 + np.exp(-(0.5 + 2 * x[:, 0] - x[:, 1])))).astype(float)
     assert toxicity.fit_logistic(x, y) == pytest.approx([0.5, 2, -1], abs=0.2)
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("do not be an idiot it is bad", (False, False, False)), ("don’t be an idiot it’s bad", (False, False, False)), ("don't be an idiot it's bad", (False, False, False)),
+        ('kamo said "idiot" to ri', (True, True, False)), ("kamo said “idiot” to ri", (True, True, False)), ("« idiot »", (True, False, False)), ("‘idiot’ is rude", (True, False, False)),
+        ("kamo called ri an idiot", (False, True, False)), ("you idiot", (False, False, True)), ('"one" idiot "two"', (False, False, False)), ("idiot", (False, False, False)),
+    ],
+)
+def test_context_of_a_hit(text, expected):
+    words = toxicity.split_words(pa.array([text]))
+    at = [i for i in range(len(words.starts)) if words.text(i) == b"idiot"]
+    assert len(at) == 1 and toxicity.context(words, at[0], 0, len(words.starts), 0, len(words.data)) == expected
+
+
+def test_scores_equal_plain_loops(model):
+    """Every word against every term by dynamic programming, features and logistic curve by hand."""
+    terms = model.automaton.terms
+    texts = [t for _, t, _ in corpus(60)] + ["You idiot! wortless zwei", 'she said: "moron" and left', None, "", "idiots moronic IDIOT", "a b c"]
+    for text, got in zip(texts, score(model, *texts), strict=True):
+        words = re.findall(r"[0-9a-z\x80-\U0010ffff]+", (text or "").lower())
+        hits = []
+        for i, w in enumerate(words):
+            best = []
+            for k, t in enumerate(terms):
+                goal, own = t.text.encode(), w.encode()
+                heads = [own[:n] for n in range(len(own) + 1)] if t.stem else [own]
+                edits = min(distance(h, goal) for h in heads)
+                if edits <= t.edits:
+                    best.append((edits, t, k))
+            if best and (value := model.weights[min(best)[2], min(best)[0]]) > 0.02:
+                hits.append((i, value))
+        split = toxicity.split_words(pa.array([text], pa.string()))
+        around = [toxicity.context(split, i, 0, len(words), 0, len(split.data)) for i, _ in hits]
+        total = sum(v for _, v in hits)
+        x = [max((v for _, v in hits), default=0), math.log1p(total), math.log1p(100 * total / max(1, len(words)))]
+        x += [math.log1p(sum(v for (_, v), c in zip(hits, around, strict=True) if c[k])) for k in range(3)]
+        z = model.coefficients[0] + sum(a * b for a, b in zip(model.coefficients[1:], x, strict=True))
+        assert got == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, z)))), rel=1e-9)
+
+
+def test_the_weight_of_the_context_is_learned(spark):
+    """Where quoted insults are labelled clean, quotation lowers the score; where they are toxic, it does not."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice(["ka", "mo", "ri", "tes"]) for _ in range(3))
+
+    def learned(quoted_label):
+        rows = []
+        for i in range(900):
+            words = [word() for _ in range(30)]
+            kind = i % 3
+            if kind:
+                words[rng.randrange(5, 25)] = "idiot" if kind == 1 else '"idiot"'
+            rows.append((i, " ".join(words), [0, 1, quoted_label][kind] if rng.random() < 0.95 else 1))
+        rows += [(1000 + i, " ".join([word() for _ in range(20)] + ["idiot"]), 1) for i in range(900)]
+        return toxicity.train(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+
+    clean, toxic = learned(0), learned(1)
+    assert clean.coefficients[4] < -2 < toxic.coefficients[4]
+    text = " ".join(["kamori"] * 15 + ['"idiot"'] + ["morites"] * 15)
+    assert score(clean, text)[0] < 0.5 < score(toxic, text)[0]
+    alone, beside = score(clean, text), score(clean, 'ends in a "', text, '" begins')[1:2]
+    assert alone == beside  # other texts of the batch don't count
+
+
+def test_the_lexicon_has_no_cap(spark):
+    """600 terms, each in a few toxic documents only, and one word beyond any length."""
+    rng = random.Random(2)
+    syllables = ["ba", "do", "fi", "gu", "he", "ka", "lo", "mi", "nu", "pe", "ra", "so", "ti", "vu", "we", "zo"]
+    terms = list({"".join(rng.choice(syllables) for _ in range(5)) for _ in range(700)})[:600] + ["q" * 200]
+    rows = [(i, " ".join([f"w{rng.randrange(300)}" for _ in range(30)] + rng.sample(terms, 12) + ["q" * 200] * (i % 20 == 0)), 1) for i in range(600)]
+    rows += [(1000 + i, " ".join(f"w{rng.randrange(300)}" for _ in range(42)), 0) for i in range(600)]
+    model = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    held = sum(score(model, f"w1 w2 {t} w3")[0] > score(model, "w1 w2 w5 w3")[0] for t in terms)
+    assert held > 570 and score(model, "w1 " + "q" * 200)[0] > score(model, "w1 w2")[0]

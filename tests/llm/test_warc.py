@@ -89,3 +89,25 @@ def test_empty_table_and_a_bad_file(spark, tmp_path):
     (tmp_path / "none" / "a.warc.zst").write_bytes(archive([b"no record"] * 9))
     with pytest.raises(PythonException, match="a.warc.zst, record 0"):
         warc.read_archives(spark, folder).collect()
+
+
+def test_a_payload_that_most_pages_have_is_split(spark, tmp_path, monkeypatch):
+    """80 % of the pages are equal, nothing is broadcast: the records are spread over the tasks all the same."""
+    rows = [(i, f"http://x/{i}", "same " * 30 if i % 5 else f"own {i} " * 30) for i in range(8000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(8)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        listed = stage(warc.write_archives(warc.plan_records(pages), str(tmp_path))).toPandas()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert listed["records"].sum() == 8000 and listed["records"].max() < 2000
+    found = warc.read_archives(spark, str(tmp_path)).groupBy("record_type").count().orderBy("record_type").collect()
+    assert [tuple(r) for r in found] == [("response", 1601), ("revisit", 6399)]
