@@ -30,7 +30,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barwright.llm import kernel
@@ -108,13 +108,23 @@ def _anchors_of(words: kernel.Words, window: int) -> tuple[np.ndarray, np.ndarra
     return both[:, 0].astype(np.int64), both[:, 1]
 
 
-def _count_cells(batches: Iterator[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
-    """The sketch of a task: for each slice of counters those that its anchors (each once a document) hit once, or more."""
+def _count_cells(batches: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The sketch of a task: for each slice of counters those that its cells (each once a document) hit once, or more."""
     once, twice = np.empty(0, np.int64), np.empty(0, np.int64)
-    for anchors in batches:
-        found, n = np.unique(np.concatenate(cells(anchors, bits)), return_counts=True)
-        twice = np.union1d(twice, np.concatenate([np.intersect1d(once, found, assume_unique=True), found[n > 1]]))
-        once = np.union1d(once, found)
+    held: list[np.ndarray] = []
+
+    def fold() -> tuple[np.ndarray, np.ndarray]:
+        found, n = np.unique(np.concatenate(held), return_counts=True)
+        more = np.union1d(twice, np.concatenate([np.intersect1d(once, found, assume_unique=True), found[n > 1]]))
+        return np.union1d(once, found), more
+
+    for found in batches:
+        held.append(found)
+        if sum(map(len, held)) > max(1 << 18, len(once)):  # so that what is there is sorted a few times only
+            once, twice = fold()
+            held = []
+    if held:
+        once, twice = fold()
     once = np.setdiff1d(once, twice, assume_unique=True)
     for s in np.unique(np.concatenate([once, twice]) // SLICE):
         own = [x[np.searchsorted(x, s * SLICE) : np.searchsorted(x, (s + 1) * SLICE)] - s * SLICE for x in (once, twice)]
@@ -145,7 +155,7 @@ def sketch(docs: DataFrame, window: int, bits: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = (part for batch in batches for part in kernel.slices(batch, "text"))
-        return _count_cells((_anchors_of(kernel.split(p.column("text")), window)[1] for p in parts), bits)
+        return _count_cells(np.concatenate(cells(_anchors_of(kernel.split(p.column("text")), window)[1], bits)) for p in parts)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, own in _merged(batches):
@@ -168,22 +178,24 @@ def with_estimated_anchors(docs: DataFrame, window: int, bits: int) -> DataFrame
         for batch in batches:
             for part in kernel.slices(batch, "text"):
                 doc, anchors = _anchors_of(kernel.split(part.column("text")), window)
-                one, two = cells(anchors, bits)
                 ord, tag = (part.column(name).to_numpy()[doc] for name in ("ord", "tag"))
-                yield pa.RecordBatch.from_pydict({"anchor": anchors.view(np.int64), "ord": ord, "tag": tag, "one": one, "two": two})
+                yield pa.RecordBatch.from_pydict({"anchor": anchors.view(np.int64), "ord": ord, "tag": tag})
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _count_cells((b.column(0).to_numpy().view(np.uint64) for b in batches), bits)
+        return _count_cells(np.concatenate([b.column(i).to_numpy() for i in range(2)]) for b in batches)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, own in _merged(batches):
             yield pa.RecordBatch.from_pydict({"cell": np.flatnonzero(own > 1) + s * SLICE})
 
-    rows = stage(docs.select("text", "ord", "tag").mapInArrow(emit, "anchor long, ord long, tag long, one long, two long"), "anchors")
-    parts = rows.select("anchor").mapInArrow(count, _PARTS)
+    def cell(row: int) -> Column:  # an expression, so that no row carries it
+        return F.shiftrightunsigned(F.xxhash64("anchor", F.lit(row)), 64 - bits) + (row << bits)
+
+    rows = stage(docs.select("text", "ord", "tag").mapInArrow(emit, "anchor long, ord long, tag long"), "anchors")
+    parts = rows.select(cell(0).alias("one"), cell(1).alias("two")).mapInArrow(count, _PARTS)
     repeated = stage(parts.repartition("slice").sortWithinPartitions("slice").mapInArrow(merge, "cell long"), "repeated-cells")
-    for row in ("one", "two"):  # the first semi-join leaves little to the second
-        rows = rows.join(sent(repeated.withColumnRenamed("cell", row)), row, "left_semi")
+    for row in (0, 1):  # the first semi-join leaves little to the second
+        rows = rows.join(sent(repeated), cell(row) == F.col("cell"), "left_semi")
     own = rows.groupBy("ord", "tag").agg(F.collect_set("anchor").alias("repeated"))
     return docs.join(sent(stage(own, "own-anchors"), "repeated"), ["ord", "tag"])
 
