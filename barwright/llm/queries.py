@@ -321,3 +321,17 @@ s AS (SELECT q, item_id, doc_id, r, sum(weight * ((1000000000 * tf) // (1000 * t
 k AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS FIRST)::INT AS rank FROM s WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 50
 """
+
+#: All pairs that share a shingle, and the closure of their links: for tables without null or repeated ids.
+ORACLE["op5_near_duplicates"] = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, md5(array_to_string(w[p:p + 4], ' ')) AS g FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 2))) AS p FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM c JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * common >= 75 * (a.n + b.n - common)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+t(a, b) AS (SELECT doc_id, doc_id FROM w UNION SELECT t.a, e.y FROM t JOIN e ON t.b = e.x)
+SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(b) AS component_id, w.doc_id = min(b) AS kept
+FROM w JOIN t ON t.a = w.doc_id LEFT JOIN n USING (doc_id) GROUP BY w.doc_id, n
+"""

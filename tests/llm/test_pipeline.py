@@ -78,3 +78,29 @@ def test_mixture_meets_its_targets(steps):
 
 def test_run_equals_the_stages(spark, steps):
     assert sorted(rows(corpus_pipeline.run(spark, SF), "doc_id", "taken")) == sorted(rows(steps[5], "doc_id", "taken"))
+
+
+def test_stages_take_nulls_blanks_empty_tables_and_clashing_columns(spark):
+    """No n_chars, names that the operators use inside, null ids and texts, copies, and a benchmark passage."""
+    columns = "doc_id long, text string, lang string, source string, ord string, tag long, row int, size double, digest string, spans string"
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    long = " ".join(f"w{i}" for i in range(200))
+    texts = [None, "", " \t", "one two", long, long + " more of it", "x " * 3000 + long, item, f"before {item} after", "é" * 50_000]
+    rows = [(i, t, "en", "s", "o", 1, 2, 0.5, None, "z") for i, t in enumerate(texts)]
+    rows += [(None, t, None, None, None, None, None, None, "d", None) for t in (None, None, "", long, "null id words", "null id words")]
+    docs = spark.createDataFrame(rows, columns)
+    for name, apply in corpus_pipeline.STAGES[:-1]:
+        empty = apply(spark, docs.limit(0), SF)
+        assert empty.dtypes == docs.dtypes and empty.count() == 0
+        after = stage(apply(spark, docs, SF), name)
+        assert after.dtypes == docs.dtypes and after.count() <= docs.count()
+        docs = after
+    left = [tuple(r) for r in docs.select("doc_id", "text", "ord", "spans").collect()]
+    ids = sorted(r[0] for r in left if r[0] is not None)
+    assert ids == [0, 1, 2, 3, 4, 9]  # 5 and 6 are near 4; 7 and 8 are benchmark text
+    assert [r for r in left if r[0] == 0] == [(0, None, "o", "z")]
+    # the copy of 4 is gone; null and empty texts under a null id are repeats of one another
+    assert sorted(r[1] or "" for r in left if r[0] is None) == ["", "null id words"]
+    mixed = corpus_pipeline.mix(spark, docs, SF)
+    assert mixed.columns == ["doc_id", "size", "source_size", "target", "taken"] and mixed.count() == len(left)
+    assert corpus_pipeline.mix(spark, docs.limit(0), SF).count() == 0
