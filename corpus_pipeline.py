@@ -31,7 +31,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words that an earlier document has are cut; the documents stay, with what is left."""
     ship(spark)
-    return substrings.cut_repeats(docs, window=50).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    cut = substrings.cut_repeats(docs, window=50)
+    if "n_chars" not in docs.columns:
+        return cut
+    return cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barwright.operators import marks
-from barwright.operators.bars import resample
+from barwright.operators.bars import partial_bars, resample
 from barwright.operators.chunks import cut_size
 from barwright.operators.clean import silver
 from barwright.operators.features import features, gold
@@ -30,8 +30,11 @@ def stored(spark):
 def test_bars_read_four_columns_and_combine_by_hash_before_the_shuffle(spark):
     text = plan(resample(read_ticks(spark, SF)))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string,value:double>" in text
-    assert text.count("HashAggregate") == 2 and "SortAggregate" not in text
-    assert text.count("Exchange hashpartitioning") == 1
+    # over the ticks, then over the one or two parts of each bar
+    assert text.count("HashAggregate") == 4 and "SortAggregate" not in text
+    assert text.count("Exchange hashpartitioning") == 2
+    raw = plan(partial_bars(read_ticks(spark, SF)))
+    assert raw.count("HashAggregate") == 2 and raw.count("Exchange hashpartitioning") == 1 and "decimal" not in raw
 
 
 def test_time_filters_reach_the_scan(stored):
@@ -58,7 +61,8 @@ def test_chunks_never_meet_in_one_task(stored, rows):
     assert "SinglePartition" not in text
     assert "hashpartitioning(symbol#" in text and "_chunk#" in text
     # Edges are limited before they are shuffled.
-    assert text.count("WindowGroupLimit") >= 4
+    assert text.count("WindowGroupLimit") == 2  # before and after the one shuffle of the edge table
+    assert text.count("Exchange hashpartitioning") <= 3 and text.count("Scan parquet") <= 2
 
 
 def test_latest_row_is_a_hash_aggregate(stored):
