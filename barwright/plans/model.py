@@ -28,7 +28,7 @@ LABEL = "target_price"
 REG = [0.01, 0.1, 1.0]
 ELASTIC_NET = [0.0, 0.5, 1.0]
 
-PARALLEL_FITS = 4
+PARALLEL_FITS = 8
 
 
 def assembler(columns: Sequence[str] = FEATURES) -> VectorAssembler:
@@ -124,13 +124,16 @@ def fit_grid(
     pack = assembler(columns)
     scaler = fit_scaler(train, columns)
     few = [(Vectors.dense(r[:-1]), float(r[-1])) for r in stand_in(*moments(train, scaler, columns))]
-    rows = spark.createDataFrame(few, ["scaled_features", LABEL]).coalesce(1)
+    rows = spark.createDataFrame(few, ["scaled_features", LABEL]).coalesce(1).persist()
     pairs = [(r, e) for r in reg for e in elastic_net]
     line = LinearRegression(featuresCol="scaled_features", labelCol=LABEL)
     settings = [{line.regParam: r, line.elasticNetParam: e} for r, e in pairs]
-    with ThreadPool(PARALLEL_FITS) as pool:
-        fits = line.fitMultiple(rows, settings)
-        fitted = dict(pool.imap_unordered(lambda _: next(fits), pairs))
+    try:
+        with ThreadPool(PARALLEL_FITS) as pool:
+            fits = line.fitMultiple(rows, settings)
+            fitted = dict(pool.imap_unordered(lambda _: next(fits), pairs))
+    finally:
+        rows.unpersist()
     scores = test.select(*[v.alias(f"_z{i}") for i, v in enumerate(_centred(columns, scaler).values())], LABEL)
     runs = []
     for i, (r, e) in enumerate(pairs):
