@@ -69,9 +69,10 @@ def last_rows_before(
     recent = history.filter((F.col("date") >= F.to_date(since)) & (F.col("datetime") >= since))
     near = stage(ahead(recent, marks), "near")
     enough = near.groupBy("symbol").count().filter(F.col("count") >= count)
-    short = stage(marks.join(enough, "symbol", "left_anti"), "short")
+    short = marks.join(enough, "symbol", "left_anti")
     if short.isEmpty():
         return near
+    short = stage(short, "short")
     return near.join(short, "symbol", "left_anti").unionByName(ahead(history, short))
 
 

@@ -146,9 +146,9 @@ def _free_number(spark: SparkSession, layers: Layers, records: dict[str, int], w
     return wanted if wanted is not None and wanted > records.get("bronze", -1) and wanted >= used else used + 1
 
 
-def reserve(spark: SparkSession, layers: Layers, seq: int | None = None) -> int:
-    """A number for a load, known to be in use from now on."""
-    number = _free_number(spark, layers, _records(spark, layers), seq)
+def reserve(spark: SparkSession, layers: Layers, seq: int | None = None, records: dict[str, int] | None = None) -> int:
+    """A number for a load, known to be in use from now on. One load runs at a time, so it may have read ``records``."""
+    number = _free_number(spark, layers, _records(spark, layers) if records is None else records, seq)
     _record(spark, layers, RESERVED, number)
     return number
 
@@ -159,12 +159,12 @@ def publish(spark: SparkSession, layers: Layers, seq: int) -> None:
 
 
 def write_bars(bars: DataFrame, layers: Layers, seq: int) -> None:
-    """Upsert bars into bronze under a reserved number, and bring the marks up."""
+    """Upsert bars into bronze under a reserved number, and bring the marks up. ``bars`` are staged unless the table is new."""
     spark = bars.sparkSession
     bronze = layers.name("bronze")
     first = not spark.catalog.tableExists(bronze)
     numbered = bars.withColumn("ingest_seq", F.lit(seq).cast("long"))
-    tables.replace_rows(numbered, bronze, schemas.BRONZE, version="ingest_seq", fmt=layers.fmt)
+    tables.replace_rows(numbered, bronze, schemas.BRONZE, version="ingest_seq", fmt=layers.fmt, written=not first)
     if first:
         tables.snapshot(high_water_mark(tables.load(spark, bronze)), layers.name("marks"), layers.fmt, "symbol")
         return
@@ -191,7 +191,7 @@ def store_bars(bars: DataFrame, layers: Layers, seq: int | None = None) -> bool:
         records = _records(spark, layers)
         if not news and not _is_open(records):
             return False
-        number = reserve(spark, layers, seq)
+        number = reserve(spark, layers, seq, records)
         if news:
             write_bars(changed, layers, number)
         publish(spark, layers, number)
@@ -218,7 +218,7 @@ def run_bronze(
     with job(spark):
         tables.create_schema(spark, layers.database)
         store_bars(_fetch(ticks, layers, as_of, since, symbols), layers, seq)
-        done = spark.range(1).select(instant(as_of).alias("as_of"))
+        done = _one_row(spark).select(instant(as_of).alias("as_of"))
         tables.append(done, layers.name("loads"), schemas.LOADS, layers.fmt)
 
 
@@ -265,8 +265,12 @@ def _changes(spark: SparkSession, layers: Layers, layer: str) -> Changes | None:
     return Changes(starts, earliest, reached)
 
 
+def _one_row(spark: SparkSession) -> DataFrame:
+    return spark.range(0, 1, 1, 1)
+
+
 def _record(spark: SparkSession, layers: Layers, layer: str, seq: int) -> None:
-    done = spark.createDataFrame([(layer, seq)], schemas.PROGRESS)
+    done = _one_row(spark).select(F.lit(layer).alias("layer"), F.lit(seq).cast("long").alias("ingest_seq"))
     tables.append(done, layers.name("progress"), schemas.PROGRESS, layers.fmt)
 
 
@@ -366,9 +370,8 @@ def run_serving(spark: SparkSession, layers: Layers) -> None:
             before = last_rows_before(gold, changes.marks(), 1, changes.horizon, inclusive=True).drop("_back")
             rows = changes.part(gold).unionByName(before)
             earlier = before.select("symbol", F.col("datetime").alias("_before"))
-            scope = changes.starts.join(earlier, "symbol", "left").select(
-                "symbol", F.coalesce("_before", "start").alias("start")
-            )
+            reach = changes.starts.join(earlier, "symbol", "left")
+            scope = stage(reach.select("symbol", F.coalesce("_before", "start").alias("start")), "scope")
         fresh = serving_shift(rows)
         tables.replace_rows(fresh, layers.name("serving"), schemas.SERVING, scope=scope, fmt=layers.fmt)
         _record(spark, layers, "serving", changes.seq)

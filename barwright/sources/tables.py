@@ -160,10 +160,12 @@ def dates(df: DataFrame) -> list:
     return [row["date"] for row in df.select("date").distinct().collect()]
 
 
-def _differing(a: DataFrame, b: DataFrame) -> DataFrame:
-    """The rows that one frame has more often than the other."""
-    signed = a.withColumn("_n", F.lit(1)).unionByName(b.withColumn("_n", F.lit(-1)))
-    return signed.groupBy(*a.columns).agg(F.sum("_n").alias("_n")).filter(F.col("_n") != 0)
+def _differing_dates(stored: DataFrame, fresh: DataFrame) -> dict:
+    """The dates on which one frame has a row more often than the other, and whether ``fresh`` has any row there."""
+    signed = stored.withColumn("_n", F.lit(-1)).unionByName(fresh.withColumn("_n", F.lit(1)))
+    rows = signed.groupBy(*stored.columns).agg(F.sum("_n").alias("_n"), F.max("_n").alias("_fresh"))
+    days = rows.groupBy("date").agg(F.max(F.col("_n") != 0).alias("differs"), F.max(F.col("_fresh") > 0).alias("fresh"))
+    return {r["date"]: r["fresh"] for r in days.filter("differs").collect()}
 
 
 def unlike(fresh: DataFrame, table: str, schema: StructType, ignoring: list[str], keys: list[str] = KEYS) -> DataFrame:
@@ -192,13 +194,16 @@ def replace_rows(
     scope: DataFrame | None = None,
     version: str | None = None,
     fmt: str = "parquet",
+    written: bool = False,
 ) -> None:
     """Put ``fresh`` rows into the table in place of the stored ones with equal keys.
 
-    ``scope`` (symbol, start) widens that: every stored row of the symbol at or past ``start`` goes too.
+    ``scope`` (symbol, start), a written frame, widens that: every stored row of the symbol at or past ``start`` goes too.
     With ``version``, stored and fresh rows compete and the highest version of a key stays, so a late
     arrival of older data does not win; fresh keys must be unique then. Only dates on which something differs are rewritten. Columns that
     the table does not have yet are added to it, and a column that comes with a wider number type is widened.
+    ``written`` tells that ``fresh`` reads staged rows and needs no copy. The touched dates are read while their new
+    files are written beside them; the write moves those into place when all are whole.
     """
     spark = fresh.sparkSession
     incoming = _dated(fresh, schema)
@@ -206,20 +211,20 @@ def replace_rows(
     if not spark.catalog.tableExists(table):
         _by_date(incoming).write.format(fmt).partitionBy("date").saveAsTable(table)
         return
-    incoming = _evolve(stage(incoming, "incoming"), table)
+    incoming = _evolve(incoming if written else stage(incoming, "incoming"), table)
     stored = spark.read.table(table)
     if scope is None:
-        days = dates(incoming)
+        days = dict.fromkeys(dates(incoming), True)
     else:
-        scope = stage(scope.select("symbol", "start"), "scope")
+        scope = scope.select("symbol", "start")
         first = scope.agg(F.to_date(F.min("start"))).first()[0]
         since = stored.filter(F.col("date") >= F.lit(first)).join(scope, "symbol")
         replaced = since.filter(F.col("datetime") >= F.col("start")).select(*incoming.columns)
-        days = dates(_differing(replaced, incoming))
+        days = _differing_dates(replaced, incoming)
     if not days:
         return
-    touched = stored.filter(F.col("date").isin(days))  # literals: other partitions are not read
-    arriving = incoming.filter(F.col("date").isin(days))
+    touched = stored.filter(F.col("date").isin(*days))  # literals: other partitions are not read
+    arriving = incoming.filter(F.col("date").isin(*days))
     kept = touched
     if scope is not None:
         within = F.col("start").isNotNull() & (F.col("datetime") >= F.col("start"))
@@ -231,9 +236,8 @@ def replace_rows(
         merged = latest_wins(both, "_rank", unique=True).withColumn("date", F.to_date("datetime"))
     else:
         merged = kept.join(arriving.select(*keys), keys, "left_anti").unionByName(arriving)
-    staged = stage(merged.select(*incoming.columns), "merged")
-    filled = set(dates(staged))
-    _overwrite_dates(_by_date(staged), table)
-    for day in days:
-        if day not in filled:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (date = DATE '{day}')")
+    without = [day for day, filled in days.items() if not filled]
+    emptied = set(without) - set(dates(kept.filter(F.col("date").isin(without))) if without else [])
+    _overwrite_dates(_by_date(merged.select(*incoming.columns)), table)
+    for day in emptied:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (date = DATE '{day}')")
