@@ -7,12 +7,16 @@ values; tree t orders all nodes by its own DEPTH values.
 1. Regions: nodes that share the first two values of a tree's order. A region larger than ``REGION`` is
    cut at the next value, and so on, so that depth follows density; what is still too large at full depth is
    dealt out with one member added to every part.
-2. Inside a region, a search from the member nearest to the region's consensus links members whose signatures
-   agree in ``LEAST_EQUAL`` places or more: a spanning forest, never all pairs. A cut parts members that are
-   linked, so the members of a cut region that are not in its largest component so far are then compared with the
-   whole region, in pairs of blocks. The components of the links over all trees are clusters. A true link stays
-   inside a cluster unless its ends share the first two values of no tree or its signatures agree too rarely;
-   either has odds of about one in a million at the threshold, whatever the density.
+2. A region is read in its tree's order. Candidates of a member are the neighbours with which it shares the longest
+   prefix, then, level by level, those with which it shares less, down to the region's own depth; members already
+   linked with each other are not compared. Signatures that agree in ``LEAST_EQUAL`` places or more are linked: a
+   spanning forest, never all pairs. The components of the links over all trees are clusters.
+   A cut parts members that are linked. The members of a cut region that are not in its largest component so far
+   are compared with the whole region in pairs of blocks, if those are few. A region with more than
+   ``MOST_BLOCK_PAIRS`` (many texts with a part in common that are no near-duplicates) gets further, deeper orders for its
+   members instead, as many as keep the odds: ``DEEPER`` values each, and the same again inside their regions. A true
+   link stays inside a cluster unless its ends share the first values of no tree or its signatures agree too
+   rarely; either has odds of about one in a million at the threshold, whatever the density.
 3. Links are confirmed on the full sets: every cluster gets the texts of its nodes once and finds the
    components of the exact graph (by intersections over an inverted index of shared shingles, each member
    against those not yet reached). A cluster beyond ``BLOCK`` nodes or ``BLOCK_SHINGLES`` is cut into blocks
@@ -27,6 +31,7 @@ no rows. Only doc_id and text are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,12 +48,18 @@ SHINGLE = 5
 TREES, DEPTH = 16, 8
 FIRST_DEPTH = 2
 REGION = 1024
+#: Values of the orders that members of dense regions get besides, and the pairs of blocks from which a region is dense.
+DEEPER = (4, 8)
+MOST_BLOCK_PAIRS = 64
+ODDS = 1e-6
 #: 73 of 128 equal values: 4.7 standard deviations below a similarity of 0.75.
 LEAST_EQUAL = 73
 BLOCK = 1024
 BLOCK_SHINGLES = 1_000_000
 LAST = (1 << 63) - 1
 
+_PLACED = ("tree", "prefix", "label", "node")
+
 _FACTORS = kernel.mix(np.arange(1, TREES * DEPTH + 1, dtype=np.uint64), 5) | np.uint64(1)
 
 
@@ -82,14 +93,14 @@ def set_digests(hashes: np.ndarray, first: np.ndarray) -> list[bytes | None]:
     return out
 
 
-def signatures(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """MinHash values (documents x TREES * DEPTH) as big-endian 32-bit integers; rows of empty sets are 0."""
+def signatures(hashes: np.ndarray, first: np.ndarray, factors: np.ndarray = _FACTORS) -> np.ndarray:
+    """MinHash values (documents x factors) as big-endian 32-bit integers; rows of empty sets are 0."""
     some = np.flatnonzero(np.diff(first))
-    out = np.zeros((len(first) - 1, len(_FACTORS)), ">u4")
+    out = np.zeros((len(first) - 1, len(factors)), ">u4")
     if len(some):
         heads = first[some]
         with np.errstate(over="ignore"):
-            for k, factor in enumerate(_FACTORS):
+            for k, factor in enumerate(factors):
                 out[some, k] = np.minimum.reduceat(((hashes ^ (factor >> np.uint64(7))) * factor) >> np.uint64(32), heads)
     return out
 
@@ -126,21 +137,43 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def forest(signs: np.ndarray, least_equal: int) -> list[tuple[int, int]]:
-    """Links of a spanning forest of the graph in which rows agree in ``least_equal`` places or more."""
+def neighbour_links(labels: np.ndarray, signs: np.ndarray, least_equal: int) -> list[tuple[int, int]]:
+    """Links of a spanning forest of the graph in which rows agree in ``least_equal`` places or more. ``labels`` (rows x
+    values) are in ascending order."""
     n = len(signs)
     if n == 2:
         return [(0, 1)] if np.count_nonzero(signs[0] == signs[1]) >= least_equal else []
-    consensus = np.sort(signs, axis=0)[n // 2]
+    common = np.logical_and.accumulate(labels[1:] == labels[:-1], axis=1).sum(axis=1)  # values shared with the next row
+    root = np.arange(n)
+    links: list[tuple[int, int]] = []
+    for depth in np.unique(common)[::-1]:
+        stops = np.append(np.flatnonzero(common < depth) + 1, n)
+        starts = np.append(0, stops[:-1])
+        joins = np.add.reduceat(np.append(common == depth, False), starts) > 0  # runs made of several deeper ones
+        for start, stop in zip(starts[joins], stops[joins], strict=True):
+            own = root[start:stop]
+            if (own == own[0]).all():
+                continue
+            child = np.append(0, np.cumsum(common[start : stop - 1] == depth))
+            for i, j in _across(signs[start:stop], own, child, least_equal):
+                links.append((int(start) + i, int(start) + j))
+    return links
+
+
+def _across(signs: np.ndarray, root: np.ndarray, child: np.ndarray, least_equal: int) -> list[tuple[int, int]]:
+    """Links between rows of different ``child`` and ``root``; roots that are linked become one, in place."""
+    consensus = np.sort(signs, axis=0)[len(signs) // 2]
     near = np.argsort(-np.count_nonzero(signs == consensus, axis=1), kind="stable")
-    links, left = [], near
-    while len(left) > 1:
-        edge, left = left[:1], left[1:]
-        while len(edge) and len(left):
-            member, edge = edge[0], edge[1:]
-            hit = np.count_nonzero(signs[left] == signs[member], axis=1) >= least_equal
-            links += [(int(member), int(x)) for x in left[hit]]
-            edge, left = np.concatenate([edge, left[hit]]), left[~hit]
+    centre, links = near[0], []
+    for member in near:
+        if member != centre and root[member] == root[centre]:
+            continue  # a row outside the centre's component is compared with this one in its own turn
+        others = np.flatnonzero((root != root[member]) & (child != child[member]))
+        hit = others[np.count_nonzero(signs[others] == signs[member], axis=1) >= least_equal]
+        if len(hit):
+            found, at = np.unique(root[hit], return_index=True)
+            links += [(int(member), int(x)) for x in hit[at]]
+            root[np.isin(root, found)] = root[member]
     return links
 
 
@@ -149,8 +182,8 @@ def _region_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     b: list[bytes] = []
     for group in _groups(batches, 2):
         nodes = group.column("node").to_pylist()
-        signs = np.frombuffer(b"".join(group.column("sign").to_pylist()), ">u4").reshape(len(nodes), -1)
-        for i, j in forest(signs, LEAST_EQUAL):
+        labels, signs = (np.frombuffer(b"".join(group.column(c).to_pylist()), ">u4").reshape(len(nodes), -1) for c in ("label", "sign"))
+        for i, j in neighbour_links(labels, signs, LEAST_EQUAL):
             a.append(nodes[i])
             b.append(nodes[j])
         if len(a) >= 50_000:
@@ -160,56 +193,116 @@ def _region_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def regions(nodes: DataFrame, region: int = REGION) -> DataFrame:
-    """(tree, prefix, node) of all regions with two members or more, none much larger than ``region``."""
+    """(tree, prefix, label, node) of all regions with two members or more, none much larger than ``region``."""
     return _cut(nodes, region)[0]
 
 
 def _cut(nodes: DataFrame, region: int) -> tuple[DataFrame, DataFrame]:
-    """``regions``, and (tree, prefix, node) of the regions of FIRST_DEPTH that were cut to get them."""
+    """``regions``, and (tree, prefix, label, node) of the regions of FIRST_DEPTH that were cut to get them."""
     trees = nodes.select("node", "sign", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     rows = trees.select("node", "tree", F.expr(f"substring(sign, tree * {DEPTH * 4} + 1, {DEPTH * 4})").alias("label"))
     settled: DataFrame | None = None
     whole: DataFrame | None = None
     for depth in range(FIRST_DEPTH, DEPTH + 1):
         rows = rows.withColumn("prefix", F.substring("label", 1, 4 * depth))
-        counts = rows.groupBy("tree", "prefix").agg(F.count("*").alias("n"), F.min("node").alias("hub")).filter("n > 1")
+        counts = rows.groupBy("tree", "prefix").agg(F.count("*").alias("n"), F.min(F.struct("node", "label")).alias("hub")).filter("n > 1")
         counts = stage(counts, "region-sizes")  # written, so that a hot region is split by the join
         members = stage(rows.join(counts, ["tree", "prefix"]), "regions")
         dense = members.filter(F.col("n") > region)
-        fit = members.filter(F.col("n") <= region).select("tree", "prefix", "node")
+        fit = members.filter(F.col("n") <= region).select(*_PLACED)
         settled = fit if settled is None else settled.unionByName(fit)
-        whole = dense.select("tree", "prefix", "node") if whole is None else whole
+        whole = dense.select(*_PLACED) if whole is None else whole
         if dense.isEmpty():
             return settled, whole
         rows = dense.select("node", "tree", "label")
     # equal in every value of the tree: dealt out, the hub being in every part
     parts = F.ceil(F.col("n") / region).cast("long")
-    dealt = dense.withColumn("part", F.pmod(F.xxhash64("node"), parts)).filter("node <> hub").select("tree", "prefix", "part", "node")
+    dealt = dense.withColumn("part", F.pmod(F.xxhash64("node"), parts)).filter("node <> hub.node").select("tree", "prefix", "part", "label", "node")
     hubs = dense.select("tree", "prefix", "hub", parts.alias("parts")).distinct()
-    hubs = hubs.select("tree", "prefix", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("hub").alias("node"))
+    hubs = hubs.select("tree", "prefix", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "hub.label", "hub.node")
     named = F.concat(F.col("prefix"), F.col("part").cast("string").cast("binary"))
-    return settled.unionByName(dealt.unionByName(hubs).select("tree", named.alias("prefix"), "node")), whole
+    return settled.unionByName(dealt.unionByName(hubs).select("tree", named.alias("prefix"), "label", "node")), whole
 
 
-def pairs_of_blocks(whole: DataFrame, clusters: DataFrame, region: int = REGION) -> DataFrame:
-    """(tree, prefix, node): parts of about ``region`` members of the regions ``whole`` in which every two members meet
-    that are not both of the region's largest cluster."""
+def _block_counts(whole: DataFrame, clusters: DataFrame, region: int) -> DataFrame:
+    """tree, prefix, main (the region's largest cluster), main_blocks, rest_blocks (of its other members, if any)."""
     rows = whole.join(clusters, "node", "left").withColumn("root", F.coalesce("root", "node"))
     sizes = rows.groupBy("tree", "prefix", "root").count().groupBy("tree", "prefix")
     sizes = sizes.agg(F.max(F.struct("count", "root")).alias("most"), F.sum("count").alias("n"))
     half = max(1, region // 2)
-    sizes = sizes.select(
+    return sizes.select(
         "tree", "prefix", F.col("most.root").alias("main"),
         F.ceil((F.col("n") - F.col("most.count")) / half).cast("long").alias("rest_blocks"),
         F.ceil(F.col("most.count") / half).cast("long").alias("main_blocks"),
     ).filter("rest_blocks > 0")
-    rows = rows.join(stage(sizes, "cut-regions"), ["tree", "prefix"])
+
+
+def pairs_of_blocks(whole: DataFrame, clusters: DataFrame, region: int = REGION) -> DataFrame:
+    """(tree, prefix, label, node): parts of about ``region`` members of the regions ``whole`` in which every two members
+    meet that are not both of the region's largest cluster."""
+    sizes = stage(_block_counts(whole, clusters, region), "cut-regions")
+    rows = whole.join(clusters, "node", "left").withColumn("root", F.coalesce("root", "node")).join(sizes, ["tree", "prefix"])
     rest = "pmod(xxhash64(node), rest_blocks)"
     rows = rows.withColumn("block", F.expr(f"CASE WHEN root = main THEN rest_blocks + pmod(xxhash64(node), main_blocks) ELSE {rest} END"))
     others = "CASE WHEN root = main THEN sequence(0L, rest_blocks - 1) ELSE array_except(sequence(0L, rest_blocks + main_blocks - 1), array(block)) END"
     rows = rows.withColumn("other", F.explode(F.expr(others)))
     named = F.concat_ws("-", F.least("block", "other"), F.greatest("block", "other")).cast("binary")
-    return rows.select("tree", F.concat("prefix", named).alias("prefix"), "node")
+    return rows.select("tree", F.concat("prefix", named).alias("prefix"), "label", "node")
+
+
+def trees_of(depth: int) -> int:
+    """Orders in one of which a pair at 0.75 shares its first ``depth`` values but for odds of ODDS."""
+    return math.ceil(math.log(ODDS) / math.log1p(-(0.75**depth)))
+
+
+def _orders(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
+    n = trees_of(depth) * depth
+    factors = kernel.mix(np.arange(1, n + 1, dtype=np.uint64), 100 + depth) | np.uint64(1)
+    for batch in batches:
+        for part in kernel.slices(batch, "text"):
+            for at in range(0, len(part), 2048):
+                few = part.slice(at, 2048)
+                orders = [x.tobytes() for x in signatures(*shingle_sets(few.column("text")), factors)]
+                yield pa.RecordBatch.from_arrays([few.column("node"), pa.array(orders, pa.binary())], ["node", "orders"])
+
+
+def _deeper(texts: DataFrame, nodes: DataFrame, depth: int, region: int) -> tuple[DataFrame, DataFrame]:
+    """(tree, prefix, label, node) of the regions of ``nodes`` (node, head) in further orders of ``depth`` values: those up
+    to ``region``, and the larger ones. ``texts`` has one row per ord and tag."""
+    wanted = stage(nodes.select("head.ord", "head.tag", "node"), "dense-nodes")
+    found = texts.join(sent(wanted), ["ord", "tag"]).select("node", "text")
+    orders = stage(found.mapInArrow(lambda it: _orders(it, depth), "node binary, orders binary"), "orders")
+    rows = orders.select("node", "orders", F.explode(F.sequence(F.lit(0), F.lit(trees_of(depth) - 1))).alias("tree"))
+    rows = rows.select("node", "tree", F.expr(f"substring(orders, tree * {depth * 4} + 1, {depth * 4})").alias("label"))
+    rows = rows.withColumn("prefix", F.col("label"))
+    counts = stage(rows.groupBy("tree", "prefix").agg(F.count("*").alias("n")).filter("n > 1"), "region-sizes")
+    members = stage(rows.join(counts, ["tree", "prefix"]), "regions")
+    return members.filter(F.col("n") <= region).select(*_PLACED), members.filter(F.col("n") > region).select(*_PLACED)
+
+
+def _clusters(texts: DataFrame, nodes: DataFrame, region: int) -> DataFrame:
+    """(node, root): the components of all links between signatures."""
+    parts, whole = _cut(nodes, region)
+    clusters = components(_links(parts, nodes))
+    few: DataFrame | None = None  # regions left to pairs of blocks
+    for depth in DEEPER:
+        if whole.isEmpty():
+            break
+        dense = _block_counts(whole, clusters, region).filter(F.expr("rest_blocks * (rest_blocks + main_blocks)") > MOST_BLOCK_PAIRS)
+        dense = stage(dense.select("tree", "prefix"), "dense")
+        if dense.isEmpty():
+            break
+        left = whole.join(sent(dense), ["tree", "prefix"], "left_anti")
+        few = left if few is None else few.unionByName(left)
+        members = whole.join(sent(dense), ["tree", "prefix"], "left_semi").select("node").distinct()
+        parts, whole = _deeper(texts, nodes.join(members, "node", "left_semi"), depth, region)
+        clusters = _merged(clusters, _links(parts, nodes))
+    whole = whole if few is None else few.unionByName(whole)
+    return clusters if whole.isEmpty() else _merged(clusters, _links(pairs_of_blocks(whole, clusters, region), nodes))
+
+
+def _merged(clusters: DataFrame, links: DataFrame) -> DataFrame:
+    return components(clusters.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
 
 
 def exact_components(hashes: np.ndarray, first: np.ndarray, percent: int) -> np.ndarray:
@@ -289,9 +382,9 @@ def _named(docs: DataFrame) -> DataFrame:
 
 
 def _links(parts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Links (a, b) inside parts (tree, prefix, node) of the nodes."""
-    placed = parts.join(nodes.select("node", "sign"), "node").select("tree", "prefix", "node", "sign")
-    dealt = placed.repartition("tree", "prefix").sortWithinPartitions("tree", "prefix")
+    """Links (a, b) inside parts (tree, prefix, label, node) of the nodes."""
+    placed = parts.join(nodes.select("node", "sign"), "node").select(*_PLACED, "sign")
+    dealt = placed.repartition("tree", "prefix").sortWithinPartitions(*_PLACED)
     return stage(dealt.mapInArrow(_region_links, "a binary, b binary"), "forest")
 
 
@@ -301,13 +394,10 @@ def _judged(docs: DataFrame, percent: int, region: int) -> DataFrame:
     described = stage(named.mapInArrow(_describe, "ord long, tag long, n_shingles long, node binary, sign binary"), "described")
     nodes = described.filter("node is not null").groupBy("node")
     nodes = stage(nodes.agg(F.min(F.struct("ord", "tag")).alias("head"), F.first("n_shingles").alias("n_shingles"), F.first("sign").alias("sign")), "nodes")
-    parts, whole = _cut(nodes, region)
-    clusters = components(_links(parts, nodes))
-    if not whole.isEmpty():
-        links = _links(pairs_of_blocks(whole, clusters, region), nodes)
-        clusters = components(clusters.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
     repeated = stage(described.filter("node is not null").groupBy("ord", "tag").count().filter("count > 1").select("ord", "tag"), "repeated")
-    links = stage(confirmed_links(_once(named, repeated), nodes, clusters, percent), "confirmed")
+    texts = _once(named, repeated)
+    clusters = _clusters(texts, nodes, region)
+    links = stage(confirmed_links(texts, nodes, clusters, percent), "confirmed")
     roots = components(links)
     heads = stage(nodes.select("node", "head").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "heads")
     lowest = stage(heads.groupBy("root").agg(F.min("head.ord").alias("lowest")), "lowest")

@@ -86,6 +86,36 @@ def test_members_of_a_dense_group_stay_linked_though_its_regions_are_cut(make_do
     same(neardup.near_duplicates(make_docs(rows), region=region).collect(), brute(rows))
 
 
+def test_dense_regions_of_texts_that_are_no_duplicates_get_deeper_orders(make_docs, monkeypatch):
+    """90 texts at 0.5 to each other, so that many share two values or four, with a pair near the threshold in every sixth."""
+    monkeypatch.setattr(neardup, "MOST_BLOCK_PAIRS", 4)
+    monkeypatch.setattr(neardup, "DEEPER", (3, 4))
+    deeper, depths = neardup._deeper, []
+    monkeypatch.setattr(neardup, "_deeper", lambda texts, nodes, depth, region: depths.append(depth) or deeper(texts, nodes, depth, region))
+    base = " ".join(f"b{i}" for i in range(100))
+    rows = [(n, base + "".join(f" own{n}x{i}" for i in range(50))) for n in range(90)]
+    rows += [(100 + n, rows[n][1] + "".join(f" more{n}x{i}" for i in range(46))) for n in range(0, 90, 6)] + [(None, base), (300, "")]
+    same(neardup.near_duplicates(make_docs(rows), region=8).collect(), brute(rows))
+    assert depths == [3, 4]
+
+
+def test_neighbour_links_span_the_components_of_all_pairs():
+    rng = np.random.default_rng(3)
+    for n in (2, 3, 9, 60):
+        for _ in range(20):
+            label = rng.integers(0, 3, (n, 6)).astype(">u4")
+            label = label[np.lexsort(label.T[::-1])]
+            signs = np.where(rng.random((n, 40)) < rng.choice([0.2, 0.4, 0.9]), rng.integers(0, 9, (n, 40)), rng.integers(0, 9, (3, 40))[rng.integers(0, 3, n)])
+            link = (signs[:, None] == signs[None]).sum(axis=2) >= 24
+            reach = np.linalg.matrix_power(link.astype(float), n) > 0
+            found = np.eye(n)
+            links = neardup.neighbour_links(label, signs, 24)
+            for i, j in links:
+                assert link[i, j]
+                found[i, j] = found[j, i] = 1
+            assert ((np.linalg.matrix_power(found, n) > 0) == reach).all() and len(links) < n
+
+
 def test_regions_deeper_than_the_labels_are_dealt_out_with_a_hub(spark):
     sign = bytes(range(256)) * 2
     nodes = spark.createDataFrame([(bytes([i] * 16), sign) for i in range(25)], "node binary, sign binary")
