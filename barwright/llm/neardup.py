@@ -201,20 +201,25 @@ def _cut(nodes: DataFrame, region: int) -> tuple[DataFrame, DataFrame]:
     """``regions``, and (tree, prefix, label, node) of the regions of FIRST_DEPTH that were cut to get them."""
     trees = nodes.select("node", "sign", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     rows = trees.select("node", "tree", F.expr(f"substring(sign, tree * {DEPTH * 4} + 1, {DEPTH * 4})").alias("label"))
-    settled: DataFrame | None = None
-    whole: DataFrame | None = None
-    for depth in range(FIRST_DEPTH, DEPTH + 1):
-        rows = rows.withColumn("prefix", F.substring("label", 1, 4 * depth))
-        counts = rows.groupBy("tree", "prefix").agg(F.count("*").alias("n"), F.min(F.struct("node", "label")).alias("hub")).filter("n > 1")
-        counts = stage(counts, "region-sizes")  # written, so that a hot region is split by the join
-        members = stage(rows.join(counts, ["tree", "prefix"]), "regions")
-        dense = members.filter(F.col("n") > region)
-        fit = members.filter(F.col("n") <= region).select(*_PLACED)
-        settled = fit if settled is None else settled.unionByName(fit)
-        whole = dense.select(*_PLACED) if whole is None else whole
-        if dense.isEmpty():
-            return settled, whole
-        rows = dense.select("node", "tree", "label")
+    rows = rows.withColumn("prefix", F.substring("label", 1, 4 * FIRST_DEPTH))
+    counts = rows.groupBy("tree", "prefix").agg(F.count("*").alias("n")).filter("n > 1")
+    counts = stage(counts, "region-sizes")  # written, so that a hot region is split by the join
+    members = stage(rows.join(counts, ["tree", "prefix"]), "regions")
+    settled, whole = members.filter(F.col("n") <= region).select(*_PLACED), members.filter(F.col("n") > region).select(*_PLACED)
+    if whole.isEmpty():
+        return settled, whole
+    # every depth of a dense member at once: it stays at the first one that fits, or at the last
+    levels = whole.select("node", "tree", "label", F.explode(F.sequence(F.lit(FIRST_DEPTH + 1), F.lit(DEPTH))).alias("depth"))
+    levels = levels.withColumn("prefix", F.expr("substring(label, 1, 4 * depth)"))
+    counts = stage(levels.groupBy("tree", "prefix").agg(F.count("*").alias("n"), F.min(F.struct("node", "label")).alias("hub")), "region-sizes")
+    fits = (F.col("n") <= region) | (F.col("depth") == DEPTH)
+    own = levels.join(counts, ["tree", "prefix"]).filter(fits).groupBy("tree", "node")
+    own = own.agg(F.min(F.struct("depth", "prefix", "label", "n", "hub")).alias("own")).select("tree", "node", "own.*")
+    members = stage(own.filter("n > 1"), "regions")
+    settled = settled.unionByName(members.filter(F.col("n") <= region).select(*_PLACED))
+    dense = members.filter(F.col("n") > region)
+    if dense.isEmpty():
+        return settled, whole
     # equal in every value of the tree: dealt out, the hub being in every part
     parts = F.ceil(F.col("n") / region).cast("long")
     dealt = dense.withColumn("part", F.pmod(F.xxhash64("node"), parts)).filter("node <> hub.node").select("tree", "prefix", "part", "label", "node")
@@ -237,10 +242,9 @@ def _block_counts(whole: DataFrame, clusters: DataFrame, region: int) -> DataFra
     ).filter("rest_blocks > 0")
 
 
-def pairs_of_blocks(whole: DataFrame, clusters: DataFrame, region: int = REGION) -> DataFrame:
-    """(tree, prefix, label, node): parts of about ``region`` members of the regions ``whole`` in which every two members
-    meet that are not both of the region's largest cluster."""
-    sizes = stage(_block_counts(whole, clusters, region), "cut-regions")
+def pairs_of_blocks(whole: DataFrame, clusters: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(tree, prefix, label, node): parts of the regions ``whole`` in which every two members meet that are not both of
+    the region's largest cluster. ``sizes`` are their ``_block_counts``."""
     rows = whole.join(clusters, "node", "left").withColumn("root", F.coalesce("root", "node")).join(sizes, ["tree", "prefix"])
     rest = "pmod(xxhash64(node), rest_blocks)"
     rows = rows.withColumn("block", F.expr(f"CASE WHEN root = main THEN rest_blocks + pmod(xxhash64(node), main_blocks) ELSE {rest} END"))
@@ -285,11 +289,12 @@ def _clusters(texts: DataFrame, nodes: DataFrame, region: int) -> DataFrame:
     parts, whole = _cut(nodes, region)
     clusters = components(_links(parts, nodes))
     few: DataFrame | None = None  # regions left to pairs of blocks
+    sizes: DataFrame | None = None
     for depth in DEEPER:
         if whole.isEmpty():
             break
-        dense = _block_counts(whole, clusters, region).filter(F.expr("rest_blocks * (rest_blocks + main_blocks)") > MOST_BLOCK_PAIRS)
-        dense = stage(dense.select("tree", "prefix"), "dense")
+        sizes = stage(_block_counts(whole, clusters, region), "cut-regions")
+        dense = sizes.filter(F.expr("rest_blocks * (rest_blocks + main_blocks)") > MOST_BLOCK_PAIRS).select("tree", "prefix")
         if dense.isEmpty():
             break
         left = whole.join(sent(dense), ["tree", "prefix"], "left_anti")
@@ -297,8 +302,13 @@ def _clusters(texts: DataFrame, nodes: DataFrame, region: int) -> DataFrame:
         members = whole.join(sent(dense), ["tree", "prefix"], "left_semi").select("node").distinct()
         parts, whole = _deeper(texts, nodes.join(members, "node", "left_semi"), depth, region)
         clusters = _merged(clusters, _links(parts, nodes))
+        sizes = None
     whole = whole if few is None else few.unionByName(whole)
-    return clusters if whole.isEmpty() else _merged(clusters, _links(pairs_of_blocks(whole, clusters, region), nodes))
+    if whole.isEmpty():
+        return clusters
+    if sizes is None or few is not None:
+        sizes = stage(_block_counts(whole, clusters, region), "cut-regions")
+    return _merged(clusters, _links(pairs_of_blocks(whole, clusters, sizes), nodes))
 
 
 def _merged(clusters: DataFrame, links: DataFrame) -> DataFrame:
