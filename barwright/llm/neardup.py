@@ -5,8 +5,8 @@ with equal sets are one node (128 bits of digest). Each node has a signature of
 values; tree t orders all nodes by its own DEPTH values.
 
 1. Regions: nodes that share the first two values of a tree's order. A region larger than ``REGION`` is
-   cut at the next value, and so on, so that depth follows density; what is still too large at full depth is
-   dealt out with one member added to every part.
+   cut at the next value, and so on, so that depth follows density (found from the distinct labels and their counts);
+   what is still too large at full depth is dealt out with one member added to every part.
 2. A region is read in its tree's order. Candidates of a member are the neighbours with which it shares the longest
    prefix, then, level by level, those with which it shares less, down to the region's own depth; members already
    linked with each other are not compared. Signatures that agree in ``LEAST_EQUAL`` places or more are linked: a
@@ -31,6 +31,7 @@ no rows. Only doc_id and text are read.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -208,27 +209,48 @@ def _cut(nodes: DataFrame, region: int) -> tuple[DataFrame, DataFrame]:
     settled, whole = members.filter(F.col("n") <= region).select(*_PLACED), members.filter(F.col("n") > region).select(*_PLACED)
     if whole.isEmpty():
         return settled, whole
-    # every depth of a dense member at once: it stays at the first one that fits, or at the last
-    levels = whole.select("node", "tree", "label", F.explode(F.sequence(F.lit(FIRST_DEPTH + 1), F.lit(DEPTH))).alias("depth"))
-    levels = levels.withColumn("prefix", F.expr("substring(label, 1, 4 * depth)"))
-    counts = stage(levels.groupBy("tree", "prefix").agg(F.count("*").alias("n"), F.min(F.struct("node", "label")).alias("hub")), "region-sizes")
-    fits = (F.col("n") <= region) | (F.col("depth") == DEPTH)
-    own = levels.join(counts, ["tree", "prefix"]).filter(fits).groupBy("tree", "node")
-    own = own.agg(F.min(F.struct("depth", "prefix", "label", "n", "hub")).alias("own")).select("tree", "node", "own.*")
-    members = stage(own.filter("n > 1"), "regions")
+    members = stage(whole.drop("prefix").join(_own_regions(whole, region), ["tree", "label"]), "regions")
     settled = settled.unionByName(members.filter(F.col("n") <= region).select(*_PLACED))
     dense = members.filter(F.col("n") > region)
     if dense.isEmpty():
         return settled, whole
     # equal in every value of the tree: dealt out, the hub being in every part
     parts = F.ceil(F.col("n") / region).cast("long")
-    dealt = dense.withColumn("part", F.pmod(F.xxhash64("node"), parts)).filter("node <> hub.node").select("tree", "prefix", "part", "label", "node")
-    hubs = dense.select("tree", "prefix", "hub", parts.alias("parts")).distinct()
-    hubs = hubs.select("tree", "prefix", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "hub.label", "hub.node")
+    dealt = dense.withColumn("part", F.pmod(F.xxhash64("node"), parts)).filter("node <> hub").select("tree", "prefix", "part", "label", "node")
+    hubs = dense.select("tree", "prefix", "label", "hub", parts.alias("parts")).distinct()
+    hubs = hubs.select("tree", "prefix", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "label", F.col("hub").alias("node"))
     named = F.concat(F.col("prefix"), F.col("part").cast("string").cast("binary"))
     return settled.unionByName(dealt.unionByName(hubs).select("tree", named.alias("prefix"), "label", "node")), whole
 
 
+def _own_regions(whole: DataFrame, region: int) -> DataFrame:
+    """(tree, label, prefix, n, hub) for every label in ``whole``: its first prefix beyond FIRST_DEPTH with ``region`` members
+    at most, or all of it; their number, if two or more, and the smallest of them.
+
+    Labels are followed, not members, and only as deep as they are dense: members that stay together for many values have
+    few labels, and those that differ part early.
+    """
+    labels = stage(whole.groupBy("tree", "label").agg(F.count("*").alias("n"), F.min("node").alias("hub")), "labels")
+    going, placed = labels, []
+    for depth in range(FIRST_DEPTH + 1, DEPTH + 1):
+        prefix = F.substring("label", 1, 4 * depth)
+        rows = going.withColumn("prefix", prefix)
+        if depth == DEPTH:
+            placed.append(rows)
+            break
+        sizes = rows.groupBy("tree", "prefix").agg(F.sum("n").alias("n"))
+        large = stage(sizes.filter(F.col("n") > region).select("tree", "prefix"), "large-regions")
+        if large.isEmpty():
+            placed.append(rows)
+            break
+        placed.append(rows.join(large, ["tree", "prefix"], "left_anti").select(rows.columns))
+        # a region that is large at this depth was so at those before
+        going = labels.withColumn("prefix", prefix).join(large, ["tree", "prefix"], "left_semi").select(labels.columns)
+    own = stage(functools.reduce(DataFrame.unionByName, placed), "own-regions")
+    sizes = own.groupBy("tree", "prefix").agg(F.sum("n").alias("n"), F.min("hub").alias("hub")).filter("n > 1")
+    return stage(own.select("tree", "label", "prefix").join(sizes, ["tree", "prefix"]), "own-regions")
+
+
 def _block_counts(whole: DataFrame, clusters: DataFrame, region: int) -> DataFrame:
     """tree, prefix, main (the region's largest cluster), main_blocks, rest_blocks (of its other members, if any)."""
     rows = whole.join(clusters, "node", "left").withColumn("root", F.coalesce("root", "node"))

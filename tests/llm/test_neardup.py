@@ -126,6 +126,30 @@ def test_regions_deeper_than_the_labels_are_dealt_out_with_a_hub(spark):
     assert set.union(*parts) == {bytes([i] * 16) for i in range(25)} and set.intersection(*parts) == {bytes(16)} and max(map(len, parts)) < 15
 
 
+def test_members_of_dense_regions_are_not_copied_for_every_depth(spark, monkeypatch):
+    """Labels of few values, most of them common: regions of every depth. One row per member and tree is all that is made."""
+    rng, written = np.random.default_rng(5), []
+    signs = np.where(rng.random((120, neardup.TREES * neardup.DEPTH)) < 0.8, 0, rng.integers(1, 3, (120, neardup.TREES * neardup.DEPTH))).astype(">u4")
+    nodes = spark.createDataFrame([(i.to_bytes(16), s.tobytes()) for i, s in enumerate(signs)], "node binary, sign binary")
+    keep = neardup.stage
+    monkeypatch.setattr(neardup, "stage", lambda df, label: written.append(df._jdf.queryExecution().optimizedPlan().toString()) or keep(df, label))
+    found, whole = neardup._cut(nodes, 20)
+    made = [line for plan in written for line in plan.splitlines() if "Generate" in line]
+    assert made and all("[tree#" in line for line in made)
+    expected, depths = {}, set()
+    for tree in range(neardup.TREES):
+        labels = [s.reshape(neardup.TREES, -1)[tree].tobytes() for s in signs]
+        for i, label in enumerate(labels):
+            sharing = {d: sum(x[: 4 * d] == label[: 4 * d] for x in labels) for d in range(neardup.FIRST_DEPTH, neardup.DEPTH + 1)}
+            depth = next((d for d, n in sharing.items() if n <= 20), neardup.DEPTH)
+            if sharing[depth] > 1:
+                expected[tree, i.to_bytes(16)] = (label[: 4 * depth], sharing[depth])
+                depths.add(depth)
+    rows = [(r["tree"], bytes(r["prefix"]), bytes(r["label"]), bytes(r["node"])) for r in found.collect()]
+    assert {(t, m): p[: len(expected[t, m][0])] for t, p, _, m in rows} == {k: p for k, (p, _) in expected.items()} and depths == set(range(2, 9))
+    assert all(label[:8] == prefix[:8] for _, prefix, label, _ in rows) and {(r["tree"], bytes(r["node"])) for r in whole.collect()} >= {k for k, (p, _) in expected.items() if len(p) > 8}
+
+
 def test_every_text_is_fetched_once_though_ids_are_null_or_repeated(make_docs, monkeypatch):
     """24 groups of two under a null id and under one id, each row three times: 96 nodes, 96 texts."""
     rows = [(i, f"{i} {n} starts " + " ".join(f"g{i}x{n}x{k}" for k in range(40)) + end) for i in (None, 7) for n in range(24) for end in ("", " more")]
