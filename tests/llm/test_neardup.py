@@ -150,6 +150,16 @@ def test_members_of_dense_regions_are_not_copied_for_every_depth(spark, monkeypa
     assert all(label[:8] == prefix[:8] for _, prefix, label, _ in rows) and {(r["tree"], bytes(r["node"])) for r in whole.collect()} >= {k for k, (p, _) in expected.items() if len(p) > 8}
 
 
+def test_keep_one_of_a_dense_group_copies_no_member_for_every_depth(make_docs, monkeypatch):
+    """What the pipeline's stage calls: 40 near-copies of a text and 9 others, regions cut at 6."""
+    base, written, keep = [f"b{i}" for i in range(120)], [], neardup.stage
+    rows = [(n, " ".join([*base[:-2], f"own{n}", f"end{n}"])) for n in range(40)] + [(100 + n, " ".join(f"x{n}y{i}" for i in range(30))) for n in range(9)]
+    docs = make_docs(rows)
+    monkeypatch.setattr(neardup, "stage", lambda df, label: written.append(df._jdf.queryExecution().optimizedPlan().toString()) or keep(df, label))
+    assert sorted(r["doc_id"] for r in neardup.keep_one(docs, region=6).collect()) == [i for i, _, _, kept in brute(rows) if kept]
+    assert not [line for plan in written for line in plan.splitlines() if "Generate" in line and "[depth#" in line]
+
+
 def test_every_text_is_fetched_once_though_ids_are_null_or_repeated(make_docs, monkeypatch):
     """24 groups of two under a null id and under one id, each row three times: 96 nodes, 96 texts."""
     rows = [(i, f"{i} {n} starts " + " ".join(f"g{i}x{n}x{k}" for k in range(40)) + end) for i in (None, 7) for n in range(24) for end in ("", " more")]
